@@ -218,3 +218,70 @@ SQL: dict[str, str] = {
         'https://repository.example.org/#!' || synid AS URL, '' AS SubjectType,
         'registration required' AS Attribute FROM findings_v WHERE pmcid IS NOT NULL""",
 }
+
+
+def _xt(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def _xa(x: str) -> str:
+    e = _xt(x)
+    for a, b in (("'\"'", "'&quot;'"), ("chr(10)", "'&#10;'"), ("chr(13)", "'&#13;'"), ("chr(9)", "'&#09;'")):
+        e = f"replace({e}, {a}, {b})"
+    return e
+
+
+SEARCH_ENTRIES_CTE = """e AS (SELECT c.synid AS id,
+        coalesce(nullif(n.name, ''), c.synid) AS name,
+        coalesce(nullif(n.description, ''), coalesce(nullif(n.name, ''), c.synid)) AS description,
+        nullif(n.created_on, '') AS created,
+        coalesce(nullif(n.repository, ''), 'Repository') AS repository,
+        coalesce(nullif(n.portal_link, ''), 'https://repository.example.org/' || c.synid) AS full_link, c.n_refs
+        FROM (SELECT synid, count(*) AS n_refs FROM pairs GROUP BY synid) c JOIN new_cache n ON n.id = c.synid)"""
+
+_I6, _I8 = " " * 6, " " * 8
+SEARCH_FEED = w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes(), PAIRS, SEARCH_ENTRIES_CTE) + f"""
+SELECT '<?xml version=''1.0'' encoding=''UTF-8''?>' AS line
+UNION ALL SELECT '<database>'
+UNION ALL SELECT '  <name>Datasets</name>'
+UNION ALL SELECT '  <description>Datasets cited in articles</description>'
+UNION ALL SELECT '  <release>2026-01-01</release>'
+UNION ALL SELECT '  <release_date>2026-01-01</release_date>'
+UNION ALL SELECT '  <entry_count>' || CAST(count(*) AS VARCHAR) || '</entry_count>' FROM e
+UNION ALL SELECT '  <entries>'
+UNION ALL SELECT '    <entry id="' || {_xa('id')} || '">' FROM e
+UNION ALL SELECT '{_I6}<name>' || {_xt('name')} || '</name>' FROM e
+UNION ALL SELECT '{_I6}<description>' || {_xt('description')} || '</description>' FROM e
+UNION ALL SELECT '{_I6}<dates>' FROM e WHERE created IS NOT NULL
+UNION ALL SELECT '{_I8}<date type="submission" value="' || {_xa('created')} || '" />' FROM e WHERE created IS NOT NULL
+UNION ALL SELECT '{_I6}</dates>' FROM e WHERE created IS NOT NULL
+UNION ALL SELECT '{_I6}<cross_references>' FROM e
+UNION ALL SELECT '{_I8}<ref dbname="PMC" dbkey="' || {_xa('p.pmcid')} || '" />' FROM pairs p WHERE p.synid IN (SELECT id FROM e)
+UNION ALL SELECT '{_I6}</cross_references>' FROM e
+UNION ALL SELECT '{_I6}<additional_fields>' FROM e
+UNION ALL SELECT '{_I8}<field name="repository">' || {_xt('repository')} || '</field>' FROM e
+UNION ALL SELECT '{_I8}<field name="full_dataset_link">' || {_xt('full_link')} || '</field>' FROM e
+UNION ALL SELECT '{_I6}</additional_fields>' FROM e
+UNION ALL SELECT '    </entry>' FROM e
+UNION ALL SELECT '  </entries>'
+UNION ALL SELECT '</database>'"""
+
+LINKS = """links AS (SELECT DISTINCT regexp_replace(pmcid, '^pmc:', '') AS pmcid, synid
+        FROM findings_v WHERE pmcid IS NOT NULL AND pmcid <> '' AND synid IS NOT NULL AND synid <> '')"""
+
+SQL.update({
+    "article_scan": w(text_v(), XML_DOC) + "SELECT source_file, xml FROM xml_v",
+    "findings_csv_roundtrip": w(FINDINGS_V) + "SELECT pmcid, synid, context, source_file FROM findings_v",
+    "link_feed": w(FINDINGS_V, LINKS) + """SELECT CAST(1000 AS BIGINT) AS provider_id,
+        'https://repository.example.org/' || synid AS url, 'View data' AS title, 'PMC' AS source,
+        pmcid AS record_id FROM links""",
+    "feed_validate": w(FINDINGS_V, LINKS) + """SELECT 'good' AS feed, true AS valid, count(*) AS links,
+        count(*) AS with_record FROM links
+        UNION ALL SELECT 'bad', false, count(*), 0 FROM links""",
+    "input_audit": w(FINDINGS_V) + """SELECT 'corpus' AS kind, '.gz' AS ext, true AS accepted, 'ok' AS reason,
+        count(DISTINCT doc_id - doc_id % 100) AS files FROM documents
+        UNION ALL SELECT 'batches', '.csv', false, 'extension', count(DISTINCT source_file) FROM findings_v""",
+    "search_feed": SEARCH_FEED,
+    "stream_ingest": SQL["xml_mine"],
+    "stream_append": SQL["first_batch_wins"],
+})

@@ -270,3 +270,113 @@ def q_inaccessible(spark, d):
 def q_resource_list(spark, d):
     from ..sinks.feeds import resource_rows
     return resource_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
+
+
+# ------------------------------------------- staged files: sources & sinks ---
+# These queries write derived data below the shared checkpoint folder and read it back,
+# so the scan or sink itself is what is checked.
+
+def _stage_corpus(spark, d) -> str:
+    from ..session import scratch_path
+    from ..sources.corpus import write_corpus
+    path = scratch_path(spark, "corpus")
+    write_corpus(fx.articles_xml_v(spark, d), path)
+    return path
+
+
+@query("article_scan")
+def q_article_scan(spark, d):
+    from ..sources.corpus import read_articles
+    return read_articles(spark, _stage_corpus(spark, d))
+
+
+@query("findings_csv_roundtrip")
+def q_findings_csv_roundtrip(spark, d):
+    from ..session import scratch_path
+    from ..sinks.feeds import write_csv
+    from ..sources.corpus import read_findings_csv
+    path = scratch_path(spark, "findings-csv")
+    write_csv(fx.findings_v(spark, d), path, partition_by="source_file")
+    return read_findings_csv(spark, path)
+
+
+@query("link_feed")
+def q_link_feed(spark, d):
+    from ..session import scratch_path
+    from ..sinks import feeds
+    path = scratch_path(spark, "links")
+    feeds.write_link_feed(feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG), path)
+    return feeds.flatten_links(feeds.read_link_feed(spark, path))
+
+
+@query("feed_validate")
+def q_feed_validate(spark, d):
+    from ..session import scratch_path
+    from ..sinks import feeds
+    good, bad = scratch_path(spark, "links-good"), scratch_path(spark, "links-bad")
+    rows = feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
+    feeds.write_link_feed(rows, good)
+    (feeds.link_structs(rows).withColumnRenamed("record", "invalid_element")
+          .write.format("xml").option("rootTag", "links").option("rowTag", "link").save(bad))
+    out = []
+    for name, p in (("good", good), ("bad", bad)):
+        r = feeds.read_link_feed(spark, p, feeds.LINKS_XSD)
+        out.append(r.select(F.lit(name).alias("feed"), F.col("_corrupt_record").isNull().alias("valid"),
+                            F.col("record.id").alias("record_id")))
+    return (out[0].unionByName(out[1]).groupBy("feed", "valid")
+                  .agg(F.count(F.lit(1)).alias("links"), F.count("record_id").alias("with_record")))
+
+
+@query("input_audit")
+def q_input_audit(spark, d):
+    from ..session import scratch_path
+    from ..sinks.feeds import write_csv
+    from ..sources.corpus import audit_files, write_corpus
+    root = scratch_path(spark, "inputs")
+    write_corpus(fx.articles_xml_v(spark, d), f"{root}/corpus")
+    f = fx.findings_v(spark, d)
+    write_csv(f.repartition("source_file"), f"{root}/batches", partition_by="source_file")
+    a = audit_files(spark, root)
+    kind = F.when(F.col("path").contains("/corpus/"), F.lit("corpus")).otherwise(F.lit("batches"))
+    return a.groupBy(kind.alias("kind"), "ext", "accepted", "reason").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("search_feed")
+def q_search_feed(spark, d):
+    from ..session import scratch_path
+    from ..sinks import feeds
+    pairs = summarize.citation_pairs(fx.findings_v(spark, d))
+    entries = enrich.search_entries(pairs, refreshed_cache(spark, d), CFG)
+    path = scratch_path(spark, "search-feed")
+    feeds.write_search_feed(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles",
+                                                    "2026-01-01"), path)
+    return feeds.read_feed_lines(spark, path)
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, d):
+    from ..session import scratch_path
+    from ..streaming.ingest import ingest_corpus
+    src = _stage_corpus(spark, d)
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    ingest_corpus(spark, src, out, ck, partitions=spark.sparkContext.defaultParallelism,
+                  max_files_per_trigger=4)
+    return spark.read.parquet(out).select("source_file", "pmcid", "synid", "context")
+
+
+@query("stream_append")
+def q_stream_append(spark, d):
+    from ..session import scratch_path
+    from ..sinks.feeds import write_csv
+    from ..streaming.ingest import append_results, init_results_table
+    inbox, table_path, ck = (scratch_path(spark, n) for n in ("inbox", "results", "append-ck"))
+    init_results_table(fx.results_v(spark, d), table_path)
+    b = fx.batches_v(spark, d)
+    early = F.col("source_file") == "PMC0_PMC0.xml.gz"
+    # two deliveries: the early batch file first, the others a run later
+    write_csv(b.where(early).repartition("source_file"), inbox, partition_by="source_file", mode="append")
+    append_results(spark, inbox, table_path, ck)
+    write_csv(b.where(~early).repartition("source_file"), inbox, partition_by="source_file", mode="append")
+    append_results(spark, inbox, table_path, ck)
+    return (spark.read.parquet(table_path).where(F.col("batch") != "initial")
+                 .select("pmcid", "synid", "context", "source_file"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.fixed import (LINK_RECORD_SOURCE, RESOURCE_ATTRIBUTE, RESOURCE_DB, RESOURCE_SUBJECT_TYPE,
                                SEARCH_DATE_TYPE, SEARCH_FIELD_LINK, SEARCH_FIELD_REPOSITORY,
@@ -48,12 +49,24 @@ def write_link_feed(rows: DataFrame, path: str, mode: str = "overwrite") -> None
         .option("rootTag", "links").option("rowTag", "link").save(path))
 
 
+LINK_SCHEMA = StructType([
+    StructField("_providerId", LongType()),
+    StructField("resource", StructType([StructField("url", StringType()), StructField("title", StringType())])),
+    StructField("record", StructType([StructField("source", StringType()), StructField("id", StringType())])),
+])
+
+
 def read_link_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
-    """Read a link feed back to flat rows; with ``xsd_path`` rows failing the schema land in
-    ``_corrupt_record`` (V3)."""
-    r = spark.read.format("xml").option("rowTag", "link")
+    """Read a link feed back (declared schema, no inference pass); with ``xsd_path`` rows failing
+    the schema land in ``_corrupt_record`` (V3)."""
+    schema = LINK_SCHEMA
+    if xsd_path:
+        schema = StructType(LINK_SCHEMA.fields + [StructField("_corrupt_record", StringType())])
+    r = spark.read.format("xml").option("rowTag", "link").schema(schema)
     if xsd_path:
-        r = (r.option("rowValidationXSDPath", xsd_path).option("mode", "PERMISSIVE")
+        # shipped to every executor; the option then names the file, not a local path
+        spark.sparkContext.addFile(xsd_path)
+        r = (r.option("rowValidationXSDPath", __import__("os").path.basename(xsd_path)).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     return r.load(path)
 
@@ -103,56 +116,70 @@ def xml_attr(c) -> Column:
 
 def search_feed_lines(entries: DataFrame, pairs: DataFrame, name: str, description: str,
                       release: str) -> DataFrame:
-    """Lines of the search feed with sort keys (k0 = id, k1 = part, k2 = article).
+    """Physical lines of the search feed with sort keys (k0 = entry id, k1 = line kind, k2 = article).
 
-    Entries come from ``operators.enrich.search_entries``; cross references come from the
-    (synid, pmcid) pair rows, so no per-id array is ever built."""
+    Entries come from ``operators.enrich.search_entries``; cross references come straight from
+    the (synid, pmcid) pair rows, so no per-id array is ever built and a heavily cited id is
+    spread over several tasks by the range partitioning of the writer."""
     n_entries = entries.agg(F.count(F.lit(1)).alias("n"))
-    head_txt = [
-        '<?xml version=\'1.0\' encoding=\'UTF-8\'?>', "<database>",
-        f"  <name>{_esc(name)}</name>", f"  <description>{_esc(description)}</description>",
-        f"  <release>{_esc(release)}</release>", f"  <release_date>{_esc(release)}</release_date>"]
-    head = n_entries.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k1"), F.lit(t).alias("line")) for i, t in enumerate(head_txt)],
-        F.struct(F.lit(len(head_txt)).alias("k1"),
-                 F.concat(F.lit("  <entry_count>"), F.col("n").cast("string"), F.lit("</entry_count>")).alias("line")),
-        F.struct(F.lit(len(head_txt) + 1).alias("k1"), F.lit("  <entries>").alias("line")))).alias("h"))
-    head = head.select(F.lit("").alias("k0"), "h.k1", F.lit("").alias("k2"), "h.line")
-    ind = "      "
-    e = entries
+    head_txt = ["<?xml version='1.0' encoding='UTF-8'?>", "<database>",
+                f"  <name>{_esc(name)}</name>", f"  <description>{_esc(description)}</description>",
+                f"  <release>{_esc(release)}</release>", f"  <release_date>{_esc(release)}</release_date>"]
+    head_lines = [F.lit(t) for t in head_txt] + [
+        F.concat(F.lit("  <entry_count>"), F.col("n").cast("string"), F.lit("</entry_count>")),
+        F.lit("  <entries>")]
+    head = n_entries.select(F.posexplode(F.array(*head_lines)).alias("k1", "line")).select(
+        F.lit("").alias("k0"), "k1", F.lit("").alias("k2"), "line")
+    i6, i8 = " " * 6, " " * 8
+    dated = F.col("created").isNotNull()
     parts = [
-        (0, F.concat(F.lit('    <entry id="'), xml_attr("id"), F.lit('">'))),
-        (1, F.concat(F.lit(ind + "<name>"), xml_text("name"), F.lit("</name>"))),
-        (2, F.concat(F.lit(ind + "<description>"), xml_text("description"), F.lit("</description>"))),
-        (3, F.when(F.col("created").isNotNull(), F.concat(
-            F.lit(ind + "<dates>\n" + ind + f'  <date type="{SEARCH_DATE_TYPE}" value="'),
-            xml_attr("created"), F.lit('" />\n' + ind + "</dates>")))),
-        (4, F.lit(ind + "<cross_references>")),
-        (6, F.lit(ind + "</cross_references>")),
-        (7, F.concat(F.lit(ind + "<additional_fields>\n" + ind + f'  <field name="{SEARCH_FIELD_REPOSITORY}">'),
-                     xml_text("repository"),
-                     F.lit(f'</field>\n{ind}  <field name="{SEARCH_FIELD_LINK}">'), xml_text("full_link"),
-                     F.lit("</field>\n" + ind + "</additional_fields>\n    </entry>"))),
+        F.concat(F.lit('    <entry id="'), xml_attr("id"), F.lit('">')),
+        F.concat(F.lit(i6 + "<name>"), xml_text("name"), F.lit("</name>")),
+        F.concat(F.lit(i6 + "<description>"), xml_text("description"), F.lit("</description>")),
+        F.when(dated, F.lit(i6 + "<dates>")),
+        F.when(dated, F.concat(F.lit(i8 + f'<date type="{SEARCH_DATE_TYPE}" value="'), xml_attr("created"),
+                               F.lit('" />'))),
+        F.when(dated, F.lit(i6 + "</dates>")),
+        F.lit(i6 + "<cross_references>"),
+        None,  # 7: one line per citing article, from ``pairs``
+        F.lit(i6 + "</cross_references>"),
+        F.lit(i6 + "<additional_fields>"),
+        F.concat(F.lit(i8 + f'<field name="{SEARCH_FIELD_REPOSITORY}">'), xml_text("repository"), F.lit("</field>")),
+        F.concat(F.lit(i8 + f'<field name="{SEARCH_FIELD_LINK}">'), xml_text("full_link"), F.lit("</field>")),
+        F.lit(i6 + "</additional_fields>"),
+        F.lit("    </entry>"),
     ]
-    body = e.select(F.col("id").alias("k0"), F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k1"), v.alias("line")) for k, v in parts])).alias("p"))
-    body = body.where(F.col("p.line").isNotNull()).select("k0", "p.k1", F.lit("").alias("k2"), "p.line")
+    body = entries.select(F.col("id").alias("k0"), F.posexplode(F.array(
+        *[p if p is not None else F.lit(None).cast("string") for p in parts])).alias("k1", "line"))
+    body = body.where(F.col("line").isNotNull()).select("k0", "k1", F.lit("").alias("k2"), "line")
     refs = (pairs.join(entries.select(F.col("id").alias("synid")), "synid", "left_semi")
-                 .select(F.col("synid").alias("k0"), F.lit(5).alias("k1"), F.col("pmcid").alias("k2"),
-                         F.concat(F.lit(ind + f'  <ref dbname="{SEARCH_XREF_DBNAME}" dbkey="'),
+                 .select(F.col("synid").alias("k0"), F.lit(7).alias("k1"), F.col("pmcid").alias("k2"),
+                         F.concat(F.lit(i8 + f'<ref dbname="{SEARCH_XREF_DBNAME}" dbkey="'),
                                   xml_attr("pmcid"), F.lit('" />')).alias("line")))
-    tail = n_entries.select(F.lit("￿").alias("k0"), F.lit(0).alias("k1"), F.lit("").alias("k2"),
-                            F.lit("  </entries>\n</database>").alias("line"))
+    tail = n_entries.select(F.posexplode(F.array(F.lit("  </entries>"), F.lit("</database>"))).alias("k1", "line"))
+    tail = tail.select(F.lit(LAST_KEY).alias("k0"), "k1", F.lit("").alias("k2"), "line")
     return head.unionByName(body).unionByName(refs).unionByName(tail)
 
 
+LAST_KEY = "\uffff"  # sorts after every entry id
+
+
 def _esc(s: str) -> str:
     return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
 
 def write_search_feed(lines: DataFrame, path: str, partitions: int = 8) -> None:
-    """Range-partition the lines by key and sort inside each shard: shards in name order form
-    the whole document, each written by its own task."""
+    """Range-partition the lines by (entry, kind, article) and sort inside each shard: the shards
+    in file-name order, concatenated, are the whole document. Each shard is written by its own
+    task; a long entry may continue in the next shard."""
     (lines.repartitionByRange(partitions, "k0", "k1", "k2")
           .sortWithinPartitions("k0", "k1", "k2").select("line")
           .write.mode("overwrite").text(path))
+
+
+def read_feed_lines(spark, path: str) -> DataFrame:
+    """The physical lines of a written text feed (order within the document is not kept)."""
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+LINKS_XSD = __import__("os").path.join(__import__("os").path.dirname(__file__), "links.xsd")
