@@ -16,3 +16,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     DataFrame is returned and the optimizer (with AQE) picks a shuffle join."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition ``df`` on ``keys`` only when its scan has fewer partitions than the
+    cluster can run at once (e.g. one large file with a single row group, or gzip files, which
+    cannot be split). A wide scan is returned unchanged, so no text is shuffled needlessly.
+
+    Hashing on the keys (not round-robin) keeps the assignment deterministic on task retry."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return df.repartition(target, F.xxhash64(*cols))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import (ACCESSION_MAX_DIGITS, ACCESSION_MIN_DIGITS, ACCESSION_PREFIX,
                                ARTICLE_CURIE_PREFIX, CONTEXT_WINDOW)
 from ..functions.text import collapse_ws, strip_ws
+from .joins import spread
 
 
 @dataclass(frozen=True)
@@ -90,8 +91,13 @@ def findings_from_mentions(m: DataFrame, keep=("doc_id",), case_rule: str = "ref
 
 def mine_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), window: int = CONTEXT_WINDOW,
               case_rule: str = "reference", pattern: AccessionPattern = DEFAULT_PATTERN,
-              collapse: bool = True) -> DataFrame:
-    """Text -> findings (``keep`` columns, pos, synid, context). Whitespace runs collapse first."""
+              collapse: bool = True, spread_input: bool = True) -> DataFrame:
+    """Text -> findings (``keep`` columns, pos, synid, context). Whitespace runs collapse first.
+
+    ``spread_input``: if the input arrives in fewer partitions than the cluster's parallelism,
+    hash-spread it on the key columns before the regex work (see ``joins.spread``)."""
+    if spread_input:
+        df = spread(df.select(*keep, text_col), keep)
     src = df.select(*keep, (collapse_ws(text_col) if collapse else F.col(text_col)).alias("_t"))
     return findings_from_mentions(extract_mentions(src, "_t", keep, window, pattern), keep, case_rule, pattern)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.fixed import ARTICLE_ID_TYPES
 from ..functions.text import collapse_ws, normalize_article_id
+from .joins import spread
 
 _SECTIONS = ("article-title", "abstract", "body", "back")
 
@@ -55,13 +56,17 @@ def parse_articles(raw: DataFrame, xml_col: str = "xml", keep=("source_file",),
                    partitions: int | None = None) -> DataFrame:
     """Raw articles -> ``keep`` + ok, pmc_id, title, abstract, body, back, text.
 
-    ``partitions``: hash-spread the raw articles before parsing (use after a gzip
-    scan, which yields one task per file). ``pmc_id`` is null for unparseable
-    articles and for articles without any id; they yield no findings.
+    ``partitions``: hash-spread the raw articles over this many partitions before parsing;
+    ``None`` spreads only if the input has fewer partitions than the cluster's parallelism
+    (a gzip scan yields one task per file); ``0`` keeps the input partitioning.
+    ``pmc_id`` is null for unparseable articles and for articles without any id; they
+    yield no findings.
     """
     src = raw.select(*keep, xml_col)
     if partitions:
         src = src.repartition(partitions, F.xxhash64(*keep, xml_col))
+    elif partitions is None:
+        src = spread(src, [*keep, xml_col])
     p = src.select(*keep, F.col(xml_col), sections_udf(F.col(xml_col)).alias("s"))
     fallback = F.nullif(F.regexp_extract(F.col(xml_col), r"(?U)(?:PMC|pmc)(\d+)", 1), F.lit(""))
     raw_id = F.coalesce(F.nullif(F.col("s.pmc_id"), F.lit("")), F.concat(F.lit("PMC"), fallback))

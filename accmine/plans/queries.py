@@ -359,8 +359,8 @@ def q_stream_ingest(spark, d):
     from ..streaming.ingest import ingest_corpus
     src = _stage_corpus(spark, d)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    ingest_corpus(spark, src, out, ck, partitions=spark.sparkContext.defaultParallelism,
-                  max_files_per_trigger=4)
+    ingest_corpus(spark, src, out, ck,
+                  max_files_per_trigger=32)
     return spark.read.parquet(out).select("source_file", "pmcid", "synid", "context")
 
 
