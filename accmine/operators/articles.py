@@ -16,6 +16,7 @@ def findings_from_articles(parsed: DataFrame, keep=("source_file",), window: int
     ok = parsed.where(F.col("ok") & F.col("pmc_id").isNotNull()).select(*keep, "pmc_id", "text")
     cols = (*keep, "pmc_id")
     f = findings_from_mentions(extract_mentions(ok, "text", cols, window, pattern), cols, case_rule, pattern)
+    # the text was built after the UDF, so the prefilter cannot move below the exchange
     return f.select(*keep, "pos", F.concat(F.lit(ARTICLE_CURIE_PREFIX), "pmc_id").alias("pmcid"),
                     "synid", "context")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import iso_date, parent_id
-from .joins import bounded_broadcast
+from .joins import BROADCAST_MAX_ROWS, within_rows
 
 
 @dataclass(frozen=True)
@@ -35,28 +35,41 @@ def _last_per_key(df: DataFrame, key: str, order_col: str | None) -> DataFrame:
 
 
 def catalog_names(catalog: DataFrame, apps: DataFrame, cfg: PortalConfig = PortalConfig(),
-                  order_col: str | None = None) -> DataFrame:
+                  order_col: str | None = None, broadcast_apps: bool | None = None) -> DataFrame:
     """id, app_id, link, repository: catalogue rows with the app's friendly name.
 
-    A missing app id reads as ''; an empty link as null; an unknown app gets the default name."""
+    A missing app id reads as ''; an empty link as null; an unknown app gets the default name.
+    ``broadcast_apps=None`` checks the app table's row bound first."""
+    if broadcast_apps is None:
+        broadcast_apps = within_rows(apps)
     apps1 = _last_per_key(apps, "app_id", None)
     cat = catalog.select("id", F.coalesce(F.col("app_id"), F.lit("")).alias("app_id"),
                          F.nullif(F.col("link"), F.lit("")).alias("link"),
                          *([order_col] if order_col else []))
     cat = _last_per_key(cat, "id", order_col)
-    j = cat.join(bounded_broadcast(apps1), "app_id", "left")
+    j = cat.join(F.broadcast(apps1) if broadcast_apps else apps1, "app_id", "left")
     return j.select("id", "app_id", "link",
                     F.coalesce(F.col("friendly_name"), F.lit(cfg.default_repository)).alias("repository"))
 
 
-def portal_resolve(entities: DataFrame, catalog: DataFrame, apps: DataFrame,
-                   cfg: PortalConfig = PortalConfig()) -> DataFrame:
+def portal_table(catalog: DataFrame, apps: DataFrame, cfg: PortalConfig = PortalConfig(),
+                 order_col: str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The catalogue resolved to (id, repository, link, hit), ready for lookups.
+
+    Both inputs are checked once against ``max_rows``; the result has at most one row per
+    catalogue id, so within the bound it is marked for broadcast, beyond it the joins shuffle."""
+    small = within_rows(catalog, max_rows) and within_rows(apps, max_rows)
+    t = catalog_names(catalog, apps, cfg, order_col, broadcast_apps=small).select(
+        "id", "repository", "link", F.lit(True).alias("hit"))
+    return F.broadcast(t) if small else t
+
+
+def portal_resolve(entities: DataFrame, portals: DataFrame, cfg: PortalConfig = PortalConfig()) -> DataFrame:
     """Per entity: the catalogue entry of the entity itself, else of its parent, else the default.
 
-    The choice is by *row presence*: an entity listed with a null link does not fall
-    through to its parent. Two broadcast lookups with a non-null marker column."""
-    cat = bounded_broadcast(catalog_names(catalog, apps, cfg).select(
-        "id", "repository", "link", F.lit(True).alias("hit")))
+    ``portals`` comes from ``portal_table``. The choice is by *row presence*: an entity listed
+    with a null link does not fall through to its parent. Two lookups with a non-null marker."""
+    cat = portals
     e = entities.select("id", parent_id("benefactor_id", cfg.id_prefix).alias("parent_id"))
     own = cat.select(F.col("id").alias("o_id"), F.col("repository").alias("o_repo"),
                      F.col("link").alias("o_link"), F.col("hit").alias("o_hit"))
@@ -71,20 +84,19 @@ def portal_resolve(entities: DataFrame, catalog: DataFrame, apps: DataFrame,
         F.when(F.col("o_hit"), F.col("o_link")).when(F.col("p_hit"), F.col("p_link")).alias("portal_link"))
 
 
-def entity_meta(entities: DataFrame, catalog: DataFrame, apps: DataFrame,
-                cfg: PortalConfig = PortalConfig()) -> DataFrame:
+def entity_meta(entities: DataFrame, portals: DataFrame, cfg: PortalConfig = PortalConfig()) -> DataFrame:
     """Cache rows for entities with a header: name (id when empty), description, date, portal."""
     name = F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("id"))
     base = entities.select("id", name.alias("name"), iso_date("created_on").alias("created_on"),
                            "benefactor_id")
-    portal = portal_resolve(base, catalog, apps, cfg)
+    portal = portal_resolve(base, portals, cfg)
     return (base.join(portal, "id")
                 .select("id", "name", F.col("name").alias("description"), "created_on",
                         "repository", "portal_link"))
 
 
-def refresh_cache(ids: DataFrame, cache: DataFrame, entities: DataFrame, catalog: DataFrame,
-                  apps: DataFrame, cfg: PortalConfig = PortalConfig(), refresh: bool = False) -> DataFrame:
+def refresh_cache(ids: DataFrame, cache: DataFrame, entities: DataFrame, portals: DataFrame,
+                  cfg: PortalConfig = PortalConfig(), refresh: bool = False) -> DataFrame:
     """New cache version (J5): old entries plus metadata for ids not cached yet.
 
     With ``refresh`` the old cache is ignored. Ids without an entity header are not
@@ -92,7 +104,7 @@ def refresh_cache(ids: DataFrame, cache: DataFrame, entities: DataFrame, catalog
     want = ids.select(F.col("synid").alias("id")).distinct()
     old = cache.select(*schemas.ENTITY_META.fieldNames())
     missing = want if refresh else want.join(old.select("id"), "id", "left_anti")
-    fetched = entity_meta(entities.join(missing, "id", "left_semi"), catalog, apps, cfg)
+    fetched = entity_meta(entities.join(missing, "id", "left_semi"), portals, cfg)
     fresh = fetched.select(*schemas.ENTITY_META.fieldNames())
     return fresh if refresh else old.unionByName(fresh)
 

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def within_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows; past the bound the plain
     DataFrame is returned and the optimizer (with AQE) picks a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if within_rows(df, max_rows) else df
 
 
 def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:

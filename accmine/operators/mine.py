@@ -54,20 +54,55 @@ def _with_tail(p: str, window: int) -> str:
     return rf"(?s){p}(?=(.{{0,{window}}}))"
 
 
+def _id_and_tail(pattern: AccessionPattern, window: int) -> str:
+    """Group 1 = the id followed by up to ``window`` characters, captured by a lookahead at the
+    start of the match, so one pass yields both."""
+    core = rf"{pattern.prefix}\d{{{pattern.min_digits},{pattern.max_digits}}}(?!\d)"
+    return rf"(?siU)(?<!\d)(?=({core}.{{0,{window}}})){core}"
+
+
 def mention_arrays(text: Column, window: int = CONTEXT_WINDOW,
                    pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
-    """array<struct<mention, before, after>> for all matches in ``text``, in text order."""
-    ids = F.regexp_extract_all(text, F.lit(pattern.forward), F.lit(0))
-    after = F.regexp_extract_all(text, F.lit(_with_tail(pattern.forward, window)), F.lit(1))
+    """array<struct<mention, before, after>> for all matches in ``text``, in text order.
+
+    Two regex passes per text: forward (id + following window) and over the reversed text
+    (preceding window). Both find the same matches, so the arrays line up."""
+    fwd = F.regexp_extract_all(text, F.lit(_id_and_tail(pattern, window)), F.lit(1))
     rbefore = F.regexp_extract_all(F.reverse(text), F.lit(_with_tail(pattern.backward, window)), F.lit(1))
-    before = F.transform(F.reverse(rbefore), lambda x: F.reverse(x))
-    return F.arrays_zip(ids.alias("mention"), before.alias("before"), after.alias("after"))
+    head = rf"(?iU)^{pattern.prefix}\d+"
+    return F.zip_with(
+        fwd, F.reverse(rbefore),
+        lambda x, rb: F.struct(F.regexp_extract(x, head, 0).alias("mention"), F.reverse(rb).alias("before"),
+                               F.substring(x, F.length(F.regexp_extract(x, head, 0)) + 1,
+                                           F.lit(1 << 30)).alias("after")))
+
+
+def maybe_mentions(text: Column, pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
+    """Cheap test that a text can hold a mention: its lower-cased form contains the prefix.
+    Every match of the (case-insensitive) pattern that survives the id rules passes it."""
+    return F.lower(text).contains(pattern.prefix.lower())
+
+
+def prepare_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), collapse: bool = True,
+                 spread_input: bool = True, pattern: AccessionPattern = DEFAULT_PATTERN) -> DataFrame:
+    """``keep`` + ``text`` ready for mining: texts that cannot hold the prefix are dropped first
+    (cheap, and valid before collapsing since folding blanks cannot create or remove the prefix),
+    an under-partitioned input is spread over the cluster, then whitespace runs collapse."""
+    df = df.select(*keep, text_col).where(maybe_mentions(F.col(text_col), pattern))
+    if spread_input:
+        df = spread(df, keep)
+    return df.select(*keep, (collapse_ws(text_col) if collapse else F.col(text_col)).alias("text"))
 
 
 def extract_mentions(df: DataFrame, text_col: str = "text", keep=("doc_id",),
-                     window: int = CONTEXT_WINDOW, pattern: AccessionPattern = DEFAULT_PATTERN) -> DataFrame:
-    """One row per regex match: ``keep`` columns, ``pos`` (0-based order in text), mention, before, after."""
+                     window: int = CONTEXT_WINDOW, pattern: AccessionPattern = DEFAULT_PATTERN,
+                     prefilter: bool = True) -> DataFrame:
+    """One row per regex match: ``keep`` columns, ``pos`` (0-based order in text), mention, before, after.
+
+    With ``prefilter`` texts that cannot contain the prefix are dropped before any regex runs."""
     arr = mention_arrays(F.col(text_col), window, pattern)
+    if prefilter:
+        df = df.where(maybe_mentions(F.col(text_col), pattern))
     return (df.select(*keep, F.posexplode(arr).alias("pos", "m"))
               .select(*keep, "pos", F.col("m.mention").alias("mention"),
                       F.col("m.before").alias("before"), F.col("m.after").alias("after")))
@@ -96,10 +131,9 @@ def mine_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), window: i
 
     ``spread_input``: if the input arrives in fewer partitions than the cluster's parallelism,
     hash-spread it on the key columns before the regex work (see ``joins.spread``)."""
-    if spread_input:
-        df = spread(df.select(*keep, text_col), keep)
-    src = df.select(*keep, (collapse_ws(text_col) if collapse else F.col(text_col)).alias("_t"))
-    return findings_from_mentions(extract_mentions(src, "_t", keep, window, pattern), keep, case_rule, pattern)
+    src = prepare_text(df, text_col, keep, collapse, spread_input, pattern)
+    return findings_from_mentions(extract_mentions(src, "text", keep, window, pattern, prefilter=False),
+                                  keep, case_rule, pattern)
 
 
 def with_pmcid(df: DataFrame, article_col: str = "pmc_id") -> DataFrame:

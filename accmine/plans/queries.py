@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import ARTICLE_CURIE_PREFIX, LISTING_HREF
-from ..functions.text import (clean_text, collapse_ws, decode_text, decoded_with, kwic_pieces,
-                              strip_curie, strip_ws)
+from ..functions.text import clean_text, decode_text, decoded_with, kwic_pieces, strip_curie, strip_ws
 from ..operators import dedup, enrich, incremental, summarize
 from ..operators.articles import coverage, findings_from_articles
-from ..operators.mine import DEFAULT_PATTERN, extract_mentions, mine_text
+from ..operators.mine import DEFAULT_PATTERN, extract_mentions, mine_text, prepare_text
 from ..operators.parse import parse_articles
 from ..sources import fixtures as fx
 from ..sources.tables import table
@@ -52,8 +51,8 @@ def q_mention_context(spark, d):
 
 @query("mentions")
 def q_mentions(spark, d):
-    t = fx.article_text_v(spark, d).select("doc_id", collapse_ws("text").alias("text"))
-    m = extract_mentions(t, "text", ("doc_id",))
+    t = prepare_text(fx.article_text_v(spark, d))
+    m = extract_mentions(t, "text", ("doc_id",), prefilter=False)
     return m.select("doc_id", "pos", "mention", F.lower("mention").alias("synid"))
 
 
@@ -65,8 +64,8 @@ def q_clean_text(spark, d):
 
 @query("kwic")
 def q_kwic(spark, d):
-    t = fx.article_text_v(spark, d).select("doc_id", collapse_ws("text").alias("text"))
-    m = extract_mentions(t, "text", ("doc_id",))
+    t = prepare_text(fx.article_text_v(spark, d))
+    m = extract_mentions(t, "text", ("doc_id",), prefilter=False)
     k = kwic_pieces("before", "mention", "after")
     return m.select("doc_id", "pos", F.lower("mention").alias("synid"), k["before"].alias("before"),
                     k["after"].alias("after"), k["full"].alias("full"))
@@ -74,8 +73,8 @@ def q_kwic(spark, d):
 
 @query("case_filter")
 def q_case_filter(spark, d):
-    t = fx.article_text_v(spark, d, upper_second=True).select("doc_id", collapse_ws("text").alias("text"))
-    m = extract_mentions(t, "text", ("doc_id",))
+    t = prepare_text(fx.article_text_v(spark, d, upper_second=True))
+    m = extract_mentions(t, "text", ("doc_id",), prefilter=False)
     ctx = strip_ws(F.concat("before", "mention", "after"))
     synid = F.lower("mention")
     valid = synid.rlike(DEFAULT_PATTERN.valid_id)
@@ -233,21 +232,25 @@ def q_catalog_names(spark, d):
     return enrich.catalog_names(fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
 
 
+def portals(spark, d) -> DataFrame:
+    return enrich.portal_table(fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
+
+
 @query("portal_resolve")
 def q_portal_resolve(spark, d):
-    return enrich.portal_resolve(fx.entity_v(spark, d), fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
+    return enrich.portal_resolve(fx.entity_v(spark, d), portals(spark, d), CFG)
 
 
-def old_cache(spark, d) -> DataFrame:
+def old_cache(spark, d, portal=None) -> DataFrame:
     """A cache left by an earlier run: entities dated before the 15th, with names since changed."""
     e = fx.entity_v(spark, d).where(F.col("created_on") < "2024-01-15")
-    m = enrich.entity_meta(e, fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
+    m = enrich.entity_meta(e, portal if portal is not None else portals(spark, d), CFG)
     return m.withColumn("name", F.concat(F.lit("cached "), "name")).withColumn("description", F.col("name"))
 
 
 def refreshed_cache(spark, d) -> DataFrame:
-    return enrich.refresh_cache(fx.findings_v(spark, d), old_cache(spark, d), fx.entity_v(spark, d),
-                                fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
+    p = portals(spark, d)
+    return enrich.refresh_cache(fx.findings_v(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG)
 
 
 @query("cache_miss")

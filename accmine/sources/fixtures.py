@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread
 from .tables import table
 
 
@@ -19,6 +20,7 @@ def _s(c):
 def findings_v(spark: SparkSession, d: str) -> DataFrame:
     """One finding per lineitem: article = order, id = part, file = block of 1000 orders."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    li = spread(li, ["l_orderkey", "l_linenumber"])  # narrow ints only; a no-op on a wide scan
     block = F.col("l_orderkey") - F.col("l_orderkey") % 1000
     syn = F.concat(F.lit("syn"), (F.lit(1000000) + F.col("l_partkey")).cast("string"))
     return li.select(

@@ -74,7 +74,8 @@ def test_portal_resolve_by_row_presence(spark):
     cat = spark.createDataFrame([("syn1", "appA", None), ("syn10", "appB", "https://x/10")],
                                 "id string, app_id string, link string")
     apps = spark.createDataFrame([("appA", "Portal A"), ("appB", "Portal B")], "app_id string, friendly_name string")
-    got = rows(enrich.portal_resolve(ent, cat, apps, cfg), "id", "repository", "portal_link")
+    portals = enrich.portal_table(cat, apps, cfg)
+    got = rows(enrich.portal_resolve(ent, portals, cfg), "id", "repository", "portal_link")
     assert got == [("syn1", "Portal A", None), ("syn2", "Portal B", "https://x/10"), ("syn3", "Default", None)]
-    meta = {r.id: r for r in enrich.entity_meta(ent, cat, apps, cfg).collect()}
+    meta = {r.id: r for r in enrich.entity_meta(ent, portals, cfg).collect()}
     assert meta["syn3"].name == "syn3" and meta["syn2"].created_on == "" and meta["syn1"].created_on == "2024-01-01"
