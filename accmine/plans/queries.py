@@ -255,7 +255,10 @@ def refreshed_cache(spark, d) -> DataFrame:
 
 @query("cache_miss")
 def q_cache_miss(spark, d):
-    return refreshed_cache(spark, d)
+    from ..session import scratch_path
+    from ..sinks.tables import read_version, write_version
+    path = write_version(refreshed_cache(spark, d), scratch_path(spark, "entity-meta"))
+    return read_version(spark, path)
 
 
 @query("search_entries")
