@@ -168,11 +168,13 @@ def _esc(s: str) -> str:
     return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
 
-def write_search_feed(lines: DataFrame, path: str, partitions: int = 8) -> None:
+def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None) -> None:
     """Range-partition the lines by (entry, kind, article) and sort inside each shard: the shards
     in file-name order, concatenated, are the whole document. Each shard is written by its own
-    task; a long entry may continue in the next shard."""
-    (lines.repartitionByRange(partitions, "k0", "k1", "k2")
+    task; a long entry may continue in the next shard. ``partitions`` defaults to the session's
+    shuffle partitions."""
+    n = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (lines.repartitionByRange(n, "k0", "k1", "k2")
           .sortWithinPartitions("k0", "k1", "k2").select("line")
           .write.mode("overwrite").text(path))
 
