@@ -111,7 +111,8 @@ def kwic_pieces(before_raw, target, after_raw) -> Column:
 
 
 def source_file_from_path(path_col) -> Column:
-    """Corpus file name from a path: the ``PMCa_PMCb…`` part if present, else the last path element."""
+    """Corpus file name from a path: the last ``PMCa_PMCb[.xml][.gz]`` in it (a flat corpus file,
+    a ``source_file=…`` folder, or a batch file ``<output>.<corpus file>.csv``), else the file name."""
     p = _c(path_col)
-    hit = F.nullif(F.regexp_extract(p, r"(PMC\d+_PMC\d+[^/=]*?)(?:/|$)", 1), F.lit(""))
+    hit = F.nullif(F.regexp_extract(p, r"^.*(PMC\d+_PMC\d+(?:\.xml)?(?:\.gz)?)", 1), F.lit(""))
     return F.coalesce(hit, F.element_at(F.split(p, "/"), -1))

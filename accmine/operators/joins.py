@@ -28,8 +28,13 @@ def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
     cannot be split). A wide scan is returned unchanged, so no text is shuffled needlessly.
 
     Hashing on the keys (not round-robin) keeps the assignment deterministic on task retry."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. Spark Connect): keep the input partitioning
+        if not min_partitions:
+            return df
+        target = min_partitions
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     return df.repartition(target, F.xxhash64(*cols))

@@ -44,7 +44,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root; set a local one only when none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the cluster setting must exist
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         if sc.getCheckpointDir() is None:

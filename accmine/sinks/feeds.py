@@ -65,7 +65,10 @@ def read_link_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
     r = spark.read.format("xml").option("rowTag", "link").schema(schema)
     if xsd_path:
         # shipped to every executor; the option then names the file, not a local path
-        spark.sparkContext.addFile(xsd_path)
+        try:
+            spark.sparkContext.addFile(xsd_path)
+        except Exception:  # Spark Connect
+            spark.addArtifacts(xsd_path, file=True)
         r = (r.option("rowValidationXSDPath", __import__("os").path.basename(xsd_path)).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     return r.load(path)
