@@ -13,11 +13,16 @@ from ..functions.text import file_range
 
 def new_rows(findings: DataFrame, results: DataFrame, check_duplicates: bool = True) -> DataFrame:
     """Findings of articles not yet in ``results`` (J1). An article already stored is skipped as a
-    whole, even if it brings new ids. The anti join is set-based, so ``results`` needs no distinct;
-    AQE turns it into a broadcast only when the scanned side turns out small."""
+    whole, even if it brings new ids.
+
+    The stored ids are de-duplicated first: the partial aggregate runs before the shuffle, so
+    an article stored with millions of rows reaches the join as one row per map task, and the
+    final aggregate's partitioning on ``pmcid`` is reused by the join. A hot article on the
+    findings side is split by AQE's skew handling (left anti joins split the left side). AQE
+    turns the join into a broadcast only when the stored side turns out small at run time."""
     if not check_duplicates:
         return findings
-    return findings.join(results.select("pmcid"), "pmcid", "left_anti")
+    return findings.join(results.select("pmcid").distinct(), "pmcid", "left_anti")
 
 
 def first_batch_wins(batches: DataFrame, results: DataFrame, batch_col: str = "source_file",

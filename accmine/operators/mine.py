@@ -90,7 +90,7 @@ def prepare_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), collap
     an under-partitioned input is spread over the cluster, then whitespace runs collapse."""
     df = df.select(*keep, text_col).where(maybe_mentions(F.col(text_col), pattern))
     if spread_input:
-        df = spread(df, keep)
+        df = spread(df, [*keep, text_col])  # the text in the hash: a repeated key cannot skew
     return df.select(*keep, (collapse_ws(text_col) if collapse else F.col(text_col)).alias("text"))
 
 
