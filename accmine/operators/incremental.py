@@ -62,10 +62,8 @@ def resume_files(files: DataFrame, start_from: str | None = None, max_files: int
     """Files in id order from the resume point on, at most ``max_files`` (F1, F2).
 
     A resume point past the last file gives no files (the reference restarted from the first)."""
-    n = resume_point(files, start_from)
+    n = resume_point(files, start_from)     # None (no or unknown start): from the beginning
     out = files if n is None else files.where(F.col("start_pmc") >= F.lit(n))
-    if start_from and n is None:           # unknown name: start from the beginning
-        out = files
     out = out.orderBy("start_pmc", "file_name")
     return out.limit(max_files) if max_files else out
 

@@ -107,9 +107,12 @@ catalog AS (
   FROM names WHERE regexp_matches(file_name, 'PMC([0-9]+)_PMC([0-9]+)'))"""
 
 
+APPS1 = "apps1 AS (SELECT app_id, max(friendly_name) AS friendly_name FROM app_v GROUP BY app_id)"
+
+
 def cache_ctes() -> str:
     """Entity metadata (portal resolved), the old cache and the refreshed cache."""
-    return """apps1 AS (SELECT app_id, max(friendly_name) AS friendly_name FROM app_v GROUP BY app_id),
+    return APPS1 + """,
 cat AS (SELECT c.id, coalesce(c.app_id, '') AS app_id, nullif(c.link, '') AS link,
                coalesce(a.friendly_name, 'Repository') AS repository
         FROM catalog_v c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id),
@@ -199,7 +202,7 @@ SQL: dict[str, str] = {
         FROM findings_v WHERE pmcid IS NOT NULL AND pmcid <> '' AND synid IS NOT NULL AND synid <> ''""",
     "citations_by_id": w(FINDINGS_V, PAIRS) + """SELECT p.synid, p.pmcid, c.n_articles FROM pairs p
         JOIN (SELECT synid, count(*) AS n_articles FROM pairs GROUP BY synid) c USING (synid)""",
-    "catalog_names": w(CATALOG_V, APP_V, cache_ctes().split(",\ncat AS")[0]) + """SELECT c.id, coalesce(c.app_id, '') AS app_id,
+    "catalog_names": w(CATALOG_V, APP_V, APPS1) + """SELECT c.id, coalesce(c.app_id, '') AS app_id,
         nullif(c.link, '') AS link, coalesce(a.friendly_name, 'Repository') AS repository
         FROM catalog_v c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id""",
     "portal_resolve": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT e.id, e.parent_id,

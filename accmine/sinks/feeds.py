@@ -7,6 +7,8 @@ concatenation in file-name order is the whole document.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -69,7 +71,7 @@ def read_link_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
             spark.sparkContext.addFile(xsd_path)
         except Exception:  # Spark Connect
             spark.addArtifacts(xsd_path, file=True)
-        r = (r.option("rowValidationXSDPath", __import__("os").path.basename(xsd_path)).option("mode", "PERMISSIVE")
+        r = (r.option("rowValidationXSDPath", os.path.basename(xsd_path)).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     return r.load(path)
 
@@ -187,4 +189,4 @@ def read_feed_lines(spark, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-LINKS_XSD = __import__("os").path.join(__import__("os").path.dirname(__file__), "links.xsd")
+LINKS_XSD = os.path.join(os.path.dirname(__file__), "links.xsd")

@@ -3,6 +3,7 @@
 import glob
 import os
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from accmine import jobs
@@ -20,6 +21,10 @@ def test_mine_update_export(spark, sf_dir):
     corpus, out = scratch_path(spark, "job-corpus"), scratch_path(spark, "job-out")
     write_corpus(fx.articles_xml_v(spark, sf_dir), corpus)
     found = jobs.mine_corpus(spark, corpus, out, keep_rejects=True)
+    obs = Observation("mine")
+    jobs.mine_corpus(spark, corpus, scratch_path(spark, "job-out2"), metrics=obs)
+    n_docs = fx.table(spark, sf_dir, "documents").count()
+    assert obs.get["articles"] == n_docs and obs.get["parsed"] < n_docs
     cols = ("source_file", "pmcid", "synid", "context")
     assert bag(found, *cols) == bag(Q.QUERIES["xml_mine"](spark, sf_dir), *cols)
     rejects = spark.read.parquet(f"{out}/rejects").count()
