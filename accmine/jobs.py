@@ -97,5 +97,5 @@ def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame,
     pairs = summarize.citation_pairs(results)
     entries = enrich.search_entries(pairs, cache, cfg)
     lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
-    feeds.write_search_feed(lines, out_path, partitions)
+    feeds.write_search_feed(lines, out_path, partitions, staging=f"{cache_root.rstrip('/')}/_feed_lines")
     return version

@@ -355,7 +355,7 @@ def q_search_feed(spark, d):
     entries = enrich.search_entries(pairs, refreshed_cache(spark, d), CFG)
     path = scratch_path(spark, "search-feed")
     feeds.write_search_feed(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles",
-                                                    "2026-01-01"), path)
+                                                    "2026-01-01"), path, staging=scratch_path(spark, "feed-lines"))
     return feeds.read_feed_lines(spark, path)
 
 

@@ -173,12 +173,20 @@ def _esc(s: str) -> str:
     return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
 
 
-def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None,
+                      staging: str | None = None) -> None:
     """Range-partition the lines by (entry, kind, article) and sort inside each shard: the shards
     in file-name order, concatenated, are the whole document. Each shard is written by its own
     task; a long entry may continue in the next shard. ``partitions`` defaults to the session's
-    shuffle partitions."""
+    shuffle partitions.
+
+    Range partitioning samples its input in a separate job. With ``staging`` (a folder in shared
+    storage) the lines are written there once and the sample and the write read that table,
+    instead of computing the enrichment twice."""
     n = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if staging:
+        lines.write.mode("overwrite").parquet(staging)
+        lines = lines.sparkSession.read.parquet(staging)
     (lines.repartitionByRange(n, "k0", "k1", "k2")
           .sortWithinPartitions("k0", "k1", "k2").select("line")
           .write.mode("overwrite").text(path))
