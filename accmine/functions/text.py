@@ -19,7 +19,7 @@ def collapse_ws(col) -> Column:
 
 def strip_ws(col) -> Column:
     """Remove leading and trailing whitespace of any kind (like str.strip())."""
-    return F.regexp_replace(_c(col), F.lit(f"(?U)^{WS_CLASS}+|{WS_CLASS}+$"), F.lit(""))
+    return F.regexp_replace(_c(col), F.lit(f"(?U)\\A{WS_CLASS}+|{WS_CLASS}+\\z"), F.lit(""))
 
 
 def clean_text(col) -> Column:
