@@ -59,7 +59,7 @@ def q_mentions(spark, d):
 @query("clean_text")
 def q_clean_text(spark, d):
     t = table(spark, d, "documents").select("doc_id", clean_text("text").alias("text"))
-    return t.select("doc_id", "text", F.length("text").alias("n_chars"))
+    return t.select("doc_id", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query("kwic")
@@ -151,7 +151,7 @@ def q_text_decode(spark, d):
     out = b.select("doc_id", "text", decode_text("content").alias("decoded"),
                    decoded_with("content").alias("decoded_with"))
     return out.select("doc_id", "decoded_with", (F.col("decoded") == F.col("text")).alias("same"),
-                      F.length("decoded").alias("n_chars"))
+                      F.length("decoded").cast("bigint").alias("n_chars"))
 
 
 # --------------------------------------------------------- file names -------
