@@ -34,7 +34,10 @@ def first_batch_wins(batches: DataFrame, results: DataFrame, batch_col: str = "s
     batch per article, an equi-join on the article (AQE splits a hot article's partition),
     then the anti join, which reuses the join's partitioning on ``pmcid``."""
     first = batches.groupBy("pmcid").agg(F.min(batch_col).alias("_first"))
-    kept = (batches.join(first, "pmcid").where(F.col(batch_col) == F.col("_first")).drop("_first"))
+    # ``<=`` against the minimum means ``==``, but unlike ``==`` Catalyst does not turn it into a
+    # second join key, so the join stays partitioned on ``pmcid`` alone and the anti join that
+    # follows reuses that partitioning (one shuffle of the batches instead of two).
+    kept = (batches.join(first, "pmcid").where(F.col(batch_col) <= F.col("_first")).drop("_first"))
     return new_rows(kept, results, check_duplicates)
 
 
