@@ -19,7 +19,7 @@ from .operators.articles import findings_from_articles
 from .operators.mine import DEFAULT_PATTERN, AccessionPattern
 from .operators.parse import parse_articles
 from .sinks import feeds
-from .sinks.tables import write_version
+from .sinks.tables import stage, write_version
 from .sources.corpus import read_articles
 from .sources.tables import read_entity_meta
 
@@ -95,7 +95,7 @@ def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame,
     version = write_version(new_cache, cache_root)
     cache = spark.read.parquet(version)
     pairs = summarize.citation_pairs(results)
-    entries = enrich.search_entries(pairs, cache, cfg)
+    entries = stage(enrich.search_entries(pairs, cache, cfg), f"{cache_root.rstrip('/')}/_entries")
     lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
     feeds.write_search_feed(lines, out_path, partitions, staging=f"{cache_root.rstrip('/')}/_feed_lines")
     return version

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
 def within_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows.
+    The answer is kept per DataFrame object (an immutable plan over unchanged inputs)."""
+    key = (id(df), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = (df, df.limit(max_rows + 1).count() <= max_rows)
+    return _CHECKED[key][1]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -352,7 +352,9 @@ def q_search_feed(spark, d):
     from ..session import scratch_path
     from ..sinks import feeds
     pairs = summarize.citation_pairs(fx.findings_v(spark, d))
-    entries = enrich.search_entries(pairs, refreshed_cache(spark, d), CFG)
+    from ..sinks.tables import stage
+    # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
+    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
     path = scratch_path(spark, "search-feed")
     feeds.write_search_feed(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles",
                                                     "2026-01-01"), path, staging=scratch_path(spark, "feed-lines"))

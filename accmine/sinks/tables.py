@@ -17,3 +17,10 @@ def write_version(df: DataFrame, root: str) -> str:
 
 def read_version(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` (shared storage) and return the table read back: later plans
+    that use it several times read it instead of recomputing it, and lineage is cut there."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -6,6 +6,8 @@ grows with the scale factor. The DuckDB oracle builds the same views in SQL.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,22 @@ def _s(c):
     return F.col(c).cast("string")
 
 
+_VIEWS: dict = {}
+
+
+def view(fn):
+    """Build each view once per session and arguments (DataFrames are immutable plans); the
+    same object used twice in one query also lets Spark reuse its exchanges."""
+    @functools.wraps(fn)
+    def wrapper(spark, d, **kw):
+        key = (id(spark), fn.__name__, d, tuple(sorted(kw.items())))
+        if key not in _VIEWS:  # the session is kept in the value, so its id cannot be reused
+            _VIEWS[key] = (spark, fn(spark, d, **kw))
+        return _VIEWS[key][1]
+    return wrapper
+
+
+@view
 def findings_v(spark: SparkSession, d: str) -> DataFrame:
     """One finding per lineitem: article = order, id = part, file = block of 1000 orders."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
@@ -36,6 +54,7 @@ def _article_num(pmcid="pmcid"):
     return F.substring(F.col(pmcid), 8, 1 << 30).cast("bigint")
 
 
+@view
 def batches_v(spark: SparkSession, d: str) -> DataFrame:
     """findings_v plus an earlier batch file that repeats every fifth article."""
     f = findings_v(spark, d)
@@ -44,11 +63,13 @@ def batches_v(spark: SparkSession, d: str) -> DataFrame:
     return f.unionByName(early)
 
 
+@view
 def results_v(spark: SparkSession, d: str) -> DataFrame:
     """Pairs already stored in the results table: every third article."""
     return findings_v(spark, d).where(_article_num() % 3 == 0).select("pmcid", "synid").distinct()
 
 
+@view
 def entity_v(spark: SparkSession, d: str) -> DataFrame:
     """Entity headers; parts with key ending in 7 have none (they are inaccessible)."""
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
@@ -61,6 +82,7 @@ def entity_v(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
 def catalog_v(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey").where(F.col("s_suppkey") < 30)
     a = s.select(
@@ -76,12 +98,14 @@ def catalog_v(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
+@view
 def app_v(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_nationkey").where(F.col("s_nationkey") % 5 != 0)
     return s.select(F.concat(F.lit("app"), _s("s_nationkey")).alias("app_id"),
                     F.concat(F.lit("Portal "), _s("s_nationkey")).alias("friendly_name")).distinct()
 
 
+@view
 def article_text_v(spark: SparkSession, d: str, upper_second: bool = False,
                    repeat_first: bool = False) -> DataFrame:
     """Documents with two ids written in after the 40th character.
@@ -111,6 +135,7 @@ def corpus_file_of(doc_id) -> F.Column:
                     F.lit(".xml.gz"))
 
 
+@view
 def articles_xml_v(spark: SparkSession, d: str) -> DataFrame:
     """Article XML per document, in the layout of full-text archive files.
 

@@ -7,8 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 
 
+_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """An input table, read once per session: a DataFrame is an immutable plan, so reusing it
+    skips repeated file listing and footer reads (the inputs are not rewritten while a job runs)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:  # the session is kept in the value, so its id cannot be reused
+        _READS[key] = (spark, spark.read.parquet(path))
+    return _READS[key][1]
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
