@@ -116,3 +116,18 @@ def source_file_from_path(path_col) -> Column:
     p = _c(path_col)
     hit = F.nullif(F.regexp_extract(p, r"^.*(PMC\d+_PMC\d+(?:\.xml)?(?:\.gz)?)", 1), F.lit(""))
     return F.coalesce(hit, F.element_at(F.split(p, "/"), -1))
+
+
+def xml_text(c) -> Column:
+    """Escape text for XML element content (& < >)."""
+    c = _c(c)
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def xml_attr(c) -> Column:
+    """Escape text for a double-quoted XML attribute value."""
+    c = xml_text(c)
+    for a, b in (('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#09;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c

@@ -16,6 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..functions.fixed import (LINK_RECORD_SOURCE, RESOURCE_ATTRIBUTE, RESOURCE_DB, RESOURCE_SUBJECT_TYPE,
                                SEARCH_DATE_TYPE, SEARCH_FIELD_LINK, SEARCH_FIELD_REPOSITORY,
                                SEARCH_XREF_DBNAME)
+from ..functions.text import xml_attr, xml_text
 from ..operators.dedup import distinct_links
 from ..operators.enrich import PortalConfig
 
@@ -100,25 +101,12 @@ def write_csv(df: DataFrame, path: str, partition_by: str | None = None, mode: s
     with dynamic partition overwrite replaces only that batch's folder."""
     w = df.write.mode(mode).option("header", True)
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     w.csv(path)
 
 
 # ---------------------------------------------------------- search feed -----
 
-def xml_text(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                     F.lit(">"), F.lit("&gt;"))
-
-
-def xml_attr(c) -> Column:
-    c = xml_text(c)
-    for a, b in (('"', "&quot;"), ("\n", "&#10;"), ("\r", "&#13;"), ("\t", "&#09;")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
 def search_feed_lines(entries: DataFrame, pairs: DataFrame, name: str, description: str,
                       release: str) -> DataFrame:
     """Physical lines of the search feed with sort keys (k0 = entry id, k1 = line kind, k2 = article).

@@ -11,6 +11,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import xml_text
 from ..operators.joins import spread
 from .tables import table
 
@@ -122,12 +123,6 @@ def article_text_v(spark: SparkSession, d: str, upper_second: bool = False,
     return doc.select("doc_id", "lang", text.alias("text"))
 
 
-def xml_escape(c) -> F.Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                     F.lit(">"), F.lit("&gt;"))
-
-
 def corpus_file_of(doc_id) -> F.Column:
     c = F.col(doc_id)
     block = c - c % 100
@@ -155,5 +150,5 @@ def articles_xml_v(spark: SparkSession, d: str) -> DataFrame:
         F.lit("<front><article-meta>"), idel,
         F.lit("<title-group><article-title>Document "), num,
         F.lit("</article-title></title-group></article-meta></front><body><p>"),
-        xml_escape("text"), body_close, F.lit("</article>"))
+        xml_text("text"), body_close, F.lit("</article>"))
     return a.select("doc_id", "lang", corpus_file_of("doc_id").alias("source_file"), xml.alias("xml"))
