@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import ARTICLE_CURIE_PREFIX, CONTEXT_WINDOW
-from .mine import DEFAULT_PATTERN, AccessionPattern, extract_mentions, findings_from_mentions
+from .mine import DEFAULT_PATTERN, AccessionPattern, count_findings, extract_mentions, findings_from_mentions
 
 
 def findings_from_articles(parsed: DataFrame, keep=("source_file",), window: int = CONTEXT_WINDOW,
@@ -26,18 +26,18 @@ def rejects(parsed: DataFrame, keep=("source_file",)) -> DataFrame:
     return parsed.where(~F.col("ok")).select(*keep)
 
 
-def coverage(parsed: DataFrame, findings: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Per file: articles seen, parsed, with an id, with at least one finding (V4).
+def coverage(parsed: DataFrame, file_col: str = "source_file", window: int = CONTEXT_WINDOW,
+             case_rule: str = "reference", pattern: AccessionPattern = DEFAULT_PATTERN) -> DataFrame:
+    """Per file: articles seen, parsed, with an id, with at least one finding, findings (V4).
 
-    Findings are reduced to one row per article before the join, so the join is 1:1."""
-    per_article = (findings.groupBy(file_col, "pmcid").agg(F.count(F.lit(1)).alias("n"))
-                   .groupBy(file_col).agg(F.count(F.lit(1)).alias("articles_with_findings"),
-                                          F.sum("n").alias("findings")))
-    seen = parsed.groupBy(file_col).agg(
+    One pass over the parsed articles: each article's findings are counted inside its row, so
+    the XML UDF runs once and only partial aggregates are shuffled."""
+    n = F.when(F.col("ok") & F.col("pmc_id").isNotNull(),
+               count_findings(F.col("text"), window, case_rule, pattern)).otherwise(F.lit(0))
+    per_article = parsed.select(file_col, "ok", "pmc_id", n.alias("n"))
+    return per_article.groupBy(file_col).agg(
         F.count(F.lit(1)).alias("articles"),
         F.count_if(F.col("ok")).alias("parsed"),
-        F.count_if(F.col("ok") & F.col("pmc_id").isNotNull()).alias("with_id"))
-    return (seen.join(per_article, file_col, "left")
-                .select(file_col, "articles", "parsed", "with_id",
-                        F.coalesce("articles_with_findings", F.lit(0)).alias("articles_with_findings"),
-                        F.coalesce("findings", F.lit(0)).alias("findings")))
+        F.count_if(F.col("ok") & F.col("pmc_id").isNotNull()).alias("with_id"),
+        F.count_if(F.col("n") > 0).alias("articles_with_findings"),
+        F.sum("n").cast("bigint").alias("findings"))

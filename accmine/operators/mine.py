@@ -108,20 +108,37 @@ def extract_mentions(df: DataFrame, text_col: str = "text", keep=("doc_id",),
                       F.col("m.before").alias("before"), F.col("m.after").alias("after")))
 
 
+def finding_rule(mention: Column, before: Column, after: Column, case_rule: str = "reference",
+                 pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
+    """Whether a raw match is a finding: its lower-cased id is a valid id and, with
+    ``case_rule='reference'``, occurs in the stripped window text."""
+    synid = F.lower(mention)
+    cond = synid.rlike(pattern.valid_id)
+    if case_rule == "reference":
+        cond = cond & (F.instr(strip_ws(F.concat(before, mention, after)), synid) > 0)
+    elif case_rule != "fold":
+        raise ValueError("case_rule is 'reference' or 'fold'")
+    return cond
+
+
+def count_findings(text: Column, window: int = CONTEXT_WINDOW, case_rule: str = "reference",
+                   pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
+    """Number of findings in ``text``, computed in the row (no explode, no shuffle)."""
+    arr = mention_arrays(text, window, pattern)
+    hits = F.filter(arr, lambda m: finding_rule(m["mention"], m["before"], m["after"], case_rule, pattern))
+    return F.when(maybe_mentions(text, pattern), F.size(hits)).otherwise(F.lit(0))
+
+
 def findings_from_mentions(m: DataFrame, keep=("doc_id",), case_rule: str = "reference",
                            pattern: AccessionPattern = DEFAULT_PATTERN) -> DataFrame:
     """Apply the finding rules to raw matches: lower-case id, window text stripped, quotes to
     apostrophes. ``case_rule='reference'`` keeps a match only if its lower-cased id occurs in the
     window text (so upper-case ids only survive with a lower-case copy nearby); ``'fold'`` keeps all."""
-    synid = F.lower("mention")
+    keep_row = finding_rule(F.col("mention"), F.col("before"), F.col("after"), case_rule, pattern)
     window_text = strip_ws(F.concat("before", "mention", "after"))
-    out = m.select(*keep, "pos", synid.alias("synid"), window_text.alias("context"))
-    cond = F.col("synid").rlike(pattern.valid_id)
-    if case_rule == "reference":
-        cond = cond & (F.instr(F.col("context"), F.col("synid")) > 0)
-    elif case_rule != "fold":
-        raise ValueError("case_rule is 'reference' or 'fold'")
-    return out.where(cond).withColumn("context", F.translate("context", '"', "'"))
+    return (m.where(keep_row)
+             .select(*keep, "pos", F.lower("mention").alias("synid"),
+                     F.translate(window_text, '"', "'").alias("context")))
 
 
 def mine_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), window: int = CONTEXT_WINDOW,

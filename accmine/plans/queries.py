@@ -137,9 +137,7 @@ def q_reject_audit(spark, d):
 
 @query("coverage_audit")
 def q_coverage_audit(spark, d):
-    p = parsed_articles(spark, d).select("source_file", "ok", "pmc_id", "text")
-    f = findings_from_articles(p, ("source_file",))
-    return coverage(p, f)
+    return coverage(parsed_articles(spark, d).select("source_file", "ok", "pmc_id", "text"))
 
 
 @query("text_decode")

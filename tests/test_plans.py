@@ -50,3 +50,7 @@ def test_hot_key_aggregates(spark):
     assert top.mentions == max(sum(1 for r in rows if r[1] == s) for s in {r[1] for r in rows})
     c = summarize.citations_by_id(df).where(F.col("synid") == "syn1000000").first()
     assert c.n_articles == len({r[0] for r in rows if r[1] == "syn1000000"})
+
+
+def test_coverage_parses_once(spark, sf_dir):
+    assert plan(Q.QUERIES["coverage_audit"](spark, sf_dir)).count("ArrowEvalPython") == 1
