@@ -91,10 +91,10 @@ def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame,
     """Refresh the metadata cache (new version under ``cache_root``) and write the search feed.
     Returns the path of the new cache version."""
     portals = enrich.portal_table(catalog, apps, cfg)
-    new_cache = enrich.refresh_cache(results, read_entity_meta(spark, cache_path), entities, portals, cfg, refresh)
+    pairs = summarize.citation_pairs(results)
+    new_cache = enrich.refresh_cache(pairs, read_entity_meta(spark, cache_path), entities, portals, cfg, refresh)
     version = write_version(new_cache, cache_root)
     cache = spark.read.parquet(version)
-    pairs = summarize.citation_pairs(results)
     entries = stage(enrich.search_entries(pairs, cache, cfg), f"{cache_root.rstrip('/')}/_entries")
     lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
     feeds.write_search_feed(lines, out_path, partitions, staging=f"{cache_root.rstrip('/')}/_feed_lines")

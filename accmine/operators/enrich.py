@@ -99,6 +99,9 @@ def refresh_cache(ids: DataFrame, cache: DataFrame, entities: DataFrame, portals
                   cfg: PortalConfig = PortalConfig(), refresh: bool = False) -> DataFrame:
     """New cache version (J5): old entries plus metadata for ids not cached yet.
 
+    ``ids`` has a ``synid`` column (normally the citation pairs, so only ids cited by an
+    article with an id count, and the pairs' shuffle is shared with the feed).
+
     With ``refresh`` the old cache is ignored. Ids without an entity header are not
     cached, so a later run tries them again."""
     want = ids.select(F.col("synid").alias("id")).distinct()

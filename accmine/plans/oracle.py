@@ -127,7 +127,8 @@ meta AS (SELECT e.id, e.name, e.name AS description, e.created_on,
          FROM ent e LEFT JOIN cat o ON e.id = o.id LEFT JOIN cat p ON e.parent_id = p.id),
 old_cache AS (SELECT id, 'cached ' || name AS name, 'cached ' || name AS description, created_on, repository, portal_link
               FROM meta WHERE id IN (SELECT id FROM entity_v WHERE created_on < '2024-01-15')),
-want AS (SELECT DISTINCT synid AS id FROM findings_v),
+want AS (SELECT DISTINCT synid AS id FROM findings_v
+         WHERE synid IS NOT NULL AND synid <> '' AND regexp_replace(pmcid, '^pmc:', '') <> ''),
 new_cache AS (SELECT * FROM old_cache UNION ALL
               SELECT * FROM meta WHERE id IN (SELECT id FROM want) AND id NOT IN (SELECT id FROM old_cache))"""
 
@@ -215,8 +216,8 @@ SQL: dict[str, str] = {
         coalesce(nullif(n.repository, ''), 'Repository') AS repository,
         coalesce(nullif(n.portal_link, ''), 'https://repository.example.org/' || c.synid) AS full_link, c.n_refs
         FROM (SELECT synid, count(*) AS n_refs FROM pairs GROUP BY synid) c JOIN new_cache n ON n.id = c.synid""",
-    "inaccessible": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT DISTINCT synid FROM findings_v
-        WHERE synid NOT IN (SELECT id FROM new_cache)""",
+    "inaccessible": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT id AS synid FROM want
+        WHERE id NOT IN (SELECT id FROM new_cache)""",
     "resource_list": w(FINDINGS_V) + """SELECT CAST(1000 AS BIGINT) AS PrId, 'pubmed' AS DB, pmcid AS UID,
         'https://repository.example.org/#!' || synid AS URL, '' AS SubjectType,
         'registration required' AS Attribute FROM findings_v WHERE pmcid IS NOT NULL""",

@@ -246,9 +246,14 @@ def old_cache(spark, d, portal=None) -> DataFrame:
     return m.withColumn("name", F.concat(F.lit("cached "), "name")).withColumn("description", F.col("name"))
 
 
+def cited_pairs(spark, d) -> DataFrame:
+    """(synid, pmcid) pairs of the stored results; the ids to describe come from these too."""
+    return summarize.citation_pairs(fx.findings_v(spark, d))
+
+
 def refreshed_cache(spark, d) -> DataFrame:
     p = portals(spark, d)
-    return enrich.refresh_cache(fx.findings_v(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG)
+    return enrich.refresh_cache(cited_pairs(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG)
 
 
 @query("cache_miss")
@@ -261,13 +266,12 @@ def q_cache_miss(spark, d):
 
 @query("search_entries")
 def q_search_entries(spark, d):
-    pairs = summarize.citation_pairs(fx.findings_v(spark, d))
-    return enrich.search_entries(pairs, refreshed_cache(spark, d), CFG)
+    return enrich.search_entries(cited_pairs(spark, d), refreshed_cache(spark, d), CFG)
 
 
 @query("inaccessible")
 def q_inaccessible(spark, d):
-    return enrich.inaccessible(fx.findings_v(spark, d), refreshed_cache(spark, d))
+    return enrich.inaccessible(cited_pairs(spark, d), refreshed_cache(spark, d))
 
 
 @query("resource_list")
@@ -349,7 +353,7 @@ def q_input_audit(spark, d):
 def q_search_feed(spark, d):
     from ..session import scratch_path
     from ..sinks import feeds
-    pairs = summarize.citation_pairs(fx.findings_v(spark, d))
+    pairs = cited_pairs(spark, d)
     from ..sinks.tables import stage
     # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
     entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
