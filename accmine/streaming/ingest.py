@@ -62,9 +62,7 @@ def append_results(spark: SparkSession, in_path: str, results_path: str, checkpo
     batch file per article (J2), drops articles stored by *other* batches (J1) and overwrites its
     own partition, so a replay after a failure gives the same rows."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        stored = spark.read.parquet(results_path).where(F.col("batch") != F.lit(str(batch_id)))
-        rows = first_batch_wins(batch, stored.select("pmcid"))
-        rows.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+        append_batch(spark, batch, batch_id, results_path)
 
     q = (findings_stream(spark, in_path, max_files_per_trigger).writeStream
          .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -73,6 +71,15 @@ def append_results(spark: SparkSession, in_path: str, results_path: str, checkpo
     return q
 
 
+def append_batch(spark: SparkSession, batch: DataFrame, batch_id, results_path: str) -> None:
+    """One micro-batch of T2: keep the first batch file per article, drop articles stored by
+    *other* batches, overwrite this batch's own partition. Running it again for the same
+    ``batch_id`` (a replay after a failure) leaves the table exactly as one run would."""
+    stored = spark.read.parquet(results_path).where(F.col("batch") != F.lit(str(batch_id)))
+    rows = first_batch_wins(batch, stored.select("pmcid"))
+    rows.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+
+
 def init_results_table(initial: DataFrame, results_path: str) -> None:
     """Create the results table with the rows stored so far (partition ``batch=initial``)."""
     cols = [F.col(c) if c in initial.columns else F.lit(None).cast("string").alias(c)

@@ -64,3 +64,17 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.columns == ["doc_id", "pmcid", "synid", "context"] and df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_append_batch_replay_is_idempotent(spark):
+    from accmine.streaming.ingest import append_batch, init_results_table
+    path = scratch_path(spark, "replay")
+    init_results_table(spark.createDataFrame([("pmc:PMC1", "syn1")], "pmcid string, synid string"), path)
+    b = spark.createDataFrame([("pmc:PMC1", "syn2", "c", "A.xml.gz"), ("pmc:PMC2", "syn3", "c", "A.xml.gz"),
+                               ("pmc:PMC2", "syn4", "c", "B.xml.gz")],
+                              "pmcid string, synid string, context string, source_file string")
+    append_batch(spark, b, 0, path)
+    once = bag(spark.read.parquet(path).select("pmcid", "synid", "batch"))
+    append_batch(spark, b, 0, path)  # replay of the same micro-batch
+    assert bag(spark.read.parquet(path).select("pmcid", "synid", "batch")) == once
+    assert [r for r in once if r[2] == "0"] == [("pmc:PMC2", "syn3", "0")]
