@@ -27,7 +27,7 @@ from .sources.tables import read_entity_meta
 def mine_corpus(spark: SparkSession, corpus_path: str, out_path: str, window: int = CONTEXT_WINDOW,
                 case_rule: str = "reference", pattern: AccessionPattern = DEFAULT_PATTERN,
                 partitions: int | None = None, glob: str | None = None, keep_rejects: bool = False,
-                metrics: Observation | None = None) -> DataFrame:
+                metrics: Observation | None = None, prefilter: bool = False) -> DataFrame:
     """Mine every article of the corpus into ``out_path/findings`` (parquet, partitioned by
     source file, dynamic overwrite: re-mining a file replaces only that file's findings).
 
@@ -37,14 +37,15 @@ def mine_corpus(spark: SparkSession, corpus_path: str, out_path: str, window: in
     ``Observation``) the job also reports articles seen / parsed / with an id while it runs,
     without an extra pass (V4 live counts). Returns the findings as written."""
     raw = read_articles(spark, corpus_path, glob=glob)
+    pre = pattern.prefix if prefilter else None  # opt-in: see parse_articles
     if keep_rejects:
-        p = parse_articles(raw.withColumn("raw", F.col("xml")), "xml", ("source_file", "raw"), partitions)
+        p = parse_articles(raw.withColumn("raw", F.col("xml")), "xml", ("source_file", "raw"), partitions, pre)
         (p.select("source_file", "ok", "pmc_id", "text", F.when(~F.col("ok"), F.col("raw")).alias("xml"))
           .write.mode("overwrite").parquet(f"{out_path}/parsed"))
         parsed = spark.read.parquet(f"{out_path}/parsed")
         parsed.where(~F.col("ok")).select("source_file", "xml").write.mode("overwrite").parquet(f"{out_path}/rejects")
     else:
-        parsed = parse_articles(raw, "xml", ("source_file",), partitions)
+        parsed = parse_articles(raw, "xml", ("source_file",), partitions, pre)
     if metrics is not None:
         parsed = parsed.observe(metrics, F.count(F.lit(1)).alias("articles"),
                                 F.count_if(F.col("ok")).alias("parsed"),

@@ -53,7 +53,7 @@ sections_udf = _sections_udf.asNondeterministic()
 
 
 def parse_articles(raw: DataFrame, xml_col: str = "xml", keep=("source_file",),
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, prefilter: str | None = None) -> DataFrame:
     """Raw articles -> ``keep`` + ok, pmc_id, title, abstract, body, back, text.
 
     ``partitions``: hash-spread the raw articles over this many partitions before parsing;
@@ -61,8 +61,15 @@ def parse_articles(raw: DataFrame, xml_col: str = "xml", keep=("source_file",),
     (a gzip scan yields one task per file); ``0`` keeps the input partitioning.
     ``pmc_id`` is null for unparseable articles and for articles without any id; they
     yield no findings.
+
+    ``prefilter`` (e.g. ``"syn"``, opt-in): parse only articles whose lower-cased raw XML
+    contains it, so articles that cannot hold an id never reach Python. Skipped articles are
+    then absent from reject and coverage audits, and an id written with character references
+    (``&#115;yn…``) would be missed.
     """
-    src = raw.select(*keep, xml_col)
+    src = raw.select(*dict.fromkeys([*keep, xml_col]))
+    if prefilter:
+        src = src.where(F.lower(F.col(xml_col)).contains(prefilter.lower()))
     if partitions:
         src = src.repartition(partitions, F.xxhash64(*keep, xml_col))
     elif partitions is None:

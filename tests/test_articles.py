@@ -102,3 +102,15 @@ def test_invalid_bytes_do_not_end_the_file(spark):
     arts = read_articles(spark, d)
     assert arts.count() == 2
     assert "�" in arts.orderBy(F.length("xml")).first().xml
+
+
+def test_prefilter_skips_articles_without_prefix(spark):
+    other = ARTICLE.replace("syn", "ref")
+    df = spark.createDataFrame([("a", ARTICLE), ("b", other)], "source_file string, xml string")
+    p = parse_articles(df, "xml", ("source_file",), partitions=0, prefilter="syn")
+    assert [r.source_file for r in p.collect()] == ["a"]
+    assert plan_of(p).index("Filter") > plan_of(p).index("ArrowEvalPython")  # filter below the UDF
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
