@@ -21,6 +21,12 @@ from ..functions.text import collapse_ws, strip_ws
 from .joins import spread
 
 
+# "Not after a digit". Java steps back by UTF-16 unit in a look-behind unless the pattern text
+# itself holds a supplementary character; naming one supplementary digit (U+1D7CE, already in
+# \d) makes the look-behind step back by code point, as Python's re does.
+NOT_AFTER_DIGIT = "(?<![\\d\U0001D7CE])"
+
+
 @dataclass(frozen=True)
 class AccessionPattern:
     """``prefix`` + ``min_digits``..``max_digits`` digits, not touching other digits, any case."""
@@ -35,12 +41,12 @@ class AccessionPattern:
 
     @property
     def forward(self) -> str:
-        return rf"(?iU)(?<!\d){self.prefix}\d{{{self.min_digits},{self.max_digits}}}(?!\d)"
+        return rf"(?iU){NOT_AFTER_DIGIT}{self.prefix}\d{{{self.min_digits},{self.max_digits}}}(?!\d)"
 
     @property
     def backward(self) -> str:
         """The same matches, found on the reversed text."""
-        return rf"(?iU)(?<!\d)\d{{{self.min_digits},{self.max_digits}}}{self.prefix[::-1]}(?!\d)"
+        return rf"(?iU){NOT_AFTER_DIGIT}\d{{{self.min_digits},{self.max_digits}}}{self.prefix[::-1]}(?!\d)"
 
     @property
     def valid_id(self) -> str:
@@ -58,7 +64,7 @@ def _id_and_tail(pattern: AccessionPattern, window: int) -> str:
     """Group 1 = the id followed by up to ``window`` characters, captured by a lookahead at the
     start of the match, so one pass yields both."""
     core = rf"{pattern.prefix}\d{{{pattern.min_digits},{pattern.max_digits}}}(?!\d)"
-    return rf"(?siU)(?<!\d)(?=({core}.{{0,{window}}})){core}"
+    return rf"(?siU){NOT_AFTER_DIGIT}(?=({core}.{{0,{window}}})){core}"
 
 
 def mention_arrays(text: Column, window: int = CONTEXT_WINDOW,

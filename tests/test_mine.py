@@ -62,7 +62,8 @@ def test_no_dedup_by_default(spark):
 def test_edges(spark):
     texts = ["asyn1234567 x", "9syn1234567 x", "syn1234567syn7654321", "SYN1234567 alone",
              "SYN1234567 near syn1234567", 'quote "syn1234567" here', "", "syn١٢٣٤٥٦٧ arabic digits",
-             "😀" * 30 + " syn1234567 " + "😀" * 30]
+             "😀" * 30 + " syn1234567 " + "😀" * 30, "\U0001D7CEsyn1234567 after a wide digit",
+             "x syn1234567 y \U0001D7CEsyn7654321 z syn1111111 w", "syn1234567\U0001D7CE wide digit inside"]
     assert mine(spark, texts) == python_findings(texts)
     got = {r[0] for r in mine(spark, texts)}
     assert 0 in got and 1 not in got and 3 not in got and 4 in got and 7 in got
