@@ -58,3 +58,17 @@ def test_source_file_from_path(spark):
                                 ("/d/other.xml",)], "p string")
     assert [r.s for r in df.select(T.source_file_from_path("p").alias("s")).collect()] == [
         "PMC1_PMC9.xml.gz", "PMC0_PMC99.xml.gz", "other.xml"]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.text(st.sampled_from(list("ab \n\tsyn01é😀")), max_size=40),
+                          st.integers(0, 45), st.integers(0, 10), st.integers(0, 30)), min_size=1, max_size=8))
+def test_kwic_property(spark, cases):
+    rows = [(t, min(s, len(t)), min(s + k, len(t)), n) for t, s, k, n in cases]
+    df = spark.createDataFrame(rows, "t string, s int, e int, n int")
+    got = [tuple(r.k) for r in df.select(T.kwic("t", "s", "e", F.col("n")).alias("k")).collect()]
+    assert got == [py_kwic(*r) for r in rows]

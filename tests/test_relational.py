@@ -79,3 +79,20 @@ def test_portal_resolve_by_row_presence(spark):
     assert got == [("syn1", "Portal A", None), ("syn2", "Portal B", "https://x/10"), ("syn3", "Default", None)]
     meta = {r.id: r for r in enrich.entity_meta(ent, portals, cfg).collect()}
     assert meta["syn3"].name == "syn3" and meta["syn2"].created_on == "" and meta["syn1"].created_on == "2024-01-01"
+
+
+def test_union_batches_missing_columns(spark):
+    a = spark.createDataFrame([("p1", "syn1", "ctx", "f1")], "pmcid string, synid string, context string, source_file string")
+    b = spark.createDataFrame([("p2", "syn2")], "pmcid string, synid string")
+    got = rows(dedup.union_batches([a, b]), "pmcid", "synid", "context", "source_file")
+    assert got == [("p1", "syn1", "ctx", "f1"), ("p2", "syn2", None, None)]
+
+
+def test_coverage_counts(spark):
+    from accmine.operators.articles import coverage
+    parsed = spark.createDataFrame([
+        ("f1", True, "PMC1", "see syn1234567 and syn7654321"), ("f1", True, "PMC2", "nothing here"),
+        ("f1", False, None, None), ("f2", True, None, "syn1234567 but no id"), ("f2", True, "PMC3", "SYN1234567 only")],
+        "source_file string, ok boolean, pmc_id string, text string")
+    got = rows(coverage(parsed), "source_file", "articles", "parsed", "with_id", "articles_with_findings", "findings")
+    assert got == [("f1", 3, 2, 2, 1, 2), ("f2", 2, 2, 1, 0, 0)]
