@@ -15,8 +15,14 @@ from ..operators import dedup, enrich, incremental, summarize
 from ..operators.articles import coverage, findings_from_articles
 from ..operators.mine import DEFAULT_PATTERN, extract_mentions, mine_text, prepare_text
 from ..operators.parse import parse_articles
+from ..session import scratch_path
+from ..sinks import feeds
+from ..sinks.feeds import resource_rows, write_csv
+from ..sinks.tables import read_version, stage, write_version
 from ..sources import fixtures as fx
+from ..sources.corpus import audit_files, read_articles, read_findings_csv, write_corpus
 from ..sources.tables import table
+from ..streaming.ingest import append_results, ingest_corpus, init_results_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,8 +264,6 @@ def refreshed_cache(spark, d) -> DataFrame:
 
 @query("cache_miss")
 def q_cache_miss(spark, d):
-    from ..session import scratch_path
-    from ..sinks.tables import read_version, write_version
     path = write_version(refreshed_cache(spark, d), scratch_path(spark, "entity-meta"))
     return read_version(spark, path)
 
@@ -276,7 +280,6 @@ def q_inaccessible(spark, d):
 
 @query("resource_list")
 def q_resource_list(spark, d):
-    from ..sinks.feeds import resource_rows
     return resource_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
 
 
@@ -285,8 +288,6 @@ def q_resource_list(spark, d):
 # so the scan or sink itself is what is checked.
 
 def _stage_corpus(spark, d) -> str:
-    from ..session import scratch_path
-    from ..sources.corpus import write_corpus
     path = scratch_path(spark, "corpus")
     write_corpus(fx.articles_xml_v(spark, d), path)
     return path
@@ -294,15 +295,11 @@ def _stage_corpus(spark, d) -> str:
 
 @query("article_scan")
 def q_article_scan(spark, d):
-    from ..sources.corpus import read_articles
     return read_articles(spark, _stage_corpus(spark, d))
 
 
 @query("findings_csv_roundtrip")
 def q_findings_csv_roundtrip(spark, d):
-    from ..session import scratch_path
-    from ..sinks.feeds import write_csv
-    from ..sources.corpus import read_findings_csv
     path = scratch_path(spark, "findings-csv")
     write_csv(fx.findings_v(spark, d), path, partition_by="source_file")
     return read_findings_csv(spark, path)
@@ -310,8 +307,6 @@ def q_findings_csv_roundtrip(spark, d):
 
 @query("link_feed")
 def q_link_feed(spark, d):
-    from ..session import scratch_path
-    from ..sinks import feeds
     path = scratch_path(spark, "links")
     feeds.write_link_feed(feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG), path)
     return feeds.flatten_links(feeds.read_link_feed(spark, path))
@@ -319,8 +314,6 @@ def q_link_feed(spark, d):
 
 @query("feed_validate")
 def q_feed_validate(spark, d):
-    from ..session import scratch_path
-    from ..sinks import feeds
     good, bad = scratch_path(spark, "links-good"), scratch_path(spark, "links-bad")
     rows = feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
     feeds.write_link_feed(rows, good)
@@ -337,9 +330,6 @@ def q_feed_validate(spark, d):
 
 @query("input_audit")
 def q_input_audit(spark, d):
-    from ..session import scratch_path
-    from ..sinks.feeds import write_csv
-    from ..sources.corpus import audit_files, write_corpus
     root = scratch_path(spark, "inputs")
     write_corpus(fx.articles_xml_v(spark, d), f"{root}/corpus")
     f = fx.findings_v(spark, d)
@@ -351,10 +341,7 @@ def q_input_audit(spark, d):
 
 @query("search_feed")
 def q_search_feed(spark, d):
-    from ..session import scratch_path
-    from ..sinks import feeds
     pairs = cited_pairs(spark, d)
-    from ..sinks.tables import stage
     # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
     entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
     path = scratch_path(spark, "search-feed")
@@ -365,8 +352,6 @@ def q_search_feed(spark, d):
 
 @query("stream_ingest")
 def q_stream_ingest(spark, d):
-    from ..session import scratch_path
-    from ..streaming.ingest import ingest_corpus
     src = _stage_corpus(spark, d)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
     ingest_corpus(spark, src, out, ck,
@@ -376,9 +361,6 @@ def q_stream_ingest(spark, d):
 
 @query("stream_append")
 def q_stream_append(spark, d):
-    from ..session import scratch_path
-    from ..sinks.feeds import write_csv
-    from ..streaming.ingest import append_results, init_results_table
     inbox, table_path, ck = (scratch_path(spark, n) for n in ("inbox", "results", "append-ck"))
     init_results_table(fx.results_v(spark, d), table_path)
     b = fx.batches_v(spark, d)
