@@ -25,12 +25,28 @@ DEFAULT_CONF = {
 }
 
 
+# For a large cluster: start shuffles wide and let AQE merge them to ~256 MB, so partitions fit
+# executor memory at any input size; split skewed join partitions; read large splittable files
+# in 256 MB pieces. (Gzip corpus files are not splittable: one task per file regardless.)
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "accmine", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "accmine", extra: dict | None = None,
+                  cluster: bool = False) -> SparkSession:
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
