@@ -352,10 +352,14 @@ def q_search_feed(spark, d):
 
 @query("stream_ingest")
 def q_stream_ingest(spark, d):
-    src = _stage_corpus(spark, d)
-    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    ingest_corpus(spark, src, out, ck,
-                  max_files_per_trigger=32)
+    src, out, ck = (scratch_path(spark, n) for n in ("corpus-inbox", "stream-out", "stream-ck"))
+    arts = fx.articles_xml_v(spark, d)
+    english = F.col("lang") == "en"
+    # two deliveries into the same folders: the second run must pick up only the new files
+    write_corpus(arts.where(english), src)
+    ingest_corpus(spark, src, out, ck, max_files_per_trigger=32)
+    write_corpus(arts.where(~english), src, mode="append")
+    ingest_corpus(spark, src, out, ck, max_files_per_trigger=32)
     return spark.read.parquet(out).select("source_file", "pmcid", "synid", "context")
 
 

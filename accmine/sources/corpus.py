@@ -36,11 +36,13 @@ def read_articles(spark: SparkSession, path: str, tag_prefix: str = ARTICLE_OPEN
     return articles_from_records(recs, tag_prefix)
 
 
-def write_corpus(articles: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Stage articles as corpus files, one file per ``source_file`` value (used for tests and
-    for re-compressing a landed corpus)."""
+def write_corpus(articles: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
+    """Stage articles as corpus files, one file per ``source_file`` value and write (used for
+    tests and for re-compressing a landed corpus). A corpus file covers a bounded id range,
+    so one writer per file is the archive's own layout; ``mode='append'`` lands a later delivery
+    beside the earlier files."""
     (articles.select("source_file", "xml").repartition("source_file")
-             .write.mode("overwrite").partitionBy("source_file").option("compression", compression).text(path))
+             .write.mode(mode).partitionBy("source_file").option("compression", compression).text(path))
 
 
 def read_findings_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
