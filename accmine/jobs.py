@@ -21,7 +21,7 @@ from .operators.parse import parse_articles
 from .sinks import feeds
 from .sinks.tables import stage, write_version
 from .sources.corpus import read_articles
-from .sources.tables import read_entity_meta
+from .sources.tables import read_entity_meta, read_watermark
 
 
 def mine_corpus(spark: SparkSession, corpus_path: str, out_path: str, window: int = CONTEXT_WINDOW,
@@ -77,6 +77,31 @@ def update_results(spark: SparkSession, findings: DataFrame, results_path: str,
     return new
 
 
+def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, watermark_path: str,
+                    out_path: str, max_files: int | None = None, **mine_args) -> DataFrame:
+    """The weekly run as one batch job: resume from the saved position, mine the corpus files
+    from there on (at most ``max_files``, in id order), append findings of unseen articles, and
+    move the position only after everything succeeded. The resume is inclusive, so the last
+    file is mined again; the anti join drops its articles. Returns the appended rows.
+
+    (``streaming.ingest`` gives the same with a checkpoint instead of a saved position.)"""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(corpus_path)
+                    .select("path"))  # content is not selected, so no file is read
+    names = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
+    files = incremental.file_catalog(names).join(names, "file_name")
+    chosen = incremental.resume_files(files, read_watermark(spark, watermark_path), max_files)
+    picked = chosen.select("file_name", "path").collect()  # file names only: metadata
+    if not picked:
+        return spark.createDataFrame([], "pmcid string, synid string, context string, source_file string")
+    found = mine_corpus(spark, [r.path for r in picked], out_path, **mine_args)
+    new = update_results(spark, found, results_path)
+    # the position moves over every processed file, with or without findings
+    done = spark.createDataFrame([(r.file_name,) for r in picked], "file_name string")
+    stamp = datetime.now(timezone.utc).isoformat()
+    incremental.watermark(done, stamp).write.mode("overwrite").parquet(watermark_path)
+    return new
+
+
 def export_links(spark: SparkSession, results: DataFrame, out_dir: str, provider_id: int,
                  cfg: enrich.PortalConfig = enrich.PortalConfig()) -> None:
     """Link feed (one well-formed XML document per task) and resource list CSV."""

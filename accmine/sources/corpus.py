@@ -26,9 +26,10 @@ def articles_from_records(records: DataFrame, tag_prefix: str = ARTICLE_OPEN) ->
                            F.concat(F.substring("value", start, F.lit(1 << 30)), F.lit(ARTICLE_CLOSE)).alias("xml")))
 
 
-def read_articles(spark: SparkSession, path: str, tag_prefix: str = ARTICLE_OPEN,
+def read_articles(spark: SparkSession, path, tag_prefix: str = ARTICLE_OPEN,
                   glob: str | None = None) -> DataFrame:
-    """Article corpus scan (S1): ``.xml`` or ``.xml.gz`` files (gzip by suffix) -> source_file, xml."""
+    """Article corpus scan (S1): ``.xml`` or ``.xml.gz`` files (gzip by suffix) -> source_file, xml.
+    ``path`` is a folder, a file, or a list of files."""
     r = spark.read.option("lineSep", ARTICLE_CLOSE)
     if glob:
         r = r.option("pathGlobFilter", glob)

@@ -34,3 +34,16 @@ def read_entity_meta(spark: SparkSession, path: str | None) -> DataFrame:
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
     return spark.createDataFrame([], schemas.ENTITY_META)
+
+
+def read_watermark(spark: SparkSession, path: str | None) -> str | None:
+    """The saved resume point (``PMC…``), or None when there is none yet."""
+    if not path:
+        return None
+    try:
+        row = spark.read.parquet(path).select("last_processed_pmc_id").first()
+    except Exception as exc:  # no watermark written yet
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return None
+    return row[0] if row else None

@@ -46,3 +46,24 @@ def test_mine_update_export(spark, sf_dir):
                                  fx.app_v(spark, sf_dir), f"{out}/cache", f"{out}/search")
     assert spark.read.parquet(version).count() > 0
     assert glob.glob(os.path.join(out, "search", "part-*"))
+
+
+def test_run_incremental_resumes(spark, tmp_path):
+    import gzip
+    from accmine.sources.tables import read_watermark
+    corpus = tmp_path / "corpus"
+    corpus.mkdir()
+
+    def art(n, syn):
+        return (f'<article a="1"><front><article-meta><article-id pub-id-type="pmc">PMC{n}</article-id>'
+                f'</article-meta></front><body><p>data in syn{syn}</p></body></article>\n')
+    for lo in (1, 11, 21):
+        with gzip.open(corpus / f"PMC{lo}_PMC{lo + 9}.xml.gz", "wt") as fh:
+            fh.write(art(lo, 1000000 + lo) + art(lo + 1, 2000000 + lo))
+    out, results, wm = (str(tmp_path / n) for n in ("mined", "results", "wm"))
+    first = jobs.run_incremental(spark, str(corpus), results, wm, out, max_files=2)
+    assert first.count() == 4 and read_watermark(spark, wm) == "PMC11"
+    second = jobs.run_incremental(spark, str(corpus), results, wm, out + "2")  # resumes at PMC11, inclusive
+    assert bag(second, "pmcid") == [("pmc:PMC21",), ("pmc:PMC22",)]
+    assert read_watermark(spark, wm) == "PMC21"
+    assert spark.read.parquet(results).count() == 6
