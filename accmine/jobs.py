@@ -94,6 +94,8 @@ def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, wa
     if not picked:
         return spark.createDataFrame([], "pmcid string, synid string, context string, source_file string")
     found = mine_corpus(spark, [r.path for r in picked], out_path, **mine_args)
+    # only this run's files (partition pruning on the findings table)
+    found = found.where(F.col("source_file").isin([r.file_name for r in picked]))
     new = update_results(spark, found, results_path)
     # the position moves over every processed file, with or without findings
     done = spark.createDataFrame([(r.file_name,) for r in picked], "file_name string")

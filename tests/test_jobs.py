@@ -63,7 +63,7 @@ def test_run_incremental_resumes(spark, tmp_path):
     out, results, wm = (str(tmp_path / n) for n in ("mined", "results", "wm"))
     first = jobs.run_incremental(spark, str(corpus), results, wm, out, max_files=2)
     assert first.count() == 4 and read_watermark(spark, wm) == "PMC11"
-    second = jobs.run_incremental(spark, str(corpus), results, wm, out + "2")  # resumes at PMC11, inclusive
+    second = jobs.run_incremental(spark, str(corpus), results, wm, out)  # resumes at PMC11, inclusive
     assert bag(second, "pmcid") == [("pmc:PMC21",), ("pmc:PMC22",)]
     assert read_watermark(spark, wm) == "PMC21"
     assert spark.read.parquet(results).count() == 6
