@@ -77,6 +77,12 @@ def read_link_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
     return r.load(path)
 
 
+def feed_errors(spark, path: str, xsd_path: str | None = None) -> DataFrame:
+    """Rows of a written link feed that fail the schema (V3), with their raw XML."""
+    r = read_link_feed(spark, path, xsd_path or LINKS_XSD)
+    return r.select("_providerId", "_corrupt_record").where(F.col("_corrupt_record").isNotNull())
+
+
 def flatten_links(feed: DataFrame) -> DataFrame:
     return feed.select(F.col("_providerId").cast("bigint").alias("provider_id"),
                        F.col("resource.url").alias("url"), F.col("resource.title").alias("title"),

@@ -78,3 +78,13 @@ def test_append_batch_replay_is_idempotent(spark):
     append_batch(spark, b, 0, path)  # replay of the same micro-batch
     assert bag(spark.read.parquet(path).select("pmcid", "synid", "batch")) == once
     assert [r for r in once if r[2] == "0"] == [("pmc:PMC2", "syn3", "0")]
+
+
+def test_feed_errors(spark, sf_dir):
+    rows = feeds.link_rows(Q.fx.findings_v(spark, sf_dir), 7)
+    good, bad = scratch_path(spark, "fe-good"), scratch_path(spark, "fe-bad")
+    feeds.write_link_feed(rows, good)
+    feeds.link_structs(rows).withColumnRenamed("record", "invalid_element").write.format("xml") \
+        .option("rootTag", "links").option("rowTag", "link").save(bad)
+    assert feeds.feed_errors(spark, good).count() == 0
+    assert feeds.feed_errors(spark, bad).count() == rows.count()
