@@ -77,10 +77,16 @@ def read_link_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
     return r.load(path)
 
 
-def feed_errors(spark, path: str, xsd_path: str | None = None) -> DataFrame:
-    """Rows of a written link feed that fail the schema (V3), with their raw XML."""
+def validate_feed(spark, path: str, xsd_path: str | None = None) -> DataFrame:
+    """One row: links, valid, invalid, with_record for a written link feed checked against the
+    schema (V3).
+    The failing rows themselves are ``read_link_feed(spark, path, xsd).where(_corrupt_record
+    is not null)`` (select another column with it: Spark rejects queries that use only the
+    corrupt-record column)."""
     r = read_link_feed(spark, path, xsd_path or LINKS_XSD)
-    return r.select("_providerId", "_corrupt_record").where(F.col("_corrupt_record").isNotNull())
+    ok = F.col("_corrupt_record").isNull()
+    return r.agg(F.count(F.lit(1)).alias("links"), F.count_if(ok).alias("valid"),
+                 F.count_if(~ok).alias("invalid"), F.count("record.id").alias("with_record"))
 
 
 def flatten_links(feed: DataFrame) -> DataFrame:

@@ -80,11 +80,12 @@ def test_append_batch_replay_is_idempotent(spark):
     assert [r for r in once if r[2] == "0"] == [("pmc:PMC2", "syn3", "0")]
 
 
-def test_feed_errors(spark, sf_dir):
+def test_validate_feed(spark, sf_dir):
     rows = feeds.link_rows(Q.fx.findings_v(spark, sf_dir), 7)
     good, bad = scratch_path(spark, "fe-good"), scratch_path(spark, "fe-bad")
     feeds.write_link_feed(rows, good)
     feeds.link_structs(rows).withColumnRenamed("record", "invalid_element").write.format("xml") \
         .option("rootTag", "links").option("rowTag", "link").save(bad)
-    assert feeds.feed_errors(spark, good).count() == 0
-    assert feeds.feed_errors(spark, bad).count() == rows.count()
+    n = rows.count()
+    assert tuple(feeds.validate_feed(spark, good).first()) == (n, n, 0, n)
+    assert tuple(feeds.validate_feed(spark, bad).first()) == (n, 0, n, 0)
