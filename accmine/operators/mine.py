@@ -4,7 +4,8 @@ For every text the id regex runs once forward and once over the reversed text.
 A lookahead capture gives the ``window`` characters after each match; on the
 reversed text the same capture gives the characters before it. Both arrays are
 aligned with the match array, so no offsets and no per-row Python are needed.
-The work is narrow: it stays in the stage of the scan that feeds it.
+The work is narrow (no shuffle of its own): it runs in the stage that reads the
+text, after the conditional spread of ``prepare_text``.
 """
 
 from __future__ import annotations
