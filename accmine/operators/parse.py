@@ -9,7 +9,10 @@ Id fallback, section joining and whitespace folding happen natively afterwards.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,11 @@ from ..functions.text import collapse_ws, normalize_article_id
 from .joins import spread
 
 _SECTIONS = ("article-title", "abstract", "body", "back")
+_COLUMNS = tuple(f.name for f in schemas.SECTIONS.fields)
+
+# Ship this module's code with the UDF (pickled by value), so Python workers need no installed
+# copy of the package: the same job runs from any directory and on any cluster.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _parse_one(xml):
@@ -46,7 +54,7 @@ def _parse_one(xml):
 @F.pandas_udf(schemas.SECTIONS)
 def _sections_udf(xml: pd.Series) -> pd.DataFrame:
     rows = [_parse_one(x) for x in xml]
-    return pd.DataFrame(rows, columns=[f.name for f in schemas.SECTIONS.fields])
+    return pd.DataFrame(rows, columns=list(_COLUMNS))
 
 
 sections_udf = _sections_udf.asNondeterministic()

@@ -322,7 +322,7 @@ def q_feed_validate(spark, d):
     out = []
     for name, p in (("good", good), ("bad", bad)):
         r = feeds.read_link_feed(spark, p, feeds.LINKS_XSD)
-        out.append(r.select(F.lit(name).alias("feed"), F.col("_corrupt_record").isNull().alias("valid"),
+        out.append(r.select(F.lit(name).alias("feed"), feeds.row_valid().alias("valid"),
                             F.col("record.id").alias("record_id")))
     return (out[0].unionByName(out[1]).groupBy("feed", "valid")
                   .agg(F.count(F.lit(1)).alias("links"), F.count("record_id").alias("with_record")))
