@@ -114,3 +114,23 @@ def test_prefilter_skips_articles_without_prefix(spark):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_plain_file_reads_each_article_once(spark):
+    d = tempfile.mkdtemp(prefix="accmine-split-")
+    n = 3000
+    with open(os.path.join(d, "PMC1_PMC3000.xml"), "w", encoding="utf-8") as fh:
+        fh.write("<articles>\n")
+        for i in range(n):
+            fh.write(f'<article a="{i}"><article-id pub-id-type="pmc">PMC{i}</article-id>'
+                     f'<body><p>{"é" * (i % 97)} syn{1000000 + i}</p></body></article>\n')
+        fh.write("</articles>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")  # many splits inside one file
+    try:
+        arts = read_articles(spark, d)
+        assert arts.rdd.getNumPartitions() > 5
+        ids = [r.i for r in arts.select(F.regexp_extract("xml", r'a="(\d+)"', 1).alias("i")).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(int(i) for i in ids) == list(range(n))
