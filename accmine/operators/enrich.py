@@ -68,9 +68,11 @@ def portal_resolve(entities: DataFrame, portals: DataFrame, cfg: PortalConfig =
     """Per entity: the catalogue entry of the entity itself, else of its parent, else the default.
 
     ``portals`` comes from ``portal_table``. The choice is by *row presence*: an entity listed
-    with a null link does not fall through to its parent. Two lookups with a non-null marker."""
+    with a null link does not fall through to its parent. Two lookups with a non-null marker.
+    The entity's own columns are carried through, so callers need no join back on ``id``."""
     cat = portals
-    e = entities.select("id", parent_id("benefactor_id", cfg.id_prefix).alias("parent_id"))
+    keep = [c for c in entities.columns if c not in ("parent_id", "repository", "portal_link")]
+    e = entities.select(*keep, parent_id("benefactor_id", cfg.id_prefix).alias("parent_id"))
     own = cat.select(F.col("id").alias("o_id"), F.col("repository").alias("o_repo"),
                      F.col("link").alias("o_link"), F.col("hit").alias("o_hit"))
     par = cat.select(F.col("id").alias("p_id"), F.col("repository").alias("p_repo"),
@@ -78,7 +80,7 @@ def portal_resolve(entities: DataFrame, portals: DataFrame, cfg: PortalConfig =
     j = (e.join(own, e["id"] == own["o_id"], "left")
           .join(par, F.col("parent_id") == par["p_id"], "left"))
     return j.select(
-        "id", "parent_id",
+        *keep, "parent_id",
         F.when(F.col("o_hit"), F.col("o_repo")).when(F.col("p_hit"), F.col("p_repo"))
          .otherwise(F.lit(cfg.default_repository)).alias("repository"),
         F.when(F.col("o_hit"), F.col("o_link")).when(F.col("p_hit"), F.col("p_link")).alias("portal_link"))
@@ -89,10 +91,9 @@ def entity_meta(entities: DataFrame, portals: DataFrame, cfg: PortalConfig = Por
     name = F.coalesce(F.nullif(F.col("name"), F.lit("")), F.col("id"))
     base = entities.select("id", name.alias("name"), iso_date("created_on").alias("created_on"),
                            "benefactor_id")
-    portal = portal_resolve(base, portals, cfg)
-    return (base.join(portal, "id")
-                .select("id", "name", F.col("name").alias("description"), "created_on",
-                        "repository", "portal_link"))
+    return (portal_resolve(base, portals, cfg)
+            .select("id", "name", F.col("name").alias("description"), "created_on",
+                    "repository", "portal_link"))
 
 
 def refresh_cache(ids: DataFrame, cache: DataFrame, entities: DataFrame, portals: DataFrame,

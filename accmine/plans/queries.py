@@ -242,7 +242,8 @@ def portals(spark, d) -> DataFrame:
 
 @query("portal_resolve")
 def q_portal_resolve(spark, d):
-    return enrich.portal_resolve(fx.entity_v(spark, d), portals(spark, d), CFG)
+    r = enrich.portal_resolve(fx.entity_v(spark, d), portals(spark, d), CFG)
+    return r.select("id", "parent_id", "repository", "portal_link")
 
 
 def old_cache(spark, d, portal=None) -> DataFrame:
