@@ -27,6 +27,7 @@ def test_audit_order_of_checks(spark):
         "bad.exe": b"MZ\x90\x00",
         "bad.txt": b"\x00\x01\x02\xff\xfe",
         "big.txt": b"x" * 300,
+        "tab.txt": b"\x10\x0a line",  # hex '100a' holds '00' across two bytes: still text
     }
     for n, b in files.items():
         with open(os.path.join(d, n), "wb") as fh:
@@ -34,7 +35,7 @@ def test_audit_order_of_checks(spark):
     got = {os.path.basename(r.path): (r.accepted, r.reason) for r in audit_files(spark, d, max_bytes=200).collect()}
     assert got == {"ok.xml": (True, "ok"), "ok.txt": (True, "ok"), "ok.xml.gz": (True, "ok"),
                    "ok.pdf": (True, "ok"), "bad.exe": (False, "extension"), "bad.txt": (False, "type"),
-                   "big.txt": (False, "size")}
+                   "big.txt": (False, "size"), "tab.txt": (True, "ok")}
 
 
 def test_findings_csv_glob_and_batch_name(spark):
