@@ -358,9 +358,9 @@ def q_stream_ingest(spark, d):
     english = F.col("lang") == "en"
     # two deliveries into the same folders: the second run must pick up only the new files
     write_corpus(arts.where(english), src)
-    ingest_corpus(spark, src, out, ck, max_files_per_trigger=32)
+    ingest_corpus(spark, src, out, ck)
     write_corpus(arts.where(~english), src, mode="append")
-    ingest_corpus(spark, src, out, ck, max_files_per_trigger=32)
+    ingest_corpus(spark, src, out, ck)
     return spark.read.parquet(out).select("source_file", "pmcid", "synid", "context")
 
 

@@ -32,7 +32,11 @@ def corpus_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint: str,
                   partitions: int | None = None, max_files_per_trigger: int | None = None):
-    """Mine new corpus files into ``out_path/batch_id=N`` (parquet); returns the finished query."""
+    """Mine new corpus files into ``out_path/batch_id=N`` (parquet); returns the finished query.
+
+    Gzip files are one task each, so a micro-batch should hold at least as many files as the
+    cluster has cores: by default a run takes everything that landed since the last one.
+    ``max_files_per_trigger`` bounds a micro-batch when a backlog is larger than one job should be."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_articles(batch, "xml", ("source_file",), partitions=partitions)
         f = findings_from_articles(parsed, ("source_file",)).select("pmcid", "synid", "context", "source_file")
