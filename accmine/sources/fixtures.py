@@ -7,6 +7,7 @@ grows with the scale factor. The DuckDB oracle builds the same views in SQL.
 from __future__ import annotations
 
 import functools
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +27,15 @@ _VIEWS: dict = {}
 def view(fn):
     """Build each view once per session and arguments (DataFrames are immutable plans); the
     same object used twice in one query also lets Spark reuse its exchanges."""
+    sig = inspect.signature(fn)
+
     @functools.wraps(fn)
-    def wrapper(spark, d, **kw):
-        key = (id(spark), fn.__name__, d, tuple(sorted(kw.items())))
+    def wrapper(spark, d, *args, **kw):
+        bound = sig.bind(spark, d, *args, **kw)
+        bound.apply_defaults()
+        key = (id(spark), fn.__name__) + tuple(v for k, v in bound.arguments.items() if k != "spark")
         if key not in _VIEWS:  # the session is kept in the value, so its id cannot be reused
-            _VIEWS[key] = (spark, fn(spark, d, **kw))
+            _VIEWS[key] = (spark, fn(*bound.args, **bound.kwargs))
         return _VIEWS[key][1]
     return wrapper
 
