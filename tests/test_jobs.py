@@ -67,3 +67,12 @@ def test_run_incremental_resumes(spark, tmp_path):
     assert bag(second, "pmcid") == [("pmc:PMC21",), ("pmc:PMC22",)]
     assert read_watermark(spark, wm) == "PMC21"
     assert spark.read.parquet(results).count() == 6
+
+
+def test_prefilter_gives_same_findings(spark, sf_dir):
+    corpus = scratch_path(spark, "pf-corpus")
+    write_corpus(fx.articles_xml_v(spark, sf_dir), corpus)
+    cols = ("source_file", "pmcid", "synid", "context")
+    plain = jobs.mine_corpus(spark, corpus, scratch_path(spark, "pf-a"))
+    filtered = jobs.mine_corpus(spark, corpus, scratch_path(spark, "pf-b"), prefilter=True)
+    assert bag(plain, *cols) == bag(filtered, *cols)
