@@ -22,6 +22,21 @@ def main(sf_dir, out="docs/plans.md"):
         text = re.sub(r"\[plan_id=\d+\]", "", text)
         lines = [ln[:180] for ln in text.splitlines() if ln.strip()]
         parts.append(f"## {name}\n\n```\n" + "\n".join(lines) + "\n```\n")
+    # the production mining job (jobs.mine_corpus) over a staged gzip corpus
+    from accmine.operators.articles import findings_from_articles
+    from accmine.operators.parse import parse_articles
+    from accmine.session import scratch_path
+    from accmine.sources import fixtures as fx
+    from accmine.sources.corpus import read_articles, write_corpus
+    corpus = scratch_path(spark, "plan-corpus")
+    write_corpus(fx.articles_xml_v(spark, sf_dir), corpus)
+    job = findings_from_articles(parse_articles(read_articles(spark, corpus), "xml", ("source_file",)))
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        job.explain()
+    text = re.sub(r"\[plan_id=\d+\]", "", re.sub(r"#\d+L?", "", buf.getvalue()))
+    parts.insert(1, "## jobs.mine_corpus (production path: gzip scan, spread, UDF, mining)\n\n```\n"
+                 + "\n".join(ln[:180] for ln in text.splitlines() if ln.strip()) + "\n```\n")
     with open(out, "w") as fh:
         fh.write("\n".join(parts))
     spark.stop()
