@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, ctw, decontaminate, simhash, token_counts, topk_search
+from . import (
+    byte_bpe, chat_format, ctw, decontaminate, license_scan, quality, simhash, token_counts, topk_search, toxicity,
+)
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +136,31 @@ def op9_ctw_score(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text")
     out = ctw.score_documents(docs, crc_mod("doc_id", 7) != 2)
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_license_scan")
+def op8_license_scan(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    n = license_scan.scan_licenses(docs)
+    names = F.array_sort(F.array_distinct(F.col("notices.license")))
+    return n.select("doc_id", F.size("notices").cast("bigint").alias("n_notices"), F.concat_ws(",", names).alias("licenses"),
+                    F.coalesce(F.array_max("notices.coverage"), F.lit(0.0)).alias("best_coverage"),
+                    F.to_json("notices").alias("notices"))
+
+
+def _classified(scored, held_out, threshold):
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.train_model(docs, read(spark, d, "labels"), crc_mod("doc_id", 3) != 1)
+    return _classified(toxicity.score_documents(docs, model), crc_mod("doc_id", 3) == 1, toxicity.THRESHOLD)
+
+
+@query("op6_quality")
+def op6_quality(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    model = quality.train_model(docs, read(spark, d, "labels"), crc_mod("doc_id", 5) != 0)
+    return _classified(quality.score_documents(docs, model), crc_mod("doc_id", 5) == 0, quality.THRESHOLD)
