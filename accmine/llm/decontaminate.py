@@ -169,7 +169,7 @@ def scan_shard(docs: list[bytes], w: SimpleNamespace):
         parts.append(np.fromiter(map(get, words, repeat(1)), np.int64, len(words)))
         parts.append(np.ones(1, np.int64))          # no phrase crosses documents
     spans, items = [[] for _ in range(n)], [[] for _ in range(n)]
-    if not len(w.lens):
+    if not docs or not len(w.lens):
         return counts, spans, items
     code = np.concatenate(parts)
     edge = np.flatnonzero(np.diff(np.concatenate(([0], (code > 1).astype(np.int8), [0]))))

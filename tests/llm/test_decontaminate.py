@@ -1,0 +1,122 @@
+"""Benchmark decontamination (op4): FM-index parts and hits against plain search."""
+
+import random
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from accmine.llm import decontaminate as D
+
+
+def test_suffix_array_and_ranks():
+    rng = np.random.default_rng(1)
+    s = np.append(rng.integers(1, 4, 300), 0)
+    sa = D.suffix_array(s)
+    assert sa.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    wm = D.WaveletMatrix(s, 3)
+    i = np.arange(len(s))
+    assert wm.access(i).tolist() == s.tolist()
+    for c in range(4):
+        assert wm.rank(np.full(len(s) + 1, c), np.arange(len(s) + 1)).tolist() == [int((s[:k] == c).sum()) for k in range(len(s) + 1)]
+
+
+def test_search_and_locate():
+    rng = np.random.default_rng(2)
+    s = np.append(rng.integers(2, 5, 400), 0)
+    fm = D.FMIndex(s, 6)
+    pats = [tuple(s[k:k + n]) for k, n in ((3, 3), (50, 5), (399, 1))] + [(5,), (2, 2, 2, 2, 2, 2, 2)]
+    pat = np.zeros((len(pats), 7), np.int64)
+    for k, p in enumerate(pats):
+        pat[k, 7 - len(p):] = p
+    lo, hi = fm.search(pat, np.array([len(p) for p in pats]))
+    for k, p in enumerate(pats):
+        want = [i for i in range(len(s)) if tuple(s[i:i + len(p)]) == p]
+        assert sorted(fm.locate(np.arange(lo[k], hi[k])).tolist()) == want
+
+
+def words(t):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute(docs, bench, window):
+    out = []
+    for t in docs:
+        w, hit, items = words(t), set(), set()
+        for item, text in bench:
+            v = words(text)
+            n = min(window, len(v))
+            for k in range(len(v) - n + 1 if n else 0):
+                for p in range(len(w) - n + 1):
+                    if w[p:p + n] == v[k:k + n]:
+                        hit |= set(range(p, p + n))
+                        items.add(str(item))
+        out.append((len(w), len(hit), sorted(items)))
+    return out
+
+
+texts = st.lists(st.text(st.sampled_from(list("aAbé1 .-\n")), max_size=40), max_size=6)
+
+
+@settings(max_examples=80, deadline=None)
+@given(texts, texts, st.integers(1, 4))
+def test_hits_equal_plain_search(docs, items, window):
+    bench = list(enumerate(items))
+    w = D.windows_of([(str(i), t.encode()) for i, t in bench], window)
+    counts, spans, found = D.scan_shard([t.encode() for t in docs], w)
+    got = [(int(c), sum(b - a for a, b in s), i) for c, s, i in zip(counts, spans, found)]
+    assert got == brute(docs, bench, window)
+
+
+def make(spark, seed=3):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(30)]
+    bench = [(i, " ".join(rng.choices(vocab, k=k))) for i, k in enumerate([12, 25, 3, 10, 0])] + [(1, "w1 W2, w3"), (None, "w5"), (9, None)]
+    docs = []
+    for i in range(40):
+        t = rng.choices(vocab, k=rng.randint(0, 60))
+        if i % 3 == 0:
+            b = bench[i % 4][1].split()
+            t[len(t) // 2:len(t) // 2] = b
+        docs.append((i, rng.choice([" ", ", ", "\n"]).join(t), "keep", i))
+    docs += [docs[0], (50, None, None, 0), (51, "", "x", 0)]
+    return (spark.createDataFrame(docs, "doc_id long, text string, hits string, n_chars long"),
+            spark.createDataFrame(bench, "item_id long, text string"), docs,
+            [(i, t) for i, t in bench if i is not None and t is not None])
+
+
+def test_operator_and_blocks(spark):
+    docs, bench, rows, items = make(spark)
+    want = sorted((r[0], *b) for r, b in zip(rows, brute([r[1] for r in rows], items, 10)))
+    for block_bytes in (1 << 20, 60):          # the whole benchmark at once, and in several passes
+        got = D.find_contamination(docs, bench, block_bytes=block_bytes).collect()
+        assert sorted((r.doc_id, r.hits.n_words, sum(s.end - s.start for s in r.hits.spans), list(r.hits["items"])) for r in got) == want
+
+
+def test_removal_leaves_nothing_and_keeps_the_rest(spark):
+    docs, bench, rows, items = make(spark)
+    got = D.remove_contamination(docs, bench).collect()
+    assert len(got) == len(rows) and got[0].hits == "keep"
+    before = dict(zip([r[0] for r in rows], brute([r[1] for r in rows], items, 10)))
+    for r in got:
+        assert brute([r.text], items, 10)[0][1] == 0
+        if before[r.doc_id][1] == 0:
+            assert (r.doc_id, r.text) in {(x[0], x[1]) for x in rows}
+        if r.text is not None:
+            assert r.n_chars == len(r.text)
+
+
+def test_cut_joins_nothing():
+    assert D.cut("one, two three; four", [(1, 3)]) == "one,  ; four"
+    w = D.windows_of([("a", b"x y")], 2)
+    assert D.scan_shard([b"x x y y"], w)[1] == [[(1, 3)]]      # what is left, "x y", is a window again
+
+
+def test_empty_tables(spark):
+    docs, bench, *_ = make(spark)
+    none = bench.where("false")
+    assert all(not r.hits.spans for r in D.find_contamination(docs, none).collect())
+    assert D.find_contamination(docs.where("false"), bench).count() == 0
+    assert D.remove_contamination(docs.where("false"), none).count() == 0

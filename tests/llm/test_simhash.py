@@ -1,0 +1,140 @@
+"""SimHash near-duplicates (op5): fingerprints, bit-sliced links, components."""
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from accmine.llm import simhash as S
+from accmine.llm.components import connected_components
+from accmine.llm.queries import QUERIES
+
+
+def fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode()
+    w = re.findall(rb"[^\x20\x09-\x0D]+", low)
+    if not w:
+        return 0
+    hs = [xxhash.xxh64_intdigest(b" ".join(w[i:i + 4]), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def components(ids, fps, radius=4):
+    """Smallest id reachable, by a plain search."""
+    out = {}
+    for f in fps:
+        seen, todo = {f}, [f]
+        while todo:
+            g = todo.pop()
+            near = {h for h in fps if (g ^ h).bit_count() <= radius} - seen
+            seen |= near
+            todo += near
+        out[f] = min((i for i, h in zip(ids, fps) if h in seen and i is not None), default=None)
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("aBcé \t\n")), max_size=40), max_size=5), st.integers(1, 3))
+def test_fingerprints(texts, segment):
+    old, S.SEGMENT = S.SEGMENT, segment
+    try:
+        got = [int(f) for f in S.fingerprints([t.encode() for t in texts])]
+    finally:
+        S.SEGMENT = old
+    assert got == [fingerprint(t) for t in texts]
+
+
+def clustered(n, seed):
+    rng = np.random.default_rng(seed)
+    fp = np.repeat(rng.integers(0, 2 ** 63, n // 8 + 1, dtype=np.uint64), 8)[:n]
+    for _ in range(3):
+        fp = fp ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+    return fp
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 4, 6])
+def test_near_pairs_equal_all_pairs(radius):
+    fp = clustered(300, radius)
+    got = set()
+    for i, j in S.near_pairs(fp, np.arange(300) + 1, np.full(300, 300), radius, step=64):
+        got |= set(zip(i.tolist(), j.tolist()))
+    dist = np.bitwise_count(fp[:, None] ^ fp[None, :])
+    assert got == {(a, b) for a in range(300) for b in range(a + 1, 300) if dist[a, b] <= radius}
+
+
+def test_two_sided_groups_compare_sides_only():
+    fp = np.array([0, 1, 0xF0F0, 0xF0F1, 7], np.uint64)
+    a, b = S.spanning_links(fp, np.zeros(5, int), np.array([0, 0, 0, 1, 1]), 4)
+    roots = {(int(x), int(y)) for x, y in zip(a, b)}
+    assert roots == {(0xF0F0, 0xF0F1), (0, 7), (0, 1)}     # 0 and 1 meet through 7
+
+
+def test_block_masks_cover_all_bits():
+    for blocks in (2, 6, 8):
+        masks = S.block_masks(blocks)
+        assert len(masks) == blocks * (blocks - 1) // 2
+        assert np.bitwise_or.reduce(np.array(masks, np.uint64)) == np.uint64(2 ** 64 - 1)
+
+
+@pytest.mark.parametrize("tile", [5, 1000])
+def test_links_reach_the_same_components(spark, tile):
+    fp = clustered(400, 9)
+    df = spark.createDataFrame([(int(f),) for f in np.unique(fp).view(np.int64)], "fp long")
+    links = [(r.a % 2 ** 64, r.b % 2 ** 64) for r in S.link_fingerprints(df, 4, tile).collect()]
+    assert all((a ^ b).bit_count() <= 64 for a, b in links)
+    label = {int(f): int(f) for f in fp}
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        label[max(root(a), root(b))] = min(root(a), root(b))
+    fps = sorted({int(f) for f in fp})
+    want = components(fps, fps)
+    assert {f: root(f) for f in fps} == want
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200 + i) for i in range(30)] + [(7, 7), (300, 301), (301, 300)]
+    rows = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    group = {}
+    for r in rows:
+        group.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, group.values())) == sorted([list(range(41)), [100, *range(200, 230)], [300, 301]])
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+DOCS = [(5, "the quick brown fox jumps over the lazy dog again and again"), (3, "the quick brown fox jumps over the lazy dog again and again"),
+        (4, None), (9, ""), (2, " \n "), (None, "alone words here"), (None, "alone words here"), (8, "One two"), (7, "one TWO"), (6, "x " * 3000)]
+
+
+def test_near_duplicates_on_odd_rows(spark):
+    docs = spark.createDataFrame([(i, t, "e") for i, t in DOCS] + [(5, DOCS[0][1], "e")], "doc_id long, text string, fp string")
+    got = sorted(((r.doc_id, r.fp % 2 ** 64, r.component_id) for r in S.near_duplicates(docs).collect()), key=repr)
+    rows = DOCS + [DOCS[0]]
+    fps = [fingerprint(t) for _, t in rows]
+    comp = components([i for i, _ in rows], fps)
+    assert got == sorted(((i, f, comp[f]) for (i, _), f in zip(rows, fps)), key=repr)
+    assert S.near_duplicates(docs.where("false")).count() == 0
+
+
+def test_keep_one_keeps_all_columns_and_one_row_a_group(spark):
+    docs = spark.createDataFrame([(i, t, "e", 1) for i, t in DOCS] + [(3, DOCS[0][1], "e", 1)],
+                                 "doc_id long, text string, fp string, _row int")
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 2, None, 7, 6], key=str)
+    assert S.keep_one(docs.where("false")).count() == 0
+
+
+def test_query(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    fps = {r.doc_id: fingerprint(r.text) for r in rows}
+    comp = components(list(fps), list(fps.values()))
+    for r in QUERIES["op5_simhash"](spark, sf_dir).collect():
+        assert (r.fingerprint, r.component_id) == (f"{fps[r.doc_id]:016x}", comp[fps[r.doc_id]])
