@@ -6,11 +6,11 @@ after equal words at either end of a gap are matched. Coverage is the share of t
 
 A text is scanned whole: every place where a window of one and a half template lengths holds enough template
 words for the required coverage (a bound that no alignment can pass) is aligned; accepted spans do not
-overlap for one template, and of overlapping spans of several templates the best stays.
+overlap for one template, and of overlapping spans of several templates the one with most aligned words stays.
 
 Defined cases: null or word-less texts have no finding; words are runs of letters, digits and non-ASCII
 characters, lower-cased A-Z, so punctuation and line ends do not matter; ties between templates go to the
-longer one, then to the smaller name; repeated rows are scanned each for itself; other columns are kept.
+greater coverage, then to the smaller name; repeated rows are scanned each for itself; other columns are kept.
 """
 
 from __future__ import annotations
@@ -136,10 +136,10 @@ def scan_words(code: np.ndarray, templates, min_coverage: float, stretch: float)
                 k += 1
             n, p, hit = best[0], -best[1], best[2]
             s, e = p + hit[0][1], p + hit[-1][1] + 1
-            found.append((name, n / len(words), s, e, len(words)))
+            found.append((name, n / len(words), s, e, n))
             done = e
             k = bisect_left(starts, done)
-    found.sort(key=lambda f: (-f[1], -f[4], f[0], f[2]))
+    found.sort(key=lambda f: (-f[4], -f[1], f[0], f[2]))
     kept = []
     for f in found:
         if all(f[3] <= g[2] or g[3] <= f[2] for g in kept):
