@@ -35,6 +35,7 @@ BENCH_BLOCK_BYTES = 32 << 20     # benchmark text broadcast at once; a larger be
 # bytes of word characters keep themselves (A-Z lowered), all others become a blank
 _WORD_BYTES = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
                     for b in (LOWER_AZ[i] for i in range(256)))
+_LOWER = {c: c + 32 for c in range(65, 91)}
 _WORD_RE = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -295,7 +296,7 @@ def remove_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "tex
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
     """``text`` without the words of the spans."""
-    at = [m.span() for m in _WORD_RE.finditer(text)]
+    at = [m.span() for m in _WORD_RE.finditer(text.translate(_LOWER))]
     out, last = [], 0
     for a, b in spans:
         out += [text[last:at[a][0]], " "]

@@ -80,7 +80,7 @@ def make(spark, seed=3):
         if i % 3 == 0:
             b = bench[i % 4][1].split()
             t[len(t) // 2:len(t) // 2] = b
-        docs.append((i, rng.choice([" ", ", ", "\n"]).join(t), "keep", i))
+        docs.append((i, rng.choice([" ", ", ", "\n"]).join(w.upper() if i % 2 else w for w in t), "keep", i))
     docs += [docs[0], (50, None, None, 0), (51, "", "x", 0)]
     return (spark.createDataFrame(docs, "doc_id long, text string, hits string, n_chars long"),
             spark.createDataFrame(bench, "item_id long, text string"), docs,
@@ -110,6 +110,7 @@ def test_removal_leaves_nothing_and_keeps_the_rest(spark):
 
 def test_cut_joins_nothing():
     assert D.cut("one, two three; four", [(1, 3)]) == "one,  ; four"
+    assert D.cut("One, TWO Three; éFour", [(1, 2), (3, 4)]) == "One,   Three;  "
     w = D.windows_of([("a", b"x y")], 2)
     assert D.scan_shard([b"x x y y"], w)[1] == [[(1, 3)]]      # what is left, "x y", is a window again
 
