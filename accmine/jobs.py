@@ -1,107 +1,164 @@
-"""End-to-end batch jobs: the four runs a user of the original tool performs, as Spark jobs.
+"""End-to-end batch jobs: the runs a user of the original tool performs, as Spark jobs.
 
-* ``mine_corpus``     corpus files -> findings table (one partition per corpus file) + rejects
+* ``mine_corpus``     corpus files -> findings of the run (one folder per corpus file) + rejects
 * ``update_results``  findings batches -> append unseen articles to the results table + watermark
+* ``run_incremental`` resume, mine, append, move the watermark
+* ``combine_batches`` findings CSV batches -> one deduplicated table + statistics
 * ``export_links``    results -> link feed (XML) and resource list (CSV)
 * ``export_search``   results + entities + catalogue -> refreshed metadata cache + search feed
+
+Mining runs are kept side by side (``findings/run=…``, ``rejects/run=…``) with the list of files that each
+run processed (``files/run=…``, written last). What holds for a file is what the latest run that
+processed it found, also if that is nothing: see ``current``.
 """
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions.fixed import CONTEXT_WINDOW
-from .operators import enrich, incremental, summarize
+from . import schemas
+from .functions.fixed import CONTEXT_WINDOW, CORPUS_SUFFIX
+from .functions.text import source_file_from_path
+from .operators import dedup, enrich, incremental, summarize
 from .operators.articles import findings_from_articles
 from .operators.mine import DEFAULT_PATTERN, AccessionPattern
 from .operators.parse import parse_articles
+from .session import scratch_path
 from .sinks import feeds
 from .sinks.tables import stage, write_version
-from .sources.corpus import read_articles
-from .sources.tables import read_entity_meta, read_watermark
+from .sources.corpus import corpus_files, read_articles, read_findings_csv
+from .sources.tables import read_entity_meta, read_results, read_watermark
+
+FILES_PER_SLICE = 1000    # file names that the driver holds at once
+
 
+def new_run() -> str:
+    """A name for a run; later runs sort after earlier ones."""
+    return f"r{time.time_ns():020d}"
 
-def mine_corpus(spark: SparkSession, corpus_path: str, out_path: str, window: int = CONTEXT_WINDOW,
+
+def mine_corpus(spark: SparkSession, corpus_path, out_path: str, window: int = CONTEXT_WINDOW,
                 case_rule: str = "reference", pattern: AccessionPattern = DEFAULT_PATTERN,
                 partitions: int | None = None, glob: str | None = None, keep_rejects: bool = False,
-                metrics: Observation | None = None, prefilter: bool = False) -> DataFrame:
-    """Mine every article of the corpus into ``out_path/findings`` (parquet, partitioned by
-    source file, dynamic overwrite: re-mining a file replaces only that file's findings).
-
-    With ``keep_rejects`` the articles are parsed once into ``out_path/parsed`` (text, plus the
-    raw XML of articles that failed to parse) and both the findings and ``out_path/rejects``
-    are derived from it, so the Python parse never runs twice. With ``metrics`` (an
-    ``Observation``) the job also reports articles seen / parsed / with an id while it runs,
-    without an extra pass (V4 live counts). Returns the findings as written."""
+                metrics: Observation | None = None, run: str | None = None) -> DataFrame:
+    """Mine every article of the corpus (a folder, a file or a list of files) and return the run's findings
+    as written below ``out_path/findings/run=…``.
+
+    When only findings are wanted, articles that cannot hold an id are left out before the Python parse (see
+    ``parse.may_hold_id``; the findings are the same). With ``keep_rejects`` every article is parsed, once:
+    the parse is staged (text, and the raw XML of articles that failed) and the findings and
+    ``out_path/rejects/run=…`` are made from it. With ``metrics`` (an ``Observation``) the job also reports
+    articles seen / parsed / with an id while it runs, without an extra pass (V4 live counts)."""
+    run = run or new_run()
     raw = read_articles(spark, corpus_path, glob=glob)
-    pre = pattern.prefix if prefilter else None  # opt-in: see parse_articles
-    if keep_rejects:
-        p = parse_articles(raw.withColumn("raw", F.col("xml")), "xml", ("source_file", "raw"), partitions, pre)
-        (p.select("source_file", "ok", "pmc_id", "text", F.when(~F.col("ok"), F.col("raw")).alias("xml"))
-          .write.mode("overwrite").parquet(f"{out_path}/parsed"))
-        parsed = spark.read.parquet(f"{out_path}/parsed")
-        parsed.where(~F.col("ok")).select("source_file", "xml").write.mode("overwrite").parquet(f"{out_path}/rejects")
-    else:
-        parsed = parse_articles(raw, "xml", ("source_file",), partitions, pre)
+    audited = keep_rejects or metrics is not None
+    keep = ("source_file", "xml") if keep_rejects else ("source_file",)
+    parsed = parse_articles(raw, "xml", keep, partitions, None if audited else pattern.prefix)
     if metrics is not None:
         parsed = parsed.observe(metrics, F.count(F.lit(1)).alias("articles"),
                                 F.count_if(F.col("ok")).alias("parsed"),
                                 F.count_if(F.col("pmc_id").isNotNull()).alias("with_id"))
+    if keep_rejects:
+        parsed = stage(parsed.select("source_file", "ok", "reason", "pmc_id", "text",
+                                     F.when(~F.col("ok"), F.col("xml")).alias("xml")), scratch_path(spark, "parsed"))
+        (parsed.where(~F.col("ok")).select("source_file", "xml", "reason").hint("rebalance")
+               .write.mode("overwrite").parquet(f"{out_path}/rejects/run={run}"))
     found = findings_from_articles(parsed, ("source_file",), window, case_rule, pattern)
-    (found.select("pmcid", "synid", "context", "source_file").write
-          .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-          .partitionBy("source_file").parquet(f"{out_path}/findings"))
-    return spark.read.parquet(f"{out_path}/findings")
+    # findings are few beside the text: gathered by file and cut by size, whatever the number of parse tasks
+    (found.select("pmcid", "synid", "context", "source_file").hint("rebalance", "source_file")
+          .write.mode("overwrite").partitionBy("source_file").parquet(f"{out_path}/findings/run={run}"))
+    listing = spark.read.format("binaryFile")
+    listing = listing.option("pathGlobFilter", glob) if glob else listing
+    (listing.load(corpus_path).select(source_file_from_path("path").alias("source_file")).distinct()
+            .write.mode("overwrite").parquet(f"{out_path}/files/run={run}"))
+    return spark.read.schema(schemas.FINDINGS).parquet(f"{out_path}/findings/run={run}")
+
+
+def current(spark: SparkSession, out_path: str, what: str = "findings") -> DataFrame:
+    """The findings (or ``"rejects"``) that hold now: for every file those of the latest run that processed
+    it. A file that was mined again and has none any more has none."""
+    schema = {"findings": schemas.FINDINGS, "rejects": schemas.REJECTS}[what]
+    with_run = StructType([*schema.fields, StructField("run", StringType())])
+    latest = (spark.read.schema(schemas.RUN_FILES).parquet(f"{out_path}/files")
+                   .groupBy("source_file").agg(F.max("run").alias("run")))
+    rows = spark.read.schema(with_run).parquet(f"{out_path}/{what}")
+    return rows.join(latest, ["source_file", "run"], "left_semi").select(*schema.fieldNames())
+
+
+def move_watermark(spark: SparkSession, path: str, processed: DataFrame) -> None:
+    """Write the highest start id of the processed files (column ``file_name``, K8) unless a higher one is
+    there; without a file with a range nothing is written. The position never moves back."""
+    row = incremental.watermark(processed).first()
+    old = read_watermark(spark, path)
+    if row is None or (old is not None and int(old[3:]) >= row.start_pmc):
+        return
+    stamp = datetime.now(timezone.utc).isoformat()
+    (spark.createDataFrame([(row.last_processed_pmc_id, row.start_pmc, stamp)], schemas.WATERMARK).coalesce(1)
+          .write.mode("append").parquet(path))
 
 
 def update_results(spark: SparkSession, findings: DataFrame, results_path: str,
-                   check_duplicates: bool = True, watermark_path: str | None = None) -> DataFrame:
-    """Append findings of articles not yet stored to the results table (J2 + J1 + K3).
-    Batches are the ``source_file`` values; the first batch by name wins an article.
-    With ``watermark_path`` the highest processed start id is written there (K8)."""
-    try:
-        stored = spark.read.parquet(results_path).select("pmcid")
-    except Exception as exc:  # first run: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        stored = spark.createDataFrame([], "pmcid string")
-    new = incremental.first_batch_wins(findings, stored, check_duplicates=check_duplicates)
+                   check_duplicates: bool = True, watermark_path: str | None = None,
+                   processed: DataFrame | None = None) -> DataFrame:
+    """Append findings of articles not yet stored to the results table (J2 + J1 + K3) and return the
+    appended rows. Batches are the ``source_file`` values; the first batch by name wins an article.
+
+    With ``watermark_path`` the position moves over the ``processed`` files (column ``file_name``; default:
+    the files with findings)."""
+    stored = read_results(spark, results_path).select("pmcid")
+    new = stage(incremental.first_batch_wins(findings, stored, check_duplicates=check_duplicates),
+                scratch_path(spark, "new-results"))
     new.select("pmcid", "synid", "context").write.mode("append").parquet(results_path)
     if watermark_path:
-        done = findings.select(F.col("source_file").alias("file_name")).distinct()
-        stamp = datetime.now(timezone.utc).isoformat()
-        incremental.watermark(done, stamp).write.mode("overwrite").parquet(watermark_path)
+        if processed is None:
+            processed = findings.select(F.col("source_file").alias("file_name")).distinct()
+        move_watermark(spark, watermark_path, processed)
     return new
 
 
 def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, watermark_path: str,
-                    out_path: str, max_files: int | None = None, **mine_args) -> DataFrame:
-    """The weekly run as one batch job: resume from the saved position, mine the corpus files
-    from there on (at most ``max_files``, in id order), append findings of unseen articles, and
-    move the position only after everything succeeded. The resume is inclusive, so the last
-    file is mined again; the anti join drops its articles. Returns the appended rows.
-
-    (``streaming.ingest`` gives the same with a checkpoint instead of a saved position.)"""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(corpus_path)
-                    .select("path"))  # content is not selected, so no file is read
-    names = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
-    files = incremental.file_catalog(names).join(names, "file_name")
-    chosen = incremental.resume_files(files, read_watermark(spark, watermark_path), max_files)
-    picked = chosen.select("file_name", "path").collect()  # file names only: metadata
-    if not picked:
-        return spark.createDataFrame([], "pmcid string, synid string, context string, source_file string")
-    found = mine_corpus(spark, [r.path for r in picked], out_path, **mine_args)
-    # only this run's files (partition pruning on the findings table)
-    found = found.where(F.col("source_file").isin([r.file_name for r in picked]))
-    new = update_results(spark, found, results_path)
-    # the position moves over every processed file, with or without findings
-    done = spark.createDataFrame([(r.file_name,) for r in picked], "file_name string")
-    stamp = datetime.now(timezone.utc).isoformat()
-    incremental.watermark(done, stamp).write.mode("overwrite").parquet(watermark_path)
-    return new
+                    out_path: str, max_files: int | None = None, suffix: str = CORPUS_SUFFIX,
+                    files_per_slice: int = FILES_PER_SLICE, **mine_args) -> DataFrame:
+    """The weekly run as one batch job: resume from the saved position, mine the corpus files from there on
+    (at most ``max_files``, in id order), append findings of unseen articles, and move the position after
+    the files are done. Returns the appended rows.
+
+    The resume is inclusive, so the last file is mined again; the anti join drops its articles. Files are
+    taken in slices, so the driver never holds more than ``files_per_slice`` names, and a failed run keeps
+    the slices before. (``streaming.ingest`` gives the same with a checkpoint instead of a position.)"""
+    none = StructType([*schemas.RESULTS.fields, StructField("source_file", StringType())])
+    files = stage(incremental.file_catalog(corpus_files(spark, corpus_path, suffix)), scratch_path(spark, "corpus-files"))
+    start = read_watermark(spark, watermark_path)
+    after = F.lit(True) if start is None else F.col("start_pmc") >= int(start[3:])
+    left, appended = max_files, []
+    while left is None or left > 0:
+        n = files_per_slice if left is None else min(left, files_per_slice)
+        picked = files.where(after).orderBy("start_pmc", "file_name").limit(n).collect()
+        if not picked:
+            break
+        found = mine_corpus(spark, [p for r in picked for p in r.paths], out_path, **mine_args)
+        done = spark.createDataFrame([(r.file_name,) for r in picked], "file_name string")
+        appended.append(update_results(spark, found, results_path, watermark_path=watermark_path, processed=done))
+        last = picked[-1]
+        after = (F.col("start_pmc") > last.start_pmc) | ((F.col("start_pmc") == last.start_pmc) & (F.col("file_name") > last.file_name))
+        left = None if left is None else left - len(picked)
+    return dedup.union_batches(appended) if appended else spark.createDataFrame([], none)
+
+
+def combine_batches(spark: SparkSession, in_path: str, out_path: str, glob: str = "*.csv",
+                    source_file: bool = True) -> DataFrame:
+    """Findings CSV batches of a folder -> one deduplicated CSV table below ``out_path/combined``
+    and a row of statistics (A4), returned and written below ``out_path/stats``. Rows equal in all but their
+    batch keep the first batch by name; without ``source_file`` the batch is not written."""
+    batches = stage(read_findings_csv(spark, in_path, glob), scratch_path(spark, "batches"))
+    combined = dedup.combine_dedup(batches)
+    feeds.write_csv((combined if source_file else combined.drop("source_file")).hint("rebalance"), f"{out_path}/combined")
+    return stage(dedup.combine_stats(batches), f"{out_path}/stats")
 
 
 def export_links(spark: SparkSession, results: DataFrame, out_dir: str, provider_id: int,
@@ -118,12 +175,12 @@ def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame,
                   cfg: enrich.PortalConfig = enrich.PortalConfig(), partitions: int | None = None) -> str:
     """Refresh the metadata cache (new version under ``cache_root``) and write the search feed.
     Returns the path of the new cache version."""
-    portals = enrich.portal_table(catalog, apps, cfg)
-    pairs = summarize.citation_pairs(results)
+    portals = stage(enrich.portal_table(catalog, apps, cfg), scratch_path(spark, "portals"))
+    pairs = stage(summarize.citation_pairs(results), scratch_path(spark, "cited-pairs"))
     new_cache = enrich.refresh_cache(pairs, read_entity_meta(spark, cache_path), entities, portals, cfg, refresh)
     version = write_version(new_cache, cache_root)
     cache = spark.read.parquet(version)
-    entries = stage(enrich.search_entries(pairs, cache, cfg), f"{cache_root.rstrip('/')}/_entries")
+    entries = stage(enrich.search_entries(pairs, cache, cfg), scratch_path(spark, "entries"))
     lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
-    feeds.write_search_feed(lines, out_path, partitions, staging=f"{cache_root.rstrip('/')}/_feed_lines")
+    feeds.write_search_feed(lines, out_path, partitions, staging=scratch_path(spark, "feed-lines"))
     return version

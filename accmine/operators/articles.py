@@ -22,8 +22,8 @@ def findings_from_articles(parsed: DataFrame, keep=("source_file",), window: int
 
 
 def rejects(parsed: DataFrame, keep=("source_file",)) -> DataFrame:
-    """Articles that did not parse (V2)."""
-    return parsed.where(~F.col("ok")).select(*keep)
+    """Articles that did not parse (V2), with the parser's reason."""
+    return parsed.where(~F.col("ok")).select(*keep, "reason")
 
 
 def coverage(parsed: DataFrame, file_col: str = "source_file", window: int = CONTEXT_WINDOW,

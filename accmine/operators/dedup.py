@@ -1,4 +1,4 @@
-"""Deduplication (A2, A3, A7) and batch union (U1). All are hash aggregates with
+"""Deduplication (A2, A3, A7), combine statistics (A4) and batch union (U1). All are aggregates with
 map-side partial aggregation, so a hot key is pre-reduced before the shuffle."""
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_curie
+from .incremental import batch_order
 
 
 def distinct_links(results: DataFrame) -> DataFrame:
@@ -18,22 +19,32 @@ def distinct_links(results: DataFrame) -> DataFrame:
     return results.where(ok).select(strip_curie("pmcid").alias("pmcid"), "synid").distinct()
 
 
+def _groups(batches: DataFrame, order: DataFrame, batch_col: str) -> DataFrame:
+    """Distinct rows (all columns but the batch; nulls are equal) with the ordinal of their first batch and
+    the number of rows."""
+    keys = [c for c in batches.columns if c != batch_col]
+    numbered = batches.join(order, F.col(batch_col).eqNullSafe(F.col("batch"))).select(*keys, "ordinal")
+    return numbered.groupBy(*keys).agg(F.min("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("rows"))
+
+
 def combine_dedup(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
     """Rows equal in every column but the batch keep the first batch by name (A3); nulls compare equal."""
-    keys = [c for c in batches.columns if c != batch_col]
-    return batches.groupBy(*keys).agg(F.min(batch_col).alias(batch_col))
+    order = batch_order(batches, batch_col)
+    return (_groups(batches, order, batch_col).join(order, "ordinal")
+            .withColumnRenamed("batch", batch_col).select(*batches.columns))
 
 
 def combine_stats(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
-    """rows_before, rows_after, unique_synids, files (A4) as one row, without a cross join."""
-    before = batches.agg(F.count(F.lit(1)).alias("rows_before"),
-                         F.count_distinct("synid").alias("unique_synids"),
-                         F.count_distinct(batch_col).alias("files"),
-                         F.lit(None).cast("bigint").alias("rows_after"))
-    after = combine_dedup(batches, batch_col).agg(
-        F.lit(None).cast("bigint").alias("rows_before"), F.lit(None).cast("bigint").alias("unique_synids"),
-        F.lit(None).cast("bigint").alias("files"), F.count(F.lit(1)).alias("rows_after"))
-    return before.unionByName(after).agg(
+    """rows_before, rows_after, unique_synids, files (A4) as one row, from one pass over the batches: the
+    distinct rows carry their counts, and the files are the rows of the batch order."""
+    order = batch_order(batches, batch_col)
+    none = F.lit(None).cast("bigint")
+    rows = _groups(batches, order, batch_col).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
+        F.count_distinct("synid").alias("unique_synids"), none.alias("files"))
+    files = order.agg(none.alias("rows_before"), none.alias("rows_after"), none.alias("unique_synids"),
+                      F.count("batch").alias("files"))
+    return rows.unionByName(files).agg(
         *[F.max(c).alias(c) for c in ("rows_before", "rows_after", "unique_synids", "files")])
 
 

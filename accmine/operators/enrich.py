@@ -1,8 +1,7 @@
 """Enrichment of ids with catalogue and entity metadata.
 
-Catalogue and app tables are small dimensions: they are broadcast behind a row
-check. Entity metadata grows with the number of ids, so it is joined by key and
-left to AQE (broadcast only if it turns out small at run time).
+All lookups are equi-joins; the optimizer broadcasts a side when its size in bytes allows and shuffles
+otherwise, so nothing here depends on how large the dimensions are.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import iso_date, parent_id
-from .joins import BROADCAST_MAX_ROWS, within_rows
 
 
 @dataclass(frozen=True)
@@ -27,41 +25,32 @@ class PortalConfig:
     id_prefix: str = "syn"
 
 
-def _last_per_key(df: DataFrame, key: str, order_col: str | None) -> DataFrame:
-    """One row per key; with ``order_col`` the last row wins (like filling a dict), else the greatest."""
-    rest = [c for c in df.columns if c != key and c != order_col]
-    pick = (F.max_by(F.struct(*rest), F.col(order_col)) if order_col else F.max(F.struct(*rest)))
-    return df.groupBy(key).agg(pick.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
+def _last_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
+    """One row per key, the one with the greatest ``order_col``: like filling a dictionary row by row, the
+    last row wins, also when its values are null."""
+    rest = [c for c in df.columns if c not in (key, order_col)]
+    return (df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order_col)).alias("_r"))
+              .select(key, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 def catalog_names(catalog: DataFrame, apps: DataFrame, cfg: PortalConfig = PortalConfig(),
-                  order_col: str | None = None, broadcast_apps: bool | None = None) -> DataFrame:
+                  order_col: str = "ord") -> DataFrame:
     """id, app_id, link, repository: catalogue rows with the app's friendly name.
 
-    A missing app id reads as ''; an empty link as null; an unknown app gets the default name.
-    ``broadcast_apps=None`` checks the app table's row bound first."""
-    if broadcast_apps is None:
-        broadcast_apps = within_rows(apps)
-    apps1 = _last_per_key(apps, "app_id", None)
-    cat = catalog.select("id", F.coalesce(F.col("app_id"), F.lit("")).alias("app_id"),
-                         F.nullif(F.col("link"), F.lit("")).alias("link"),
-                         *([order_col] if order_col else []))
-    cat = _last_per_key(cat, "id", order_col)
-    j = cat.join(F.broadcast(apps1) if broadcast_apps else apps1, "app_id", "left")
-    return j.select("id", "app_id", "link",
-                    F.coalesce(F.col("friendly_name"), F.lit(cfg.default_repository)).alias("repository"))
+    Both tables have an order column; of several rows for an id or an app the last one counts. A missing
+    app id reads as ''; an empty link as null; an unknown app gets the default name."""
+    cat = _last_per_key(catalog.select("id", F.coalesce(F.col("app_id"), F.lit("")).alias("app_id"),
+                                       F.nullif(F.col("link"), F.lit("")).alias("link"), order_col), "id", order_col)
+    names = _last_per_key(apps.select("app_id", "friendly_name", order_col), "app_id", order_col)
+    return cat.join(names, "app_id", "left").select(
+        "id", "app_id", "link", F.coalesce(F.col("friendly_name"), F.lit(cfg.default_repository)).alias("repository"))
 
 
 def portal_table(catalog: DataFrame, apps: DataFrame, cfg: PortalConfig = PortalConfig(),
-                 order_col: str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """The catalogue resolved to (id, repository, link, hit), ready for lookups.
-
-    Both inputs are checked once against ``max_rows``; the result has at most one row per
-    catalogue id, so within the bound it is marked for broadcast, beyond it the joins shuffle."""
-    small = within_rows(catalog, max_rows) and within_rows(apps, max_rows)
-    t = catalog_names(catalog, apps, cfg, order_col, broadcast_apps=small).select(
-        "id", "repository", "link", F.lit(True).alias("hit"))
-    return F.broadcast(t) if small else t
+                 order_col: str = "ord") -> DataFrame:
+    """The catalogue resolved to (id, repository, link, hit), ready for lookups. It is used for an entity and
+    its parent, for old and new entries alike: stage it once where it is used several times."""
+    return catalog_names(catalog, apps, cfg, order_col).select("id", "repository", "link", F.lit(True).alias("hit"))
 
 
 def portal_resolve(entities: DataFrame, portals: DataFrame, cfg: PortalConfig = PortalConfig()) -> DataFrame:

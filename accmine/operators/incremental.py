@@ -1,52 +1,77 @@
-"""Keeping the results table current."""
+"""Keeping the results table current.
+
+Joins on the article id meet hot articles (one article with a large share of all rows). Spark splits such a
+key only if both inputs of the join are plain shuffles, so what an aggregate makes is staged first.
+"""
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed import CORPUS_FILE_RANGE
+from ..functions.fixed import CORPUS_FILE_RANGE, CORPUS_SUFFIX, LISTING_HREF
 from ..functions.text import file_range
+from ..session import scratch_path
+from ..sinks.tables import stage
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    return stage(df, scratch_path(df.sparkSession, name))
 
 
 def new_rows(findings: DataFrame, results: DataFrame, check_duplicates: bool = True) -> DataFrame:
     """Findings of articles not yet in ``results`` (J1). An article already stored is skipped as a
     whole, even if it brings new ids.
 
-    The stored ids are de-duplicated first: the partial aggregate runs before the shuffle, so
-    an article stored with millions of rows reaches the join as one row per map task, and the
-    final aggregate's partitioning on ``pmcid`` is reused by the join. A hot article on the
-    findings side is split by AQE's skew handling (left anti joins split the left side). AQE
-    turns the join into a broadcast only when the stored side turns out small at run time."""
+    The stored table is only scanned: a semi join with the batch's distinct ids leaves the ids that are in
+    both (at most the batch's articles). They are staged, and the anti join against them is a join of two
+    plain inputs, so a hot article of the batch is split over tasks."""
     if not check_duplicates:
         return findings
-    return findings.join(results.select("pmcid").distinct(), "pmcid", "left_anti")
+    batch = findings.select("pmcid").distinct()
+    hit = _staged(results.select("pmcid").join(batch, "pmcid", "left_semi").distinct(), "stored-articles")
+    return findings.join(hit, "pmcid", "left_anti")
+
+
+def batch_order(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
+    """(batch, ordinal) of the distinct batch names in name order: one row for each file. Comparing numbers
+    instead of names keeps the aggregates over all rows hash aggregates."""
+    names = batches.select(F.col(batch_col).alias("batch")).distinct()
+    return _staged(names.select("batch", F.row_number().over(Window.orderBy("batch")).cast("bigint").alias("ordinal")),
+                   "batch-order")
 
 
 def first_batch_wins(batches: DataFrame, results: DataFrame, batch_col: str = "source_file",
                      check_duplicates: bool = True) -> DataFrame:
     """Batches appended one after another, each checked against what is stored.
 
-    An article in several batches keeps only the rows of its first batch (file-name order),
-    and none at all if it was stored before. Expressed as a partial aggregate of the first
-    batch per article, an equi-join on the article (AQE splits a hot article's partition),
-    then the anti join, which reuses the join's partitioning on ``pmcid``."""
-    first = batches.groupBy("pmcid").agg(F.min(batch_col).alias("_first"))
-    # ``<=`` against the minimum means ``==``, but unlike ``==`` Catalyst does not turn it into a
-    # second join key, so the join stays partitioned on ``pmcid`` alone and the anti join that
-    # follows reuses that partitioning (one shuffle of the batches instead of two).
-    kept = (batches.join(first, "pmcid").where(F.col(batch_col) <= F.col("_first")).drop("_first"))
-    return new_rows(kept, results, check_duplicates)
+    An article in several batches keeps only the rows of its first batch (file-name order), and none at all
+    if it was stored before. The stored articles are taken out first; the first batch of each remaining
+    article is a partial aggregate, staged, and the join that keeps its rows splits hot articles."""
+    fresh = new_rows(batches, results, check_duplicates)
+    numbered = _staged(fresh.join(batch_order(batches, batch_col), F.col(batch_col).eqNullSafe(F.col("batch")))
+                       .drop("batch"), "numbered-batches")
+    first = _staged(numbered.groupBy("pmcid").agg(F.min("ordinal").alias("first")), "first-batches")
+    # ``<=`` against the minimum means ``==`` without becoming a second join key
+    return (numbered.join(first, "pmcid").where(F.col("ordinal") <= F.col("first")).select(*batches.columns))
+
+
+def listed_files(pages: DataFrame, html_col: str = "html", suffix: str = CORPUS_SUFFIX) -> DataFrame:
+    """File names that listing pages link to (S3): hrefs that end in the archive's suffix, so checksums and
+    file lists beside the archives are left out."""
+    hrefs = pages.select(F.explode(F.regexp_extract_all(html_col, F.lit(LISTING_HREF), F.lit(1))).alias("file_name"))
+    return hrefs.where(F.col("file_name").endswith(suffix)).distinct()
 
 
 def file_catalog(names: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Corpus file names -> file_name, start_pmc, end_pmc, start_id; names without a range are dropped."""
-    r = file_range(name_col)
-    return (names.select(F.col(name_col).alias("file_name"), r.alias("r"))
+    """Corpus file names -> file_name, start_pmc, end_pmc, start_id and any further columns (a path); names
+    without a range are dropped (S2, X11)."""
+    rest = [c for c in names.columns if c != name_col]
+    return (names.select(F.col(name_col).alias("file_name"), file_range(name_col).alias("r"), *rest)
                  .where(F.col("r.start_pmc").isNotNull() & F.col("r.end_pmc").isNotNull())
-                 .select("file_name", "r.start_pmc", "r.end_pmc", "r.start_id"))
+                 .select("file_name", "r.start_pmc", "r.end_pmc", "r.start_id", *rest))
 
 
 def resume_point(files: DataFrame, start_from: str | None) -> int | None:
@@ -64,7 +89,7 @@ def resume_point(files: DataFrame, start_from: str | None) -> int | None:
 def resume_files(files: DataFrame, start_from: str | None = None, max_files: int | None = None) -> DataFrame:
     """Files in id order from the resume point on, at most ``max_files`` (F1, F2).
 
-    A resume point past the last file gives no files (the reference restarted from the first)."""
+    A resume point past the last file gives no files (the original restarted from the first)."""
     n = resume_point(files, start_from)     # None (no or unknown start): from the beginning
     out = files if n is None else files.where(F.col("start_pmc") >= F.lit(n))
     out = out.orderBy("start_pmc", "file_name")
@@ -72,7 +97,7 @@ def resume_files(files: DataFrame, start_from: str | None = None, max_files: int
 
 
 def watermark(processed_files: DataFrame, updated_at: str | None = None) -> DataFrame:
-    """One row: the highest starting id over all processed files (K8), by number not by string."""
+    """At most one row: the highest starting id over all processed files (K8), by number not by string."""
     r = file_range("file_name")
     agg = (processed_files.select(r.alias("r")).where(F.col("r.start_pmc").isNotNull())
            .agg(F.max("r.start_pmc").alias("start_pmc")))

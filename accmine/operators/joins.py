@@ -1,47 +1,44 @@
-"""Join helpers."""
+"""Spreading narrow work over the cluster."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension above this many rows is joined by shuffle instead of being broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
+TASK_BYTES = 128 << 20    # input bytes meant for one task
 
 
-_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
-
-
-def within_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows.
-    The answer is kept per DataFrame object (an immutable plan over unchanged inputs)."""
-    key = (id(df), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = (df, df.limit(max_rows + 1).count() <= max_rows)
-    return _CHECKED[key][1]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows; past the bound the plain
-    DataFrame is returned and the optimizer (with AQE) picks a shuffle join."""
-    return F.broadcast(df) if within_rows(df, max_rows) else df
-
-
-def spread(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition ``df`` on ``keys`` only when its scan has fewer partitions than the
-    cluster can run at once (e.g. one large file with a single row group, or gzip files, which
-    cannot be split). A wide scan is returned unchanged, so no text is shuffled needlessly.
-
-    Hashing on the keys (not round-robin) keeps the assignment deterministic on task retry."""
+def scan_tasks(df: DataFrame, splittable: bool = True) -> tuple[int, int] | None:
+    """(tasks that the scan can use, estimated bytes), from the file listing and the plan's statistics only:
+    no job runs. None if the plan does not read files or gives no estimate."""
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
+        files = len(df.inputFiles())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:        # no classic plan (Spark Connect)
+        return None
+    if not files or size >= 1 << 60:
+        return None
+    per_split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return (max(files, -(-size // per_split)) if splittable else files), size
+
+
+def spread(df: DataFrame, keys, partitions: int | None = None, splittable: bool = True, expansion: float = 1.0,
+           task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Hash-repartition ``df`` on ``keys`` if its scan would leave the cluster idle or its tasks too large.
+
+    Splittable files are cut by Spark itself: they are spread only when the whole input has fewer splits
+    than the cluster has cores. Files that cannot be split (gzip) are one task each: they are spread, to
+    about ``task_bytes`` of expanded content a task, when they are fewer than the cores or larger than that.
+    Hashing on the keys (not round-robin) keeps the assignment the same when a task is retried."""
+    if partitions is None:
+        scan = scan_tasks(df, splittable)
+        if scan is None:
             return df
-    except Exception:  # no RDD view (e.g. Spark Connect): keep the input partitioning
-        if not min_partitions:
+        tasks, size = scan
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        wanted = max(cores, -(-int(size * expansion) // task_bytes))
+        if tasks >= (cores if splittable else wanted):
             return df
-        target = min_partitions
+        partitions = cores if splittable else wanted
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return df.repartition(target, F.xxhash64(*cols))
+    return df.repartition(partitions, F.xxhash64(*cols))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_curie
+from ..session import scratch_path
+from ..sinks.tables import stage
 
 
 def citation_pairs(results: DataFrame) -> DataFrame:
@@ -17,9 +19,12 @@ def citation_pairs(results: DataFrame) -> DataFrame:
 
 
 def citations_by_id(results: DataFrame) -> DataFrame:
-    """synid, pmcid, n_articles: each citing article of an id plus the id's article count (A1)."""
-    pairs = citation_pairs(results)
-    counts = pairs.groupBy("synid").agg(F.count(F.lit(1)).alias("n_articles"))
+    """synid, pmcid, n_articles: each citing article of an id plus the id's article count (A1).
+
+    Pairs and counts are staged, so the join's inputs are plain shuffles and a heavily cited id is split."""
+    spark = results.sparkSession
+    pairs = stage(citation_pairs(results), scratch_path(spark, "citation-pairs"))
+    counts = stage(pairs.groupBy("synid").agg(F.count(F.lit(1)).alias("n_articles")), scratch_path(spark, "citation-counts"))
     return pairs.join(counts, "synid")
 
 

@@ -30,18 +30,29 @@ ENTITY_V = """entity_v AS (
          '2024-01-' || lpad(CAST(1 + p_size % 28 AS VARCHAR), 2, '0') || 'T00:00:00.000Z' AS created_on
   FROM part WHERE p_partkey % 10 <> 7)"""
 
+GAPS_V = """gaps_v AS (
+  SELECT CASE WHEN n % 50 = 1 THEN NULL WHEN n % 50 = 2 THEN '' ELSE pmcid END AS pmcid,
+         CASE WHEN n % 50 = 3 THEN '' WHEN n % 50 = 4 THEN NULL ELSE synid END AS synid, context, source_file
+  FROM (SELECT *, CAST(substring(pmcid, 8) AS BIGINT) AS n FROM findings_v))"""
+
 CATALOG_V = """catalog_v AS (
   SELECT 'syn' || CAST(900000 + s_suppkey AS VARCHAR) AS id, 'app' || CAST(s_nationkey AS VARCHAR) AS app_id,
          CASE WHEN s_suppkey % 4 = 0 THEN NULL
-              ELSE 'https://portal.example.org/' || CAST(s_suppkey AS VARCHAR) END AS link
-  FROM supplier WHERE s_suppkey < 30
+              ELSE 'https://portal.example.org/' || CAST(s_suppkey AS VARCHAR) END AS link, s_suppkey AS ord
+  FROM supplier WHERE s_suppkey % 5 <> 0
+  UNION ALL
+  SELECT 'syn' || CAST(900000 + s_suppkey AS VARCHAR), 'app' || CAST(s_nationkey + 1 AS VARCHAR), NULL, s_suppkey + 1000000000
+  FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 7 = 3
   UNION ALL
-  SELECT 'syn' || CAST(1000000 + p_partkey AS VARCHAR), 'app99', NULL FROM part WHERE p_partkey % 100 = 3)"""
+  SELECT 'syn' || CAST(1000000 + p_partkey AS VARCHAR), 'app99', NULL, p_partkey + 2000000000 FROM part WHERE p_partkey % 100 = 3),
+catalog_last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC) AS back FROM catalog_v) WHERE back = 1)"""
 
 APP_V = """app_v AS (
-  SELECT DISTINCT 'app' || CAST(s_nationkey AS VARCHAR) AS app_id,
-         'Portal ' || CAST(s_nationkey AS VARCHAR) AS friendly_name
-  FROM supplier WHERE s_nationkey % 5 <> 0)"""
+  SELECT DISTINCT 'app' || CAST(s_nationkey AS VARCHAR) AS app_id, 'Portal ' || CAST(s_nationkey AS VARCHAR) AS friendly_name, 1 AS ord
+  FROM supplier WHERE s_nationkey % 5 <> 0
+  UNION ALL
+  SELECT DISTINCT 'app' || CAST(s_nationkey AS VARCHAR), 'Zz portal ' || CAST(s_nationkey AS VARCHAR), 0
+  FROM supplier WHERE s_nationkey % 5 <> 0 AND s_nationkey % 3 = 1)"""
 
 
 def text_v(upper_second: bool = False, repeat_first: bool = False) -> str:
@@ -107,7 +118,7 @@ catalog AS (
   FROM names WHERE regexp_matches(file_name, 'PMC([0-9]+)_PMC([0-9]+)'))"""
 
 
-APPS1 = "apps1 AS (SELECT app_id, max(friendly_name) AS friendly_name FROM app_v GROUP BY app_id)"
+APPS1 = "apps1 AS (SELECT app_id, arg_max(friendly_name, ord) AS friendly_name FROM app_v GROUP BY app_id)"
 
 
 def cache_ctes() -> str:
@@ -115,7 +126,7 @@ def cache_ctes() -> str:
     return APPS1 + """,
 cat AS (SELECT c.id, coalesce(c.app_id, '') AS app_id, nullif(c.link, '') AS link,
                coalesce(a.friendly_name, 'Repository') AS repository
-        FROM catalog_v c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id),
+        FROM catalog_last c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id),
 ent AS (SELECT id, coalesce(nullif(name, ''), id) AS name, coalesce(substring(created_on, 1, 10), '') AS created_on,
                CASE WHEN benefactor_id IS NOT NULL AND benefactor_id <> 0
                     THEN 'syn' || CAST(benefactor_id AS VARCHAR) END AS parent_id
@@ -133,9 +144,13 @@ new_cache AS (SELECT * FROM old_cache UNION ALL
               SELECT * FROM meta WHERE id IN (SELECT id FROM want) AND id NOT IN (SELECT id FROM old_cache))"""
 
 
-PAIRS = """pairs AS (SELECT DISTINCT synid, regexp_replace(pmcid, '^pmc:', '') AS pmcid FROM findings_v
+def pairs(src: str = "findings_v") -> str:
+    return f"""pairs AS (SELECT DISTINCT synid, regexp_replace(pmcid, '^pmc:', '') AS pmcid FROM {src}
           WHERE synid IS NOT NULL AND synid <> '' AND regexp_replace(pmcid, '^pmc:', '') <> '')"""
 
+
+PAIRS = pairs()
+
 SQL: dict[str, str] = {
     "mention_context": DOC_FINDINGS + "SELECT doc_id, pmcid, synid, context FROM f",
     "mentions": w(text_v(), mined("text_v")) + "SELECT doc_id, pos, mention, synid FROM m_c",
@@ -143,9 +158,9 @@ SQL: dict[str, str] = {
                   "length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS n_chars FROM documents",
     "kwic": w(text_v(), mined("text_v")) + """SELECT doc_id, pos, synid, trim(before_raw) AS before, trim(after_raw) AS after,
         trim(concat_ws(' ', trim(before_raw), mention, trim(after_raw))) AS "full" FROM m_c""",
-    "case_filter": w(text_v(upper_second=True), mined("text_v")) + """SELECT doc_id, pos, mention, synid,
-        replace(trim(before_raw || mention || after_raw), '"', '''') AS context,
-        contains(trim(before_raw || mention || after_raw), synid) AS kept_reference, true AS kept_fold FROM m_c""",
+    "case_filter": w(text_v(upper_second=True), mined("text_v")) + """SELECT doc_id, pos, synid, context, 'reference' AS rule FROM m_f
+        UNION ALL SELECT doc_id, pos, synid, replace(trim(before_raw || mention || after_raw), '"', '''') AS context, 'fold' AS rule
+        FROM m_c WHERE regexp_full_match(synid, 'syn[0-9]{7,12}')""",
     "dedup_in_doc": DOC_FINDINGS_REPEAT + """SELECT pmcid, synid, min(pos) AS pos,
         arg_min(context, pos) AS context FROM f GROUP BY pmcid, synid""",
     "summary": DOC_FINDINGS + """SELECT count(DISTINCT pmcid) AS documents, count(*) AS mentions,
@@ -180,6 +195,9 @@ SQL: dict[str, str] = {
                   AND NOT regexp_matches(text, '[^\\x00-\\xFF]') THEN 'latin-1' ELSE 'utf-8' END AS decoded_with,
         true AS same, length(text) AS n_chars FROM documents""",
     "file_catalog": w(FINDINGS_V, BATCHES_V, CORPUS_NAMES) + "SELECT file_name, start_pmc, end_pmc, start_id FROM catalog",
+    "listed_files": """SELECT DISTINCT 'PMC' || CAST(b AS VARCHAR) || '_PMC' || CAST(b + 99 AS VARCHAR) || '.xml.gz' AS file_name,
+        b AS start_pmc, b + 99 AS end_pmc, 'PMC' || CAST(b AS VARCHAR) AS start_id
+        FROM (SELECT doc_id - doc_id % 100 AS b FROM documents)""",
     "page_links": """SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos, unnest(h) AS href
         FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS h FROM pages)""",
     "resume_files": w(FINDINGS_V, BATCHES_V, CORPUS_NAMES) + """SELECT file_name, start_pmc, end_pmc FROM catalog
@@ -199,16 +217,18 @@ SQL: dict[str, str] = {
         count(DISTINCT synid) AS unique_synids, count(DISTINCT source_file) AS files FROM batches_v""",
     "union_batches": w(FINDINGS_V, RESULTS_V) + """SELECT pmcid, synid, context, source_file FROM findings_v
         UNION ALL SELECT pmcid, synid, NULL, NULL FROM results_v""",
-    "distinct_links": w(FINDINGS_V) + """SELECT DISTINCT regexp_replace(pmcid, '^pmc:', '') AS pmcid, synid
-        FROM findings_v WHERE pmcid IS NOT NULL AND pmcid <> '' AND synid IS NOT NULL AND synid <> ''""",
-    "citations_by_id": w(FINDINGS_V, PAIRS) + """SELECT p.synid, p.pmcid, c.n_articles FROM pairs p
+    "distinct_links": w(FINDINGS_V, GAPS_V) + """SELECT DISTINCT regexp_replace(pmcid, '^pmc:', '') AS pmcid, synid
+        FROM gaps_v WHERE pmcid IS NOT NULL AND pmcid <> '' AND synid IS NOT NULL AND synid <> ''""",
+    "citations_by_id": w(FINDINGS_V, GAPS_V, pairs("gaps_v")) + """SELECT p.synid, p.pmcid, c.n_articles FROM pairs p
         JOIN (SELECT synid, count(*) AS n_articles FROM pairs GROUP BY synid) c USING (synid)""",
     "catalog_names": w(CATALOG_V, APP_V, APPS1) + """SELECT c.id, coalesce(c.app_id, '') AS app_id,
         nullif(c.link, '') AS link, coalesce(a.friendly_name, 'Repository') AS repository
-        FROM catalog_v c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id""",
+        FROM catalog_last c LEFT JOIN apps1 a ON coalesce(c.app_id, '') = a.app_id""",
     "portal_resolve": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT e.id, e.parent_id,
         m.repository, m.portal_link FROM ent e JOIN meta m USING (id)""",
     "cache_miss": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + "SELECT * FROM new_cache",
+    "cache_refresh": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes())
+                     + "SELECT * FROM meta WHERE id IN (SELECT id FROM want)",
     "search_entries": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes(), PAIRS) + """SELECT c.synid AS id,
         coalesce(nullif(n.name, ''), c.synid) AS name,
         coalesce(nullif(n.description, ''), coalesce(nullif(n.name, ''), c.synid)) AS description,
@@ -218,9 +238,9 @@ SQL: dict[str, str] = {
         FROM (SELECT synid, count(*) AS n_refs FROM pairs GROUP BY synid) c JOIN new_cache n ON n.id = c.synid""",
     "inaccessible": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT id AS synid FROM want
         WHERE id NOT IN (SELECT id FROM new_cache)""",
-    "resource_list": w(FINDINGS_V) + """SELECT CAST(1000 AS BIGINT) AS PrId, 'pubmed' AS DB, pmcid AS UID,
+    "resource_list": w(FINDINGS_V, GAPS_V) + """SELECT CAST(1000 AS BIGINT) AS PrId, 'pubmed' AS DB, pmcid AS UID,
         'https://repository.example.org/#!' || synid AS URL, '' AS SubjectType,
-        'registration required' AS Attribute FROM findings_v WHERE pmcid IS NOT NULL""",
+        'registration required' AS Attribute FROM gaps_v WHERE pmcid IS NOT NULL""",
 }
 
 
@@ -244,31 +264,40 @@ SEARCH_ENTRIES_CTE = """e AS (SELECT c.synid AS id,
         FROM (SELECT synid, count(*) AS n_refs FROM pairs GROUP BY synid) c JOIN new_cache n ON n.id = c.synid)"""
 
 _I6, _I8 = " " * 6, " " * 8
-SEARCH_FEED = w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes(), PAIRS, SEARCH_ENTRIES_CTE) + f"""
-SELECT '<?xml version=''1.0'' encoding=''UTF-8''?>' AS line
-UNION ALL SELECT '<database>'
-UNION ALL SELECT '  <name>Datasets</name>'
-UNION ALL SELECT '  <description>Datasets cited in articles</description>'
-UNION ALL SELECT '  <release>2026-01-01</release>'
-UNION ALL SELECT '  <release_date>2026-01-01</release_date>'
-UNION ALL SELECT '  <entry_count>' || CAST(count(*) AS VARCHAR) || '</entry_count>' FROM e
-UNION ALL SELECT '  <entries>'
-UNION ALL SELECT '    <entry id="' || {_xa('id')} || '">' FROM e
-UNION ALL SELECT '{_I6}<name>' || {_xt('name')} || '</name>' FROM e
-UNION ALL SELECT '{_I6}<description>' || {_xt('description')} || '</description>' FROM e
-UNION ALL SELECT '{_I6}<dates>' FROM e WHERE created IS NOT NULL
-UNION ALL SELECT '{_I8}<date type="submission" value="' || {_xa('created')} || '" />' FROM e WHERE created IS NOT NULL
-UNION ALL SELECT '{_I6}</dates>' FROM e WHERE created IS NOT NULL
-UNION ALL SELECT '{_I6}<cross_references>' FROM e
-UNION ALL SELECT '{_I8}<ref dbname="PMC" dbkey="' || {_xa('p.pmcid')} || '" />' FROM pairs p WHERE p.synid IN (SELECT id FROM e)
-UNION ALL SELECT '{_I6}</cross_references>' FROM e
-UNION ALL SELECT '{_I6}<additional_fields>' FROM e
-UNION ALL SELECT '{_I8}<field name="repository">' || {_xt('repository')} || '</field>' FROM e
-UNION ALL SELECT '{_I8}<field name="full_dataset_link">' || {_xt('full_link')} || '</field>' FROM e
-UNION ALL SELECT '{_I6}</additional_fields>' FROM e
-UNION ALL SELECT '    </entry>' FROM e
-UNION ALL SELECT '  </entries>'
-UNION ALL SELECT '</database>'"""
+
+
+def _whole(k1: int, text: str, k0: str = "''") -> str:
+    return f"SELECT {k0} AS k0, {k1} AS k1, '' AS k2, {text} AS line"
+
+
+def _entry(k1: int, text: str, rows: str = "e") -> str:
+    return f"SELECT id AS k0, {k1} AS k1, '' AS k2, {text} AS line FROM {rows}"
+
+
+_DATED = "e WHERE created IS NOT NULL"
+FEED_LINES = "lines AS (" + " UNION ALL ".join([
+    _whole(0, "'<?xml version=''1.0'' encoding=''UTF-8''?>'"), _whole(1, "'<database>'"), _whole(2, "'  <name>Datasets</name>'"),
+    _whole(3, "'  <description>Datasets cited in articles</description>'"), _whole(4, "'  <release>2026-01-01</release>'"),
+    _whole(5, "'  <release_date>2026-01-01</release_date>'"),
+    _whole(6, "'  <entry_count>' || CAST(count(*) AS VARCHAR) || '</entry_count>'") + " FROM e", _whole(7, "'  <entries>'"),
+    _entry(0, f"'    <entry id=\"' || {_xa('id')} || '\">'"),
+    _entry(1, f"'{_I6}<name>' || {_xt('name')} || '</name>'"),
+    _entry(2, f"'{_I6}<description>' || {_xt('description')} || '</description>'"),
+    _entry(3, f"'{_I6}<dates>'", _DATED),
+    _entry(4, f"'{_I8}<date type=\"submission\" value=\"' || {_xa('created')} || '\" />'", _DATED),
+    _entry(5, f"'{_I6}</dates>'", _DATED),
+    _entry(6, f"'{_I6}<cross_references>'"),
+    f"SELECT p.synid, 7, p.pmcid, '{_I8}<ref dbname=\"PMC\" dbkey=\"' || {_xa('p.pmcid')} || '\" />' FROM pairs p WHERE p.synid IN (SELECT id FROM e)",
+    _entry(8, f"'{_I6}</cross_references>'"),
+    _entry(9, f"'{_I6}<additional_fields>'"),
+    _entry(10, f"'{_I8}<field name=\"repository\">' || {_xt('repository')} || '</field>'"),
+    _entry(11, f"'{_I8}<field name=\"full_dataset_link\">' || {_xt('full_link')} || '</field>'"),
+    _entry(12, f"'{_I6}</additional_fields>'"),
+    _entry(13, "'    </entry>'"),
+    _whole(0, "'  </entries>'", "'~'"), _whole(1, "'</database>'", "'~'"),      # after every id
+]) + ")"
+SEARCH_FEED_CTES = w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes(), PAIRS, SEARCH_ENTRIES_CTE, FEED_LINES)
+SEARCH_FEED = SEARCH_FEED_CTES + "SELECT line FROM lines"
 
 LINKS = """links AS (SELECT DISTINCT regexp_replace(pmcid, '^pmc:', '') AS pmcid, synid
         FROM findings_v WHERE pmcid IS NOT NULL AND pmcid <> '' AND synid IS NOT NULL AND synid <> '')"""
@@ -286,6 +315,13 @@ SQL.update({
         count(DISTINCT doc_id - doc_id % 100) AS files FROM documents
         UNION ALL SELECT 'batches', '.csv', false, 'extension', count(DISTINCT source_file) FROM findings_v""",
     "search_feed": SEARCH_FEED,
+    "search_feed_order": SEARCH_FEED_CTES + "SELECT row_number() OVER (ORDER BY k0, k1, k2) - 1 AS n, line FROM lines",
     "stream_ingest": SQL["xml_mine"],
     "stream_append": SQL["first_batch_wins"],
+    "stream_rejects": w(text_v()) + """SELECT 'PMC' || CAST(b AS VARCHAR) || '_PMC' || CAST(b + 99 AS VARCHAR) || '.xml.gz' AS source_file,
+        2 * count(*) FILTER (WHERE lang <> 'de') AS findings, count(*) FILTER (WHERE lang = 'de') AS rejects,
+        count(*) FILTER (WHERE lang = 'de') AS with_reason
+        FROM (SELECT doc_id - doc_id % 100 AS b, lang FROM text_v) GROUP BY b""",
+    "incremental_run": SQL["xml_mine"].replace("SELECT source_file,\n        'pmc:PMC'", "SELECT 'pmc:PMC'"),
+    "combine_job": SQL["combine_dedup"],
 })

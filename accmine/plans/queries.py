@@ -6,14 +6,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import jobs, schemas
 from ..functions.fixed import ARTICLE_CURIE_PREFIX, LISTING_HREF
-from ..functions.text import clean_text, decode_text, decoded_with, kwic_pieces, strip_curie, strip_ws
+from ..functions.text import clean_text, decode_text, decoded_with, kwic_pieces, strip_curie
 from ..operators import dedup, enrich, incremental, summarize
-from ..operators.articles import coverage, findings_from_articles
-from ..operators.mine import DEFAULT_PATTERN, extract_mentions, mine_text, prepare_text
+from ..operators.articles import coverage, findings_from_articles, rejects
+from ..operators.mine import extract_mentions, findings_from_mentions, mine_text, prepare_text
 from ..operators.parse import parse_articles
 from ..session import scratch_path
 from ..sinks import feeds
@@ -21,7 +22,7 @@ from ..sinks.feeds import resource_rows, write_csv
 from ..sinks.tables import read_version, stage, write_version
 from ..sources import fixtures as fx
 from ..sources.corpus import audit_files, read_articles, read_findings_csv, write_corpus
-from ..sources.tables import table
+from ..sources.tables import read_entity_meta, read_results, table
 from ..streaming.ingest import append_results, ingest_corpus, init_results_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,9 @@ PROVIDER_ID = 1000
 RESUME_FROM = "PMC5000_PMC5999.xml.gz"
 RESUME_MAX_FILES = 5
 TOP_K = 10
+FEED_SHARDS = 3
+WINDOW_SMALL = 10
+JOB_SLICE = 1000
 
 
 def query(name: str):
@@ -81,13 +85,8 @@ def q_kwic(spark, d):
 def q_case_filter(spark, d):
     t = prepare_text(fx.article_text_v(spark, d, upper_second=True))
     m = extract_mentions(t, "text", ("doc_id",), prefilter=False)
-    ctx = strip_ws(F.concat("before", "mention", "after"))
-    synid = F.lower("mention")
-    valid = synid.rlike(DEFAULT_PATTERN.valid_id)
-    return m.select("doc_id", "pos", "mention", synid.alias("synid"),
-                    F.translate(ctx, '"', "'").alias("context"),
-                    (valid & (F.instr(ctx, synid) > 0)).alias("kept_reference"),
-                    valid.alias("kept_fold"))
+    kept = [findings_from_mentions(m, ("doc_id",), rule).withColumn("rule", F.lit(rule)) for rule in ("reference", "fold")]
+    return kept[0].unionByName(kept[1])
 
 
 @query("dedup_in_doc")
@@ -137,8 +136,7 @@ def q_article_id(spark, d):
 
 @query("reject_audit")
 def q_reject_audit(spark, d):
-    p = parsed_articles(spark, d)
-    return p.where(~F.col("ok")).select("doc_id", "lang", "source_file")
+    return rejects(parsed_articles(spark, d), ("doc_id", "lang", "source_file")).drop("reason")
 
 
 @query("coverage_audit")
@@ -167,6 +165,11 @@ def corpus_names(spark, d) -> DataFrame:
     return files.unionByName(hrefs).distinct()
 
 
+@query("listed_files")
+def q_listed_files(spark, d):
+    return incremental.file_catalog(incremental.listed_files(fx.listing_v(spark, d)))
+
+
 @query("file_catalog")
 def q_file_catalog(spark, d):
     return incremental.file_catalog(corpus_names(spark, d))
@@ -194,14 +197,21 @@ def q_watermark(spark, d):
 
 # ------------------------------------------------------ results table -------
 
+def stored_results(spark, d) -> DataFrame:
+    """The results table as an earlier run left it, read the way the jobs read it."""
+    path = scratch_path(spark, "results")
+    fx.results_v(spark, d).withColumn("context", F.lit(None).cast("string")).write.parquet(path)
+    return read_results(spark, path)
+
+
 @query("new_rows")
 def q_new_rows(spark, d):
-    return incremental.new_rows(fx.findings_v(spark, d), fx.results_v(spark, d))
+    return incremental.new_rows(fx.findings_v(spark, d), stored_results(spark, d))
 
 
 @query("first_batch_wins")
 def q_first_batch_wins(spark, d):
-    return incremental.first_batch_wins(fx.batches_v(spark, d), fx.results_v(spark, d))
+    return incremental.first_batch_wins(fx.batches_v(spark, d), stored_results(spark, d))
 
 
 @query("combine_dedup")
@@ -221,12 +231,12 @@ def q_union_batches(spark, d):
 
 @query("distinct_links")
 def q_distinct_links(spark, d):
-    return dedup.distinct_links(fx.findings_v(spark, d))
+    return dedup.distinct_links(fx.gaps_v(spark, d))
 
 
 @query("citations_by_id")
 def q_citations_by_id(spark, d):
-    return summarize.citations_by_id(fx.findings_v(spark, d))
+    return summarize.citations_by_id(fx.gaps_v(spark, d))
 
 
 # --------------------------------------------------------- enrichment -------
@@ -237,7 +247,8 @@ def q_catalog_names(spark, d):
 
 
 def portals(spark, d) -> DataFrame:
-    return enrich.portal_table(fx.catalog_v(spark, d), fx.app_v(spark, d), CFG)
+    """Looked up for entities and parents, old entries and new: staged once."""
+    return stage(enrich.portal_table(fx.catalog_v(spark, d), fx.app_v(spark, d), CFG), scratch_path(spark, "portals"))
 
 
 @query("portal_resolve")
@@ -246,11 +257,12 @@ def q_portal_resolve(spark, d):
     return r.select("id", "parent_id", "repository", "portal_link")
 
 
-def old_cache(spark, d, portal=None) -> DataFrame:
+def old_cache(spark, d, portal) -> DataFrame:
     """A cache left by an earlier run: entities dated before the 15th, with names since changed."""
     e = fx.entity_v(spark, d).where(F.col("created_on") < "2024-01-15")
-    m = enrich.entity_meta(e, portal if portal is not None else portals(spark, d), CFG)
-    return m.withColumn("name", F.concat(F.lit("cached "), "name")).withColumn("description", F.col("name"))
+    m = enrich.entity_meta(e, portal, CFG)
+    m = m.withColumn("name", F.concat(F.lit("cached "), "name")).withColumn("description", F.col("name"))
+    return read_entity_meta(spark, write_version(m, scratch_path(spark, "entity-meta")))
 
 
 def cited_pairs(spark, d) -> DataFrame:
@@ -258,9 +270,9 @@ def cited_pairs(spark, d) -> DataFrame:
     return summarize.citation_pairs(fx.findings_v(spark, d))
 
 
-def refreshed_cache(spark, d) -> DataFrame:
+def refreshed_cache(spark, d, refresh=False) -> DataFrame:
     p = portals(spark, d)
-    return enrich.refresh_cache(cited_pairs(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG)
+    return enrich.refresh_cache(cited_pairs(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG, refresh)
 
 
 @query("cache_miss")
@@ -269,6 +281,12 @@ def q_cache_miss(spark, d):
     return read_version(spark, path)
 
 
+@query("cache_refresh")
+def q_cache_refresh(spark, d):
+    path = write_version(refreshed_cache(spark, d, refresh=True), scratch_path(spark, "entity-meta"))
+    return read_entity_meta(spark, path)
+
+
 @query("search_entries")
 def q_search_entries(spark, d):
     return enrich.search_entries(cited_pairs(spark, d), refreshed_cache(spark, d), CFG)
@@ -281,7 +299,11 @@ def q_inaccessible(spark, d):
 
 @query("resource_list")
 def q_resource_list(spark, d):
-    return resource_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
+    path = scratch_path(spark, "resources")
+    rows = resource_rows(fx.gaps_v(spark, d), PROVIDER_ID, CFG)
+    write_csv(rows, path)
+    back = spark.read.schema(rows.schema).option("header", True).option("escape", '"').csv(path)
+    return back.fillna("", ["SubjectType"])       # CSV has one way to write null and empty
 
 
 # ------------------------------------------- staged files: sources & sinks ---
@@ -334,21 +356,37 @@ def q_input_audit(spark, d):
     root = scratch_path(spark, "inputs")
     write_corpus(fx.articles_xml_v(spark, d), f"{root}/corpus")
     f = fx.findings_v(spark, d)
-    write_csv(f.repartition("source_file"), f"{root}/batches", partition_by="source_file")
+    write_csv(f.hint("rebalance", "source_file"), f"{root}/batches", partition_by="source_file")
     a = audit_files(spark, root)
     kind = F.when(F.col("path").contains("/corpus/"), F.lit("corpus")).otherwise(F.lit("batches"))
-    return a.groupBy(kind.alias("kind"), "ext", "accepted", "reason").agg(F.count(F.lit(1)).alias("files"))
+    # a batch may be written in several files
+    batch = F.regexp_extract("path", "source_file=([^/]*)", 1)
+    return a.groupBy(kind.alias("kind"), "ext", "accepted", "reason").agg(F.count_distinct(batch).alias("files"))
 
 
-@query("search_feed")
-def q_search_feed(spark, d):
-    pairs = cited_pairs(spark, d)
+def written_feed(spark, d, partitions=None) -> str:
+    pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
     # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
     entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
     path = scratch_path(spark, "search-feed")
-    feeds.write_search_feed(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles",
-                                                    "2026-01-01"), path, staging=scratch_path(spark, "feed-lines"))
-    return feeds.read_feed_lines(spark, path)
+    lines = feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01")
+    feeds.write_search_feed(lines, path, partitions, staging=scratch_path(spark, "feed-lines"))
+    return path
+
+
+@query("search_feed")
+def q_search_feed(spark, d):
+    return feeds.read_feed_lines(spark, written_feed(spark, d))
+
+
+@query("search_feed_order")
+def q_search_feed_order(spark, d):
+    """Every line with its place in the whole document (written as several shards)."""
+    doc = feeds.read_feed_document(spark, written_feed(spark, d, FEED_SHARDS))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = doc.groupBy("shard").agg(F.count(F.lit(1)).alias("lines"))
+    offsets = shards.select("shard", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("offset"))
+    return doc.join(offsets, "shard").select((F.col("offset") + F.col("line_no")).alias("n"), "line")
 
 
 @query("stream_ingest")
@@ -364,6 +402,41 @@ def q_stream_ingest(spark, d):
     return spark.read.parquet(out).select("source_file", "pmcid", "synid", "context")
 
 
+@query("stream_rejects")
+def q_stream_rejects(spark, d):
+    src, out, bad, ck = (scratch_path(spark, n) for n in ("corpus-inbox", "stream-out", "stream-bad", "stream-ck"))
+    write_corpus(fx.articles_xml_v(spark, d), src)
+    ingest_corpus(spark, src, out, ck, window=WINDOW_SMALL, case_rule="fold", rejects_path=bad)
+    found = spark.read.parquet(out).groupBy("source_file").agg(F.count(F.lit(1)).alias("findings"))
+    refused = spark.read.parquet(bad).groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rejects"), F.count_if(F.col("reason").startswith("ParseError")).alias("with_reason"))
+    return found.join(refused, "source_file", "full").select(
+        "source_file", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("findings", "rejects", "with_reason")])
+
+
+# ------------------------------------------------------------------ jobs ---
+
+@query("incremental_run")
+def q_incremental_run(spark, d):
+    """Two deliveries through the batch job: the lower half of the corpus files, then all of them."""
+    corpus, results, position, out = (scratch_path(spark, n) for n in ("job-corpus", "job-results", "job-position", "job-out"))
+    arts = fx.articles_xml_v(spark, d)
+    half = table(spark, d, "documents").agg(F.max("doc_id")).first()[0] // 200 * 100
+    write_corpus(arts.where(F.col("doc_id") < half), corpus)
+    jobs.run_incremental(spark, corpus, results, position, out, files_per_slice=JOB_SLICE)
+    write_corpus(arts.where(F.col("doc_id") >= half), corpus, mode="append")
+    jobs.run_incremental(spark, corpus, results, position, out, files_per_slice=JOB_SLICE)
+    return read_results(spark, results)
+
+
+@query("combine_job")
+def q_combine_job(spark, d):
+    src, out = scratch_path(spark, "batches-csv"), scratch_path(spark, "combined")
+    write_csv(fx.batches_v(spark, d).hint("rebalance", "source_file"), src, partition_by="source_file")
+    jobs.combine_batches(spark, src, out)
+    return (spark.read.schema(schemas.FINDINGS).option("header", True).option("escape", '"').csv(f"{out}/combined"))
+
+
 @query("stream_append")
 def q_stream_append(spark, d):
     inbox, table_path, ck = (scratch_path(spark, n) for n in ("inbox", "results", "append-ck"))
@@ -371,9 +444,9 @@ def q_stream_append(spark, d):
     b = fx.batches_v(spark, d)
     early = F.col("source_file") == "PMC0_PMC0.xml.gz"
     # two deliveries: the early batch file first, the others a run later
-    write_csv(b.where(early).repartition("source_file"), inbox, partition_by="source_file", mode="append")
+    write_csv(b.where(early).hint("rebalance", "source_file"), inbox, partition_by="source_file", mode="append")
     append_results(spark, inbox, table_path, ck)
-    write_csv(b.where(~early).repartition("source_file"), inbox, partition_by="source_file", mode="append")
+    write_csv(b.where(~early).hint("rebalance", "source_file"), inbox, partition_by="source_file", mode="append")
     append_results(spark, inbox, table_path, ck)
     return (spark.read.parquet(table_path).where(F.col("batch") != "initial")
                  .select("pmcid", "synid", "context", "source_file"))

@@ -9,15 +9,12 @@ def _s(*fields):
 
 S, L, B = StringType(), LongType(), BooleanType()
 
-ARTICLES_RAW = _s(("source_file", S), ("xml", S))
-SECTIONS = _s(("ok", B), ("pmc_id", S), ("title", S), ("abstract", S), ("body", S), ("back", S))
+SECTIONS = _s(("ok", B), ("pmc_id", S), ("title", S), ("abstract", S), ("body", S), ("back", S), ("reason", S))
 FINDINGS = _s(("pmcid", S), ("synid", S), ("context", S), ("source_file", S))
 FINDINGS_CSV = _s(("pmcid", S), ("synid", S), ("context", S))
+REJECTS = _s(("source_file", S), ("xml", S), ("reason", S))
 RESULTS = _s(("pmcid", S), ("synid", S), ("context", S))
-FILES = _s(("file_name", S), ("start_pmc", L), ("end_pmc", L))
-ENTITIES = _s(("id", S), ("name", S), ("benefactor_id", L), ("created_on", S))
-CATALOG = _s(("id", S), ("app_id", S), ("link", S))
-APPS = _s(("app_id", S), ("friendly_name", S))
+RUN_FILES = _s(("source_file", S), ("run", S))
 ENTITY_META = _s(("id", S), ("name", S), ("description", S), ("created_on", S),
                  ("repository", S), ("portal_link", S))
 WATERMARK = _s(("last_processed_pmc_id", S), ("start_pmc", L), ("updated_at", S))

@@ -75,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local["):   # executors elsewhere would not see a folder of this machine
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="accmine-ckpt-")  # tests / single machine only
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

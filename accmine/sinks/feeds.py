@@ -19,6 +19,7 @@ from ..functions.fixed import (LINK_RECORD_SOURCE, RESOURCE_ATTRIBUTE, RESOURCE_
 from ..functions.text import xml_attr, xml_text
 from ..operators.dedup import distinct_links
 from ..operators.enrich import PortalConfig
+from .tables import stage
 
 LINK_TITLE = "View data"
 RESOURCE_URL = "https://repository.example.org/#!{id}"
@@ -118,7 +119,7 @@ def resource_rows(results: DataFrame, provider_id: int, cfg: PortalConfig = Port
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """Header CSV (K1, K2, K5). With ``partition_by`` one folder per batch value; re-running a batch
     with dynamic partition overwrite replaces only that batch's folder."""
-    w = df.write.mode(mode).option("header", True)
+    w = df.write.mode(mode).option("header", True).option("escape", '"')   # quotes inside a field are doubled
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     w.csv(path)
@@ -174,6 +175,7 @@ def search_feed_lines(entries: DataFrame, pairs: DataFrame, name: str, descripti
 
 
 LAST_KEY = "\uffff"  # sorts after every entry id
+SHARD_BYTES = 128 << 20
 
 
 def _esc(s: str) -> str:
@@ -181,19 +183,19 @@ def _esc(s: str) -> str:
 
 
 def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None,
-                      staging: str | None = None) -> None:
+                      staging: str | None = None, shard_bytes: int = SHARD_BYTES) -> None:
     """Range-partition the lines by (entry, kind, article) and sort inside each shard: the shards
     in file-name order, concatenated, are the whole document. Each shard is written by its own
-    task; a long entry may continue in the next shard. ``partitions`` defaults to the session's
-    shuffle partitions.
+    task; a long entry may continue in the next shard. ``partitions`` defaults to one shard for each
+    ``shard_bytes`` of text.
 
     Range partitioning samples its input in a separate job. With ``staging`` (a folder in shared
     storage) the lines are written there once and the sample and the write read that table,
     instead of computing the enrichment twice."""
-    n = partitions or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if staging:
-        lines.write.mode("overwrite").parquet(staging)
-        lines = lines.sparkSession.read.parquet(staging)
+        lines = stage(lines, staging)
+    size = lines.agg(F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0))).first()[0] if partitions is None else 0
+    n = partitions or max(1, -(-size // shard_bytes))
     (lines.repartitionByRange(n, "k0", "k1", "k2")
           .sortWithinPartitions("k0", "k1", "k2").select("line")
           .write.mode("overwrite").text(path))
@@ -204,4 +206,12 @@ def read_feed_lines(spark, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+def read_feed_document(spark, path: str) -> DataFrame:
+    """(shard, line_no, line): the lines with their place in the document, shards in file-name order and
+    lines numbered from 0 inside each (F5). A shard is read by one task, whole files in line order."""
+    shard = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    whole = spark.read.text(path, wholetext=True).select(shard.alias("shard"), "value")
+    return whole.select("shard", F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line_no", "line"))
+
+
 LINKS_XSD = os.path.join(os.path.dirname(__file__), "links.xsd")

@@ -1,42 +1,64 @@
-"""File sources: article corpus (S1), findings CSV (S4), raw files.
+"""File sources: article corpus (S1, S2), findings CSV (S4), raw files.
 
-Corpus files are read by Spark's text source with ``</article>`` as record
-separator, so each record is one article and the file is streamed, never held
-whole. Gzip files cannot be split (one task per file); callers spread the
-articles with ``parse_articles(partitions=…)`` right after the scan.
+Corpus files are read by Spark's text source with the article's start tag as record separator, so each
+record is one article (what stands before the first start tag is no article) and the file is streamed,
+never held whole. A record without its closing tag is an article that was cut off: it keeps no closing
+tag, so it does not parse and lands in the rejects. Gzip files cannot be split (one task per file);
+``parse_articles`` spreads the articles right after the scan.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
-from ..functions.fixed import (ALLOWED_EXTENSIONS, ARTICLE_CLOSE, ARTICLE_OPEN, MAGIC_GZIP, MAGIC_MARKUP,
-                               MAGIC_PDF, MAX_INPUT_BYTES)
+from ..functions.fixed import (ALLOWED_EXTENSIONS, ARTICLE_CLOSE, ARTICLE_OPEN, CORPUS_FILE_RANGE, CORPUS_SUFFIX,
+                               MAGIC_GZIP, MAGIC_MARKUP, MAGIC_PDF, MAX_INPUT_BYTES)
 from ..functions.text import decode_text, decoded_with, source_file_from_path
 
 
 def articles_from_records(records: DataFrame, tag_prefix: str = ARTICLE_OPEN) -> DataFrame:
-    """Text records split at ``</article>`` -> source_file, xml (from the first ``<article `` on,
-    closing tag put back). Records without an article start (prologue, trailer) are dropped."""
-    start = F.instr("value", tag_prefix)
-    return (records.where(start > 0)
-                   .select(source_file_from_path("_path").alias("source_file"),
-                           F.concat(F.substring("value", start, F.lit(1 << 30)), F.lit(ARTICLE_CLOSE)).alias("xml")))
+    """Text records split at the start tag -> source_file, xml (start tag put back, up to the closing tag if
+    there is one). A record goes on with the tag's attributes; one that begins with markup or holds nothing
+    is what stood before the first article."""
+    end = F.instr("value", ARTICLE_CLOSE)
+    body = F.when(end > 0, F.substring("value", F.lit(1), end + F.lit(len(ARTICLE_CLOSE) - 1))).otherwise(F.col("value"))
+    return (records.where(~F.col("value").rlike(r"^[\s\x{FEFF}]*(<|$)"))
+                   .select(source_file_from_path("_path").alias("source_file"), F.concat(F.lit(tag_prefix), body).alias("xml")))
 
 
 def read_articles(spark: SparkSession, path, tag_prefix: str = ARTICLE_OPEN,
                   glob: str | None = None) -> DataFrame:
     """Article corpus scan (S1): ``.xml`` or ``.xml.gz`` files (gzip by suffix) -> source_file, xml.
     ``path`` is a folder, a file, or a list of files."""
-    r = spark.read.option("lineSep", ARTICLE_CLOSE)
+    r = spark.read.option("lineSep", tag_prefix)
     if glob:
         r = r.option("pathGlobFilter", glob)
     recs = r.text(path).select(F.col("_metadata.file_path").alias("_path"), "value")
     return articles_from_records(recs, tag_prefix)
 
 
+def corpus_files(spark: SparkSession, path, suffix: str = CORPUS_SUFFIX, glob: str | None = None) -> DataFrame:
+    """(file_name, paths) of the archives below a folder (S2); only the listing is read. An archive is a file
+    whose name ends in the suffix, or a ``source_file=<name>`` folder of part files; checksums and file
+    lists beside them are left out. A name found in several folders is the same archive and counts once
+    (the first folder)."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    base = F.element_at(F.split("path", "/"), -1)
+    files = r.load(path).select("path", base.alias("base"), F.regexp_replace("path", "/[^/]*$", "").alias("folder"),
+                                source_file_from_path("path").alias("file_name"))
+    own = F.when(F.col("base").rlike(CORPUS_FILE_RANGE), F.col("base").endswith(suffix)).otherwise(
+        F.col("base").startswith("part-") & F.col("file_name").endswith(suffix))
+    folders = files.where(own).groupBy("file_name", "folder").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return folders.groupBy("file_name").agg(F.min_by("paths", "folder").alias("paths"))
+
+
 def write_corpus(articles: DataFrame, path: str, compression: str = "gzip", mode: str = "overwrite") -> None:
     """Stage articles as corpus files, one file per ``source_file`` value and write (used for
     tests and for re-compressing a landed corpus). A corpus file covers a bounded id range,
@@ -49,11 +71,25 @@ def write_corpus(articles: DataFrame, path: str, compression: str = "gzip", mode
 def read_findings_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Findings batches written as header CSV (S4) -> pmcid, synid, context, source_file.
 
-    The schema is declared (no inference pass); the batch comes from the file's folder or name."""
-    df = (spark.read.schema(schemas.FINDINGS_CSV).option("header", True).option("mode", "PERMISSIVE")
-               .option("pathGlobFilter", glob).option("recursiveFileLookup", True).csv(path))
-    return df.select("pmcid", "synid", "context",
-                     source_file_from_path(F.col("_metadata.file_path")).alias("source_file"))
+    Columns go by the header's names, whatever their order; quotes inside a field are doubled. Files whose
+    headers differ are read apart (one read for each distinct header line, normally one). No types are
+    inferred; the batch comes from the file's folder or name."""
+    where = {"pathGlobFilter": glob, "recursiveFileLookup": True}
+    names = F.split(F.regexp_replace("value", r'["\r\x{FEFF}]', ""), ",")
+    lines = spark.read.options(**where).text(path).select(names.alias("names"), F.col("_metadata.file_path").alias("f"))
+    heads = lines.where(F.array_contains("names", "pmcid") & F.array_contains("names", "synid"))
+    variants = [r.names for r in heads.select("names").distinct().collect()] or [schemas.FINDINGS_CSV.fieldNames()]
+    parts = []
+    for cols in variants:
+        schema = StructType([StructField(c, StringType()) for c in cols])
+        df = (spark.read.schema(schema).options(**where).option("header", True).option("escape", '"').csv(path)
+                   .withColumn("_f", F.col("_metadata.file_path")))
+        if len(variants) > 1:
+            own = heads.where(F.col("names") == F.lit(cols)).select(F.col("f").alias("_f")).distinct()
+            df = df.join(own, "_f", "left_semi")
+        have = [F.col(c) if c in cols else F.lit(None).cast("string").alias(c) for c in schemas.FINDINGS_CSV.fieldNames()]
+        parts.append(df.select(*have, source_file_from_path("_f").alias("source_file")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_text_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -68,20 +104,19 @@ def read_text_files(spark: SparkSession, path: str, glob: str | None = None) ->
 def audit_files(spark: SparkSession, path: str, max_bytes: int = MAX_INPUT_BYTES,
                 allowed=ALLOWED_EXTENSIONS) -> DataFrame:
     """Input validation (V1): path, length, ext, accepted, reason — checks in the order size,
-    extension, type. Oversize files are judged from the listing alone; the ``length`` filter is
-    pushed into the binary source, so their content is never read."""
+    extension, type. Oversize files and files of other extensions are judged from the listing alone: the
+    length and name filters are applied to the listing, so their content is never read."""
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     src = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    listing = src.load(path).select("path", "length")
-    big = listing.where(F.col("length") > max_bytes).select(
-        "path", "length", ext.alias("ext"), F.lit(False).alias("accepted"), F.lit("size").alias("reason"))
-    small = src.load(path).where(F.col("length") <= max_bytes)
+    listing = src.load(path).select("path", "length", ext.alias("ext"))
+    by_name = F.when(F.col("length") > max_bytes, F.lit("size")).when(~F.col("ext").isin(*allowed), F.lit("extension"))
+    refused = listing.select("path", "length", "ext", by_name.alias("reason")).where(F.col("reason").isNotNull())
+    endings = "".join(f"{e.lstrip('.')},".replace(e.lstrip("."), "".join(f"[{c.lower()}{c.upper()}]" for c in e.lstrip(".")))
+                      for e in allowed).rstrip(",")
+    small = src.option("pathGlobFilter", f"*.{{{endings}}}").load(path).where(F.col("length") <= max_bytes)
     head = F.hex(F.substring("content", 1, 4))
     as_text = F.col("content").cast("string")  # a view of the bytes, not a copy
     text_like = F.is_valid_utf8(as_text) & (F.instr(as_text, "\u0000") == 0)
     typ_ok = (head.startswith(MAGIC_GZIP) | head.startswith(MAGIC_PDF) | head.startswith(MAGIC_MARKUP) | text_like)
-    ext_ok = ext.isin(*allowed)
-    reason = F.when(~ext_ok, F.lit("extension")).when(~typ_ok, F.lit("type")).otherwise(F.lit("ok"))
-    judged = small.select("path", "length", ext.alias("ext"), reason.alias("reason"))
-    judged = judged.select("path", "length", "ext", (F.col("reason") == "ok").alias("accepted"), "reason")
-    return judged.unionByName(big)
+    judged = small.select("path", "length", ext.alias("ext"), F.when(typ_ok, F.lit("ok")).otherwise(F.lit("type")).alias("reason"))
+    return refused.unionByName(judged).select("path", "length", "ext", (F.col("reason") == "ok").alias("accepted"), "reason")

@@ -22,6 +22,12 @@ def _s(c):
 
 
 _VIEWS: dict = {}
+MEMO_VIEWS = 64
+
+
+def forget() -> None:
+    """Drop the plans kept so far."""
+    _VIEWS.clear()
 
 
 def view(fn):
@@ -35,6 +41,8 @@ def view(fn):
         bound.apply_defaults()
         key = (id(spark), fn.__name__) + tuple(v for k, v in bound.arguments.items() if k != "spark")
         if key not in _VIEWS:  # the session is kept in the value, so its id cannot be reused
+            if len(_VIEWS) >= MEMO_VIEWS:
+                _VIEWS.clear()
             _VIEWS[key] = (spark, fn(*bound.args, **bound.kwargs))
         return _VIEWS[key][1]
     return wrapper
@@ -88,27 +96,56 @@ def entity_v(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@view
+def gaps_v(spark: SparkSession, d: str) -> DataFrame:
+    """findings_v where some articles lack their id or the ids of their findings (null or empty)."""
+    n = _article_num() % 50
+    return findings_v(spark, d).select(
+        F.when(n == 1, F.lit(None)).when(n == 2, F.lit("")).otherwise(F.col("pmcid")).alias("pmcid"),
+        F.when(n == 3, F.lit("")).when(n == 4, F.lit(None)).otherwise(F.col("synid")).alias("synid"),
+        "context", "source_file")
+
+
 @view
 def catalog_v(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey").where(F.col("s_suppkey") < 30)
+    """Catalogue rows in order (``ord``): four in five suppliers, some of them again later with another app
+    and without a link, and some parts that name an app nobody knows."""
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey").where(F.col("s_suppkey") % 5 != 0)
+    sid = F.concat(F.lit("syn"), (F.lit(900000) + F.col("s_suppkey")).cast("string")).alias("id")
     a = s.select(
-        F.concat(F.lit("syn"), (F.lit(900000) + F.col("s_suppkey")).cast("string")).alias("id"),
-        F.concat(F.lit("app"), _s("s_nationkey")).alias("app_id"),
+        sid, F.concat(F.lit("app"), _s("s_nationkey")).alias("app_id"),
         F.when(F.col("s_suppkey") % 4 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("https://portal.example.org/"), _s("s_suppkey"))).alias("link"),
-    )
+        F.col("s_suppkey").cast("bigint").alias("ord"))
+    again = s.where(F.col("s_suppkey") % 7 == 3).select(
+        sid, F.concat(F.lit("app"), (F.col("s_nationkey") + 1).cast("string")).alias("app_id"),
+        F.lit(None).cast("string").alias("link"), (F.col("s_suppkey") + 1000000000).cast("bigint").alias("ord"))
     p = table(spark, d, "part").select("p_partkey").where(F.col("p_partkey") % 100 == 3)
     b = p.select(
         F.concat(F.lit("syn"), (F.lit(1000000) + F.col("p_partkey")).cast("string")).alias("id"),
-        F.lit("app99").alias("app_id"), F.lit(None).cast("string").alias("link"))
-    return a.unionByName(b)
+        F.lit("app99").alias("app_id"), F.lit(None).cast("string").alias("link"),
+        (F.col("p_partkey") + 2000000000).cast("bigint").alias("ord"))
+    return a.unionByName(again).unionByName(b)
 
 
 @view
 def app_v(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "supplier").select("s_nationkey").where(F.col("s_nationkey") % 5 != 0)
-    return s.select(F.concat(F.lit("app"), _s("s_nationkey")).alias("app_id"),
-                    F.concat(F.lit("Portal "), _s("s_nationkey")).alias("friendly_name")).distinct()
+    """App names in order (``ord``); some apps had another name before."""
+    s = table(spark, d, "supplier").select("s_nationkey").where(F.col("s_nationkey") % 5 != 0).distinct()
+    app = F.concat(F.lit("app"), _s("s_nationkey")).alias("app_id")
+    now = s.select(app, F.concat(F.lit("Portal "), _s("s_nationkey")).alias("friendly_name"), F.lit(1).alias("ord"))
+    before = s.where(F.col("s_nationkey") % 3 == 1).select(
+        app, F.concat(F.lit("Zz portal "), _s("s_nationkey")).alias("friendly_name"), F.lit(0).alias("ord"))
+    return now.unionByName(before)
+
+
+@view
+def listing_v(spark: SparkSession, d: str) -> DataFrame:
+    """Listing pages of the corpus files: an archive, its checksum and the parent folder on each."""
+    name = corpus_file_of("doc_id")
+    return table(spark, d, "documents").select(name.alias("name")).distinct().select(F.concat(
+        F.lit('<a href="../">..</a> <a href="'), "name", F.lit('">'), "name", F.lit('</a> <a href="'), "name",
+        F.lit('.md5">md5</a>')).alias("html"))
 
 
 @view

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 
-
 _READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+MEMO_TABLES = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,13 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _READS:  # the session is kept in the value, so its id cannot be reused
+        if len(_READS) >= MEMO_TABLES:
+            _READS.clear()
         _READS[key] = (spark, spark.read.parquet(path))
     return _READS[key][1]
 
 
+def forget() -> None:
+    """Drop the plans kept so far."""
+    _READS.clear()
+
+
+def _missing(exc: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Results table (S5): callers select only what they need; pruning reaches the scan."""
-    return spark.read.schema(schemas.RESULTS).parquet(path)
+    """Results table (S5), empty when there is none yet: callers select only what they need; pruning
+    reaches the scan."""
+    try:
+        return spark.read.schema(schemas.RESULTS).parquet(path)
+    except Exception as exc:
+        if not _missing(exc):
+            raise
+    return spark.createDataFrame([], schemas.RESULTS)
 
 
 def read_entity_meta(spark: SparkSession, path: str | None) -> DataFrame:
@@ -37,13 +55,14 @@ def read_entity_meta(spark: SparkSession, path: str | None) -> DataFrame:
 
 
 def read_watermark(spark: SparkSession, path: str | None) -> str | None:
-    """The saved resume point (``PMC…``), or None when there is none yet."""
+    """The saved resume point (``PMC…``), or None when there is none yet: the highest one written."""
     if not path:
         return None
     try:
-        row = spark.read.parquet(path).select("last_processed_pmc_id").first()
+        row = (spark.read.schema(schemas.WATERMARK).parquet(path)
+                    .orderBy(F.desc("start_pmc")).select("last_processed_pmc_id").first())
     except Exception as exc:  # no watermark written yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        if not _missing(exc):
             raise
         return None
     return row[0] if row else None

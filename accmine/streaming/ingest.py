@@ -13,17 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.fixed import ARTICLE_CLOSE, ARTICLE_OPEN
+from ..functions.fixed import ARTICLE_OPEN, CONTEXT_WINDOW
 from ..functions.text import source_file_from_path
 from ..operators.articles import findings_from_articles
 from ..operators.incremental import first_batch_wins
+from ..operators.mine import DEFAULT_PATTERN, AccessionPattern
 from ..operators.parse import parse_articles
+from ..session import scratch_path
+from ..sinks.tables import stage
 from ..sources.corpus import articles_from_records
 
 
 def corpus_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                   tag_prefix: str = ARTICLE_OPEN) -> DataFrame:
-    r = spark.readStream.option("lineSep", ARTICLE_CLOSE)
+    r = spark.readStream.option("lineSep", tag_prefix)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     recs = r.text(path).select(F.col("_metadata.file_path").alias("_path"), "value")
@@ -31,16 +34,30 @@ def corpus_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
 
 
 def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint: str,
-                  partitions: int | None = None, max_files_per_trigger: int | None = None):
+                  partitions: int | None = None, max_files_per_trigger: int | None = None,
+                  window: int = CONTEXT_WINDOW, case_rule: str = "reference",
+                  pattern: AccessionPattern = DEFAULT_PATTERN, rejects_path: str | None = None):
     """Mine new corpus files into ``out_path/batch_id=N`` (parquet); returns the finished query.
 
+    The mining options are those of the batch job. With ``rejects_path`` the articles that do not parse go
+    to ``rejects_path/batch_id=N`` with their XML and reason; every article is then parsed, once. Without it
+    only articles that can hold an id are.
+
     Gzip files are one task each, so a micro-batch should hold at least as many files as the
     cluster has cores: by default a run takes everything that landed since the last one.
     ``max_files_per_trigger`` bounds a micro-batch when a backlog is larger than one job should be."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_articles(batch, "xml", ("source_file",), partitions=partitions)
-        f = findings_from_articles(parsed, ("source_file",)).select("pmcid", "synid", "context", "source_file")
-        f.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        if rejects_path:
+            parsed = parse_articles(batch, "xml", ("source_file", "xml"), partitions=partitions)
+            parsed = stage(parsed.select("source_file", "ok", "reason", "pmc_id", "text",
+                                         F.when(~F.col("ok"), F.col("xml")).alias("xml")), scratch_path(spark, "stream-parsed"))
+            (parsed.where(~F.col("ok")).select("source_file", "xml", "reason")
+                   .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}"))
+        else:
+            parsed = parse_articles(batch, "xml", ("source_file",), partitions=partitions, only_ids=pattern.prefix)
+        f = findings_from_articles(parsed, ("source_file",), window, case_rule, pattern)
+        (f.select("pmcid", "synid", "context", "source_file").hint("rebalance")
+          .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 
     q = (corpus_stream(spark, in_path, max_files_per_trigger).writeStream
          .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -50,7 +67,9 @@ def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint:
 
 
 def findings_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schemas.FINDINGS_CSV).option("header", True)
+    # a file whose header names other columns, or the same in another order, stops the stream
+    r = (spark.readStream.schema(schemas.FINDINGS_CSV).option("header", True).option("escape", '"')
+              .option("enforceSchema", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).csv(path)
@@ -59,14 +78,15 @@ def findings_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def append_results(spark: SparkSession, in_path: str, results_path: str, checkpoint: str,
-                   max_files_per_trigger: int | None = None):
+                   max_files_per_trigger: int | None = None, check_duplicates: bool = True):
     """Append findings of unseen articles to the results table at ``results_path``.
 
     The table is a folder of ``batch=…`` parquet partitions. Each micro-batch keeps the first
     batch file per article (J2), drops articles stored by *other* batches (J1) and overwrites its
-    own partition, so a replay after a failure gives the same rows."""
+    own partition, so a replay after a failure gives the same rows. Without ``check_duplicates`` stored
+    articles are appended again; inside a micro-batch the first file of an article still wins."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        append_batch(spark, batch, batch_id, results_path)
+        append_batch(spark, batch, batch_id, results_path, check_duplicates)
 
     q = (findings_stream(spark, in_path, max_files_per_trigger).writeStream
          .foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -75,12 +95,13 @@ def append_results(spark: SparkSession, in_path: str, results_path: str, checkpo
     return q
 
 
-def append_batch(spark: SparkSession, batch: DataFrame, batch_id, results_path: str) -> None:
+def append_batch(spark: SparkSession, batch: DataFrame, batch_id, results_path: str,
+                 check_duplicates: bool = True) -> None:
     """One micro-batch of T2: keep the first batch file per article, drop articles stored by
     *other* batches, overwrite this batch's own partition. Running it again for the same
     ``batch_id`` (a replay after a failure) leaves the table exactly as one run would."""
     stored = spark.read.parquet(results_path).where(F.col("batch") != F.lit(str(batch_id)))
-    rows = first_batch_wins(batch, stored.select("pmcid"))
+    rows = first_batch_wins(batch, stored.select("pmcid"), check_duplicates=check_duplicates)
     rows.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
 
 

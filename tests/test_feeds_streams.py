@@ -89,3 +89,45 @@ def test_validate_feed(spark, sf_dir):
     n = rows.count()
     assert tuple(feeds.validate_feed(spark, good).first()) == (n, n, 0, n)
     assert tuple(feeds.validate_feed(spark, bad).first()) == (n, 0, n, 0)
+
+
+def test_feed_lines_have_their_place(spark, sf_dir):
+    rows = sorted((r.n, r.line) for r in Q.QUERIES["search_feed_order"](spark, sf_dir).collect())
+    assert [n for n, _ in rows] == list(range(len(rows)))
+    root = ET.fromstring("\n".join(line for _, line in rows).encode())
+    ids = [e.get("id") for e in root.findall("entries/entry")]
+    assert ids == sorted(ids) and root.find("entry_count").text == str(len(ids))
+
+
+def test_stream_options_and_rejects(spark, tmp_path):
+    import gzip
+    from accmine.operators.mine import AccessionPattern
+    from accmine.streaming.ingest import ingest_corpus
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "PMC1_PMC9.xml.gz", "wt") as fh:
+        fh.write('<article a="1"><article-id pub-id-type="pmc">1</article-id><body><p>xx GSE123 yy</p></body></article>'
+                 '<article a="2"><body><p>open</body></article><article a="3"><body>gse999 cut o')
+    out, bad, ck = (str(tmp_path / n) for n in ("out", "bad", "ck"))
+    ingest_corpus(spark, str(tmp_path / "in"), out, ck, window=2, case_rule="fold", pattern=AccessionPattern("gse", 3, 5), rejects_path=bad)
+    assert [tuple(r) for r in spark.read.parquet(out).select("pmcid", "synid", "context").collect()] == [("pmc:PMC1", "gse123", "x GSE123 y")]
+    assert sorted(r.reason.split(":")[0] for r in spark.read.parquet(bad).collect()) == ["ParseError"] * 2
+
+
+def test_append_without_duplicate_check(spark):
+    from accmine.streaming.ingest import append_batch, init_results_table
+    path = scratch_path(spark, "no-check")
+    init_results_table(spark.createDataFrame([("pmc:PMC1", "syn1")], "pmcid string, synid string"), path)
+    b = spark.createDataFrame([("pmc:PMC1", "syn2", "c", "A.xml.gz")], "pmcid string, synid string, context string, source_file string")
+    append_batch(spark, b, 0, path, check_duplicates=False)
+    append_batch(spark, b, 1, path)
+    assert spark.read.parquet(path).groupBy("batch").count().count() == 2
+
+
+def test_a_stream_refuses_swapped_columns(spark, tmp_path):
+    import pytest
+    from accmine.streaming.ingest import append_results, init_results_table
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.PMC1_PMC2.xml.gz.csv").write_text("synid,pmcid,context\nsyn1,pmc:PMC1,c\n")
+    init_results_table(spark.createDataFrame([("pmc:PMC9", "syn9")], "pmcid string, synid string"), str(tmp_path / "t"))
+    with pytest.raises(Exception, match="(?i)header"):
+        append_results(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck"))

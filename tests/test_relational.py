@@ -1,98 +1,119 @@
-"""Results-table semantics, dedup, summaries and enrichment on small hand-made frames."""
+"""Results table, deduplication, summaries and enrichment on small frames."""
 
 from accmine.operators import dedup, enrich, incremental, summarize
 
+FOUND = "pmcid string, synid string, context string, source_file string"
+
 
 def rows(df, *cols):
-    return sorted((tuple(r) for r in df.select(*cols).collect()),
+    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()),
                   key=lambda t: tuple((v is not None, v) for v in t))
 
 
-def test_new_rows_skips_stored_articles(spark):
-    f = spark.createDataFrame([("pmc:PMC1", "syn1111111"), ("pmc:PMC2", "syn2222222"), ("pmc:PMC2", "syn3333333")],
-                              "pmcid string, synid string")
-    r = spark.createDataFrame([("pmc:PMC2", "syn2222222")], "pmcid string, synid string")
-    assert rows(incremental.new_rows(f, r), "pmcid", "synid") == [("pmc:PMC1", "syn1111111")]
-    assert len(rows(incremental.new_rows(f, r, check_duplicates=False), "pmcid")) == 3
+def batch(spark, *rows_):
+    return spark.createDataFrame([(f"pmc:PMC{a}", f"syn{s}", c, f) for a, s, c, f in rows_], FOUND)
+
 
+def test_stored_articles_are_skipped_whole(spark):
+    f = batch(spark, (4, 10, "c", "f"), (5, 11, "c", "f"), (5, 12, "c", "f"), (6, 13, "c", "f"))
+    stored = spark.createDataFrame([("pmc:PMC5",), ("pmc:PMC5",), ("pmc:PMC9",)], "pmcid string")
+    assert rows(incremental.new_rows(f, stored), "pmcid") == [("pmc:PMC4",), ("pmc:PMC6",)]
+    assert incremental.new_rows(f, stored, check_duplicates=False).count() == 4
+    assert incremental.new_rows(f, stored.where("false")).count() == 4
 
-def test_first_batch_wins(spark):
-    b = spark.createDataFrame([
-        ("pmc:PMC1", "syn1", "B.xml.gz"), ("pmc:PMC1", "syn2", "A.xml.gz"), ("pmc:PMC1", "syn3", "A.xml.gz"),
-        ("pmc:PMC2", "syn4", "B.xml.gz"), ("pmc:PMC3", "syn5", "C.xml.gz")],
-        "pmcid string, synid string, source_file string")
-    r = spark.createDataFrame([("pmc:PMC3",)], "pmcid string")
-    assert rows(incremental.first_batch_wins(b, r), "synid") == [("syn2",), ("syn3",), ("syn4",)]
 
+def test_the_first_batch_of_an_article_wins(spark):
+    f = batch(spark, (1, 1, "late", "PMC9_PMC9.xml.gz"), (1, 2, "early", "PMC10_PMC19.xml.gz"), (1, 2, "early", "PMC10_PMC19.xml.gz"),
+              (2, 3, "only", "PMC9_PMC9.xml.gz"), (3, 4, "stored", "PMC9_PMC9.xml.gz"))
+    stored = spark.createDataFrame([("pmc:PMC3",)], "pmcid string")
+    got = incremental.first_batch_wins(f, stored)
+    assert got.columns == f.columns        # "PMC10…" sorts before "PMC9…": name order, not number order
+    assert rows(got, "synid", "context") == [("syn2", "early"), ("syn2", "early"), ("syn3", "only")]
+    assert rows(incremental.first_batch_wins(f, stored, check_duplicates=False), "synid") == [("syn2",), ("syn2",), ("syn3",), ("syn4",)]
 
-def test_combine_dedup_and_stats(spark):
-    b = spark.createDataFrame([
-        ("p1", "syn1", "c", "b.xml.gz"), ("p1", "syn1", "c", "a.xml.gz"), ("p1", "syn1", None, "c.xml.gz"),
-        ("p1", "syn1", None, "d.xml.gz")], "pmcid string, synid string, context string, source_file string")
-    assert rows(dedup.combine_dedup(b), "context", "source_file") == [(None, "c.xml.gz"), ("c", "a.xml.gz")]
-    s = dedup.combine_stats(b).first()
-    assert (s.rows_before, s.rows_after, s.unique_synids, s.files) == (4, 2, 1, 4)
 
+def test_combine(spark):
+    f = batch(spark, (1, 1, None, "c"), (1, 1, None, "b"), (1, 1, "x", "c"), (2, 1, "x", "a"), (2, 2, "x", "a"), (2, 2, "x", "a"))
+    assert rows(dedup.combine_dedup(f)) == [("pmc:PMC1", "syn1", None, "b"), ("pmc:PMC1", "syn1", "x", "c"),
+                                            ("pmc:PMC2", "syn1", "x", "a"), ("pmc:PMC2", "syn2", "x", "a")]
+    assert dedup.combine_stats(f).first().asDict() == {"rows_before": 6, "rows_after": 4, "unique_synids": 2, "files": 3}
+    assert dedup.combine_stats(f.where("false")).first().asDict() == {"rows_before": 0, "rows_after": 0, "unique_synids": 0, "files": 0}
+    assert dedup.combine_dedup(f.where("false")).count() == 0
 
-def test_summary_and_top(spark):
-    f = spark.createDataFrame([("doc1", "syn1234567"), ("doc1", "syn9876543"), ("doc2", "syn1234567"),
-                               ("doc2", "syn1111111")], "pmcid string, synid string")
-    s = summarize.summary(f).first()
-    assert (s.documents, s.mentions, s.unique_ids) == (2, 4, 3)
-    top = summarize.top_ids(f, 1).first()
-    assert (top.synid, top.mentions) == ("syn1234567", 2)
 
+def test_summaries(spark):
+    f = batch(spark, *[(k % 3, 100 + k % 4, "c", "f") for k in range(17)])
+    assert tuple(summarize.summary(f).first()) == (3, 17, 4)
+    assert rows(summarize.doc_counts(f)) == [("pmc:PMC0", 6, 4), ("pmc:PMC1", 6, 4), ("pmc:PMC2", 5, 4)]
+    assert [tuple(r) for r in summarize.top_ids(f, 3).collect()] == [("syn100", 5), ("syn101", 4), ("syn102", 4)]
 
-def test_dedup_in_doc(spark):
-    f = spark.createDataFrame([("d", 0, "syn1234567", "first"), ("d", 1, "syn1234567", "again"),
-                               ("d", 2, "syn9876543", "other")], "pmcid string, pos int, synid string, context string")
-    assert rows(dedup.first_per_document(f), "synid", "context") == [("syn1234567", "first"), ("syn9876543", "other")]
 
+def test_one_finding_of_an_id_in_a_document(spark):
+    f = spark.createDataFrame([("d", 3, "s", "third"), ("d", 1, "s", "first"), ("d", 2, "t", "second"), ("e", 0, "s", "other")],
+                              "pmcid string, pos int, synid string, context string")
+    assert rows(dedup.first_per_document(f), "pmcid", "synid", "context") == [("d", "s", "first"), ("d", "t", "second"), ("e", "s", "other")]
 
-def test_links_and_citations(spark):
-    f = spark.createDataFrame([("pmc:PMC1", "syn1"), ("PMC1", "syn1"), ("pmc:", "syn2"), (None, "syn3"),
-                               ("pmc:PMC2", "")], "pmcid string, synid string")
-    assert rows(dedup.distinct_links(f), "pmcid", "synid") == [("", "syn2"), ("PMC1", "syn1")]
-    assert rows(summarize.citations_by_id(f), "synid", "pmcid", "n_articles") == [("syn1", "PMC1", 1)]
+
+def test_rows_without_keys(spark):
+    f = spark.createDataFrame([("pmc:PMC1", "a"), ("PMC1", "a"), ("pmc:", "b"), ("", "c"), (None, "d"), ("pmc:PMC2", ""), ("pmc:PMC2", None)],
+                              "pmcid string, synid string")
+    assert rows(dedup.distinct_links(f), "pmcid", "synid") == [("", "b"), ("PMC1", "a")]
+    assert rows(summarize.citations_by_id(f), "synid", "pmcid", "n_articles") == [("a", "PMC1", 1)]
 
 
-def test_file_catalog_resume_watermark(spark):
-    names = spark.createDataFrame([(n,) for n in ["PMC20_PMC29.xml.gz", "PMC3_PMC9.xml.gz", "PMC100_PMC199.xml.gz",
-                                                  "index.html"]], "file_name string")
+def test_files_positions_and_listings(spark):
+    html = ('<a href="../">up</a><a href="PMC8_PMC9.xml.gz">x</a><a href="PMC8_PMC9.xml.gz.md5">x</a>'
+            '<a href="PMC10_PMC99.xml.gz">x</a><a href="PMC8_PMC9.filelist.csv">x</a><a href="readme.xml.gz">x</a>')
+    names = incremental.listed_files(spark.createDataFrame([(html,), (html,)], "html string"))
+    assert rows(names) == [("PMC10_PMC99.xml.gz",), ("PMC8_PMC9.xml.gz",), ("readme.xml.gz",)]
     files = incremental.file_catalog(names)
-    assert [r.file_name for r in incremental.resume_files(files, "PMC10").collect()] == [
-        "PMC20_PMC29.xml.gz", "PMC100_PMC199.xml.gz"]
-    assert [r.start_pmc for r in incremental.resume_files(files, "PMC20_PMC29.xml.gz", 1).collect()] == [20]
-    assert incremental.resume_files(files, "PMC500").count() == 0
-    assert incremental.watermark(names).first().last_processed_pmc_id == "PMC100"  # numeric, not string max
-
-
-def test_portal_resolve_by_row_presence(spark):
-    cfg = enrich.PortalConfig(default_repository="Default")
-    ent = spark.createDataFrame([("syn1", "n1", 10, "2024-01-01T00:00:00Z"), ("syn2", "n2", 10, None),
-                                 ("syn3", "", 0, None)], "id string, name string, benefactor_id long, created_on string")
-    cat = spark.createDataFrame([("syn1", "appA", None), ("syn10", "appB", "https://x/10")],
-                                "id string, app_id string, link string")
-    apps = spark.createDataFrame([("appA", "Portal A"), ("appB", "Portal B")], "app_id string, friendly_name string")
+    assert [r.start_pmc for r in incremental.resume_files(files).collect()] == [8, 10]
+    assert [r.start_pmc for r in incremental.resume_files(files, "PMC9").collect()] == [10]
+    assert [r.start_pmc for r in incremental.resume_files(files, "PMC8_PMC9.xml.gz", 1).collect()] == [8]
+    assert [r.start_pmc for r in incremental.resume_files(files, "readme.xml.gz").collect()] == [8, 10]
+    assert incremental.resume_files(files, "PMC11").count() == 0
+    assert incremental.watermark(names).first().last_processed_pmc_id == "PMC10"
+    assert incremental.watermark(names.where("false")).count() == 0
+
+
+CAT, APP = "id string, app_id string, link string, ord long", "app_id string, friendly_name string, ord long"
+
+
+def test_the_last_catalogue_and_app_row_counts(spark):
+    cat = spark.createDataFrame([("s1", "a", "https://p/1", 1), ("s1", "b", None, 2), ("s2", None, "", 1), ("s3", "c", "https://p/3", 5)], CAT)
+    apps = spark.createDataFrame([("a", "A", 1), ("b", "Zeta", 1), ("b", "Alpha", 2)], APP)
+    assert rows(enrich.catalog_names(cat, apps), "id", "app_id", "link", "repository") == [
+        ("s1", "b", None, "Alpha"), ("s2", "", None, "Repository"), ("s3", "c", "https://p/3", "Repository")]
+
+
+def test_own_entry_before_the_parents(spark):
+    ent = spark.createDataFrame([("syn1", "one", 9, "2022-02-02T01:00:00Z"), ("syn2", "", 9, None), ("syn3", None, 0, None)],
+                                "id string, name string, benefactor_id long, created_on string")
+    cat = spark.createDataFrame([("syn1", "own", None, 1), ("syn9", "up", "https://p/9", 2)], CAT)
+    apps = spark.createDataFrame([("own", "Own", 1), ("up", "Up", 1)], APP)
+    cfg = enrich.PortalConfig(default_repository="None named")
     portals = enrich.portal_table(cat, apps, cfg)
-    got = rows(enrich.portal_resolve(ent, portals, cfg), "id", "repository", "portal_link")
-    assert got == [("syn1", "Portal A", None), ("syn2", "Portal B", "https://x/10"), ("syn3", "Default", None)]
-    meta = {r.id: r for r in enrich.entity_meta(ent, portals, cfg).collect()}
-    assert meta["syn3"].name == "syn3" and meta["syn2"].created_on == "" and meta["syn1"].created_on == "2024-01-01"
+    assert rows(enrich.portal_resolve(ent, portals, cfg), "id", "parent_id", "repository", "portal_link") == [
+        ("syn1", "syn9", "Own", None), ("syn2", "syn9", "Up", "https://p/9"), ("syn3", None, "None named", None)]
+    meta = {r.id: (r.name, r.created_on) for r in enrich.entity_meta(ent, portals, cfg).collect()}
+    assert meta == {"syn1": ("one", "2022-02-02"), "syn2": ("syn2", ""), "syn3": ("syn3", "")}
+    ids = spark.createDataFrame([("syn1",), ("syn2",), ("syn8",)], "synid string")
+    old = enrich.entity_meta(ent, portals, cfg).where("id = 'syn1'").replace("one", "kept")
+    fresh = enrich.refresh_cache(ids, old, ent, portals, cfg)
+    assert rows(fresh, "id", "name") == [("syn1", "kept"), ("syn2", "syn2")]
+    assert rows(enrich.refresh_cache(ids, old, ent, portals, cfg, refresh=True), "id", "name") == [("syn1", "one"), ("syn2", "syn2")]
+    assert rows(enrich.inaccessible(ids, fresh)) == [("syn8",)]
 
 
-def test_union_batches_missing_columns(spark):
-    a = spark.createDataFrame([("p1", "syn1", "ctx", "f1")], "pmcid string, synid string, context string, source_file string")
-    b = spark.createDataFrame([("p2", "syn2")], "pmcid string, synid string")
-    got = rows(dedup.union_batches([a, b]), "pmcid", "synid", "context", "source_file")
-    assert got == [("p1", "syn1", "ctx", "f1"), ("p2", "syn2", None, None)]
+def test_batches_of_different_columns(spark):
+    a, b = spark.createDataFrame([("p", 1)], "x string, y int"), spark.createDataFrame([("q", "w")], "x string, z string")
+    assert rows(dedup.union_batches([a, b]), "x", "y", "z") == [("p", 1, None), ("q", None, "w")]
 
 
-def test_coverage_counts(spark):
+def test_coverage(spark):
     from accmine.operators.articles import coverage
     parsed = spark.createDataFrame([
-        ("f1", True, "PMC1", "see syn1234567 and syn7654321"), ("f1", True, "PMC2", "nothing here"),
-        ("f1", False, None, None), ("f2", True, None, "syn1234567 but no id"), ("f2", True, "PMC3", "SYN1234567 only")],
-        "source_file string, ok boolean, pmc_id string, text string")
-    got = rows(coverage(parsed), "source_file", "articles", "parsed", "with_id", "articles_with_findings", "findings")
-    assert got == [("f1", 3, 2, 2, 1, 2), ("f2", 2, 2, 1, 0, 0)]
+        ("a", True, "PMC1", "syn5550000"), ("a", True, "PMC2", ""), ("a", False, None, None), ("a", True, "PMC4", "syn5550000 syn5550001 syn5550002"),
+        ("b", True, None, "syn5550000"), ("b", True, "PMC6", "SYN5550000")], "source_file string, ok boolean, pmc_id string, text string")
+    assert rows(coverage(parsed), "source_file", "articles", "parsed", "with_id", "articles_with_findings", "findings") == [
+        ("a", 4, 3, 3, 2, 4), ("b", 2, 2, 1, 0, 0)]

@@ -48,3 +48,18 @@ def test_findings_csv_glob_and_batch_name(spark):
     got = sorted(tuple(r) for r in read_findings_csv(spark, d).collect())
     assert got == [("pmc:PMC1", "syn1234567", "a, b", "PMC1_PMC9.xml.gz"),
                    ("pmc:PMC12", "syn7654321", "c", "PMC10_PMC19.xml.gz")]
+
+
+def test_findings_csv_goes_by_names_and_doubled_quotes(spark, tmp_path):
+    (tmp_path / "a.PMC1_PMC2.xml.gz.csv").write_text('context,synid,pmcid,extra\n"a, ""b"" \\",syn1234567,pmc:PMC1,z\n')
+    (tmp_path / "b.PMC3_PMC4.xml.gz.csv").write_text('"pmcid","synid"\npmc:PMC3,syn7654321\n')
+    got = sorted(tuple(r) for r in read_findings_csv(spark, str(tmp_path)).collect())
+    assert got == [("pmc:PMC1", "syn1234567", 'a, "b" \\', "PMC1_PMC2.xml.gz"), ("pmc:PMC3", "syn7654321", None, "PMC3_PMC4.xml.gz")]
+
+
+def test_written_csv_reads_back(spark, tmp_path):
+    from accmine.sinks.feeds import write_csv
+    rows = [("pmc:PMC1", "syn1", c, "PMC1_PMC2.xml.gz") for c in ('q "x"', "back \\", 'both \\"', "a,b", "'")]
+    df = spark.createDataFrame(rows, "pmcid string, synid string, context string, source_file string")
+    write_csv(df, str(tmp_path / "o"), partition_by="source_file")
+    assert sorted(tuple(r) for r in read_findings_csv(spark, str(tmp_path / "o")).collect()) == sorted(rows)

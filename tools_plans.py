@@ -1,11 +1,12 @@
 """Write docs/plans.md: the physical plan of every registered query (static plan, before AQE)."""
 
 import io
+import os
 import re
 import sys
 from contextlib import redirect_stdout
 
-sys.path.insert(0, "/root/repo")
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from accmine.plans.queries import QUERIES  # noqa: E402
 from accmine.session import build_session  # noqa: E402
 
