@@ -27,9 +27,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read back: lineage ends there."""
-    return stage(df, scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    if compression is None:
+        return stage(df, path)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def worker_cache(key, build):

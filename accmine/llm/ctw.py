@@ -16,8 +16,6 @@ the driver. (4) Each bucket walks its trees down and gives every string its log1
 back to the blocks that asked, and (6) each block scores its documents. Nothing that grows with the corpus
 is broadcast or collected. A bucket task holds the distinct strings of its bucket.
 
-Words are known by 128-bit hashes, so counts are exact but for a chance of about n^2 / 2^129.
-
 Defined cases: null text is empty text (one token: its end); rows with a null id are scored and not learned
 from; without training rows all bits have probability 1/2 and all words count zero; repeated rows are
 learned and scored each for itself; an empty table gives an empty result; other columns are ignored.
@@ -27,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +33,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, LOWER_AZ, staged
+from .common import LOWER_AZ, staged
 
 DEPTH = 5                     # bytes of context; at most 6, so that a string fits a long
 BUCKETS = 256                 # of contexts, and of words
 BLOCK_BYTES = 32 << 20        # text of a block
+CHUNK_BYTES = 4 << 20         # text turned to arrays at once
 GROUP_BLOCKS = 64             # blocks whose lists of a bucket meet in one task
 EDGE = 0xFF
 GRAM, WORD = 0, 1
@@ -46,23 +46,49 @@ PACKED = "kind int, bucket int, block bigint, data binary"
 
 
 # ---------------------------------------------------------------- packed lists ---
+# A list is a bucket's keys in order (strings as integers, or words) with a value each. Keys go as
+# differences or joined text, numbers as byte planes, both compressed: an entry takes a few bytes.
+
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
+def _planes(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
 
-def pack(m: np.ndarray) -> bytes:
-    """int64 columns, one after the other."""
-    return np.ascontiguousarray(m.T).tobytes()
+def pack(keys, values: np.ndarray) -> bytes:
+    """``keys``: ascending int64 array, or list of words; ``values``: int64 or float32."""
+    words = isinstance(keys, list)
+    raw = [b"\n".join(keys) if words else _planes(np.diff(keys, prepend=np.int64(0))), _planes(values)]
+    out = [bytes(_codec().compress(r)) if r else b"" for r in raw]
+    head = np.array([words, values.dtype == np.float32, len(values), len(raw[0]), len(out[0])], np.int64)
+    return b"".join([head.tobytes(), *out])
 
 
-def unpack(data: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(data, np.int64).reshape(width, -1).T
+def unpack(data: bytes):
+    words, floats, n, size, cut = np.frombuffer(data, np.int64, 5).tolist()
+    kind = np.dtype(np.float32 if floats else np.int64)
 
+    def plain(part, size):
+        return bytes(_codec().decompress(part, size)) if size else b""
 
-def sum_rows(m: np.ndarray) -> np.ndarray:
-    """Rows with equal leading columns added up in the last; sorted by the leading columns."""
-    if not len(m):
-        return m
-    m = m[np.lexsort(m[:, -2::-1].T)]
-    first = np.flatnonzero(np.concatenate(([True], (m[1:, :-1] != m[:-1, :-1]).any(axis=1))))
-    return np.column_stack((m[first, :-1], np.add.reduceat(m[:, -1], first)))
+    def numbers(raw, kind):
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
+
+    raw = plain(data[40:40 + cut], size)
+    keys = (raw.split(b"\n") if n else []) if words else np.cumsum(numbers(raw, np.dtype(np.int64)))
+    return keys, numbers(plain(data[40 + cut:], n * kind.itemsize), kind)
+
+
+def sum_strings(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with their summed numbers."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")              # made of sorted runs: a merge
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n, first)
 
 
 def rows_out(rows: list[tuple]) -> pa.RecordBatch:
@@ -134,11 +160,6 @@ def context_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (((keys >> 8) & 0xFFFF) * 40503 >> 4) % buckets
 
 
-def word_hash(words) -> np.ndarray:
-    """(n, 2) int64: 128-bit hashes."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.int64).reshape(-1, 2)
-
-
 def _pieces(texts: list[bytes], flags):
     out, own, size = [], [], 0
     for t, f in zip(texts, flags):
@@ -153,44 +174,40 @@ def _pieces(texts: list[bytes], flags):
 
 
 def block_lists(texts: list[bytes], train: list[bool], depth: int):
-    """(strings with training counts, words with training counts) of one batch of documents."""
-    found, words = [], Counter()
+    """(strings, their training counts, words with training counts) of one batch of documents."""
+    keys, n, words = [], [], Counter()
     for docs, learn in _pieces(texts, train):
-        keys, size = grams(docs, depth)
-        keys <<= 1
-        keys |= np.repeat(np.array(learn, np.int64), size)
-        keys, n = np.unique(keys, return_counts=True)
-        found.append(np.column_stack((keys >> 1, n * (keys & 1))))
+        k, size = grams(docs, depth)
+        k <<= 1
+        k |= np.repeat(np.array(learn, np.int64), size)
+        k, c = np.unique(k, return_counts=True)
+        keys.append(k >> 1)
+        n.append(c * (k & 1))
         for d, yes in zip(docs, learn):
             if yes:
                 words.update(d.split())
             else:
                 words.update(dict.fromkeys(d.split(), 0))
-    return sum_rows(np.concatenate(found)), words
+    return *sum_strings(np.concatenate(keys), np.concatenate(n)), words
 
 
-def _list_rows(block: int, strings: np.ndarray, words: Counter, buckets: int):
-    b = context_bucket(strings[:, 0], buckets)
+def _list_rows(block: int, keys: np.ndarray, n: np.ndarray, words: Counter, buckets: int):
+    b = context_bucket(keys, buckets)
     for k in np.unique(b):
-        yield GRAM, int(k), block, pack(strings[b == k])
-    if words:
-        w = np.column_stack((word_hash(words), np.fromiter(words.values(), np.int64, len(words))))
-        b = (w[:, 0].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(b, kind="stable")
-        cut = np.searchsorted(b[order], np.arange(buckets + 1))
-        for k in range(buckets):
-            if cut[k] < cut[k + 1]:
-                yield WORD, k, block, pack(sum_rows(w[order[cut[k]:cut[k + 1]]]))
+        yield GRAM, int(k), block, pack(keys[b == k], n[b == k])
+    own = [[] for _ in range(buckets)]
+    for w in words:
+        own[xxhash.xxh3_64_intdigest(w) % buckets].append(w)
+    for k, ws in enumerate(own):
+        if ws:
+            ws.sort()
+            yield WORD, k, block, pack(ws, np.fromiter(map(words.__getitem__, ws), np.int64, len(ws)))
 
 
 def _lists(depth: int, buckets: int):
     """Staged documents (block, train, text), blocks together -> packed lists of each block."""
     def run(batches):
-        block, strings, words = None, [], Counter()
-
-        def close():
-            return rows_out(list(_list_rows(block, sum_rows(np.concatenate(strings)), words, buckets)))
-
+        block, keys, n, words = None, np.zeros(0, np.int64), np.zeros(0, np.int64), Counter()
         for b in batches:
             if not b.num_rows:
                 continue
@@ -200,28 +217,32 @@ def _lists(depth: int, buckets: int):
             cut = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)]
             for s, e in zip(cut, cut[1:]):
                 if block is not None and ids[s] != block:
-                    yield close()
-                    strings, words = [], Counter()
+                    yield rows_out(list(_list_rows(block, keys, n, words, buckets)))
+                    keys, n, words = keys[:0], n[:0], Counter()
                 block = int(ids[s])
-                found, w = block_lists(texts[s:e], train[s:e], depth)
-                strings = [sum_rows(np.concatenate([*strings, found]))]
+                k, c, w = block_lists(texts[s:e], train[s:e], depth)
+                keys, n = sum_strings(np.concatenate((keys, k)), np.concatenate((n, c)))
                 words.update(w)
         if block is not None:
-            yield close()
+            yield rows_out(list(_list_rows(block, keys, n, words, buckets)))
 
     return run
 
 
-def _width(kind: int) -> int:
-    return 2 if kind == GRAM else 3
-
-
 def _summed(key, table):
     kind, bucket = key[0].as_py(), key[1].as_py()
-    m = sum_rows(np.concatenate([unpack(d, _width(kind)) for d in table["data"].to_pylist()]))
+    lists = [unpack(d) for d in table["data"].to_pylist()]
+    if kind == GRAM:
+        keys, n = sum_strings(np.concatenate([k for k, _ in lists]), np.concatenate([v for _, v in lists]))
+    else:
+        total = Counter()
+        for words, v in lists:
+            total.update(dict(zip(words, v.tolist())))
+        keys = sorted(total)
+        n = np.fromiter(map(total.__getitem__, keys), np.int64, len(keys))
     return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-                     "known": pa.array([int((m[:, -1] > 0).sum())], pa.int64()),
-                     "total": pa.array([int(m[:, -1].sum())], pa.int64()), "data": pa.array([pack(m)], pa.binary())})
+                     "known": pa.array([int((n > 0).sum())], pa.int64()),
+                     "total": pa.array([int(n.sum())], pa.int64()), "data": pa.array([pack(keys, n)], pa.binary())})
 
 
 # ------------------------------------------------------------------- the trees ---
@@ -290,13 +311,12 @@ def _upper_sums(depth: int):
     def run(batches):
         for b in batches:
             for data in b.column("data").to_pylist():
-                m = unpack(data, 2)
-                two = grow(m[:, 0], m[:, 1], depth, 2)[2]
+                two = grow(*unpack(data), depth, 2)[2]
                 key, place = np.unique(two["key"] & 0xFFFF, return_inverse=True)   # last byte, bits so far
+                n0, n1, longer = (np.bincount(place, two[c], len(key)) for c in ("n0", "n1", "pw"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(np.bincount(place, two["n0"], len(key)).astype(np.int64)),
-                     pa.array(np.bincount(place, two["n1"], len(key)).astype(np.int64)),
-                     pa.array(np.bincount(place, two["pw"], len(key)))], ["node", "n0", "n1", "longer"])
+                    [pa.array(key, pa.int64()), pa.array(n0.astype(np.int64)), pa.array(n1.astype(np.int64)),
+                     pa.array(longer.astype(np.float64))], ["node", "n0", "n1", "longer"])
 
     return run
 
@@ -357,74 +377,65 @@ def _values(depth: int, upper):
         for b in batches:
             kinds, data = b.column("kind").to_pylist(), b.column("data").to_pylist()
             for k, (kind, d) in enumerate(zip(kinds, data)):
-                m = unpack(d, _width(kind))
                 if kind == GRAM:
-                    lp = log_probabilities(m[:, 0], m[:, 1], depth, upper.value)
-                    m = np.column_stack((m[:, 0], lp.view(np.int64)))
+                    keys, n = unpack(d)
+                    d = pack(keys, log_probabilities(keys, n, depth, upper.value).astype(np.float32))
                 yield pa.RecordBatch.from_arrays([b.column("kind").slice(k, 1), b.column("bucket").slice(k, 1),
-                                                  pa.array([pack(m)], pa.binary())], ["kind", "bucket", "data"])
+                                                  pa.array([d], pa.binary())], ["kind", "bucket", "data"])
 
     return run
 
 
-def find(have: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """Places of ``want`` rows (leading columns) in the sorted rows of ``have``, all of which are there."""
-    at = np.searchsorted(have[:, 0], want[:, 0])
-    while len(at) and (miss := (have[at, 1:-1] != want[:, 1:]).any(axis=1)).any():
-        at[miss] += 1                                    # equal first halves of different hashes
-    return at
-
-
 def _answers(key, asked, values):
     """Each block's list of a bucket with the values looked up."""
-    if not asked.num_rows:
-        return pa.table({c: pa.array([], t) for c, t in (("kind", pa.int32()), ("bucket", pa.int32()),
-                                                         ("block", pa.int64()), ("data", pa.binary()))})
-    kind = key[0].as_py()
-    have = unpack(values["data"][0].as_py(), _width(kind))
     out = []
-    for d in asked["data"].to_pylist():
-        m = unpack(d, _width(kind))[:, :-1]
-        out.append(pack(np.column_stack((m, have[find(have, m), -1]))))
-    return pa.table({"kind": asked["kind"], "bucket": asked["bucket"], "block": asked["block"],
-                     "data": pa.array(out, pa.binary())})
+    if asked.num_rows:
+        have, value = unpack(values["data"][0].as_py())
+        if key[0].as_py() == WORD:
+            value_of = dict(zip(have, value.tolist()))
+        for d in asked["data"].to_pylist():
+            keys, _ = unpack(d)
+            if key[0].as_py() == GRAM:
+                v = value[np.searchsorted(have, keys)]
+            else:
+                v = np.fromiter(map(value_of.__getitem__, keys), np.int64, len(keys))
+            out.append(pack(keys, v))
+    return pa.table({"kind": asked["kind"].cast(pa.int32()), "bucket": asked["bucket"].cast(pa.int32()),
+                     "block": asked["block"].cast(pa.int64()), "data": pa.array(out, pa.binary())})
 
 
-def _score(depth: int, n_total: int, n_distinct: int, end_known: bool, end_count: int):
+def _score(depth: int, n_total: int, n_distinct: int, ends: int):
     z = n_total + n_distinct + 1
 
     def value(c):
         return math.log10((c + 1) / z)
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        lists = {GRAM: [], WORD: []}
+        keys, lp, logs, new = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], {}, set()
         for kind, d in zip(answers["kind"].to_pylist(), answers["data"].to_pylist()):
-            lists[kind].append(unpack(d, _width(kind)))
-        table = np.concatenate(lists[GRAM]) if lists[GRAM] else np.zeros((0, 2), np.int64)
-        table = table[np.unique(table[:, 0], return_index=True)[1]]
-        place = HashTable(np.ascontiguousarray(table[:, 0])).find
-        words = np.concatenate(lists[WORD]) if lists[WORD] else np.zeros((0, 3), np.int64)
-        words = words[np.lexsort((words[:, 1], words[:, 0]))]
-        lp = table[:, 1].copy().view(np.float64)
-        texts = [(t or "").encode().translate(LOWER_AZ) for t in docs["text"].to_pylist()]
-        n_tokens, n_known, base, score = [], [], [], []
-        end = value(end_count)
-        for piece, _ in _pieces(texts, texts):
-            keys, size = grams(piece, depth)
-            per = lp[place(keys)]
-            score.append(np.add.reduceat(per, np.concatenate(([0], np.cumsum(size)[:-1]))))
-            split = [d.split() for d in piece]
-            own = list(set().union(*split))
-            count = words[find(words, word_hash(own)), 2].tolist() if own else []
-            logs = dict(zip(own, map(value, count)))
-            new = {w for w, c in zip(own, count) if not c}
-            for s in split:
-                n_tokens.append(len(s) + 1)
-                n_known.append(len(s) - (sum(map(new.__contains__, s)) if new else 0) + end_known)
-                base.append(math.fsum(map(logs.__getitem__, s)) + end)
+            k, v = unpack(d)
+            if kind == GRAM:
+                keys.append(k)
+                lp.append(v)
+            else:
+                logs.update(zip(k, map(value, v.tolist())))
+                new.update(w for w, c in zip(k, v.tolist()) if not c)
+        keys, first = np.unique(np.concatenate(keys), return_index=True)
+        lp = np.concatenate(lp)[first].astype(np.float64)
+        place = HashTable(keys).find
+        n_tokens, n_known, base, score = [], [], [], [np.zeros(0)]
+        texts = ((t.as_py() or "").encode().translate(LOWER_AZ) for t in docs["text"])
+        for piece, _ in _pieces(texts, repeat(None)):
+            strings, size = grams(piece, depth)
+            score.append(np.add.reduceat(lp[place(strings)], np.concatenate(([0], np.cumsum(size)[:-1]))))
+            for d in piece:
+                words = d.split()
+                n_tokens.append(len(words) + 1)
+                n_known.append(len(words) - sum(map(new.__contains__, words)) + (ends > 0))
+                base.append(math.fsum(map(logs.__getitem__, words)) + value(ends))
         return pa.table({"id": docs["id"], "train": docs["train"], "n_tokens": pa.array(n_tokens, pa.int64()),
                          "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
-                         "score": pa.array(np.concatenate(score) if score else [], pa.float64())})
+                         "score": pa.array(np.concatenate(score), pa.float64())})
 
     return run
 
@@ -440,7 +451,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
                     .agg(F.coalesce(F.max("b"), F.lit(0))).first()[0])
     cuts = max(1, -(-largest // block_bytes))
     block = F.spark_partition_id().cast("bigint") * cuts + F.pmod(F.xxhash64("id", "text"), F.lit(cuts))
-    texts = staged(plain.withColumn("block", block).sortWithinPartitions("block"), "ctw-texts")
+    texts = staged(plain.withColumn("block", block).sortWithinPartitions("block"), "ctw-texts", compression="zstd")
     lists = staged(texts.select("block", "train", "text").mapInArrow(_lists(depth, buckets), PACKED), "ctw-lists")
     size = lists.agg(F.count_distinct("block")).first()[0]
     groups = max(1, -(-size // GROUP_BLOCKS))
@@ -460,7 +471,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     keys = ["kind", "bucket", "salt"]
     answers = salted.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(_answers, PACKED)
     out = f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    run = _score(depth, n_total, n_distinct, ends > 0, ends)
+    run = _score(depth, n_total, n_distinct, ends)
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, out)
     return scored.select(F.col("id").alias(id_col), "train", "n_tokens", "n_known", F.lit(n_total).cast("bigint").alias("train_tokens"),
                          "base_score", "score")
