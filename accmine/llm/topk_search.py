@@ -100,17 +100,25 @@ def block_top_k(q_id, q, x_id, x, axes, k, slice_rows=SLICE, steps=STEPS):
         live = np.flatnonzero(q_len * x_len[s] + slack >= floor)
         if not len(live):
             break                                                      # every later vector is shorter still
-        part = np.zeros((len(live), e - s))
-        done = 0
+        own, err = floor[live], slack[live]
         keep = q_id[live][:, None] != x_id[None, s:e]
-        for n, step in enumerate(steps):
+        part, done = np.zeros((len(live), e - s)), 0
+        for n, step in enumerate([*steps, dim]):
             part += q_rot[live, done:step] @ x_rot[s:e, done:step].T
-            bound = part + q_rest[n][live][:, None] * x_rest[n][None, s:e] + slack[live][:, None]
-            keep &= bound >= floor[live][:, None]
+            if step < dim:
+                if not len(best_s) or not best_s.shape[1]:
+                    done = step                                        # nothing to prune with yet
+                    continue
+                bound = part + q_rest[n][live][:, None] * x_rest[n][None, s:e]
+                keep &= bound >= (own - err)[:, None]
+            else:                                                      # whole sums: only their rounding is open
+                sums = np.where(keep, part, -np.inf)
+                if sums.shape[1] > k:
+                    own = np.maximum(own, np.partition(sums, -k, axis=1)[:, -k] - err)
+                keep &= part >= (own - err)[:, None]
             done = step
-            cand = keep.any(axis=0)
-            if cand.mean() < 0.5:                                      # few columns left: go on with those
-                break
+            if np.count_nonzero(keep) < 0.02 * keep.size:
+                break                                                  # so few that they are summed one by one
         r, c = np.nonzero(keep)
         if not len(r):
             continue
