@@ -238,7 +238,7 @@ SQL: dict[str, str] = {
         FROM (SELECT synid, count(*) AS n_refs FROM pairs GROUP BY synid) c JOIN new_cache n ON n.id = c.synid""",
     "inaccessible": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes()) + """SELECT id AS synid FROM want
         WHERE id NOT IN (SELECT id FROM new_cache)""",
-    "resource_list": w(FINDINGS_V, GAPS_V) + """SELECT CAST(1000 AS BIGINT) AS PrId, 'pubmed' AS DB, pmcid AS UID,
+    "resource_list": w(FINDINGS_V, GAPS_V) + """SELECT CAST(1000 AS BIGINT) AS PrId, 'pubmed' AS DB, nullif(pmcid, '') AS UID,
         'https://repository.example.org/#!' || synid AS URL, '' AS SubjectType,
         'registration required' AS Attribute FROM gaps_v WHERE pmcid IS NOT NULL""",
 }
