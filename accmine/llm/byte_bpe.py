@@ -34,7 +34,7 @@ from .common import worker_cache
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-MEMO_SIZE = 800_000        # pre-tokens remembered per worker; the memo starts anew when full
+MEMO_SIZE = 500_000        # pre-tokens remembered per worker; the memo starts anew when full
 _MASK = (1 << 64) - 1
 
 

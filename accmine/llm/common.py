@@ -36,17 +36,23 @@ def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
+CACHE_ITEMS = 2     # a pipeline's stages run in the same workers: what an earlier stage kept goes
+
+
 def worker_cache(key, build):
     """``build()`` once per Python worker process. Functions pickled by value get fresh globals in
-    each task, so what is worth keeping between tasks lives in a module object of its own."""
+    each task, so what is worth keeping between tasks lives in a module object of its own. Only the
+    last ``CACHE_ITEMS`` things used are kept."""
     name = "_accmine_llm_worker_cache"
     mod = sys.modules.get(name)
     if mod is None:
         mod = sys.modules[name] = types.ModuleType(name)
         mod.items = {}
-    if key not in mod.items:
-        mod.items[key] = build()
-    return mod.items[key]
+    value = mod.items.pop(key) if key in mod.items else build()
+    mod.items[key] = value
+    while len(mod.items) > CACHE_ITEMS:
+        del mod.items[next(iter(mod.items))]
+    return value
 
 
 def text_pieces(arr: pa.Array, chunk_bytes: int = CHUNK_BYTES):

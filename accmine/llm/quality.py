@@ -37,7 +37,7 @@ NEIGHBOURS = 15
 THRESHOLD = 0.3
 BLOCK = 512              # documents in one matrix product
 TIE = 1e-5               # similarities this close to the last neighbour's vote too
-MEMO_SIZE = 500_000      # words remembered per worker
+MEMO_SIZE = 200_000      # words remembered per worker
 MARKS = 2                # repeats the word before; came before in the text
 
 _RUN = re.compile(rb"(.)\1+", re.S)

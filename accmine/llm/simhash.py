@@ -31,7 +31,7 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 HASH_SEED = 42
 TILE = 1024              # expected fingerprints in a tile; a group is one or two tiles
-SEGMENT = 1 << 18        # shingles whose bits are spread out at once
+SEGMENT = 1 << 16        # shingles whose bits are spread out at once
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -94,7 +94,7 @@ def bit_planes(fp: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
-def near_pairs(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, radius: int = RADIUS, step: int = 1 << 15):
+def near_pairs(fp: np.ndarray, lo: np.ndarray, hi: np.ndarray, radius: int = RADIUS, step: int = 1 << 12):
     """Yield index arrays (i, j), lo[i] <= j < hi[i], of fingerprints at most ``radius`` bits apart."""
     planes = bit_planes(fp)
     words = np.where(hi > lo, (hi - 1) // 64 - lo // 64 + 1, 0)
@@ -172,7 +172,7 @@ def spanning_links(fp: np.ndarray, group: np.ndarray, side: np.ndarray, radius:
     return fp[label[far]], fp[far]
 
 
-def _links_udf(radius: int, batch_rows: int = 1 << 16):
+def _links_udf(radius: int, batch_rows: int = 1 << 15):
     """Rows (g, t, fp) ordered by group and side -> links; holds whole groups, of bounded size."""
     def run(batches):
         held, rows = [], 0

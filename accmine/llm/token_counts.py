@@ -28,7 +28,7 @@ from .byte_bpe import is_latin1, later_characters, latin1_pattern
 from .common import worker_cache
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-MEMO_SIZE = 800_000       # pre-tokens remembered per worker; the memo starts anew when full
+MEMO_SIZE = 500_000       # pre-tokens remembered per worker; the memo starts anew when full
 BATCH_SYMBOLS = 4 << 20   # symbols merged at once; a longer single pre-token is merged alone
 
 

@@ -40,7 +40,7 @@ MIN_TOXIC_SHARE = 0.008  # and at least this share of the toxic sample texts
 MIN_PRECISION = 0.6      # share of toxic texts among an entry's sample texts
 MAX_ENTRIES = 4096
 MAX_LEXICONS = 96
-MEMO_SIZE = 500_000      # words remembered per worker
+MEMO_SIZE = 200_000      # words remembered per worker
 THRESHOLD = 0.7
 
 # ASCII other than letters ends a word

@@ -1,0 +1,86 @@
+"""The pipeline: each stage against the operator's own judgement of its input, and odd documents."""
+
+import hashlib
+
+import pytest
+import tiktoken
+
+import corpus_pipeline as P
+from accmine.llm import byte_bpe, decontaminate, quality, simhash, toxicity
+from accmine.llm.common import crc_mod
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in P.STAGES:
+        out.append(P.staged(stage(spark, out[-1], SF), f"test-{name}"))
+    return out
+
+
+def ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_stages_and_columns(stages):
+    assert [n for n, _ in P.STAGES] == ["toxicity", "quality", "near_duplicates", "decontamination", "byte_bpe"]
+    for df in stages[1:5]:
+        assert df.dtypes == stages[0].dtypes
+    counts = [df.count() for df in stages]
+    assert counts[0] > counts[1] > counts[2] > counts[3] == counts[4] == counts[5] > 0
+
+
+def test_rejected_documents_go_and_only_they(spark, stages):
+    docs, labels = stages[0], spark.read.parquet(f"{SF}/labels.parquet")
+    t = toxicity.train_model(docs, labels, crc_mod("doc_id", 3) != 1)
+    assert ids(stages[1]) == ids(toxicity.score_documents(docs, t).where("score < 0.7"))
+    q = quality.train_model(docs, labels, crc_mod("doc_id", 5) != 0)
+    assert ids(stages[2]) == ids(quality.score_documents(stages[1], q).where("score >= 0.3"))
+    lab = {r.doc_id: r for r in labels.collect()}
+    kept = set(ids(stages[2]))
+    clean = [i for i, r in lab.items() if r.quality == 1 and r.toxic == 0]
+    assert sum(i in kept for i in clean) >= 0.97 * len(clean)
+    assert sum(r.toxic == 1 and r.doc_id in kept for r in lab.values()) <= 0.25 * sum(r.toxic for r in lab.values())
+
+
+def test_one_document_of_each_group_stays(stages):
+    named = simhash.near_duplicates(stages[2]).collect()
+    assert ids(stages[3]) == sorted({r.component_id for r in named})
+
+
+def test_benchmark_passages_are_gone_and_the_rest_is_untouched(spark, stages):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    hit = {r.doc_id for r in decontaminate.find_contamination(stages[3], bench).where("size(hits.spans) > 0").collect()}
+    assert hit and decontaminate.find_contamination(stages[4], bench).where("size(hits.spans) > 0").count() == 0
+    before = {r.doc_id: r for r in stages[3].collect()}
+    for r in stages[4].collect():
+        assert (r == before[r.doc_id]) if r.doc_id not in hit else (r.n_chars == len(r.text) < len(before[r.doc_id].text))
+
+
+def test_encoding_is_of_what_is_left(stages):
+    tik = tiktoken.Encoding("t", pat_str=byte_bpe.PATTERN, mergeable_ranks=byte_bpe.load_ranks(byte_bpe.VOCABULARY), special_tokens={})
+    text = {r.doc_id: r.text for r in stages[4].collect()}
+    for r in stages[5].collect():
+        ids_ = tik.encode_ordinary(text[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids_), hashlib.sha256(",".join(map(str, ids_)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
+
+
+def test_odd_documents_pass_through(spark):
+    good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 and toxic = 0").select("doc_id")
+    texts = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").join(good, "doc_id").orderBy("doc_id").select("text").collect()
+    long_text = "\n".join(r.text for r in texts[:60])
+    docs = spark.createDataFrame(
+        [(1, None, "en", "s", 0, 9.0), (1, None, "en", "s", 0, 9.0), (2, "", None, None, None, 9.0), (None, "good plain words here", "en", "s", 21, 9.0),
+         (3, long_text, "en", "s", 5, 9.0)],
+        "doc_id long, text string, lang string, source string, n_chars long, score double")
+    for name, stage in P.STAGES:
+        docs = P.staged(stage(spark, docs, SF), f"odd-{name}")
+        if name != "byte_bpe":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score"]
+    got = sorted((r.doc_id, r.n_tokens) for r in docs.collect() if r.doc_id is not None)
+    assert [i for i, _ in got] == [1, 3] and got[0] == (1, 0)
+    assert P.STAGES[-1][1](spark, docs.selectExpr("doc_id", "lang", "source", "n_chars", "'' AS text").where("false"), SF).count() == 0
