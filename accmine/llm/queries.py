@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    byte_bpe, chat_format, ctw, decontaminate, license_scan, quality, simhash, token_counts, topk_search, toxicity,
+    byte_bpe, chat_format, ctw, decontaminate, fill_middle, filter_audit, license_scan, mixing, quality, simhash,
+    token_counts, topk_search, toxicity,
 )
 from .common import crc_mod, read
 
@@ -164,3 +165,127 @@ def op6_quality(spark, d):
     docs = read(spark, d, "documents").select("doc_id", "text")
     model = quality.train_model(docs, read(spark, d, "labels"), crc_mod("doc_id", 5) != 0)
     return _classified(quality.score_documents(docs, model), crc_mod("doc_id", 5) == 0, quality.THRESHOLD)
+
+
+@query("op11_fill_in_middle")
+def op11_fill_in_middle(spark, d):
+    out = fill_middle.fill_in_middle(read(spark, d, "documents").select("doc_id", "text"))
+    text = fill_middle.restore(F.col("fim.output"), F.col("fim.form"))
+    return out.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+                      F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+SQL["op11_fill_in_middle"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+u AS (
+  SELECT doc_id, text, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_mix_sources")
+def op12_mix_sources(spark, d):
+    return mixing.mix_sources(read(spark, d, "documents").select("doc_id", "text", "source"))
+
+
+SQL["op12_mix_sources"] = r"""
+WITH f AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS hash FROM documents),
+s AS (
+  SELECT key, CAST(sum(size) AS BIGINT) AS source_size, CAST(ceil(count(*) / 1024) AS BIGINT) AS shards,
+         [3, 1, 2][(row_number() OVER (ORDER BY key) - 1) % 3 + 1] AS weight FROM f GROUP BY key),
+l AS (
+  SELECT *, CAST(coalesce(sum(2 * source_size) OVER o, 0) AS DOUBLE) AS words_before, CAST(coalesce(sum(weight) OVER o, 0) AS DOUBLE) AS weight_before,
+         CAST(sum(source_size) OVER () AS DOUBLE) * 150 / 100 AS mix, CAST(sum(weight) OVER () AS DOUBLE) AS weights
+  FROM s WINDOW o AS (ORDER BY CAST(2 * source_size AS DOUBLE) / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, (mix - words_before) * weight >= 2 * source_size * (weights - weight_before) AS is_full FROM l),
+t AS (
+  SELECT key, source_size, shards, CASE WHEN is_full THEN CAST(2 * source_size AS DOUBLE) ELSE
+           (mix - coalesce(CAST(sum(CASE WHEN is_full THEN 2 * source_size END) OVER () AS DOUBLE), 0)) * weight
+           / CAST(sum(CASE WHEN NOT is_full THEN weight END) OVER () AS DOUBLE) END AS target FROM c),
+dealt AS (SELECT doc_id, f.key, size, hash, source_size, target, CAST('0x' || hash[1:15] AS BIGINT) % shards AS shard FROM f JOIN t ON f.key = t.key),
+cells AS (SELECT key, shard, CAST(ceil(sum(size) / 32) AS BIGINT) AS blocks FROM dealt GROUP BY key, shard),
+parties AS (
+  SELECT t.key, blocks, CASE WHEN source_size > 0 THEN CAST(round(target * blocks / source_size * 1000) AS BIGINT) ELSE 0 END AS weight
+  FROM t JOIN (SELECT key, CAST(sum(blocks) AS BIGINT) AS blocks FROM cells GROUP BY key) b ON t.key = b.key),
+asked AS (SELECT key, weight / (2 * seat - 1) AS quotient FROM (SELECT key, weight, unnest(range(1, 2 * blocks + 1)) AS seat FROM parties) WHERE weight > 0),
+won AS (
+  SELECT key, CAST(count(*) AS BIGINT) AS seats
+  FROM (SELECT key, row_number() OVER (ORDER BY quotient DESC, key) AS place FROM asked)
+  WHERE place <= (SELECT round_even(sum(weight) / 1000, 0) FROM parties) GROUP BY key),
+cell_asked AS (
+  SELECT key, shard, blocks / (2 * seat - 1) AS quotient FROM (SELECT key, shard, blocks, unnest(range(1, 2 * blocks + 1)) AS seat FROM cells)),
+cell_won AS (
+  SELECT key, shard, CAST(count(*) AS BIGINT) AS quota
+  FROM (SELECT a.key, shard, seats, row_number() OVER (PARTITION BY a.key ORDER BY quotient DESC, shard) AS place FROM cell_asked a JOIN won ON a.key = won.key)
+  WHERE place <= seats GROUP BY key, shard),
+blocks AS (
+  SELECT c.key, c.shard, b, coalesce(quota, 0) // blocks + CASE WHEN row_number() OVER (PARTITION BY c.key, c.shard ORDER BY md5('42:' || c.key || ':' || c.shard || ':' || b))
+           <= coalesce(quota, 0) % blocks THEN 1 ELSE 0 END AS times
+  FROM (SELECT key, shard, blocks, unnest(range(0, blocks)) AS b FROM cells) c LEFT JOIN cell_won q ON c.key = q.key AND c.shard = q.shard),
+placed AS (
+  SELECT row_number() OVER () AS row, *, CAST(coalesce(sum(size) OVER (PARTITION BY key, shard ORDER BY hash, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+  FROM dealt),
+shares AS (
+  SELECT p.row, CAST(sum((least(pos + size, (p.b + 1) * 32) - greatest(pos, p.b * 32)) * times) AS BIGINT) AS taken
+  FROM (SELECT *, unnest(range(pos // 32, (pos + size - 1) // 32 + 1)) AS b FROM placed WHERE size > 0) p
+  JOIN blocks ON p.key = blocks.key AND p.shard = blocks.shard AND p.b = blocks.b GROUP BY p.row)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM placed LEFT JOIN shares ON placed.row = shares.row
+"""
+
+
+@query("op13_filter_audit")
+def op13_filter_audit(spark, d):
+    return filter_audit.audit_filters(read(spark, d, "documents").select("doc_id", "text", "source"), read(spark, d, "labels"))
+
+
+SQL["op13_filter_audit"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (
+  SELECT t.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text),
+          'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(min(t.doc_id) OVER (PARTITION BY text) < t.doc_id, false)} AS x
+  FROM t LEFT JOIN known ON t.doc_id = known.doc_id),
+g AS (
+  SELECT part, (CASE WHEN x.A THEN 'A' ELSE '' END) || (CASE WHEN x.B THEN 'B' ELSE '' END) || (CASE WHEN x.C THEN 'C' ELSE '' END)
+               || (CASE WHEN x.D THEN 'D' ELSE '' END) || (CASE WHEN x.E THEN 'E' ELSE '' END) AS fails,
+         count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+seen AS (
+  SELECT part, o, step, n, good, toxic, contains(fails, o[step]) AS fail, fails = o[step] AS sole,
+         coalesce(list_bool_or([contains(fails, z) FOR z IN string_split(o[1:step - 1], '') IF z <> '']), false) AS gone
+  FROM g, orders, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT part, o AS filter_order, step, sum(CASE WHEN NOT gone AND NOT fail THEN n ELSE 0 END) AS kept, sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fail AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN sole THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fail AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fail AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM seen GROUP BY 1, 2, 3)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM r
+"""
