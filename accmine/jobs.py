@@ -27,12 +27,15 @@ from .functions.text import source_file_from_path
 from .operators import dedup, enrich, incremental, summarize
 from .operators.articles import findings_from_articles
 from .operators.mine import DEFAULT_PATTERN, AccessionPattern
+from .operators.ordering import with_ordinal
 from .operators.parse import parse_articles
 from .session import scratch_path
 from .sinks import feeds
-from .sinks.tables import stage, write_version
+from .sinks.results import ResultsTable
+from .sinks.tables import stage
+from .sinks.versions import VersionedTable
 from .sources.corpus import corpus_files, read_articles, read_findings_csv
-from .sources.tables import read_entity_meta, read_results, read_watermark
+from .sources.tables import read_entity_meta, read_watermark
 
 FILES_PER_SLICE = 1000    # file names that the driver holds at once
 
@@ -104,50 +107,57 @@ def move_watermark(spark: SparkSession, path: str, processed: DataFrame) -> None
 
 def update_results(spark: SparkSession, findings: DataFrame, results_path: str,
                    check_duplicates: bool = True, watermark_path: str | None = None,
-                   processed: DataFrame | None = None) -> DataFrame:
+                   processed: DataFrame | None = None, position: str | None = None) -> DataFrame:
     """Append findings of articles not yet stored to the results table (J2 + J1 + K3) and return the
-    appended rows. Batches are the ``source_file`` values; the first batch by name wins an article.
-
-    With ``watermark_path`` the position moves over the ``processed`` files (column ``file_name``; default:
-    the files with findings)."""
-    stored = read_results(spark, results_path).select("pmcid")
-    new = stage(incremental.first_batch_wins(findings, stored, check_duplicates=check_duplicates),
-                scratch_path(spark, "new-results"))
-    new.select("pmcid", "synid", "context").write.mode("append").parquet(results_path)
+    appended rows. Batches are the ``source_file`` values; the first batch by name wins an article. Stored
+    articles are looked up in the table's index; rows and ``position`` are committed together.
+
+    With ``watermark_path`` a position table of its own moves over the ``processed`` files (column
+    ``file_name``; default: the files with findings)."""
+    results = ResultsTable(spark, results_path)
+    new = results.append(lambda lookup: incremental.first_batch_wins(findings, lookup, check_duplicates=check_duplicates), position)
     if watermark_path:
         if processed is None:
             processed = findings.select(F.col("source_file").alias("file_name")).distinct()
         move_watermark(spark, watermark_path, processed)
-    return new
+    return results.rows(new)
 
 
-def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, watermark_path: str,
-                    out_path: str, max_files: int | None = None, suffix: str = CORPUS_SUFFIX,
+def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, watermark_path: str | None = None,
+                    out_path: str | None = None, max_files: int | None = None, suffix: str = CORPUS_SUFFIX,
                     files_per_slice: int = FILES_PER_SLICE, **mine_args) -> DataFrame:
     """The weekly run as one batch job: resume from the saved position, mine the corpus files from there on
     (at most ``max_files``, in id order), append findings of unseen articles, and move the position after
     the files are done. Returns the appended rows.
 
-    The resume is inclusive, so the last file is mined again; the anti join drops its articles. Files are
-    taken in slices, so the driver never holds more than ``files_per_slice`` names, and a failed run keeps
-    the slices before. (``streaming.ingest`` gives the same with a checkpoint instead of a position.)"""
-    none = StructType([*schemas.RESULTS.fields, StructField("source_file", StringType())])
-    files = stage(incremental.file_catalog(corpus_files(spark, corpus_path, suffix)), scratch_path(spark, "corpus-files"))
-    start = read_watermark(spark, watermark_path)
-    after = F.lit(True) if start is None else F.col("start_pmc") >= int(start[3:])
-    left, appended = max_files, []
-    while left is None or left > 0:
-        n = files_per_slice if left is None else min(left, files_per_slice)
-        picked = files.where(after).orderBy("start_pmc", "file_name").limit(n).collect()
-        if not picked:
-            break
-        found = mine_corpus(spark, [p for r in picked for p in r.paths], out_path, **mine_args)
-        done = spark.createDataFrame([(r.file_name,) for r in picked], "file_name string")
-        appended.append(update_results(spark, found, results_path, watermark_path=watermark_path, processed=done))
-        last = picked[-1]
-        after = (F.col("start_pmc") > last.start_pmc) | ((F.col("start_pmc") == last.start_pmc) & (F.col("file_name") > last.file_name))
-        left = None if left is None else left - len(picked)
-    return dedup.union_batches(appended) if appended else spark.createDataFrame([], none)
+    The files of a run are taken in slices, so the driver never holds more than ``files_per_slice`` names.
+    Slices follow the order in which the first batch wins, that of the names, so the rows do not depend on the
+    slices. The position is that of the results table, committed with each slice's rows: the highest start
+    among the files done below which none is left, so a failed run keeps the slices before and repeats none
+    but those above it. ``watermark_path`` names a position table of its own, moved once at the end.
+
+    The resume is inclusive, so the last file is mined again; the articles found stored are dropped.
+    (``streaming.ingest`` gives the same with a checkpoint instead of a position.)"""
+    out_path = out_path or f"{results_path.rstrip('/')}-mined"
+    results = ResultsTable(spark, results_path)
+    files = incremental.file_catalog(corpus_files(spark, corpus_path, suffix))
+    start = read_watermark(spark, watermark_path) if watermark_path else results.position()
+    if start is not None:
+        files = files.where(F.col("start_pmc") >= int(start[3:]))
+    picked = stage(with_ordinal(incremental.resume_files(files, max_files=max_files), ["file_name"]), scratch_path(spark, "corpus-files"))
+    n, appended = picked.count(), []
+    for at in range(0, n, files_per_slice):
+        now = picked.where(F.col("ordinal").between(at, at + files_per_slice - 1)).select("paths").collect()
+        found = mine_corpus(spark, [p for r in now for p in r.paths], out_path, **mine_args)
+        rest = picked.where(F.col("ordinal") >= at + files_per_slice).agg(F.min("start_pmc")).first()[0]
+        done = picked.where(F.col("ordinal") < at + files_per_slice)
+        done = done if rest is None else done.where(F.col("start_pmc") < rest)
+        reached = done.agg(F.max("start_pmc")).first()[0]
+        appended += results.append(lambda lookup: incremental.first_batch_wins(found, lookup),  # noqa: B023 (called at once)
+                                   None if reached is None else f"PMC{reached}")
+    if watermark_path and n:
+        move_watermark(spark, watermark_path, picked.select("file_name"))
+    return results.rows(appended)
 
 
 def combine_batches(spark: SparkSession, in_path: str, out_path: str, glob: str = "*.csv",
@@ -168,19 +178,25 @@ def export_links(spark: SparkSession, results: DataFrame, out_dir: str, provider
     feeds.write_csv(feeds.resource_rows(results, provider_id, cfg), f"{out_dir}/resources")
 
 
+def refresh_metadata(spark: SparkSession, pairs: DataFrame, entities: DataFrame, portals: DataFrame, cache_root: str,
+                     cfg: enrich.PortalConfig = enrich.PortalConfig(), refresh: bool = False, cache_path: str | None = None) -> str:
+    """Refresh the metadata cache at ``cache_root`` (J5): read its committed version (or ``cache_path``), add the
+    cited ids that it lacks, and commit the result. Returns the new version's folder."""
+    new = enrich.refresh_cache(pairs, read_entity_meta(spark, cache_path or cache_root), entities, portals, cfg, refresh)
+    return VersionedTable(spark, cache_root).replace(new)
+
+
 def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame, catalog: DataFrame,
                   apps: DataFrame, cache_root: str, out_path: str, cache_path: str | None = None,
                   refresh: bool = False, name: str = "Datasets",
                   description: str = "Datasets cited in articles",
                   cfg: enrich.PortalConfig = enrich.PortalConfig(), partitions: int | None = None) -> str:
-    """Refresh the metadata cache (new version under ``cache_root``) and write the search feed.
-    Returns the path of the new cache version."""
+    """Refresh the metadata cache below ``cache_root`` (see ``refresh_metadata``) and write the search feed.
+    Returns the folder of the new cache version."""
     portals = stage(enrich.portal_table(catalog, apps, cfg), scratch_path(spark, "portals"))
     pairs = stage(summarize.citation_pairs(results), scratch_path(spark, "cited-pairs"))
-    new_cache = enrich.refresh_cache(pairs, read_entity_meta(spark, cache_path), entities, portals, cfg, refresh)
-    version = write_version(new_cache, cache_root)
-    cache = spark.read.parquet(version)
-    entries = stage(enrich.search_entries(pairs, cache, cfg), scratch_path(spark, "entries"))
+    version = refresh_metadata(spark, pairs, entities, portals, cache_root, cfg, refresh, cache_path)
+    entries = stage(enrich.search_entries(pairs, read_entity_meta(spark, version), cfg), scratch_path(spark, "entries"))
     lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
     feeds.write_search_feed(lines, out_path, partitions, staging=scratch_path(spark, "feed-lines"))
     return version

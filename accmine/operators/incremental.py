@@ -8,54 +8,68 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CORPUS_FILE_RANGE, CORPUS_SUFFIX, LISTING_HREF
 from ..functions.text import file_range
 from ..session import scratch_path
 from ..sinks.tables import stage
+from .ordering import with_ordinal
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, scratch_path(df.sparkSession, name))
 
 
-def new_rows(findings: DataFrame, results: DataFrame, check_duplicates: bool = True) -> DataFrame:
+def _stored(results, ids: DataFrame) -> DataFrame:
+    """Those of the batch's distinct ``ids`` that are stored. ``results`` is the stored table, which is only
+    scanned (a semi join with the ids), or a function that looks the ids up (``article_index``)."""
+    if callable(results):
+        return results(ids)
+    wanted = ids.select(F.col("pmcid").alias("_id"))
+    return results.select("pmcid").join(wanted, F.col("pmcid").eqNullSafe(F.col("_id")), "left_semi").distinct()
+
+
+def _without(rows: DataFrame, hit: DataFrame) -> DataFrame:
+    return rows.join(hit.select(F.col("pmcid").alias("_id")), F.col("pmcid").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def new_rows(findings: DataFrame, results, check_duplicates: bool = True) -> DataFrame:
     """Findings of articles not yet in ``results`` (J1). An article already stored is skipped as a
-    whole, even if it brings new ids.
+    whole, even if it brings new ids. A missing id is an id like any other: stored once, it is stored.
 
-    The stored table is only scanned: a semi join with the batch's distinct ids leaves the ids that are in
-    both (at most the batch's articles). They are staged, and the anti join against them is a join of two
-    plain inputs, so a hot article of the batch is split over tasks."""
+    ``results`` is the stored table or a lookup function (see ``_stored``). What is found, at most the batch's
+    articles, is staged, and the anti join against it is a join of two plain inputs, so a hot article of the
+    batch is split over tasks."""
     if not check_duplicates:
         return findings
-    batch = findings.select("pmcid").distinct()
-    hit = _staged(results.select("pmcid").join(batch, "pmcid", "left_semi").distinct(), "stored-articles")
-    return findings.join(hit, "pmcid", "left_anti")
+    hit = _staged(_stored(results, findings.select("pmcid").distinct()), "stored-articles")
+    return _without(findings, hit)
 
 
 def batch_order(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
     """(batch, ordinal) of the distinct batch names in name order: one row for each file. Comparing numbers
     instead of names keeps the aggregates over all rows hash aggregates."""
-    names = batches.select(F.col(batch_col).alias("batch")).distinct()
-    return _staged(names.select("batch", F.row_number().over(Window.orderBy("batch")).cast("bigint").alias("ordinal")),
-                   "batch-order")
+    return with_ordinal(batches.select(F.col(batch_col).alias("batch")).distinct(), ["batch"])
 
 
-def first_batch_wins(batches: DataFrame, results: DataFrame, batch_col: str = "source_file",
-                     check_duplicates: bool = True) -> DataFrame:
+def first_batch_wins(batches: DataFrame, results, batch_col: str = "source_file", check_duplicates: bool = True) -> DataFrame:
     """Batches appended one after another, each checked against what is stored.
 
     An article in several batches keeps only the rows of its first batch (file-name order), and none at all
-    if it was stored before. The stored articles are taken out first; the first batch of each remaining
-    article is a partial aggregate, staged, and the join that keeps its rows splits hot articles."""
-    fresh = new_rows(batches, results, check_duplicates)
-    numbered = _staged(fresh.join(batch_order(batches, batch_col), F.col(batch_col).eqNullSafe(F.col("batch")))
-                       .drop("batch"), "numbered-batches")
-    first = _staged(numbered.groupBy("pmcid").agg(F.min("ordinal").alias("first")), "first-batches")
+    if it was stored before (``results``: see ``new_rows``). The first batch of each article is a partial
+    aggregate; less the stored articles it is staged, and the join that keeps its rows, of the batches as they
+    are read and this table, splits hot articles."""
+    order = batch_order(batches, batch_col)
+    numbered = batches.join(order, F.col(batch_col).eqNullSafe(F.col("batch"))).drop("batch")
+    first = numbered.groupBy("pmcid").agg(F.min("ordinal").alias("first"))
+    if check_duplicates:
+        first = _without(first, _stored(results, first.select("pmcid")))
+    first = _staged(first.withColumnRenamed("pmcid", "_id"), "first-batches")
     # ``<=`` against the minimum means ``==`` without becoming a second join key
-    return (numbered.join(first, "pmcid").where(F.col("ordinal") <= F.col("first")).select(*batches.columns))
+    return (numbered.join(first, F.col("pmcid").eqNullSafe(F.col("_id"))).where(F.col("ordinal") <= F.col("first"))
+            .select(*batches.columns))
 
 
 def listed_files(pages: DataFrame, html_col: str = "html", suffix: str = CORPUS_SUFFIX) -> DataFrame:

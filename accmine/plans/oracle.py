@@ -324,4 +324,13 @@ SQL.update({
         FROM (SELECT doc_id - doc_id % 100 AS b, lang FROM text_v) GROUP BY b""",
     "incremental_run": SQL["xml_mine"].replace("SELECT source_file,\n        'pmc:PMC'", "SELECT 'pmc:PMC'"),
     "combine_job": SQL["combine_dedup"],
+    "cache_swap": SQL["cache_miss"],
+    "stored_lookup": SQL["new_rows"],
+    "incremental_slices": w(text_v(), XML_TEXT, """both AS (
+          SELECT doc_id, lang, source_file, text FROM x_v
+          UNION ALL SELECT doc_id, lang, 'PMC' || CAST(b AS VARCHAR) || '_PMC' || CAST(b + 99 AS VARCHAR) || '.xml.gz' AS source_file,
+            'Document ' || CAST(doc_id AS VARCHAR) || ' copied ' || substring(text, strpos(text, ' syn') + 1) AS text
+          FROM (SELECT doc_id, lang, text, (doc_id - doc_id % 100) * 10 + 1000 AS b FROM text_v))""",
+                            """src AS (SELECT doc_id, arg_min(text, source_file) AS text FROM both WHERE lang <> 'de' GROUP BY doc_id)""",
+                            mined("src", "doc_id")) + """SELECT 'pmc:PMC' || CAST(doc_id AS VARCHAR) AS pmcid, synid, context FROM m_f""",
 })

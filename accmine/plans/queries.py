@@ -19,7 +19,9 @@ from ..operators.parse import parse_articles
 from ..session import scratch_path
 from ..sinks import feeds
 from ..sinks.feeds import resource_rows, write_csv
+from ..sinks.results import ResultsTable
 from ..sinks.tables import read_version, stage, write_version
+from ..sinks.versions import VersionedTable
 from ..sources import fixtures as fx
 from ..sources.corpus import audit_files, read_articles, read_findings_csv, write_corpus
 from ..sources.tables import read_entity_meta, read_results, table
@@ -209,6 +211,17 @@ def q_new_rows(spark, d):
     return incremental.new_rows(fx.findings_v(spark, d), stored_results(spark, d))
 
 
+@query("stored_lookup")
+def q_stored_lookup(spark, d):
+    """``new_rows`` by the index: the results table grown in three appends, the batch's articles looked up."""
+    results = ResultsTable(spark, scratch_path(spark, "indexed-results"))
+    stored = fx.results_v(spark, d)
+    third = F.pmod(F.xxhash64("pmcid"), F.lit(3))
+    for k in range(3):
+        results.append(lambda lookup: incremental.new_rows(stored.where(third == k), lookup))  # noqa: B023
+    return incremental.new_rows(fx.findings_v(spark, d), results.lookup(results.base()))
+
+
 @query("first_batch_wins")
 def q_first_batch_wins(spark, d):
     return incremental.first_batch_wins(fx.batches_v(spark, d), stored_results(spark, d))
@@ -287,6 +300,17 @@ def q_cache_refresh(spark, d):
     return read_entity_meta(spark, path)
 
 
+@query("cache_swap")
+def q_cache_swap(spark, d):
+    """The cache as its committed version: an old one, a refresh, and a write that never got to its commit."""
+    p, root = portals(spark, d), scratch_path(spark, "meta-versions")
+    cache = VersionedTable(spark, root)
+    cache.replace(old_cache(spark, d, p))
+    jobs.refresh_metadata(spark, cited_pairs(spark, d), fx.entity_v(spark, d), p, root, CFG)
+    cache.write(fx.entity_v(spark, d))
+    return read_entity_meta(spark, root)
+
+
 @query("search_entries")
 def q_search_entries(spark, d):
     return enrich.search_entries(cited_pairs(spark, d), refreshed_cache(spark, d), CFG)
@@ -429,6 +453,18 @@ def q_incremental_run(spark, d):
     return read_results(spark, results)
 
 
+@query("incremental_slices")
+def q_incremental_slices(spark, d):
+    """Articles in two files, whose names do not sort as their numbers do, through the job in small slices: the
+    file that comes first by name wins whatever the slices are."""
+    corpus, results = scratch_path(spark, "job-corpus"), scratch_path(spark, "job-results")
+    write_corpus(fx.articles_xml_v(spark, d), corpus)
+    write_corpus(fx.copied_articles_v(spark, d), corpus, mode="append")
+    n = table(spark, d, "documents").select(fx.corpus_file_of("doc_id").alias("f")).distinct().count()
+    jobs.run_incremental(spark, corpus, results, files_per_slice=-(-n // 2))
+    return read_results(spark, results)
+
+
 @query("combine_job")
 def q_combine_job(spark, d):
     src, out = scratch_path(spark, "batches-csv"), scratch_path(spark, "combined")

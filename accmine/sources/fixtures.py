@@ -165,6 +165,17 @@ def article_text_v(spark: SparkSession, d: str, upper_second: bool = False,
     return doc.select("doc_id", "lang", text.alias("text"))
 
 
+@view
+def copied_articles_v(spark: SparkSession, d: str) -> DataFrame:
+    """The articles again, each with a shorter text, in files numbered ten times higher from 1,000 on: of
+    PMC900_PMC999 and its copy PMC10000_PMC10099 the copy comes first by name, of others the original."""
+    a = articles_xml_v(spark, d)
+    block = (F.col("doc_id") - F.col("doc_id") % 100) * 10 + 1000
+    name = F.concat(F.lit("PMC"), block.cast("string"), F.lit("_PMC"), (block + 99).cast("string"), F.lit(".xml.gz"))
+    shorter = F.regexp_replace("xml", r"(?s)<body><p>.*? syn", "<body><p>copied syn")
+    return a.select("doc_id", "lang", name.alias("source_file"), shorter.alias("xml"))
+
+
 def corpus_file_of(doc_id) -> F.Column:
     c = F.col(doc_id)
     block = c - c % 100

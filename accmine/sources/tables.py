@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sinks.versions import VersionedTable, is_versioned
 
 _READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 MEMO_TABLES = 64
@@ -33,8 +34,10 @@ def _missing(exc: Exception) -> bool:
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """Results table (S5), empty when there is none yet: callers select only what they need; pruning
-    reaches the scan."""
+    """Results table (S5), empty when there is none yet: its committed version, or a plain folder of Parquet
+    files. Callers select only what they need; pruning reaches the scan."""
+    if is_versioned(spark, path):
+        return VersionedTable(spark, path).read(schemas.RESULTS)
     try:
         return spark.read.schema(schemas.RESULTS).parquet(path)
     except Exception as exc:
@@ -44,12 +47,18 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_entity_meta(spark: SparkSession, path: str | None) -> DataFrame:
-    """Metadata cache (S8); a missing cache reads as empty with the same schema."""
+    """Metadata cache (S8): the committed version of a versioned table, or a folder of one. A missing cache
+    reads as empty with the same schema. So does what cannot be read of a bad one: files that are no Parquet are
+    passed over, and their ids count as not cached, so a refresh fetches them again."""
     if path:
+        paths = [path]
+        if is_versioned(spark, path):
+            paths = [p["path"] for p in VersionedTable(spark, path).manifest()["parts"]]
         try:
-            return spark.read.schema(schemas.ENTITY_META).parquet(path)
+            if paths:
+                return spark.read.schema(schemas.ENTITY_META).option("ignoreCorruptFiles", True).parquet(*paths)
         except Exception as exc:  # missing path -> empty cache, like a missing JSON file
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            if not _missing(exc):
                 raise
     return spark.createDataFrame([], schemas.ENTITY_META)
 
