@@ -325,12 +325,32 @@ SQL.update({
     "incremental_run": SQL["xml_mine"].replace("SELECT source_file,\n        'pmc:PMC'", "SELECT 'pmc:PMC'"),
     "combine_job": SQL["combine_dedup"],
     "cache_swap": SQL["cache_miss"],
+    "text_files": "SELECT doc_id, text, length(text) AS n_chars FROM documents",
+    "kwic_offsets": r"""WITH t AS (SELECT doc_id, text, greatest(strpos(text, ' ') - 1, 0) AS at_char FROM documents),
+        k AS (SELECT doc_id, trim(substring(text, greatest(0, at_char - 10) + 1, at_char - greatest(0, at_char - 10)), E' \n\t\r') AS before,
+                     trim(substring(text, at_char + 2, greatest(0, least(length(text), at_char + 11) - at_char - 1)), E' \n\t\r') AS after,
+                     substring(text, at_char + 1, 1) AS target FROM t)
+        SELECT doc_id, before, after, trim(before || ' ' || target || ' ' || after, E' \n\t\r') AS "full" FROM k""",
+    "entity_headers": w(ENTITY_V) + "SELECT id, name, benefactor_id, created_on FROM entity_v",
+    "portal_landed": SQL["portal_resolve"],
+    "citations_kept": SQL["citations_by_id"],
+    "counts_kept": w(FINDINGS_V, BATCHES_V) + """SELECT count(*) AS rows_before,
+        (SELECT count(*) FROM (SELECT DISTINCT pmcid, synid, context FROM batches_v)) AS rows_after,
+        count(DISTINCT synid) AS unique_synids, count(DISTINCT source_file) AS files,
+        count(DISTINCT pmcid) AS documents, count(*) AS mentions, count(DISTINCT synid) AS unique_ids FROM batches_v""",
+    "feed_check": w(FINDINGS_V, ENTITY_V, CATALOG_V, APP_V, cache_ctes(), PAIRS) + """, n AS (SELECT count(*) AS n FROM want JOIN new_cache USING (id))
+        SELECT feed, "check", NOT (n > 0 AND ((feed = 'open entry' AND "check" = 'document') OR (feed = 'miscounted' AND "check" = 'entry_count')
+               OR (feed = 'missing shard' AND "check" = 'shards'))) AS ok
+        FROM n, (SELECT unnest(['whole', 'open entry', 'miscounted', 'missing shard']) AS feed), (SELECT unnest(['shards', 'document', 'entry_count']) AS "check")
+        WHERE feed <> 'missing shard' OR "check" = 'shards'""",
+    "stream_coverage": SQL["coverage_audit"],
+    "stream_keyed": SQL["first_batch_wins"],
     "stored_lookup": SQL["new_rows"],
-    "incremental_slices": w(text_v(), XML_TEXT, """both AS (
+    "incremental_slices": w(text_v(), XML_TEXT, """twice AS (
           SELECT doc_id, lang, source_file, text FROM x_v
           UNION ALL SELECT doc_id, lang, 'PMC' || CAST(b AS VARCHAR) || '_PMC' || CAST(b + 99 AS VARCHAR) || '.xml.gz' AS source_file,
             'Document ' || CAST(doc_id AS VARCHAR) || ' copied ' || substring(text, strpos(text, ' syn') + 1) AS text
           FROM (SELECT doc_id, lang, text, (doc_id - doc_id % 100) * 10 + 1000 AS b FROM text_v))""",
-                            """src AS (SELECT doc_id, arg_min(text, source_file) AS text FROM both WHERE lang <> 'de' GROUP BY doc_id)""",
+                            """src AS (SELECT doc_id, arg_min(text, source_file) AS text FROM twice WHERE lang <> 'de' GROUP BY doc_id)""",
                             mined("src", "doc_id")) + """SELECT 'pmc:PMC' || CAST(doc_id AS VARCHAR) AS pmcid, synid, context FROM m_f""",
 })

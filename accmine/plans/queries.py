@@ -5,27 +5,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import jobs, schemas
 from ..functions.fixed import ARTICLE_CURIE_PREFIX, LISTING_HREF
-from ..functions.text import clean_text, decode_text, decoded_with, kwic_pieces, strip_curie
+from ..functions.text import clean_text, decode_text, decoded_with, kwic, kwic_pieces, strip_curie
 from ..operators import dedup, enrich, incremental, summarize
 from ..operators.articles import coverage, findings_from_articles, rejects
 from ..operators.mine import extract_mentions, findings_from_mentions, mine_text, prepare_text
 from ..operators.parse import parse_articles
 from ..session import scratch_path
-from ..sinks import feeds
+from ..sinks import feed_check, feeds
+from ..sinks.citations import CitationStore
 from ..sinks.feeds import resource_rows, write_csv
 from ..sinks.results import ResultsTable
 from ..sinks.tables import read_version, stage, write_version
-from ..sinks.versions import VersionedTable
+from ..sinks.versions import Files, VersionedTable
 from ..sources import fixtures as fx
-from ..sources.corpus import audit_files, read_articles, read_findings_csv, write_corpus
+from ..sources.corpus import audit_files, read_articles, read_findings_csv, read_text_files, write_corpus
+from ..sources.headers import read_entity_headers
 from ..sources.tables import read_entity_meta, read_results, table
-from ..streaming.ingest import append_results, ingest_corpus, init_results_table
+from ..streaming.ingest import append_keyed, append_results, ingest_corpus, init_results_table, stream_coverage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,6 +161,27 @@ def q_text_decode(spark, d):
                       F.length("decoded").cast("bigint").alias("n_chars"))
 
 
+@query("text_files")
+def q_text_files(spark, d):
+    """The documents as JSON files, some in Latin-1, read as plain text of either encoding."""
+    doc = table(spark, d, "documents").select("doc_id", "lang", "text")
+    latin = F.col("lang").isin("fr", "de", "es") & F.col("text").rlike(r"^[\x{00}-\x{FF}]*$")
+    root = scratch_path(spark, "text-files")
+    for name, rows, encoding in (("latin", doc.where(latin), "ISO-8859-1"), ("other", doc.where(~latin), "UTF-8")):
+        rows.select("doc_id", "text").write.option("encoding", encoding).json(f"{root}/{name}")
+    lines = read_text_files(spark, f"{root}/*", "*.json").select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    return lines.select(F.from_json("line", "doc_id bigint, text string").alias("r")).select(
+        "r.doc_id", "r.text", F.length("r.text").cast("bigint").alias("n_chars"))
+
+
+@query("kwic_offsets")
+def q_kwic_offsets(spark, d):
+    """Keyword in context by offsets: around the first blank of every document."""
+    t = table(spark, d, "documents").select("doc_id", "text", (F.instr("text", " ") - 1).alias("at"))
+    k = kwic("text", F.greatest(F.col("at"), F.lit(0)), F.greatest(F.col("at"), F.lit(0)) + 1, WINDOW_SMALL)
+    return t.select("doc_id", k["before"].alias("before"), k["after"].alias("after"), k["full"].alias("full"))
+
+
 # --------------------------------------------------------- file names -------
 
 def corpus_names(spark, d) -> DataFrame:
@@ -252,6 +276,27 @@ def q_citations_by_id(spark, d):
     return summarize.citations_by_id(fx.gaps_v(spark, d))
 
 
+def citation_store(spark, d, view) -> CitationStore:
+    """Findings added in three batches, one of them twice."""
+    store = CitationStore(spark, scratch_path(spark, "citations"))
+    third = F.pmod(F.xxhash64("pmcid", "synid", "context", "source_file"), F.lit(3))
+    for k in (0, 1, 1, 2):
+        store.add(view.where(third == k), f"batch {k}")
+    return store
+
+
+@query("citations_kept")
+def q_citations_kept(spark, d):
+    return citation_store(spark, d, fx.gaps_v(spark, d)).citations()
+
+
+@query("counts_kept")
+def q_counts_kept(spark, d):
+    """Combine statistics and summary of the batches, from counts that every batch only adds to."""
+    store = citation_store(spark, d, fx.batches_v(spark, d))
+    return store.combine_stats().join(store.summary())
+
+
 # --------------------------------------------------------- enrichment -------
 
 @query("catalog_names")
@@ -270,6 +315,31 @@ def q_portal_resolve(spark, d):
     return r.select("id", "parent_id", "repository", "portal_link")
 
 
+def landed_headers(spark, d) -> str:
+    """Entity headers as a service's responses: two generations, the older with other names, and bad lines."""
+    root = scratch_path(spark, "landed-headers")
+    e = fx.entity_v(spark, d)
+    chunk = F.floor(F.substring("id", 4, 20).cast("bigint") / 100)
+    header = F.struct("id", "name", F.col("benefactor_id").alias("benefactorId"), F.col("created_on").alias("createdOn"), F.lit("x").alias("etag"))
+    for name, rows in (("a", e.withColumn("name", F.concat(F.lit("old "), "name"))), ("b", e)):
+        lines = rows.groupBy(chunk.alias("chunk")).agg(F.to_json(F.struct(F.collect_list(header).alias("results"))).alias("value"))
+        bad = lines.select(F.concat(F.lit("bad "), F.col("chunk").cast("string")).alias("value"))
+        lines.select("value").unionByName(bad).write.text(f"{root}/{name}")
+    return f"{root}/*"
+
+
+@query("entity_headers")
+def q_entity_headers(spark, d):
+    return read_entity_headers(spark, landed_headers(spark, d))
+
+
+@query("portal_landed")
+def q_portal_landed(spark, d):
+    """The portals of landed entities (``portal_resolve`` from the service's responses)."""
+    r = enrich.portal_resolve(read_entity_headers(spark, landed_headers(spark, d)), portals(spark, d), CFG)
+    return r.select("id", "parent_id", "repository", "portal_link")
+
+
 def old_cache(spark, d, portal) -> DataFrame:
     """A cache left by an earlier run: entities dated before the 15th, with names since changed."""
     e = fx.entity_v(spark, d).where(F.col("created_on") < "2024-01-15")
@@ -413,6 +483,40 @@ def q_search_feed_order(spark, d):
     return doc.join(offsets, "shard").select((F.col("offset") + F.col("line_no")).alias("n"), "line")
 
 
+@query("feed_check")
+def q_feed_check(spark, d):
+    """The whole-document check on a feed of several shards, as written and with three kinds of damage."""
+    pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
+    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
+    lines = stage(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01"), scratch_path(spark, "feed-lines"))
+    count = F.when(F.col("line").contains("<entry_count>"), F.lit("  <entry_count>0</entry_count>")).otherwise(F.col("line"))
+    made = {"whole": lines, "open entry": lines.where("line <> '      </cross_references>'"), "miscounted": lines.withColumn("line", count),
+            "missing shard": lines}
+    out = []
+    for name, rows in made.items():
+        path = scratch_path(spark, "checked-feed")
+        feeds.write_search_feed(rows, path, FEED_SHARDS)
+        shards = sorted(r.shard for r in feed_check.write_manifest(spark, path).collect())
+        if name == "missing shard":
+            Files(spark, path).remove(f"{path}/{shards[1]}")
+        checked = feed_check.check_feed(spark, path).select(F.lit(name).alias("feed"), "check", "ok")
+        # what a lost shard leaves may fit together by chance: only the manifest surely tells
+        out.append(checked.where("check = 'shards'") if name == "missing shard" else checked)
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("stream_coverage")
+def q_stream_coverage(spark, d):
+    """Coverage by file kept by the stream over two deliveries."""
+    src, out, ck = (scratch_path(spark, n) for n in ("corpus-inbox", "stream-out", "stream-ck"))
+    arts = fx.articles_xml_v(spark, d)
+    half = table(spark, d, "documents").agg(F.max("doc_id")).first()[0] // 200 * 100
+    for part in (F.col("doc_id") < half, F.col("doc_id") >= half):
+        write_corpus(arts.where(part), src, mode="append")
+        ingest_corpus(spark, src, out, ck)
+    return stream_coverage(spark, out)
+
+
 @query("stream_ingest")
 def q_stream_ingest(spark, d):
     src, out, ck = (scratch_path(spark, n) for n in ("corpus-inbox", "stream-out", "stream-ck"))
@@ -486,3 +590,15 @@ def q_stream_append(spark, d):
     append_results(spark, inbox, table_path, ck)
     return (spark.read.parquet(table_path).where(F.col("batch") != "initial")
                  .select("pmcid", "synid", "context", "source_file"))
+
+
+@query("stream_keyed")
+def q_stream_keyed(spark, d):
+    """``stream_append`` with the stored articles as the stream's state."""
+    inbox, table_path, ck = (scratch_path(spark, n) for n in ("inbox", "results", "keyed-ck"))
+    b = fx.batches_v(spark, d)
+    early = F.col("source_file") == "PMC0_PMC0.xml.gz"
+    for part in (early, ~early):
+        write_csv(b.where(part).hint("rebalance", "source_file"), inbox, partition_by="source_file", mode="append")
+        append_keyed(spark, inbox, table_path, ck, stored=fx.results_v(spark, d))
+    return spark.read.parquet(table_path).select("pmcid", "synid", "context", "source_file")

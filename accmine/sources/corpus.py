@@ -19,15 +19,27 @@ from .. import schemas
 from ..functions.fixed import (ALLOWED_EXTENSIONS, ARTICLE_CLOSE, ARTICLE_OPEN, CORPUS_FILE_RANGE, CORPUS_SUFFIX,
                                MAGIC_GZIP, MAGIC_MARKUP, MAGIC_PDF, MAX_INPUT_BYTES)
 from ..functions.text import decode_text, decoded_with, source_file_from_path
+from ..session import scratch_path
+from ..sinks.tables import stage
+
+
+# what follows an article's start tag: attributes up to its end, or to the end of a file cut off inside the tag
+_TAG_REST = r"""(?s)\A(?:\s*|\s*[^\s<>="'/]+\s*=[^<>]*)/?>"""
+_TAG_CUT = r"""(?s)\A\s*[^\s<>="'/]+\s*=[^<>]*\z"""
+_TAG_ANY = r"(?s)\A[^<]*>"
 
 
 def articles_from_records(records: DataFrame, tag_prefix: str = ARTICLE_OPEN) -> DataFrame:
     """Text records split at the start tag -> source_file, xml (start tag put back, up to the closing tag if
-    there is one). A record goes on with the tag's attributes; one that begins with markup or holds nothing
-    is what stood before the first article."""
+    there is one). A record goes on with the tag's attributes, whole or cut off by the end of the file, or at
+    least closes a tag before another one opens and has the article's closing tag; other records are what stood
+    before a file's first article, markup or not, and are ignored. (Only a text there that itself begins like
+    an attribute, ``name=``, is still taken for an article, and rejected.)"""
     end = F.instr("value", ARTICLE_CLOSE)
     body = F.when(end > 0, F.substring("value", F.lit(1), end + F.lit(len(ARTICLE_CLOSE) - 1))).otherwise(F.col("value"))
-    return (records.where(~F.col("value").rlike(r"^[\s\x{FEFF}]*(<|$)"))
+    v = F.col("value")
+    own = v.rlike(_TAG_REST) | ((end > 0) & v.rlike(_TAG_ANY)) | v.rlike(_TAG_CUT)
+    return (records.where(own)
                    .select(source_file_from_path("_path").alias("source_file"), F.concat(F.lit(tag_prefix), body).alias("xml")))
 
 
@@ -71,21 +83,27 @@ def write_corpus(articles: DataFrame, path: str, compression: str = "gzip", mode
 def read_findings_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Findings batches written as header CSV (S4) -> pmcid, synid, context, source_file.
 
-    Columns go by the header's names, whatever their order; quotes inside a field are doubled. Files whose
-    headers differ are read apart (one read for each distinct header line, normally one). No types are
-    inferred; the batch comes from the file's folder or name."""
+    Columns go by the header's names, whatever their order; quotes inside a field are doubled; a column that
+    a file lacks is null. The header is a file's first line, found as the first line of the piece that begins the
+    file, so a data row that looks like one stays data. Files whose headers differ are read apart (one read
+    for each distinct header, normally one). No types are inferred; the batch comes from the file's folder or
+    name."""
     where = {"pathGlobFilter": glob, "recursiveFileLookup": True}
-    names = F.split(F.regexp_replace("value", r'["\r\x{FEFF}]', ""), ",")
-    lines = spark.read.options(**where).text(path).select(names.alias("names"), F.col("_metadata.file_path").alias("f"))
-    heads = lines.where(F.array_contains("names", "pmcid") & F.array_contains("names", "synid"))
+    lines = (spark.read.options(**where).text(path)
+                  .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"),
+                          F.monotonically_increasing_id().alias("n"), "value").where(F.col("at") == 0))
+    heads = lines.groupBy("f").agg(F.min_by("value", "n").alias("head"))
+    heads = heads.select("f", F.split(F.regexp_replace("head", r'["\r\x{FEFF}]', ""), ",").alias("names"))
+    heads = stage(heads, scratch_path(spark, "csv-heads"))                    # one row a file
     variants = [r.names for r in heads.select("names").distinct().collect()] or [schemas.FINDINGS_CSV.fieldNames()]
     parts = []
     for cols in variants:
-        schema = StructType([StructField(c, StringType()) for c in cols])
+        unique = [c if c not in cols[:k] else f"{c}_{k}" for k, c in enumerate(cols)]
+        schema = StructType([StructField(c or f"_{k}", StringType()) for k, c in enumerate(unique)])
         df = (spark.read.schema(schema).options(**where).option("header", True).option("escape", '"').csv(path)
                    .withColumn("_f", F.col("_metadata.file_path")))
         if len(variants) > 1:
-            own = heads.where(F.col("names") == F.lit(cols)).select(F.col("f").alias("_f")).distinct()
+            own = heads.where(F.col("names") == F.lit(cols)).select(F.col("f").alias("_f"))
             df = df.join(own, "_f", "left_semi")
         have = [F.col(c) if c in cols else F.lit(None).cast("string").alias(c) for c in schemas.FINDINGS_CSV.fieldNames()]
         parts.append(df.select(*have, source_file_from_path("_f").alias("source_file")))

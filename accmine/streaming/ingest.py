@@ -9,13 +9,18 @@ new, then stop.
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from .. import schemas
 from ..functions.fixed import ARTICLE_OPEN, CONTEXT_WINDOW
 from ..functions.text import source_file_from_path
-from ..operators.articles import findings_from_articles
+from ..operators.articles import coverage, findings_from_articles
 from ..operators.incremental import first_batch_wins
 from ..operators.mine import DEFAULT_PATTERN, AccessionPattern
 from ..operators.parse import parse_articles
@@ -23,6 +28,8 @@ from ..session import scratch_path
 from ..sinks.tables import stage
 from ..sources.corpus import articles_from_records
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])     # workers need no installed package
+
 
 def corpus_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                   tag_prefix: str = ARTICLE_OPEN) -> DataFrame:
@@ -36,23 +43,29 @@ def corpus_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
 def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint: str,
                   partitions: int | None = None, max_files_per_trigger: int | None = None,
                   window: int = CONTEXT_WINDOW, case_rule: str = "reference",
-                  pattern: AccessionPattern = DEFAULT_PATTERN, rejects_path: str | None = None):
+                  pattern: AccessionPattern = DEFAULT_PATTERN, rejects_path: str | None = None,
+                  audit: bool = True):
     """Mine new corpus files into ``out_path/batch_id=N`` (parquet); returns the finished query.
 
-    The mining options are those of the batch job. With ``rejects_path`` the articles that do not parse go
-    to ``rejects_path/batch_id=N`` with their XML and reason; every article is then parsed, once. Without it
-    only articles that can hold an id are.
+    The mining options are those of the batch job. Every article is parsed, once: those that do not parse go
+    to ``rejects_path/batch_id=N`` (default: ``<out_path>-rejects``) with their XML and reason, and each
+    micro-batch writes its coverage by file (V4) to ``<out_path>-coverage/batch_id=N``; a replay writes
+    both anew. Without ``audit`` neither is kept, and only articles that can hold an id are parsed.
 
     Gzip files are one task each, so a micro-batch should hold at least as many files as the
     cluster has cores: by default a run takes everything that landed since the last one.
     ``max_files_per_trigger`` bounds a micro-batch when a backlog is larger than one job should be."""
+    rejected = rejects_path or f"{out_path.rstrip('/')}-rejects"
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if rejects_path:
+        if audit or rejects_path:
             parsed = parse_articles(batch, "xml", ("source_file", "xml"), partitions=partitions)
             parsed = stage(parsed.select("source_file", "ok", "reason", "pmc_id", "text",
                                          F.when(~F.col("ok"), F.col("xml")).alias("xml")), scratch_path(spark, "stream-parsed"))
             (parsed.where(~F.col("ok")).select("source_file", "xml", "reason")
-                   .write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}"))
+                   .write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}"))
+            (coverage(parsed, window=window, case_rule=case_rule, pattern=pattern).hint("rebalance")
+             .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}-coverage/batch_id={batch_id}"))
         else:
             parsed = parse_articles(batch, "xml", ("source_file",), partitions=partitions, only_ids=pattern.prefix)
         f = findings_from_articles(parsed, ("source_file",), window, case_rule, pattern)
@@ -66,6 +79,14 @@ def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint:
     return q
 
 
+def stream_coverage(spark: SparkSession, out_path: str) -> DataFrame:
+    """Coverage by file over all micro-batches of ``ingest_corpus`` (V4); a file's articles are counted in the
+    micro-batch that read it."""
+    rows = spark.read.parquet(f"{out_path.rstrip('/')}-coverage")
+    counts = [c for c in rows.columns if c not in ("source_file", "batch_id")]
+    return rows.groupBy("source_file").agg(*[F.sum(c).cast("bigint").alias(c) for c in counts])
+
+
 def findings_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     # a file whose header names other columns, or the same in another order, stops the stream
     r = (spark.readStream.schema(schemas.FINDINGS_CSV).option("header", True).option("escape", '"')
@@ -110,3 +131,69 @@ def init_results_table(initial: DataFrame, results_path: str) -> None:
     cols = [F.col(c) if c in initial.columns else F.lit(None).cast("string").alias(c)
             for c in schemas.FINDINGS.fieldNames()]
     initial.select(*cols).write.mode("overwrite").parquet(f"{results_path}/batch=initial")
+
+
+# ------------------------------------------------------- first batch as state ---
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROWS = "pmcid string, synid string, context string, source_file string"
+_OUT = f"{_ROWS}, winner boolean"
+
+
+class FirstBatch(StatefulProcessor):
+    """For each article the batch file that brought it first, as state. A new article's rows pass while no file
+    before theirs was seen, and a last row names the winner, so no article's rows are held in memory; the rows
+    of the winner are picked when the micro-batch is written."""
+
+    def init(self, handle) -> None:
+        self.first = handle.getValueState("first", "source_file string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.first.exists():
+            return
+        winner = None
+        for frame in rows:
+            names = frame["source_file"].fillna("")
+            least = names.min()
+            winner = least if winner is None else min(winner, least)
+            keep = frame[names <= winner]
+            if len(keep):
+                yield keep.assign(winner=False)[["pmcid", "synid", "context", "source_file", "winner"]]
+        if winner is not None:
+            self.first.update((winner,))
+            yield pd.DataFrame({"pmcid": [None if pd.isna(key[0]) else key[0]], "synid": [None], "context": [None],
+                                "source_file": [winner], "winner": [True]})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.first.update(("",))
+
+    def close(self) -> None:
+        pass
+
+
+def append_keyed(spark: SparkSession, in_path: str, results_path: str, checkpoint: str,
+                 max_files_per_trigger: int | None = None, stored: DataFrame | None = None):
+    """T2 with the articles as state: like ``append_results``, but what is stored is known from the stream's own
+    state (RocksDB), so a micro-batch reads no results. ``stored`` (pmcid) are the articles of the table when
+    the stream first starts. State and output are tied to the micro-batch: a replay starts from the state
+    before it and overwrites its own ``batch=…`` partition."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        out = stage(batch, scratch_path(spark, "keyed-batch"))           # the stateful step runs once
+        winners = stage(out.where("winner").select(F.col("pmcid").alias("_id"), F.col("source_file").alias("_first")),
+                        scratch_path(spark, "keyed-winners"))
+        rows = out.where("not winner").join(winners, F.col("pmcid").eqNullSafe(F.col("_id")))
+        (rows.where(F.coalesce("source_file", F.lit("")) <= F.col("_first")).select("pmcid", "synid", "context", "source_file")
+             .write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}"))
+
+    before = stored if stored is not None else spark.createDataFrame([], "pmcid string")
+    keyed = findings_stream(spark, in_path, max_files_per_trigger).groupBy("pmcid").transformWithStateInPandas(
+        FirstBatch(), _OUT, "append", "none", initialState=before.select("pmcid").distinct().groupBy("pmcid"))
+    old = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = (keyed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset(STATE_STORE) if old is None else spark.conf.set(STATE_STORE, old)
+    return q
