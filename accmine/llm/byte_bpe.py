@@ -10,7 +10,8 @@ hold such characters, each is classified by asking the library and replaced, for
 stand-in of that class.
 
 Defined cases: null text is empty text: no ids; an empty text has no ids; texts of any length are
-encoded whole; ids that are not in the vocabulary raise on decoding; other columns are kept as they are.
+encoded whole; ids that are not in the vocabulary raise on decoding; other columns are kept,
+and if one is named like ``out_col`` the new one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import free_name, worker_cache
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -239,6 +240,8 @@ def _tokenizer(path: str, pattern: str) -> ByteBpe:
 def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", path: str = VOCABULARY,
            pattern: str = PATTERN) -> DataFrame:
     """``docs`` plus ``out_col``: the token ids of the whole text."""
+    out_col = free_name(docs, out_col)
+
     @F.arrow_udf("array<int>")
     def ids(text: pa.Array) -> pa.Array:
         bpe = _tokenizer(path, pattern)
@@ -249,6 +252,8 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", path:
 
 def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path: str = VOCABULARY) -> DataFrame:
     """``docs`` plus ``out_col``: the bytes that a row's ids stand for (null ids: null)."""
+    out_col = free_name(docs, out_col)
+
     @F.arrow_udf("binary")
     def back(ids: pa.Array) -> pa.Array:
         bpe = _tokenizer(path, PATTERN)
@@ -258,22 +263,28 @@ def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "decoded", path
 
 
 def round_trip_digests(docs: DataFrame, text_col: str = "text", out_col: str = "bpe", path: str = VOCABULARY,
-                       pattern: str = PATTERN) -> DataFrame:
-    """``docs`` plus ``out_col`` with n_tokens, the SHA-256 of the decimal ids joined by commas and the
-    SHA-256 of the bytes decoded from them. Encoding and decoding happen in one pass, so the id lists,
-    which take more room than the texts, are never written or moved."""
-    kind = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
+                       pattern: str = PATTERN, keep_ids: bool = False) -> DataFrame:
+    """``docs`` plus ``out_col`` with n_tokens, the SHA-256 of the decimal ids joined by
+    commas and the SHA-256 of the bytes decoded from them, and with ``keep_ids`` the ids themselves. Encoding
+    and decoding happen in one pass."""
+    out_col = free_name(docs, out_col)
+    kind = f"struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string{', ids: array<int>' if keep_ids else ''}>"
 
     @F.arrow_udf(kind)
     def digests(text: pa.Array) -> pa.Array:
         bpe = _tokenizer(path, pattern)
-        n, ids_sha, text_sha = [], [], []
+        n, ids_sha, text_sha, kept = [], [], [], [np.zeros(0, np.int32)]
         for t in text:
             ids = bpe.encode(t.as_py() or "")
+            if keep_ids:
+                kept.append(np.array(ids, np.int32))
             n.append(len(ids))
             ids_sha.append(hashlib.sha256(",".join(map(bpe.digits.__getitem__, ids)).encode()).hexdigest())
             text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)],
-                                          ["n_tokens", "ids_sha256", "decoded_sha256"])
+        parts = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
+                 "decoded_sha256": pa.array(text_sha, pa.string())}
+        if keep_ids:
+            parts["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(np.concatenate(kept)))
+        return pa.StructArray.from_arrays(list(parts.values()), list(parts))
 
     return docs.withColumn(out_col, digests.asNondeterministic()(F.col(text_col)))

@@ -55,8 +55,9 @@ FILTERS = {"escape": escape, "escape_line": escape_line, "trim": str.strip, "upp
            "length": len, "default": lambda v, other: other if v is None else v}
 
 
-def _turns(batches):
+def _turns(batches, kinds: list):
     for b in batches:
+        kinds[:] = [b.schema.field("conv").type]
         for conv, role, text in zip(*(b[c].to_pylist() for c in ("conv", "role", "text"))):
             yield conv, {"role": role or "", "text": text or ""}
 
@@ -75,7 +76,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     def run(batches):
         render = compile_template(template, FILTERS)
-        stream = _turns(batches)
+        kinds: list[pa.DataType] = []
+        stream = _turns(batches, kinds)
         head = next(stream, None)
         ready: list[tuple] = []
         while head is not None:
@@ -102,25 +104,24 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
                 if size >= part_chars and since is None:
                     ready.append((conv, part, "".join(pieces), spans))
                     part, pieces, size, spans = part + 1, [], 0, []
-                    yield _part_rows(ready)
+                    yield _part_rows(ready, kinds[0])
             for _ in messages:           # turns that the template does not ask for
                 pass
             if pieces or not part:
                 ready.append((conv, part, "".join(pieces), spans))
             if len(ready) >= 64:
-                yield _part_rows(ready)
+                yield _part_rows(ready, kinds[0])
         if ready:
-            yield _part_rows(ready)
+            yield _part_rows(ready, kinds[0])
 
     return (rows.mapInArrow(run, f"conv {kind}, part bigint, text string, spans array<struct<start: bigint, end: bigint>>")
                 .withColumnRenamed("conv", conv_col))
 
 
-def _part_rows(ready: list[tuple]) -> pa.RecordBatch:
+def _part_rows(ready: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     conv, part, text, spans = zip(*ready)
     ready.clear()
-    conv = pa.array(conv) if any(c is not None for c in conv) else pa.array(conv, pa.int64())
-    return pa.RecordBatch.from_arrays([conv, pa.array(part, pa.int64()), pa.array(text, pa.string()), pa.array(spans, SPANS)],
+    return pa.RecordBatch.from_arrays([pa.array(conv, kind), pa.array(part, pa.int64()), pa.array(text, pa.string()), pa.array(spans, SPANS)],
                                       ["conv", "part", "text", "spans"])
 
 
@@ -147,6 +148,7 @@ def read_back(parts: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                 done.append((conv, n, turns.hexdigest(), n_loss, loss.hexdigest(), n_chars))
 
         for b in batches:
+            own = b.schema.field(0).type
             for c, part, text, spans in zip(*(b.column(k).to_pylist() for k in range(4))):
                 if state is None or part == 0:
                     close()
@@ -165,18 +167,18 @@ def read_back(parts: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                     end = m.end()
                 state[5] = rest[end:]
             if len(done) >= 1024:
-                yield _digest_rows(done)
+                yield _digest_rows(done, own)
         close()
         if done:
-            yield _digest_rows(done)
+            yield _digest_rows(done, own)
 
     return (parts.select(F.col(conv_col).alias("conv"), "part", "text", "spans").mapInArrow(run, out)
                  .withColumnRenamed("conv", conv_col))
 
 
-def _digest_rows(done: list[tuple]) -> pa.RecordBatch:
+def _digest_rows(done: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     conv, *rest = zip(*done)
     done.clear()
-    conv = pa.array(conv) if any(c is not None for c in conv) else pa.array(conv, pa.int64())
+    conv = pa.array(conv, kind)
     names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     return pa.RecordBatch.from_arrays([conv, *map(pa.array, rest)], names)

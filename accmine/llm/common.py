@@ -48,13 +48,24 @@ def worker_cache(key, build):
     if mod is None:
         mod = sys.modules[name] = types.ModuleType(name)
         mod.items = {}
-    value = mod.items.pop(key) if key in mod.items else build()
+    known = key in mod.items
+    value = mod.items.pop(key) if known else build()
     mod.items[key] = value
     while len(mod.items) > CACHE_ITEMS:
         del mod.items[next(iter(mod.items))]
+    if not known:
+        pa.default_memory_pool().release_unused()     # and what Arrow held for an earlier stage
     return value
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first with underscores behind it that no column has: an operator adds columns and
+    replaces none."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def text_pieces(arr: pa.Array, chunk_bytes: int = CHUNK_BYTES):
     """Yield lists of UTF-8 byte strings (null: empty), cut so that each list holds at most
     ``chunk_bytes`` unless a single text is longer. Order is kept; no text is cut."""

@@ -8,16 +8,18 @@ merged into removal spans.
 
 Words outside the benchmark vocabulary can stand in no occurrence, so the index holds the shard's
 runs of vocabulary words of at least the shortest window's length: no possible occurrence is left out.
-The documents are scanned once and never shuffled.
+Against a benchmark of at most ``BENCH_BLOCK_BYTES`` the documents are scanned once and never shuffled.
 
 Defined cases: null or word-less text has no words and no hits; null or word-less items, and items
 with a null id, take no part; a repeated document row gives a repeated result row; an item id that
-occurs in several rows counts once; other columns are ignored, whatever their names.
+occurs in several rows counts once; other columns are kept, and if one is named
+like ``out_col`` the new one gets an underscore behind its name.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import repeat
 from types import SimpleNamespace
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, ragged_ranges, text_pieces
+from .common import LOWER_AZ, free_name, ragged_ranges, staged, text_pieces
 
 WINDOW = 10
 SAMPLE_RATE = 8                  # every 8th text position keeps its suffix position
@@ -210,16 +212,19 @@ _HITS = ("struct<n_words: bigint, spans: array<struct<start: bigint, end: bigint
 _SPAN_PA = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _bench_blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int, window: int):
-    """The benchmark as broadcast blocks of at most about ``block_bytes`` of text each."""
+def _bench_parts(bench: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
+    """The benchmark in parts of about ``block_bytes`` of text each, dealt by hash of item and text."""
     b = (bench.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
               .select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")))
     size = b.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, -(-size // block_bytes))
-    sc = bench.sparkSession.sparkContext
-    for k in range(n):
-        part = b if n == 1 else b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield sc.broadcast(windows_of([(r.i, r.t.encode()) for r in part.toLocalIterator()], window))
+    return [b if n == 1 else b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) for k in range(n)]
+
+
+def _windows(part: DataFrame, window: int):
+    """A part's windows, broadcast."""
+    found = windows_of([(r.i, r.t.encode()) for r in part.toLocalIterator()], window)
+    return part.sparkSession.sparkContext.broadcast(found)
 
 
 def _merge(spans):
@@ -232,36 +237,64 @@ def _merge(spans):
     return [tuple(x) for x in out]
 
 
-def scan_blocks(docs: list[bytes], blocks):
-    """``scan_shard`` against each benchmark block, results merged."""
-    counts, spans, items = scan_shard(docs, blocks[0].value)
-    for b in blocks[1:]:
-        _, s2, i2 = scan_shard(docs, b.value)
-        spans = [_merge(x + y) for x, y in zip(spans, s2)]
-        items = [sorted({*x, *y}) for x, y in zip(items, i2)]
-    return counts, spans, items
-
-
 def find_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text", bench_id: str = "item_id",
                        bench_text: str = "text", window: int = WINDOW, out_col: str = "hits",
                        block_bytes: int = BENCH_BLOCK_BYTES) -> DataFrame:
-    """``docs`` plus ``out_col``: number of words, merged removal spans (word numbers, end exclusive)
-    and the sorted ids of the items of which a window occurs."""
-    blocks = list(_bench_blocks(bench, bench_id, bench_text, block_bytes, window))
-
+    """``docs`` plus ``out_col``: number of words, merged removal spans (word numbers, end
+    exclusive) and the sorted ids of the items of which a window occurs.
+
+    A benchmark of one block is one scan. A larger one takes a pass for each block: the documents are numbered
+    and staged once, a pass stages the rows that hit, and its block is released before the next is made, so
+    driver and workers hold one block at a time."""
+    out_col = free_name(docs, out_col)
+    parts = _bench_parts(bench, bench_id, bench_text, block_bytes)
+    if len(parts) == 1:
+        return docs.withColumn(out_col, _hits(_windows(parts[0], window))(F.col(text_col)))
+    row, h = free_name(docs, "_row"), free_name(docs, "_h")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "leak-documents")
+    found = []
+    for k, part in enumerate(parts):
+        block = _windows(part, window)
+        hits = rows.select(row, _hits(block)(F.col(text_col)).alias(h))
+        found.append(staged(hits if k == 0 else hits.where(F.size(F.col(h)["spans"]) > 0), "leak-hits"))   # the first has all counts
+        block.destroy()
+    every = reduce(DataFrame.unionByName, found).groupBy(row).agg(F.collect_list(h).alias(h))   # one a block at most
+    return rows.join(every, row).withColumn(out_col, _merged(h)).select(*docs.columns, out_col)
+
+
+def _struct(n, spans, items) -> pa.StructArray:
+    spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
+    return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(spans, _SPAN_PA), pa.array(items, pa.list_(pa.string()))],
+                                      ["n_words", "spans", "items"])
+
+
+def _hits(block):
+    """Hits of a text against one broadcast block."""
     @F.arrow_udf(_HITS)
     def hits(text: pa.Array) -> pa.Array:
         n, spans, items = [], [], []
         for piece in text_pieces(text):
-            c, s, i = scan_blocks(piece, blocks)
+            c, s, i = scan_shard(piece, block.value)
             n.extend(c.tolist())
             spans.extend(s)
             items.extend(i)
-        spans = [[{"start": a, "end": b} for a, b in s] for s in spans]
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(spans, _SPAN_PA),
-                                           pa.array(items, pa.list_(pa.string()))], ["n_words", "spans", "items"])
+        return _struct(n, spans, items)
+
+    return hits.asNondeterministic()
+
+
+def _merged(col: str):
+    """The hits of one text against several blocks as one."""
+    @F.arrow_udf(_HITS)
+    def merged(hits: pa.Array) -> pa.Array:
+        n, spans, items = [], [], []
+        for h in hits.to_pylist():
+            n.append(max(x["n_words"] for x in h))
+            spans.append(_merge([(s["start"], s["end"]) for x in h for s in x["spans"]]))
+            items.append(sorted({i for x in h for i in x["items"]}))
+        return _struct(n, spans, items)
 
-    return docs.withColumn(out_col, hits.asNondeterministic()(F.col(text_col)))
+    return merged(F.col(col))
 
 
 def remove_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
@@ -270,8 +303,12 @@ def remove_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "tex
     """``docs`` with every occurring benchmark window cut out of the text (from the first letter of a
     span's first word to the last of its last; a blank takes its place) and, if there is such a column,
     the text length set anew. Cutting may bring words together that form a window again, so a changed
-    text is searched again until it has none. Texts without a hit, nulls too, stay as they are."""
-    blocks = list(_bench_blocks(bench, bench_id, bench_text, block_bytes, window))
+    text is searched again until it has none (against a benchmark of several blocks, in further rounds of
+    passes). Texts without a hit, nulls too, stay as they are."""
+    parts = _bench_parts(bench, bench_id, bench_text, block_bytes)
+    if len(parts) > 1:
+        return _with_length(_remove_in_passes(docs, bench, text_col, bench_id, bench_text, window, block_bytes), docs, text_col, length_col)
+    block = _windows(parts[0], window)
 
     @F.arrow_udf("string")
     def cleaned(text: pa.Array) -> pa.Array:
@@ -280,14 +317,36 @@ def remove_contamination(docs: DataFrame, bench: DataFrame, text_col: str = "tex
         for piece in text_pieces(text):
             todo = list(range(len(piece)))
             while todo:
-                _, spans, _ = scan_blocks([(out[base + i] or "").encode() for i in todo], blocks)
+                _, spans, _ = scan_shard([(out[base + i] or "").encode() for i in todo], block.value)
                 todo, spans = [i for i, s in zip(todo, spans) if s], [s for s in spans if s]
                 for i, s in zip(todo, spans):
                     out[base + i] = cut(out[base + i], s)
             base += len(piece)
         return pa.array(out, pa.string())
 
-    out = docs.withColumn(text_col, cleaned.asNondeterministic()(F.col(text_col)))
+    return _with_length(docs.withColumn(text_col, cleaned.asNondeterministic()(F.col(text_col))), docs, text_col, length_col)
+
+
+def _remove_in_passes(docs: DataFrame, bench: DataFrame, text_col: str, bench_id: str, bench_text: str, window: int,
+                      block_bytes: int) -> DataFrame:
+    """Cut, and search what was cut again, until nothing is found."""
+    @F.arrow_udf("string")
+    def without(text: pa.Array, spans: pa.Array) -> pa.Array:
+        return pa.array([t if not s else cut(t, [(x["start"], x["end"]) for x in s]) for t, s in zip(text.to_pylist(), spans.to_pylist())],
+                        pa.string())
+
+    name, done, todo = free_name(docs, "_leaks"), [], docs
+    while True:
+        found = staged(find_contamination(todo, bench, text_col, bench_id, bench_text, window, name, block_bytes), "leak-round")
+        hit = F.size(F.col(name)["spans"]) > 0
+        done.append(found.where(~hit).drop(name))
+        if found.where(hit).isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        todo = staged(found.where(hit).withColumn(text_col, without.asNondeterministic()(F.col(text_col), F.col(name)["spans"])).drop(name),
+                      "leak-cut")
+
+
+def _with_length(out: DataFrame, docs: DataFrame, text_col: str, length_col: str | None) -> DataFrame:
     if length_col and length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         out = out.withColumn(length_col, F.char_length(text_col).cast(kind))

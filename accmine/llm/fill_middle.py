@@ -12,8 +12,8 @@ A scan with one Arrow UDF; a worker's cache is bounded in bytes, its loss costs
 a text does not depend on what is in it.
 
 Defined cases: null text is empty text, and stays plain, like a text that holds a marker; a null id hashes
-like an empty one; rows with equal ids are cut at the same places; texts are never shortened; ``out_col`` must
-not name an existing column (an error is raised), all others are kept.
+like an empty one; rows with equal ids are cut at the same places; texts are never shortened; other columns
+are kept (if one is named like ``out_col``, the new one gets an underscore behind its name).
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, text_pieces, worker_cache
+from .common import CHUNK_BYTES, free_name, text_pieces, worker_cache
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 FIM_PERCENT = 50         # of the texts are transformed,
@@ -163,8 +163,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    fim_percent: int = FIM_PERCENT, spm_percent: int = SPM_PERCENT, seed: int = SEED) -> DataFrame:
     """``docs`` plus ``out_col``: tokens, form (plain, psm: prefix, suffix, middle; spm: suffix first), lengths of
     prefix and middle in code points (null if plain), and the transformed text."""
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col} exists")
+    out_col = free_name(docs, out_col)
 
     @F.arrow_udf(OUT)
     def fim(doc_id: pa.Array, text: pa.Array) -> pa.Array:

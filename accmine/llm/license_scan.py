@@ -10,7 +10,8 @@ overlap for one template, and of overlapping spans of several templates the one
 
 Defined cases: null or word-less texts have no finding; words are runs of letters, digits and non-ASCII
 characters, lower-cased A-Z, so punctuation and line ends do not matter; ties between templates go to the
-greater coverage, then to the smaller name; repeated rows are scanned each for itself; other columns are kept.
+greater coverage, then to the smaller name; repeated rows are scanned each for itself; other columns are kept,
+and if one is named like ``out_col`` the new one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_pieces
+from .common import free_name, text_pieces
 from .decontaminate import bench_words
 
 MIN_COVERAGE = 0.8
 STRETCH = 1.5             # window length, in template lengths
+TEMPLATE_BYTES = 32 << 20 # text of a templates table, at most
 
 # Public notice texts (fixed values).
 TEMPLATES = {
@@ -94,6 +96,16 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def load_templates(table: DataFrame, name_col: str = "name", text_col: str = "text", max_bytes: int = TEMPLATE_BYTES) -> dict[str, str]:
+    """Templates from a table (null names or texts are passed over; of a name's rows the longest text, then the
+    greatest, counts). The table goes to every worker, so one of more than ``max_bytes`` of text is refused."""
+    rows = table.where(F.col(name_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(name_col).alias("n"), F.col(text_col).alias("t"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"{size} bytes of templates, at most {max_bytes} are broadcast")
+    return {r.n: r.t for r in sorted(rows.collect(), key=lambda r: (len(r.t), r.t))}
+
+
 def prepare(templates: dict[str, str]):
     """(vocabulary, [(name, word codes, which codes are in it)]); code 0 is any other word."""
     vocab: dict[bytes, int] = {}
@@ -139,20 +151,35 @@ def scan_words(code: np.ndarray, templates, min_coverage: float, stretch: float)
             found.append((name, n / len(words), s, e, n))
             done = e
             k = bisect_left(starts, done)
-    found.sort(key=lambda f: (-f[4], -f[1], f[0], f[2]))
-    kept = []
-    for f in found:
-        if all(f[3] <= g[2] or g[3] <= f[2] for g in kept):
-            kept.append(f)
-    return sorted((f[:4] for f in kept), key=lambda f: f[2])
+    return best_apart(found)
+
+
+def best_apart(found: list[tuple]) -> list[tuple]:
+    """Of (name, coverage, start, end, aligned words) the notices that stay, in text order: by aligned words,
+    coverage and name, each unless it overlaps one before. Those that stay never overlap, so only the last one
+    that begins before a notice's end can be in its way."""
+    starts, kept = [], []
+    for f in sorted(found, key=lambda f: (-f[4], -f[1], f[0], f[2])):
+        k = bisect_left(starts, f[3])
+        if not k or kept[k - 1][3] <= f[2]:
+            starts.insert(k, f[2])
+            kept.insert(k, f[:4])
+    return kept
 
 
 _FOUND = "array<struct<license: string, coverage: double, start: bigint, end: bigint>>"
 
 
-def scan_licenses(docs: DataFrame, text_col: str = "text", out_col: str = "notices", templates: dict[str, str] = TEMPLATES,
-                  min_coverage: float = MIN_COVERAGE, stretch: float = STRETCH) -> DataFrame:
-    """``docs`` plus ``out_col``: the notices found, with coverage and word span (end exclusive), in text order."""
+def scan_licenses(docs: DataFrame, text_col: str = "text", out_col: str = "notices",
+                  templates: dict[str, str] | DataFrame = TEMPLATES, min_coverage: float = MIN_COVERAGE,
+                  stretch: float = STRETCH) -> DataFrame:
+    """``docs`` plus ``out_col``: the notices found, with coverage and word span (end
+    exclusive), in text order. ``templates`` are short notices or whole license texts by name, or a table of
+    them (see ``load_templates``)."""
+    out_col = free_name(docs, out_col)
+    if isinstance(templates, DataFrame):
+        templates = load_templates(templates)
+
     @F.arrow_udf(_FOUND)
     def notices(text: pa.Array) -> pa.Array:
         vocab, coded = prepare(templates)

@@ -30,6 +30,7 @@ SHARE_PERCENT = 150      # words of the mix, in percent of all words
 MOST = 2                 # no source's target, and no document, above so many times its words
 BLOCK_WORDS = 32
 SHARD_DOCS = 1024
+TASK_BLOCKS = 200_000    # blocks ranked by one task
 SEED = 42
 
 
@@ -127,7 +128,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mean = F.col("target") * F.col("blocks") / F.col("source_size") * 1000
     asked = staged(sources.join(of_source, "key").select(
         "key", "blocks", F.when(F.col("source_size") > 0, F.round(mean)).otherwise(0).cast("bigint").alias("weight")), "mix-weights")
-    seats = round((asked.agg(F.sum("weight")).first()[0] or 0) / 1000)
+    weight, blocks = asked.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
+    seats = round(weight / 1000)
     quotas = sainte_lague(asked.withColumn("seats", F.lit(seats).cast("bigint")).withColumn("cap", F.col("blocks") * most),
                           [], ["key"], "weight", "cap", "seats", "seats_won")
     shard_parties = cells.join(quotas.select("key", F.col("seats_won").alias("seats")), "key").withColumn("cap", F.col("blocks") * most)
@@ -138,7 +140,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranks = F.sort_array(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
                                      lambda b: seeded_hash(seed, F.col("key"), F.col("shard").cast("string"), b.cast("string"))))
     last = F.when(spare > 0, F.element_at(ranks, spare.cast("int"))).otherwise("")
-    takes = staged(shares.select("key", "shard", F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0)
+    ranked = shares.repartition(max(1, -(-blocks // TASK_BLOCKS)), "key", "shard")      # few rows, but as much work as they have blocks
+    takes = staged(ranked.select("key", "shard", F.when(F.col("blocks") > 0, F.floor(F.col("quota") / F.col("blocks"))).otherwise(0)
                                  .cast("bigint").alias("rounds"), last.alias("last_hash")), "mix-takes")
 
     order = Window.partitionBy("key", "shard").orderBy("hash", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,8 @@ inputs. Learning and scoring are invariant to the order of rows.
 
 Defined cases: null and word-less texts have no direction and get the sample's share of label 1 (so do all
 texts if the sample is empty: share 1); null labels and labels of ids outside the documents teach nothing, of
-repeated labels the greatest counts; repeated document rows are scored each for itself; other columns are kept.
+repeated labels the greatest counts; repeated document rows are scored each for itself; other columns are kept,
+and if one is named like ``out_col`` the new one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
+from .common import free_name, worker_cache
 from .toxicity import labelled_sample
 
 SAMPLE = 8192            # labelled rows whose vectors vote
@@ -141,6 +142,7 @@ def train_model(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
 
 def score_documents(docs: DataFrame, model: SimpleNamespace, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` plus ``out_col``: the neighbours' vote for label 1."""
+    out_col = free_name(docs, out_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -5,7 +5,8 @@
 comment; a dash inside a tag (``{%-``, ``-%}``) drops the white space beside it. Expressions have literals, names,
 ``a.b`` / ``a['b']`` (keys of mappings and positions of lists only: no Python attribute is ever reached), ``+ - *
 ~ == != < <= > >= in not and or``, ``x if c else y`` and ``value | filter(args)`` from a given set. There are no
-calls, so a template can do nothing but read its variables.
+calls, so a template can do nothing but read its variables; texts are not multiplied, and values that grow beyond
+``MAX_TEXT`` characters or ``MAX_NUMBER`` are refused, so it bounds memory, too.
 
 Compilation: source -> tags -> syntax tree (nested tuples) -> constants folded -> closures. A rendered
 template is a stream of pieces made on demand, so ``for`` may run over a stream of any length.
@@ -17,7 +18,10 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
 
-TAG = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#(-?).*?(-?)#\}", re.S)
+_IN_TAG = r"""((?:'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"])*?)"""      # a tag does not end inside a string
+TAG = re.compile(r"\{\{(-?)" + _IN_TAG + r"(-?)\}\}|\{%(-?)" + _IN_TAG + r"(-?)%\}|\{#(-?).*?(-?)#\}", re.S)
+MAX_TEXT = 1 << 26        # characters of a value, and
+MAX_NUMBER = 1 << 63      # size of a number, that an expression may make
 TOKEN = re.compile(r"""\s*(?:(?P<num>\d+(?:\.\d+)?)|(?P<str>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<name>[A-Za-z_]\w*)"""
                    r"""|(?P<op>==|!=|<=|>=|[-+*~<>|.,()\[\]]))""", re.S)
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
@@ -169,6 +173,8 @@ def parse(source: str) -> tuple:
     rest = source[i:].lstrip() if trim else source[i:]
     if rest:
         parts.append(("text", rest))
+    if any(kind == "text" and re.search(r"\{[{%#]", v) for kind, v in parts):
+        raise TemplateError("a tag is not closed")
     body, at, end = _body(parts, 0, ())
     return body
 
@@ -296,8 +302,20 @@ def _get(obj, key):
     return None
 
 
+def _bounded(v):
+    if isinstance(v, str) and len(v) > MAX_TEXT or isinstance(v, (int, float)) and not -MAX_NUMBER <= v <= MAX_NUMBER:
+        raise TemplateError("a value grows too large")
+    return v
+
+
+def _times(a, b):
+    if isinstance(a, (int, float)) and isinstance(b, (int, float)):
+        return _bounded(a * b)
+    raise TemplateError("only numbers are multiplied")
+
+
 OPS: dict[str, Callable] = {
-    "+": lambda a, b: a + b, "-": lambda a, b: a - b, "*": lambda a, b: a * b, "~": lambda a, b: show(a) + show(b),
+    "+": lambda a, b: _bounded(a + b), "-": lambda a, b: _bounded(a - b), "*": _times, "~": lambda a, b: _bounded(show(a) + show(b)),
     "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b,
     ">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "in": lambda a, b: a in b}
 

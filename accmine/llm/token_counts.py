@@ -8,7 +8,8 @@ This equals merging one pair at a time because in the vocabulary a symbol comes
 every merge that uses it ranks later (checked when the file is loaded), so a merge never opens a better one.
 
 Defined cases: null text is empty: 0 bytes, 0 tokens; special strings inside a text count as one token
-each, as the library does by default; texts are never cut; other columns are kept as they are.
+each, as the library does by default; texts are never cut; other columns are kept,
+and if one is named like ``out_col`` the new one gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import is_latin1, later_characters, latin1_pattern
-from .common import worker_cache
+from .common import free_name, worker_cache
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 MEMO_SIZE = 500_000       # pre-tokens remembered per worker; the memo starts anew when full
@@ -167,6 +168,8 @@ class WordBpe:
 def count_tokens(docs: DataFrame, text_col: str = "text", out_col: str = "tokens", path: str = VOCABULARY,
                  chunk_chars: int = 4 << 20) -> DataFrame:
     """``docs`` plus ``out_col`` with n_bytes (UTF-8) and n_tokens of the whole text."""
+    out_col = free_name(docs, out_col)
+
     @F.arrow_udf("struct<n_bytes: bigint, n_tokens: bigint>")
     def counts(text: pa.Array) -> pa.Array:
         bpe = worker_cache(("word-bpe", path), lambda: WordBpe(path))

@@ -1,6 +1,6 @@
 """Toxicity by weak supervision: many lexicon and pattern voters, a generative label model, a linear classifier.
 
-1. A bounded sample of labelled rows is drawn (``SAMPLE`` rows, by hash of the id).
+1. A bounded sample of labelled ids is drawn (``SAMPLE`` ids, by hash of the id), with one text for each.
 2. Lexicon entries (words and word beginnings that mostly occur in toxic texts) are mined from the sample.
    Entries of one stem form a lexicon, each lexicon is a voter; pattern voters look at how many entries a
    text has, how densely, and whether it has none. A voter says toxic, clean, or nothing.
@@ -15,12 +15,15 @@ never shuffled. Labels of held-out rows, and lang, source and id, are never inpu
 
 Defined cases: null text is empty text; a text without any entry gets the classifier's base score; labels
 that are null or of ids outside the documents teach nothing, of repeated labels the greatest counts; repeated
-document rows are scored each for itself; without a usable label of both kinds every score is the share of
-toxic labels (0 without labels); other columns are kept.
+document rows are scored each for itself, and of those of a drawn id one is learned from; without a usable label of both kinds every score is the share of
+toxic labels (0 without labels); other columns are
+kept (if one is named like ``out_col``, the new one gets an underscore behind its name). The lexicon keeps at most ``max_entries`` entries:
+a rarer toxic word beyond them does not count as a hit.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from itertools import repeat
 from types import SimpleNamespace
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, worker_cache
+from .common import free_name, staged, worker_cache
 
 SAMPLE = 20_000          # labelled rows to learn from
 PREFIXES = (3, 4, 5, 6)  # lengths of word beginnings tried as entries
@@ -38,7 +41,7 @@ STEM = 3                 # entries that share so many first letters form one lex
 MIN_TOXIC = 6            # toxic sample texts that an entry must occur in, at least,
 MIN_TOXIC_SHARE = 0.008  # and at least this share of the toxic sample texts
 MIN_PRECISION = 0.6      # share of toxic texts among an entry's sample texts
-MAX_ENTRIES = 4096
+MAX_ENTRIES = 4096       # entries kept, those in most toxic sample texts; a parameter of ``train_model``
 MAX_LEXICONS = 96
 MEMO_SIZE = 200_000      # words remembered per worker
 THRESHOLD = 0.7
@@ -182,26 +185,29 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 30) ->
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, train: Column, id_col: str, text_col: str,
                     size: int) -> DataFrame:
-    """Staged (text, label) of at most ``size`` labelled ids, by hash of the id; the drawn ids are broadcast,
-    so the documents are only scanned."""
+    """Staged (text, label) of at most ``size`` labelled ids, by hash of the id, one row each: of several rows of
+    an id the text with the least hash, picked by a partial aggregate. The drawn ids are broadcast, so the
+    documents are only scanned."""
     drawn = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & train)
                    .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
                    .orderBy(F.xxhash64("_id"), "_id").limit(size))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return staged(texts.join(F.broadcast(drawn), "_id").select("text", "label"), "labelled-sample")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("_id"), F.struct(F.xxhash64(text).alias("hash"), text.alias("text")).alias("t"))
+    one = texts.join(F.broadcast(drawn), "_id").groupBy("_id").agg(F.min("t").alias("t"), F.max("label").alias("label"))
+    return staged(one.select("t.text", "label"), "labelled-sample")
 
 
 def train_model(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "toxic", id_col: str = "doc_id",
-                text_col: str = "text", sample: int = SAMPLE) -> SimpleNamespace:
+                text_col: str = "text", sample: int = SAMPLE, max_entries: int = MAX_ENTRIES) -> SimpleNamespace:
     """Lexicons and classifier weights, learned from labelled rows for which ``train`` (over the labels'
-    columns) holds."""
+    columns) holds: at most ``sample`` of them, and ``max_entries`` lexicon entries."""
     rows = labelled_sample(docs, labels, label_col, train, id_col, text_col, sample)
     n, n_toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     least = max(MIN_TOXIC, MIN_TOXIC_SHARE * n_toxic)
     entries = (rows.mapInArrow(_count_terms, "term string, toxic bigint, clean bigint").groupBy("term")
                    .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                    .where((F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean") + 2)))
-                   .orderBy(F.desc("toxic"), "clean", "term").limit(MAX_ENTRIES).collect())
+                   .orderBy(F.desc("toxic"), "clean", "term").limit(max_entries).collect())
     share = n_toxic / n if n else 0.0
     if not entries or n_toxic in (0, n):
         return SimpleNamespace(lexicon={}, n=0, weights=None, share=share)
@@ -215,7 +221,7 @@ def train_model(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), b.column("label")], ["x", "label"])
 
     # one row of a few dozen numbers for each sample text: bounded by the sample's size
-    got = rows.mapInArrow(run, "x array<double>, label int").collect()
+    got = sorted(rows.mapInArrow(run, "x array<double>, label int").collect(), key=lambda r: (r.x, r.label))
     x, seen = np.array([r.x for r in got]), np.array([r.label for r in got])
     posterior = label_model(votes(x), seen)
     return SimpleNamespace(lexicon=lexicon, n=k, weights=logistic(design(x), posterior), share=share)
@@ -230,8 +236,9 @@ def score_texts(texts: list[str], model, memo: dict[bytes, int]) -> np.ndarray:
 
 def score_documents(docs: DataFrame, model: SimpleNamespace, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` plus ``out_col``: probability that the whole text is toxic."""
+    out_col = free_name(docs, out_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    token = id(shared)
+    token = uuid.uuid4().hex         # what a worker remembers of words holds for this model only
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from accmine.llm import chat_format as C
 from accmine.llm.templates import TemplateError, compile_template, fold, parse
@@ -105,3 +106,27 @@ def test_string_ids_and_other_templates(spark):
     r = C.format_conversations(df, template=source).first()
     assert (r.conv_id, r.text, [tuple(s) for s in r.spans]) == ("a", "1:HI;2:YO;", [(2, 4), (7, 9)])
     assert C.format_conversations(df, template="fixed").first().text == "fixed"
+
+
+@pytest.mark.parametrize("kind", ["int", "long", "string", "smallint"])
+def test_conversation_ids_of_any_type(spark, kind):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (None, 0, "user", "c")],
+                                 "conv_id long, turn int, role string, text string").withColumn("conv_id", F.col("conv_id").cast(kind))
+    back = C.read_back(C.format_conversations(rows))
+    assert back.schema["conv_id"].dataType == rows.schema["conv_id"].dataType
+    assert sorted((str(r.conv_id), r.n_turns, r.loss_chars) for r in back.collect()) == [("1", 2, 1), ("None", 1, 0)]
+
+
+def test_a_tag_does_not_end_inside_a_string():
+    assert render("{{ '}}' }}{{ \"%}\" ~ '{{' }}{% if x == '%}' %}y{% endif %} it's {{ x }}", x="%}") == "}}%}{{y it's %}"
+
+
+@pytest.mark.parametrize("source", ["{{ 'a' * 50000000 }}", "{{ 3 * 'a' }}", "{{ 'a }}", "text {% if x", "{{ 9999999999 * 9999999999 }}"])
+def test_what_grows_or_stays_open_is_refused(source):
+    with pytest.raises(TemplateError):
+        compile_template(source, C.FILTERS)
+
+
+def test_a_loop_cannot_double_a_text_for_ever():
+    with pytest.raises(TemplateError):
+        render("{% set s = 'abcdefgh' %}{% for i in m %}{% set s = s ~ s %}{% endfor %}", m=range(60))

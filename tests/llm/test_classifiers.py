@@ -87,6 +87,57 @@ def test_votes_tie_and_weigh_by_similarity():
     assert s[0] == pytest.approx(2 / 3) and s[1] == pytest.approx(0) and s[2] == pytest.approx(1 / 3)
 
 
+def test_two_models_in_one_session_do_not_mix(spark):
+    docs = spark.createDataFrame([(k, f"{'badword ' * 3 if k % 2 else 'goodword '} and {'nicely ' * 3 if k % 3 else 'rudeword ' * 3} said") for k in range(240)],
+                                 "doc_id long, text string")
+    lab = lambda m: docs.selectExpr("doc_id", f"cast(doc_id % {m} = 1 as int) AS toxic")
+    models = [T.train_model(docs, lab(m), F.lit(True)) for m in (2, 3)]
+    want = [T.score_texts([r.text for r in docs.orderBy("doc_id").collect()], m, {}) for m in models]
+    for k in range(8):
+        got = T.score_documents(docs, models[k % 2]).orderBy("doc_id").collect()
+        assert np.allclose([r.score for r in got], want[k % 2])
+
+
+def test_the_sample_has_one_row_for_each_id(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2500, 7, id) AS doc_id", "concat('text ', id % 11) AS text", "'x' AS label", "'y' AS t")
+    lab = docs.select("doc_id").distinct().withColumn("toxic", F.lit(1))
+    got = T.labelled_sample(docs, lab, "toxic", F.lit(True), "doc_id", "text", 10 ** 6).collect()
+    assert len(got) == 501
+    assert T.labelled_sample(docs, lab, "toxic", F.lit(True), "doc_id", "text", 10).count() == 10
+
+
+def test_lexicon_size_is_a_parameter(spark):
+    docs = spark.createDataFrame([(k, "vile nasty rotten foul" if k % 2 else "calm plain kind mild") for k in range(60)], "doc_id long, text string")
+    lab = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic")
+    assert len(T.train_model(docs, lab, F.lit(True), max_entries=3).lexicon) == 3 < len(T.train_model(docs, lab, F.lit(True)).lexicon)
+
+
+def test_label_model_against_bayes_by_hand():
+    """Voters that are independent given the label: the posterior is the product of their likelihood ratios."""
+    rng = np.random.default_rng(5)
+    y = rng.random(60_000) < 0.3
+    hit = [(0.8, 0.1), (0.6, 0.2), (0.7, 0.3)]
+    v = np.column_stack([np.where(rng.random(len(y)) < np.where(y, a, b), 1, -1) for a, b in hit]).astype(np.int8)
+    got = T.label_model(v, y)
+    odds = np.log(0.3 / 0.7) + sum(np.where(v[:, k] == 1, np.log(a / b), np.log((1 - a) / (1 - b))) for k, (a, b) in enumerate(hit))
+    assert np.abs(got - 1 / (1 + np.exp(-odds))).mean() < 0.05
+
+
+def test_vote_against_every_neighbour_by_hand():
+    rng = np.random.default_rng(6)
+    x = rng.random((300, Q.WIDTH)).astype(np.float32) * (rng.random((300, Q.WIDTH)) < 0.05)
+    y = (rng.random(300) < 0.5).astype(np.float32)
+    model = Q.fit(x, y)
+    got = Q.vote(x[:40], model, neighbours=7)
+    z = x @ model.axes
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    for r in range(40):
+        cos = z @ z[r]
+        near = np.flatnonzero(cos >= np.sort(cos)[-7] - Q.TIE)          # ties of the seventh vote too
+        w = np.maximum(cos[near], 0)
+        assert got[r] == pytest.approx((w @ y[near]) / w.sum(), abs=1e-3)
+
+
 # ------------------------------------------------------------------- licenses ---
 
 def notices(text, **kw):
@@ -123,10 +174,12 @@ def test_repeats_and_no_findings():
 def test_scan_operator(spark):
     rows = [(1, "a. " + L.TEMPLATES["GPL-3.0"]), (1, "a. " + L.TEMPLATES["GPL-3.0"]), (2, None), (3, ""), (4, "word " * 20000 + L.TEMPLATES["CC-BY-NC-4.0"])]
     docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, notices int")
-    got = {(r.doc_id, tuple((n.license, n.coverage, n.start, n.end) for n in r.notices)) for r in L.scan_licenses(docs).collect()}
+    rows = L.scan_licenses(docs).withColumnRenamed("notices", "own").withColumnRenamed("notices_", "notices").collect()
+    assert {r.own for r in rows} == {7}                            # a column of that name stays
+    got = {(r.doc_id, tuple((n.license, n.coverage, n.start, n.end) for n in r.notices)) for r in rows}
     assert got == {(1, (("GPL-3.0", 1.0, 1, 13),)), (2, ()), (3, ()), (4, (("CC-BY-NC-4.0", 1.0, 20000, 20007),))}
     assert L.scan_licenses(docs.where("false")).count() == 0
-    assert all(r.notices == [] for r in L.scan_licenses(docs, templates={}).collect())
+    assert all(r.notices_ == [] for r in L.scan_licenses(docs, templates={}).collect())
 
 
 def test_license_query_finds_the_planted_lines(spark):
@@ -137,3 +190,54 @@ def test_license_query_finds_the_planted_lines(spark):
         want = sorted(k for k, v in lines.items() if v in text[r.doc_id])
         assert r.licenses == ",".join(want) and r.n_notices == len(json.loads(r.notices))
         assert r.best_coverage == (1.0 if want else 0.0)
+
+
+def test_many_notices_in_one_text_are_sorted_out_quickly():
+    import time
+    rng = np.random.default_rng(3)
+    found = [(f"t{k % 7}", 1.0, int(a), int(a) + int(n), int(n)) for k, (a, n) in enumerate(zip(rng.integers(0, 400_000, 60_000), rng.integers(3, 40, 60_000)))]
+    began = time.time()
+    kept = L.best_apart(found)
+    assert time.time() - began < 5
+    assert all(a[3] <= b[2] for a, b in zip(kept, kept[1:]))
+    some, plain = found[:800], []
+    for f in sorted(some, key=lambda f: (-f[4], -f[1], f[0], f[2])):
+        if all(f[3] <= g[2] or g[3] <= f[2] for g in plain):
+            plain.append(f)
+    assert L.best_apart(some) == sorted((f[:4] for f in plain), key=lambda f: f[2])
+
+
+def longest_common(a, b):
+    best = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b):
+            last, best[k + 1] = best[k + 1], last + 1 if x == y else max(best[k], best[k + 1])
+    return best[-1]
+
+
+def test_alignment_against_the_longest_common_subsequence():
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(60)]
+    for _ in range(60):
+        a = [words[k] for k in rng.permutation(60)[:40]]
+        b = [w for w in a if rng.random() < 0.85]
+        for _ in range(8):
+            b.insert(int(rng.integers(0, len(b) + 1)), words[int(rng.integers(0, 60))])
+        pairs = L.align(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert 0.85 * longest_common(a, b) <= len(pairs) <= longest_common(a, b)
+
+
+def test_whole_license_texts_from_a_table(spark):
+    rng = np.random.default_rng(2)
+    long_a, long_b = (" ".join(f"{w}{k}" for k in rng.integers(0, 5000, 900)) for w in ("clause", "grant"))
+    table = spark.createDataFrame([("A", long_a), ("B", long_b), ("A", "short"), (None, "x"), ("C", None)], "name string, text string")
+    words = long_a.split()
+    edited = words[:300] + ["extra"] * 20 + words[330:]
+    docs = spark.createDataFrame([(1, "before " * 50 + " ".join(edited) + " after"), (2, " ".join(words[:300])), (3, f"{long_b}\n{long_a}")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: [(n.license, n.coverage >= 0.9) for n in r.notices] for r in L.scan_licenses(docs, templates=table).collect()}
+    assert got == {1: [("A", True)], 2: [], 3: [("B", True), ("A", True)]}
+    with pytest.raises(ValueError):
+        L.load_templates(table, max_bytes=100)

@@ -91,7 +91,7 @@ def test_operator_and_blocks(spark):
     docs, bench, rows, items = make(spark)
     want = sorted((r[0], *b) for r, b in zip(rows, brute([r[1] for r in rows], items, 10)))
     for block_bytes in (1 << 20, 60):          # the whole benchmark at once, and in several passes
-        got = D.find_contamination(docs, bench, block_bytes=block_bytes).collect()
+        got = D.find_contamination(docs, bench, block_bytes=block_bytes).withColumnRenamed("hits", "own").withColumnRenamed("hits_", "hits").collect()
         assert sorted((r.doc_id, r.hits.n_words, sum(s.end - s.start for s in r.hits.spans), list(r.hits["items"])) for r in got) == want
 
 
@@ -118,6 +118,32 @@ def test_cut_joins_nothing():
 def test_empty_tables(spark):
     docs, bench, *_ = make(spark)
     none = bench.where("false")
-    assert all(not r.hits.spans for r in D.find_contamination(docs, none).collect())
+    assert all(not r.hits_.spans for r in D.find_contamination(docs, none).collect())
     assert D.find_contamination(docs.where("false"), bench).count() == 0
     assert D.remove_contamination(docs.where("false"), none).count() == 0
+
+
+def test_a_large_benchmark_takes_passes_with_one_block_at_a_time(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * 7 + j) % 60}" for j in range(25)), "h") for k in range(40)]
+    docs = spark.createDataFrame(rows + [(40, None, "h"), (41, "", "h"), (1, rows[1][1], "h")], "doc_id long, text string, _h string")
+    bench = spark.createDataFrame([(k, " ".join(f"w{(k * 11 + j) % 60}" for j in range(14))) for k in range(20)], "item_id long, text string")
+    live, most, made = set(), [0], D._windows
+
+    class Watched:
+        def __init__(self, inner):
+            self.inner, self.value = inner, None
+            live.add(id(self))
+            most[0] = max(most[0], len(live))
+
+        def destroy(self):
+            live.discard(id(self))
+            self.inner.destroy()
+
+    whole = sorted(((r.doc_id, str(r.hits)) for r in D.find_contamination(docs, bench).collect()), key=str)
+    clean = sorted((str(r) for r in D.remove_contamination(docs, bench).collect()))
+    monkeypatch.setattr(D, "_hits", lambda block, hits=D._hits: hits(block.inner))
+    monkeypatch.setattr(D, "_windows", lambda part, window: Watched(made(part, window)))
+    passes = D.find_contamination(docs, bench, block_bytes=200)
+    assert most[0] == 1 and not live
+    assert sorted(((r.doc_id, str(r.hits)) for r in passes.collect()), key=str) == whole and passes.columns == ["doc_id", "text", "_h", "hits"]
+    assert sorted((str(r) for r in D.remove_contamination(docs, bench, block_bytes=200).collect())) == clean and most[0] == 1

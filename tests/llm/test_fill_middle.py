@@ -88,6 +88,5 @@ def test_output_restores_and_other_columns_stay(spark):
     rows = out.select("form", "text", "fim.output", fm.restore(out["fim.output"], out["fim.form"]).alias("back")).collect()
     assert all(r.back == (r.text or "") and r.form == 1.5 for r in rows)
     assert sum(r.output != (r.text or "") for r in rows) > 150
-    with pytest.raises(ValueError):
-        fm.fill_in_middle(docs, out_col="form")
+    assert fm.fill_in_middle(docs, out_col="form").columns == ["doc_id", "text", "form", "form_"]
     assert fm.fill_in_middle(docs.where("false")).collect() == []

@@ -67,6 +67,8 @@ def test_encoding_is_of_what_is_left(stages):
         ids_ = tik.encode_ordinary(text[r.doc_id])
         assert (r.n_tokens, r.ids_sha256) == (len(ids_), hashlib.sha256(",".join(map(str, ids_)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
+        assert r.ids == ids_ and r.text == text[r.doc_id]
+    assert stages[5].columns == [*stages[4].columns, "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
 
 
 def test_odd_documents_pass_through(spark):

@@ -27,7 +27,7 @@ def run(spark, rows, k=20, **kw):
                   .select("query_id", "rank", "vec_id", "score").collect())
 
 
-@pytest.mark.parametrize("kw", [{}, {"query_block": 3, "candidate_block": 17}])
+@pytest.mark.parametrize("kw", [{}, {"query_block": 3, "candidate_block": 17}, {"query_block": 7, "candidate_block": 40}])
 def test_equals_plain_ranking(spark, kw):
     rng = np.random.default_rng(4)
     scale = np.exp(rng.normal(size=(120, 1)))                        # lengths differ, so slices are pruned
@@ -64,3 +64,29 @@ def test_query_returns_twenty_each(spark, sf_dir):
     rows = QUERIES["op1_topk_search"](spark, sf_dir).collect()
     table = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert sorted(tuple(r) for r in rows) == plain(table, lambda q: q % 20 == 0, 20)
+
+
+def test_long_vectors_score_exactly_as_far_as_a_long_goes(spark):
+    big = [(0, [4e7, 0.0]), (5, [2.0, 0.0]), (10, [2.0 ** 57 - 2.0 ** 34, 1.0]), (11, [-2.0 ** 56, 3.0]), (12, [2.0 ** 40, -5.5]), (13, [1e30, 0.0]), (15, [0.25, 2.0 ** 50]),
+           (16, [2.0 ** 57, 0.0]), (17, [-2.0 ** 57, 0.0])]
+    fit = [(i, v) for i, v in big if i not in (13, 16)]           # a component of 2^63 does not fit, -2^63 neither: its size is refused
+    want = [w for w in plain([r for r in fit if r[0] != 17], lambda q: q % 5 == 0, 99) if -(2 ** 63) <= w[3] < 2 ** 63]
+    ranks = {}
+    ranked = []
+    for q, _, i, s in want:
+        ranks[q] = ranks.get(q, 0) + 1
+        ranked.append((q, ranks[q], i, s))
+    got = run(spark, big, 99)
+    assert got == ranked and (0, 1, 5, 327_680_000_000) in [(q, 1, i, s) for q, _, i, s in got if q == 0 and i == 5]
+    assert run(spark, big, 2, query_block=2, candidate_block=3) == [r for r in ranked if r[1] <= 2]
+
+
+def test_short_candidates_are_not_sent(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(2000, 8)) * np.exp(-np.arange(2000) / 150)[:, None]          # lengths fall off quickly
+    rows = [(int(i), [float(np.float32(c)) for c in x]) for i, x in enumerate(v)]
+    assert run(spark, rows, 5, query_block=50, candidate_block=100) == plain(rows, lambda q: q % 5 == 0, 5)
+    longest = np.array([9.0, 4.0, 1.0, 0.5])
+    import pyarrow as pa
+    b = pa.RecordBatch.from_pydict({"row": [1, 2, 3, 4], "least": pa.array([8, None, -5, 100], pa.int64()), "len": [2.0, 2.0, 2.0, 2.0]})
+    assert next(T._reach(longest)([b])).column("reach").to_pylist() == [1, 3, 3, -1]
