@@ -10,14 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accmine.llm import byte_bpe, decontaminate, quality, simhash, toxicity
-from accmine.llm.common import crc_mod, read, staged
+from accmine.llm.common import crc_mod, free_name, read, staged
 
 
 def _keep(docs: DataFrame, scored, condition) -> DataFrame:
     """Rows of ``docs`` whose score meets the condition; the score's column is dropped again."""
-    name = "score"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "score")
     return scored(name).where(condition(F.col(name))).drop(name)
 
 
@@ -46,9 +44,12 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded bytes of what is left."""
-    out = byte_bpe.round_trip_digests(docs.select("doc_id", "lang", "source", "n_chars", "text"))
-    return out.select("doc_id", "lang", "source", "n_chars", "bpe.*")
+    """What is left, with its token ids, their number, and digests of the ids and of the decoded bytes. A column of
+    the documents that has one of these names stays, and the new one gets an underscore."""
+    names = {c: free_name(docs, c) for c in ("n_tokens", "ids_sha256", "decoded_sha256", "ids")}
+    bpe = free_name(docs, "bpe")
+    out = byte_bpe.round_trip_digests(docs, out_col=bpe, keep_ids=True)
+    return out.select(*docs.columns, *[F.col(f"{bpe}.{c}").alias(n) for c, n in names.items()])
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_low_quality), ("near_duplicates", drop_near_duplicates),
