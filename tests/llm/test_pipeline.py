@@ -7,7 +7,7 @@ import tiktoken
 
 import corpus_pipeline as P
 from accmine.llm import byte_bpe, decontaminate, quality, simhash, toxicity
-from accmine.llm.common import crc_mod
+from accmine.llm.common import crc_mod, staged
 
 SF = "/root/testdata/sf0.01"
 
@@ -17,7 +17,7 @@ def stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = [docs]
     for name, stage in P.STAGES:
-        out.append(P.staged(stage(spark, out[-1], SF), f"test-{name}"))
+        out.append(staged(stage(spark, out[-1], SF), f"test-{name}"))
     return out
 
 
@@ -80,7 +80,7 @@ def test_odd_documents_pass_through(spark):
          (3, long_text, "en", "s", 5, 9.0)],
         "doc_id long, text string, lang string, source string, n_chars long, score double")
     for name, stage in P.STAGES:
-        docs = P.staged(stage(spark, docs, SF), f"odd-{name}")
+        docs = staged(stage(spark, docs, SF), f"odd-{name}")
         if name != "byte_bpe":
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score"]
     got = sorted((r.doc_id, r.n_tokens) for r in docs.collect() if r.doc_id is not None)
