@@ -29,7 +29,7 @@ from .operators.articles import findings_from_articles
 from .operators.mine import DEFAULT_PATTERN, AccessionPattern
 from .operators.ordering import with_ordinal
 from .operators.parse import parse_articles
-from .session import scratch_path
+from .session import job_scratch, scratch_path
 from .sinks import feeds
 from .sinks.results import ResultsTable
 from .sinks.tables import stage
@@ -115,7 +115,8 @@ def update_results(spark: SparkSession, findings: DataFrame, results_path: str,
     With ``watermark_path`` a position table of its own moves over the ``processed`` files (column
     ``file_name``; default: the files with findings)."""
     results = ResultsTable(spark, results_path)
-    new = results.append(lambda lookup: incremental.first_batch_wins(findings, lookup, check_duplicates=check_duplicates), position)
+    with job_scratch(spark):
+        new = results.append(lambda lookup: incremental.first_batch_wins(findings, lookup, check_duplicates=check_duplicates), position)
     if watermark_path:
         if processed is None:
             processed = findings.select(F.col("source_file").alias("file_name")).distinct()
@@ -148,13 +149,14 @@ def run_incremental(spark: SparkSession, corpus_path: str, results_path: str, wa
     n, appended = picked.count(), []
     for at in range(0, n, files_per_slice):
         now = picked.where(F.col("ordinal").between(at, at + files_per_slice - 1)).select("paths").collect()
-        found = mine_corpus(spark, [p for r in now for p in r.paths], out_path, **mine_args)
         rest = picked.where(F.col("ordinal") >= at + files_per_slice).agg(F.min("start_pmc")).first()[0]
         done = picked.where(F.col("ordinal") < at + files_per_slice)
         done = done if rest is None else done.where(F.col("start_pmc") < rest)
         reached = done.agg(F.max("start_pmc")).first()[0]
-        appended += results.append(lambda lookup: incremental.first_batch_wins(found, lookup),  # noqa: B023 (called at once)
-                                   None if reached is None else f"PMC{reached}")
+        with job_scratch(spark):
+            found = mine_corpus(spark, [p for r in now for p in r.paths], out_path, **mine_args)
+            appended += results.append(lambda lookup: incremental.first_batch_wins(found, lookup),  # noqa: B023 (called at once)
+                                       None if reached is None else f"PMC{reached}")
     if watermark_path and n:
         move_watermark(spark, watermark_path, picked.select("file_name"))
     return results.rows(appended)
@@ -165,10 +167,11 @@ def combine_batches(spark: SparkSession, in_path: str, out_path: str, glob: str
     """Findings CSV batches of a folder -> one deduplicated CSV table below ``out_path/combined``
     and a row of statistics (A4), returned and written below ``out_path/stats``. Rows equal in all but their
     batch keep the first batch by name; without ``source_file`` the batch is not written."""
-    batches = stage(read_findings_csv(spark, in_path, glob), scratch_path(spark, "batches"))
-    combined = dedup.combine_dedup(batches)
-    feeds.write_csv((combined if source_file else combined.drop("source_file")).hint("rebalance"), f"{out_path}/combined")
-    return stage(dedup.combine_stats(batches), f"{out_path}/stats")
+    with job_scratch(spark):
+        batches = stage(read_findings_csv(spark, in_path, glob), scratch_path(spark, "batches"))
+        combined = dedup.combine_dedup(batches)
+        feeds.write_csv((combined if source_file else combined.drop("source_file")).hint("rebalance"), f"{out_path}/combined")
+        return stage(dedup.combine_stats(batches), f"{out_path}/stats")
 
 
 def export_links(spark: SparkSession, results: DataFrame, out_dir: str, provider_id: int,
@@ -193,10 +196,11 @@ def export_search(spark: SparkSession, results: DataFrame, entities: DataFrame,
                   cfg: enrich.PortalConfig = enrich.PortalConfig(), partitions: int | None = None) -> str:
     """Refresh the metadata cache below ``cache_root`` (see ``refresh_metadata``) and write the search feed.
     Returns the folder of the new cache version."""
-    portals = stage(enrich.portal_table(catalog, apps, cfg), scratch_path(spark, "portals"))
-    pairs = stage(summarize.citation_pairs(results), scratch_path(spark, "cited-pairs"))
-    version = refresh_metadata(spark, pairs, entities, portals, cache_root, cfg, refresh, cache_path)
-    entries = stage(enrich.search_entries(pairs, read_entity_meta(spark, version), cfg), scratch_path(spark, "entries"))
-    lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
-    feeds.write_search_feed(lines, out_path, partitions, staging=scratch_path(spark, "feed-lines"))
-    return version
+    with job_scratch(spark):
+        portals = stage(enrich.portal_table(catalog, apps, cfg), scratch_path(spark, "portals"))
+        pairs = stage(summarize.citation_pairs(results), scratch_path(spark, "cited-pairs"))
+        version = refresh_metadata(spark, pairs, entities, portals, cache_root, cfg, refresh, cache_path)
+        entries = stage(enrich.search_entries(pairs, read_entity_meta(spark, version), cfg), scratch_path(spark, "entries"))
+        lines = feeds.search_feed_lines(entries, pairs, name, description, date.today().isoformat())
+        feeds.write_search_feed(lines, out_path, partitions, staging=scratch_path(spark, "feed-lines"))
+        return version

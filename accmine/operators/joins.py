@@ -12,7 +12,7 @@ def scan_tasks(df: DataFrame, splittable: bool = True) -> tuple[int, int] | None
     """(tasks that the scan can use, estimated bytes), from the file listing and the plan's statistics only:
     no job runs. None if the plan does not read files or gives no estimate."""
     try:
-        files = len(df.inputFiles())
+        files = len(df._jdf.inputFiles())          # counted there: no path comes to Python
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:        # no classic plan (Spark Connect)
         return None

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -82,7 +84,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or root
 
 
+_JOB: ContextVar[str | None] = ContextVar("accmine_job", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder path under the shared checkpoint root (not created)."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root.rstrip("/"), "accmine", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder path under the shared checkpoint root (not created), inside a ``job_scratch`` below
+    its folder."""
+    root = _JOB.get() or os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "accmine")
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession):
+    """What is staged inside goes when the block ends well; after a failure it stays, to be looked at. For
+    jobs whose results are written elsewhere: a DataFrame that still reads a staged table must not leave."""
+    own = scratch_path(spark, "job")
+    token = _JOB.set(own)
+    try:
+        yield
+    finally:
+        _JOB.reset(token)
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accmine.llm import byte_bpe, decontaminate, quality, simhash, toxicity
-from accmine.llm.common import crc_mod, free_name, read, staged
+from accmine.llm.common import crc_mod, free_name, read
+from accmine.session import job_scratch, scratch_path
 
 
 def _keep(docs: DataFrame, scored, condition) -> DataFrame:
@@ -61,5 +62,8 @@ ORACLE_SQL = None      # label models, neighbour votes, fingerprints and merges
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with job_scratch(spark):           # what a stage staged for itself goes when its rows are written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

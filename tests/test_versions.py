@@ -196,3 +196,22 @@ def test_a_missing_id_is_stored_once(spark):
     assert bag(incremental.first_batch_wins(batches, none), "synid") == [("syn2222222",), ("syn3333333",), ("syn4444444",)]
     assert bag(incremental.first_batch_wins(batches, some), "synid") == bag(incremental.new_rows(batches, some), "synid") == [("syn3333333",)]
     assert incremental.new_rows(batches, none).count() == 4
+
+
+def test_scratch_of_a_job_goes_at_its_end_unless_it_fails(spark, tmp_path):
+    from accmine.session import job_scratch, scratch_path
+    from accmine.sinks.tables import stage
+    made = []
+    with job_scratch(spark):
+        made.append(scratch_path(spark, "a"))
+        assert stage(spark.range(3), made[0]).count() == 3
+        with job_scratch(spark):
+            made.append(scratch_path(spark, "b"))
+            stage(spark.range(3), made[1])
+    with pytest.raises(RuntimeError):
+        with job_scratch(spark):
+            made.append(scratch_path(spark, "c"))
+            stage(spark.range(3), made[2])
+            raise RuntimeError
+    assert [os.path.exists(p.removeprefix("file:")) for p in made] == [False, False, True]
+    assert made[1].startswith(made[0].rsplit("/", 1)[0]) and "/job-" not in scratch_path(spark, "d")
