@@ -293,8 +293,9 @@ def q_citations_kept(spark, d):
 @query("counts_kept")
 def q_counts_kept(spark, d):
     """Combine statistics and summary of the batches, from counts that every batch only adds to."""
-    store = citation_store(spark, d, fx.batches_v(spark, d))
-    return store.combine_stats().join(store.summary())
+    t = citation_store(spark, d, fx.batches_v(spark, d)).totals()
+    return t.select(F.col("rows").alias("rows_before"), F.col("distinct").alias("rows_after"), F.col("unique_ids").alias("unique_synids"),
+                    "files", "documents", F.col("rows").alias("mentions"), "unique_ids")
 
 
 # --------------------------------------------------------- enrichment -------

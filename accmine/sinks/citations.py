@@ -101,22 +101,27 @@ class CitationStore:
         rows = self.table.read_paths(self._parts(self.table.manifest(), "block"), ROWS)
         return rows.groupBy("pmcid").agg(F.sum("rows").alias("mentions"), F.count_distinct("synid").alias("unique_ids"))
 
-    def _totals(self) -> DataFrame:
+    def totals(self) -> DataFrame:
+        """One row: documents, rows, distinct (rows but for their batch), unique_ids, files. The first three are
+        sums over the manifest's blocks; findings are not read."""
         base = self.table.manifest()
         blocks = [p for p in base["parts"] if p["kind"] == "block"]
-        total = [sum(p[k] for p in blocks) for k in ("articles", "rows", "distinct")]
+        total = {k: sum(p[k] for p in blocks) for k in ("articles", "rows", "distinct")}
         missing = self.table.read_paths([p["path"] for p in blocks if p["block"] < 0], ROWS).where(F.col("pmcid").isNull())
-        nulls = 1 if not missing.isEmpty() else 0                     # null is a group, but no document
-        ids = self.ids().where((F.col("rows") > 0) & F.col("synid").isNotNull()).agg(F.count(F.lit(1)).alias("unique_ids"))
-        files = self.table.read_paths(self._parts(base, "files"), FILES).agg(F.count_distinct("source_file").alias("files"))
-        return ids.join(files).select(*[F.lit(v).cast("bigint").alias(n) for v, n in
-                                        zip((total[0] - nulls, *total[1:]), ("documents", "rows", "distinct"))], "unique_ids", "files")
+        documents = total["articles"] - (0 if missing.isEmpty() else 1)                # null is a group, but no document
+        known = [F.lit(v).cast("bigint").alias(n) for n, v in
+                 (("documents", documents), ("rows", total["rows"]), ("distinct", total["distinct"]))]
+        none = F.lit(None).cast("bigint")
+        ids = self.ids().where((F.col("rows") > 0) & F.col("synid").isNotNull()).agg(F.count(F.lit(1)).alias("unique_ids"), none.alias("files"))
+        files = self.table.read_paths(self._parts(base, "files"), FILES).agg(none.alias("unique_ids"), F.count_distinct("source_file").alias("files"))
+        both = ids.unionByName(files).agg(F.max("unique_ids").alias("unique_ids"), F.max("files").alias("files"))
+        return both.select(*known, "unique_ids", "files")
 
     def summary(self) -> DataFrame:
-        """documents, mentions, unique_ids (A5): from the manifest and the ids' counts, without the findings."""
-        return self._totals().select("documents", F.col("rows").alias("mentions"), "unique_ids")
+        """documents, mentions, unique_ids (A5)."""
+        return self.totals().select("documents", F.col("rows").alias("mentions"), "unique_ids")
 
     def combine_stats(self) -> DataFrame:
         """rows_before, rows_after, unique_synids, files (A4)."""
-        return self._totals().select(F.col("rows").alias("rows_before"), F.col("distinct").alias("rows_after"),
+        return self.totals().select(F.col("rows").alias("rows_before"), F.col("distinct").alias("rows_after"),
                                      F.col("unique_ids").alias("unique_synids"), "files")
