@@ -10,11 +10,14 @@ length per byte.
 
 Jobs: (1) documents are staged in blocks of bounded size, and each block lists its distinct byte strings of
 depth + 1 and its distinct words, with training counts, packed by bucket: a few hundred rows a block,
-however long its texts. (2) The lists of a bucket are summed, first within groups of blocks. (3) Buckets hold
-whole subtrees below two bytes of context; their sums build the two upper levels, at most 65,280 nodes, on
-the driver. (4) Each bucket walks its trees down and gives every string its log10 probability. (5) These go
-back to the blocks that asked, and (6) each block scores its documents. Nothing that grows with the corpus
-is broadcast or collected. A bucket task holds the distinct strings of its bucket.
+however long its texts. (2) The lists of a bucket are summed up a tree of groups, at most some 64 lists a
+task. From the first sums on, a bucket is split into cells, as many as its entries need: strings by their
+third context byte, so that a cell holds whole subtrees below three bytes of context, and words by hash.
+(3) The nodes under two bytes of context are summed over the cells as rows; the levels above, at most
+65,280 nodes, on the driver. (4) Each cell walks its trees down and gives every string its log10 probability.
+(5) These go down the same tree: every group gets the entries it asked for and no others. (6) Each block
+scores its documents. Nothing that grows with the corpus is broadcast or collected, and no task holds more
+than its group's lists or its cell's strings.
 
 Defined cases: null text is empty text (one token: its end); rows with a null id are scored and not learned
 from; without training rows all bits have probability 1/2 and all words count zero; repeated rows are
@@ -36,13 +39,15 @@ from pyspark.sql import functions as F
 from .common import LOWER_AZ, staged
 
 DEPTH = 5                     # bytes of context; at most 6, so that a string fits a long
-BUCKETS = 256                 # of contexts, and of words
+BUCKETS = 256                 # of contexts, and of words, in a block's lists
+CELL_ENTRIES = 4 << 20        # entries of a cell, as summed so far
 BLOCK_BYTES = 32 << 20        # text of a block
 CHUNK_BYTES = 4 << 20         # text turned to arrays at once
-GROUP_BLOCKS = 64             # blocks whose lists of a bucket meet in one task
+GROUP_LISTS = 64              # lists of a bucket, or of a cell, that meet in one task
 EDGE = 0xFF
 GRAM, WORD = 0, 1
 PACKED = "kind int, bucket int, block bigint, data binary"
+SUMMED = "known bigint, total bigint, entries bigint, data binary"
 
 
 # ---------------------------------------------------------------- packed lists ---
@@ -160,6 +165,18 @@ def context_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (((keys >> 8) & 0xFFFF) * 40503 >> 4) % buckets
 
 
+def node_bucket(node: Column, buckets: int) -> Column:
+    """The same of a node under two context bytes, as a column."""
+    return (F.shiftright(F.shiftright(node, 8) * 40503, 4) % buckets).cast("int")
+
+
+def cells_of(kind: int, keys, cells: int) -> np.ndarray:
+    """Cell of each entry inside its bucket: strings by their third context byte, words by hash."""
+    if kind == GRAM:
+        return ((keys >> 24) & 0xFF) % cells
+    return np.fromiter(((xxhash.xxh3_64_intdigest(w) >> 32) % cells for w in keys), np.int64, len(keys))
+
+
 def _pieces(texts: list[bytes], flags):
     out, own, size = [], [], 0
     for t, f in zip(texts, flags):
@@ -229,10 +246,14 @@ def _lists(depth: int, buckets: int):
     return run
 
 
+def _take(keys, at: np.ndarray):
+    return [keys[i] for i in at.tolist()] if isinstance(keys, list) else keys[at]
+
+
 def _summed(key, table):
-    kind, bucket = key[0].as_py(), key[1].as_py()
+    """The lists of one group of a bucket or cell, as one list under the group's key."""
     lists = [unpack(d) for d in table["data"].to_pylist()]
-    if kind == GRAM:
+    if key[0].as_py() == GRAM:
         keys, n = sum_strings(np.concatenate([k for k, _ in lists]), np.concatenate([v for _, v in lists]))
     else:
         total = Counter()
@@ -240,9 +261,29 @@ def _summed(key, table):
             total.update(dict(zip(words, v.tolist())))
         keys = sorted(total)
         n = np.fromiter(map(total.__getitem__, keys), np.int64, len(keys))
-    return pa.table({"kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-                     "known": pa.array([int((n > 0).sum())], pa.int64()),
-                     "total": pa.array([int(n.sum())], pa.int64()), "data": pa.array([pack(keys, n)], pa.binary())})
+    ids = {c: pa.array([k.as_py()], pa.int32()) for c, k in zip(("kind", "bucket", *(["cell"] * (len(key) > 3)), "node"), key)}
+    return pa.table(ids | {"known": pa.array([int((n > 0).sum())], pa.int64()), "total": pa.array([int(n.sum())], pa.int64()),
+                           "entries": pa.array([len(n)], pa.int64()), "data": pa.array([pack(keys, n)], pa.binary())})
+
+
+def _cells(cells: dict[int, int]):
+    """Lists of a bucket -> the lists of its cells."""
+    def run(batches):
+        for b in batches:
+            kinds, data = b.column("kind").to_pylist(), b.column("data").to_pylist()
+            for k, (kind, d) in enumerate(zip(kinds, data)):
+                keys, n = unpack(d)
+                own = cells_of(kind, keys, cells[kind])
+                for c in np.unique(own).tolist():
+                    at = np.flatnonzero(own == c)
+                    v = n[at]
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("kind").slice(k, 1), b.column("bucket").slice(k, 1), pa.array([c], pa.int32()),
+                         b.column("node").slice(k, 1), pa.array([int((v > 0).sum())], pa.int64()), pa.array([int(v.sum())], pa.int64()),
+                         pa.array([len(v)], pa.int64()), pa.array([pack(_take(keys, at), v)], pa.binary())],
+                        ["kind", "bucket", "cell", "node", "known", "total", "entries", "data"])
+
+    return run
 
 
 # ------------------------------------------------------------------- the trees ---
@@ -306,17 +347,57 @@ def mix(level: dict, known: np.ndarray, rest: np.ndarray, last: bool) -> tuple[n
     return known + rest * share * one, rest * (1 - share)
 
 
-def _upper_sums(depth: int):
-    """Bucket -> counts and summed log probabilities of the nodes under one context byte."""
+NODES = "node bigint, n0 bigint, n1 bigint, longer double"
+
+
+def _node_rows(key, n0, n1, longer) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n0.astype(np.int64)), pa.array(n1.astype(np.int64)),
+                                       pa.array(longer.astype(np.float64))], ["node", "n0", "n1", "longer"])
+
+
+def _two_sums(depth: int):
+    """Cell -> counts and summed log probabilities of the nodes under two context bytes (0: no longer ones)."""
     def run(batches):
         for b in batches:
             for data in b.column("data").to_pylist():
-                two = grow(*unpack(data), depth, 2)[2]
-                key, place = np.unique(two["key"] & 0xFFFF, return_inverse=True)   # last byte, bits so far
-                n0, n1, longer = (np.bincount(place, two[c], len(key)) for c in ("n0", "n1", "pw"))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array(n0.astype(np.int64)), pa.array(n1.astype(np.int64)),
-                     pa.array(longer.astype(np.float64))], ["node", "n0", "n1", "longer"])
+                top = min(depth, 3)
+                low = grow(*unpack(data), depth, top)[top]
+                if depth == 2:
+                    yield _node_rows(low["key"], low["n0"], low["n1"], np.zeros(len(low["key"])))
+                    continue
+                key, place = np.unique(low["key"] & 0xFFFFFF, return_inverse=True)   # last two bytes, bits so far
+                yield _node_rows(key, *(np.bincount(place, low[c], len(key)) for c in ("n0", "n1", "pw")))
+
+    return run
+
+
+def _two_level(nodes: pa.RecordBatch, depth: int) -> tuple[np.ndarray, dict]:
+    """Nodes under two context bytes: their keys, and what ``mix`` takes."""
+    key, n0, n1, longer = (nodes.column(c).to_numpy(zero_copy_only=False) for c in ("node", "n0", "n1", "longer"))
+    kt = log_kt(n0, n1)
+    return key, {"n0": n0, "n1": n1, "kt": kt, "pw": kt if depth == 2 else math.log(0.5) + np.logaddexp(kt, longer)}
+
+
+def _one_sums(depth: int):
+    """Nodes under two context bytes -> partial sums of those under one."""
+    def run(batches):
+        for b in batches:
+            key, two = _two_level(b, depth)
+            one, place = np.unique(key & 0xFFFF, return_inverse=True)
+            yield _node_rows(one, *(np.bincount(place, two[c], len(one)) for c in ("n0", "n1", "pw")))
+
+    return run
+
+
+def _two_shares(depth: int, upper):
+    """Nodes under two context bytes -> what these settle and leave to longer contexts."""
+    def run(batches):
+        known, rest, _ = upper.value
+        for b in batches:
+            key, two = _two_level(b, depth)
+            k, r = mix(two, known[key & 0xFFFF], rest[key & 0xFFFF], depth == 2)
+            yield pa.RecordBatch.from_arrays([b.column("bucket"), b.column("node"), pa.array(k), pa.array(r)],
+                                             ["bucket", "node", "settled", "left"])
 
     return run
 
@@ -344,22 +425,26 @@ def upper_levels(sums: list[tuple[int, int, int, float]]) -> tuple[np.ndarray, n
     return known, rest, p
 
 
-def log_probabilities(keys: np.ndarray, n: np.ndarray, depth: int, upper) -> np.ndarray:
+def log_probabilities(keys: np.ndarray, n: np.ndarray, depth: int, one: np.ndarray, two: tuple) -> np.ndarray:
     """log10 probability of each string's byte after its context. Each bit is predicted by the deepest
-    node of its context that training reached."""
-    known, rest, p1 = upper
-    levels = grow(keys, n, depth, 2)
-    two = levels[2]["key"] & 0xFFFF
-    k, r = mix(levels[2], known[two], rest[two], depth == 2)
-    levels[2]["p"] = k + r / 2
+    node of its context that training reached. ``one``: probabilities if this is under one context byte at
+    most; ``two``: nodes under two context bytes in order, and their settled and left shares."""
+    node2, settled, left = two
+    levels = {2: {"key": node2, "p": settled + left / 2}}
+    if depth > 2:
+        levels |= grow(keys, n, depth, 3)
     for d in range(3, depth + 1):
-        up = levels[d]["up"]
+        if d == 3:
+            up = np.searchsorted(node2, levels[3]["key"] & 0xFFFFFF)
+            k, r = settled, left
+        else:
+            up = levels[d]["up"]
         k, r = mix(levels[d], k[up], r[up], d == depth)
         levels[d]["p"] = k + r / 2
     out = np.zeros(len(keys))
     for so_far, bit in decisions(keys & 0xFF):
         node = keys >> 8 << 8 | so_far
-        p = p1[node & 0xFFFF]
+        p = one[node & 0xFFFF]
         for d in range(2, depth + 1):
             have = levels[d]["key"]
             if not len(have):
@@ -372,36 +457,46 @@ def log_probabilities(keys: np.ndarray, n: np.ndarray, depth: int, upper) -> np.
 
 
 def _values(depth: int, upper):
-    """Summed lists -> value of each entry: strings their log10 probability, words their count."""
-    def run(batches):
-        for b in batches:
-            kinds, data = b.column("kind").to_pylist(), b.column("data").to_pylist()
-            for k, (kind, d) in enumerate(zip(kinds, data)):
-                if kind == GRAM:
-                    keys, n = unpack(d)
-                    d = pack(keys, log_probabilities(keys, n, depth, upper.value).astype(np.float32))
-                yield pa.RecordBatch.from_arrays([b.column("kind").slice(k, 1), b.column("bucket").slice(k, 1),
-                                                  pa.array([d], pa.binary())], ["kind", "bucket", "data"])
+    """A cell's summed list and its nodes under two context bytes -> value of each entry: strings their
+    log10 probability, words their count."""
+    def run(key, cell, two):
+        out = cell["data"]
+        if cell.num_rows and key[0].as_py() == GRAM:
+            node, settled, left = (two[c].to_numpy() for c in ("node", "settled", "left"))
+            order = np.argsort(node)
+            keys, n = unpack(cell["data"][0].as_py())
+            lp = log_probabilities(keys, n, depth, upper.value[2], (node[order], settled[order], left[order]))
+            out = pa.array([pack(keys, lp.astype(np.float32))], pa.binary())
+        ids = (pa.array([k.as_py()] * cell.num_rows, pa.int32()) for k in key)
+        return pa.table(dict(zip(("kind", "bucket", "cell"), ids)) | {"node": cell["node"].cast(pa.int32()), "data": out.cast(pa.binary())})
 
     return run
 
 
-def _answers(key, asked, values):
-    """Each block's list of a bucket with the values looked up."""
-    out = []
-    if asked.num_rows:
-        have, value = unpack(values["data"][0].as_py())
-        if key[0].as_py() == WORD:
-            value_of = dict(zip(have, value.tolist()))
-        for d in asked["data"].to_pylist():
-            keys, _ = unpack(d)
-            if key[0].as_py() == GRAM:
-                v = value[np.searchsorted(have, keys)]
+def _answers(own: tuple[str, ...], node_type: pa.DataType):
+    """The lists of a group's members with the values looked up in the group's list (all its cells)."""
+    def run(key, asked, values):
+        out = []
+        if asked.num_rows:
+            have, value = zip(*map(unpack, values["data"].to_pylist()))
+            if key[0].as_py() == WORD:
+                value_of = {w: c for ws, v in zip(have, value) for w, c in zip(ws, v.tolist())}
             else:
-                v = np.fromiter(map(value_of.__getitem__, keys), np.int64, len(keys))
-            out.append(pack(keys, v))
-    return pa.table({"kind": asked["kind"].cast(pa.int32()), "bucket": asked["bucket"].cast(pa.int32()),
-                     "block": asked["block"].cast(pa.int64()), "data": pa.array(out, pa.binary())})
+                have, value = np.concatenate(have), np.concatenate(value)
+                if values.num_rows > 1:
+                    order = np.argsort(have, kind="stable")
+                    have, value = have[order], value[order]
+            for d in asked["data"].to_pylist():
+                keys, _ = unpack(d)
+                if key[0].as_py() == GRAM:
+                    v = value[np.searchsorted(have, keys)]
+                else:
+                    v = np.fromiter(map(value_of.__getitem__, keys), np.int64, len(keys))
+                out.append(pack(keys, v))
+        ids = {c: asked[c].cast(node_type if c == own[-1] else pa.int32()) for c in own}
+        return pa.table(ids | {"data": pa.array(out, pa.binary())})
+
+    return run
 
 
 def _score(depth: int, n_total: int, n_distinct: int, ends: int):
@@ -441,9 +536,10 @@ def _score(depth: int, n_total: int, n_distinct: int, ends: int):
 
 
 def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-                    buckets: int = BUCKETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    buckets: int = BUCKETS, block_bytes: int = BLOCK_BYTES, group_lists: int = GROUP_LISTS,
+                    cell_entries: int = CELL_ENTRIES) -> DataFrame:
     """``id_col``, train, n_tokens, n_known, train_tokens, base_score and score of every document, learned
-    from the documents where ``train`` holds."""
+    from the documents where ``train`` holds. The last four parameters place the work; results do not depend on them."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
@@ -454,22 +550,41 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     texts = staged(plain.withColumn("block", block).sortWithinPartitions("block"), "ctw-texts", compression="zstd")
     lists = staged(texts.select("block", "train", "text").mapInArrow(_lists(depth, buckets), PACKED), "ctw-lists")
     size = lists.agg(F.count_distinct("block")).first()[0]
-    groups = max(1, -(-size // GROUP_BLOCKS))
-    salted = lists.withColumn("salt", F.pmod("block", F.lit(groups)).cast("int"))
-    summed_schema = "kind int, bucket int, known bigint, total bigint, data binary"
-    once = salted.groupBy("kind", "bucket", "salt").applyInArrow(_summed, summed_schema)
-    summed = staged(once.groupBy("kind", "bucket").applyInArrow(_summed, summed_schema), "ctw-summed")
+    nodes = max(1, -(-size // group_lists))
+    asked = lists.withColumn("parent", F.pmod(F.xxhash64("block"), F.lit(nodes)).cast("int"))
+    once = staged(asked.groupBy("kind", "bucket", "parent").applyInArrow(_summed, f"kind int, bucket int, node int, {SUMMED}"), "ctw-sums")
+    cells = {GRAM: 1, WORD: 1}
+    for r in once.groupBy("kind", "bucket").agg(F.sum("entries").alias("n")).groupBy("kind").agg(F.max("n").alias("n")).collect():
+        cells[r.kind] = max(1, -(-r.n // cell_entries))
+    cells[GRAM] = min(cells[GRAM], 256) if depth > 2 else 1
+    celled = "kind int, bucket int, cell int, node int, "
+    tree = [staged(once.mapInArrow(_cells(cells), celled + SUMMED), "ctw-cells")]     # sums of ever larger groups
+    up = []
+    while nodes > 1:
+        nodes = -(-nodes // group_lists)
+        up.append(nodes)
+        members = tree[-1].withColumn("parent", F.pmod("node", F.lit(nodes)))
+        tree.append(staged(members.groupBy("kind", "bucket", "cell", "parent").applyInArrow(_summed, celled + SUMMED), "ctw-sums"))
+    root = tree[-1]
     ends = texts.agg(F.count_if("train")).first()[0]
-    known = summed.where(F.col("kind") == WORD).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    known = root.where(F.col("kind") == WORD).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     n_total, n_distinct = known[0] + ends, known[1] + (ends > 0)
-    sums = (summed.where(F.col("kind") == GRAM).select("data")
-                  .mapInArrow(_upper_sums(depth), "node bigint, n0 bigint, n1 bigint, longer double")
-                  .groupBy("node").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("longer").alias("longer")))
-    upper = spark.sparkContext.broadcast(upper_levels([tuple(r) for r in sums.toLocalIterator()]))
-    values = summed.select("kind", "bucket", "data").mapInArrow(_values(depth, upper), "kind int, bucket int, data binary")
-    spread = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    keys = ["kind", "bucket", "salt"]
-    answers = salted.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(_answers, PACKED)
+    sums = [F.sum(c).alias(c) for c in ("n0", "n1", "longer")]
+    two = staged(root.where(F.col("kind") == GRAM).select("data").mapInArrow(_two_sums(depth), NODES).groupBy("node").agg(*sums)
+                     .withColumn("bucket", node_bucket(F.col("node"), buckets)), "ctw-two")
+    one = two.select("node", "n0", "n1", "longer").mapInArrow(_one_sums(depth), NODES).groupBy("node").agg(*sums)
+    upper = spark.sparkContext.broadcast(upper_levels([tuple(r) for r in one.toLocalIterator()]))
+    shares = (two.mapInArrow(_two_shares(depth, upper), "bucket int, node bigint, settled double, left double")
+                 .withColumn("kind", F.lit(GRAM)).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells[GRAM] - 1)))))
+    keys = ["kind", "bucket", "cell"]
+    values = root.select(*keys, "node", "data").groupBy(*keys).cogroup(shares.groupBy(*keys)).applyInArrow(_values(depth, upper), celled + "data binary")
+    for below, nodes in zip(reversed(tree[:-1]), reversed(up)):
+        members = below.select(*keys, "node", "data", F.pmod("node", F.lit(nodes)).alias("parent"))
+        values = (members.groupBy(*keys, "parent").cogroup(values.groupBy(*keys, "node"))
+                         .applyInArrow(_answers((*keys, "node"), pa.int32()), celled + "data binary"))
+    by = ["kind", "bucket"]
+    answers = (asked.groupBy(*by, "parent").cogroup(values.groupBy(*by, "node"))
+                    .applyInArrow(_answers((*by, "block"), pa.int64()), PACKED))
     out = f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     run = _score(depth, n_total, n_distinct, ends)
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, out)

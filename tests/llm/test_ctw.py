@@ -79,7 +79,9 @@ def sample(seed, n=40):
     return [(i, "".join(rng.choices(syl, k=rng.randint(0, 25)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("depth, kw", [(2, {}), (5, {"buckets": 3}), (3, {"block_bytes": 64})])
+@pytest.mark.parametrize("depth, kw", [
+    (2, {}), (5, {"buckets": 3}), (3, {"block_bytes": 64}), (2, {"cell_entries": 5, "block_bytes": 64, "group_lists": 2}),
+    (4, {"cell_entries": 5, "buckets": 3}), (5, {"cell_entries": 20, "block_bytes": 16, "group_lists": 2, "buckets": 5})])
 def test_scores_equal_the_definition(spark, depth, kw):
     rows = sample(depth) + [(100, None), (101, ""), (3, "ba ba"), (102, "ÿ\x00 never seen"), (None, "ba Do"), (103, "zu " * 2000)]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, block string, train int")
@@ -108,6 +110,28 @@ def test_nothing_to_learn(spark):
     assert W.score_documents(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_cells_split_hot_context():
+    """All strings of one bucket: cells by the third byte hold whole subtrees, words go by hash."""
+    third = np.arange(256, dtype=np.int64)
+    keys = (third << 24) | (0x6162 << 8) | 0x63
+    assert len(set(W.context_bucket(keys, 256).tolist())) == 1
+    assert (W.cells_of(W.GRAM, keys, 256) == third).all()
+    words = [b"w%d" % i for i in range(1000)]
+    assert np.bincount(W.cells_of(W.WORD, words, 4)).min() > 150
+
+
+def test_many_lists_meet_in_small_groups(spark, tmp_path, monkeypatch):
+    """No group sums more lists than its size asks for, and a group is sent what it asked for: no explode of the model."""
+    plans = []
+    kept = W.staged
+    monkeypatch.setattr(W, "staged", lambda df, name, **kw: plans.append(name) or kept(df, name, **kw))
+    df = spark.range(64, numPartitions=16).selectExpr("id as doc_id", "concat('ba zu ', id) as text")
+    out = W.score_documents(df, F.lit(True), group_lists=4)
+    assert plans.count("ctw-sums") == 2 and plans.count("ctw-cells") == 1
+    assert len({r.train_tokens for r in out.collect()}) == 1
+    assert out.count() == 64
+
+
 def test_hash_table_finds_every_key():
     keys = np.unique(np.random.default_rng(1).integers(0, 2 ** 48, 5000))
     t = W.HashTable(keys)
