@@ -119,22 +119,75 @@ def read_text_files(spark: SparkSession, path: str, glob: str | None = None) ->
     return b.select("path", decode_text("content").alias("text"), decoded_with("content").alias("encoding"))
 
 
+# byte between the pieces in which a file of an extension is checked; it is part of no other character. Markup has
+# it often even where it has no line ends.
+_PIECE_ENDS = {".xml": ">", ".html": ">"}
+_LINE_END = "\n"
+
+
+def _glob_of(endings) -> str:
+    """File-name pattern of some extensions, in any case."""
+    return "*.{%s}" % ",".join("".join(f"[{c.lower()}{c.upper()}]" for c in e.lstrip(".")) for e in endings)
+
+
+def _is_magic(head_hex):
+    return head_hex.startswith(MAGIC_GZIP) | head_hex.startswith(MAGIC_PDF) | head_hex.startswith(MAGIC_MARKUP)
+
+
+def _not_text(value):
+    return ~F.is_valid_utf8(value) | (F.instr(value, "\u0000") > 0)
+
+
+def _checked_in_pieces(spark: SparkSession, path: str, endings, piece_end: str, max_bytes: int) -> DataFrame:
+    """(_file, magic, bad, bytes) of the files with these extensions: whether the first bytes are a known
+    type's, whether a piece is no text, and the bytes seen. Large files are split over tasks and none is held.
+
+    The reader drops a byte order mark; it shows as bytes that are missing, and means that the file's first bytes
+    are no known type's."""
+    pieces = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _glob_of(endings)).option("lineSep", piece_end)
+                   .text(path).where(F.col("_metadata.file_size") <= max_bytes)
+                   .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("at"),
+                           F.col("_metadata.file_size").alias("size"), F.monotonically_increasing_id().alias("n"), "value"))
+    magic = _is_magic(F.hex(F.substring(F.col("value").cast("binary"), 1, 4))).cast("int")
+    first = F.when(F.col("at") == 0, F.col("n"))
+    facts = pieces.select("_file", "size", first.alias("first"), magic.alias("magic"), _not_text(F.col("value")).cast("int").alias("bad"),
+                          (F.octet_length("value") + 1).cast("bigint").alias("bytes"))
+    seen = facts.groupBy("_file").agg(F.min_by("magic", "first").alias("magic"), F.max("bad").alias("bad"),
+                                      (F.max("size") - F.sum("bytes") + 1).alias("missing"))     # 0, 1 with an end behind the last
+    return seen.select("_file", ((F.col("missing") < 2) & (F.col("magic") == 1)).alias("magic"), (F.col("bad") == 1).alias("bad"))
+
+
 def audit_files(spark: SparkSession, path: str, max_bytes: int = MAX_INPUT_BYTES,
                 allowed=ALLOWED_EXTENSIONS) -> DataFrame:
-    """Input validation (V1): path, length, ext, accepted, reason — checks in the order size,
-    extension, type. Oversize files and files of other extensions are judged from the listing alone: the
-    length and name filters are applied to the listing, so their content is never read."""
+    """Input validation (V1): path, length, ext, accepted, reason — checks in the order size, extension, type.
+
+    Oversize files and files of other extensions are judged from the listing alone. The others are read in
+    pieces that end at a line or tag end: a file is UTF-8 if all its pieces are, as an ASCII byte is part of no
+    longer character. Only ``.gz`` files, which the line reader would unpack, are loaded one at a time. Spark
+    lists no empty files: they have no row."""
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
     src = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    listing = src.load(path).select("path", "length", ext.alias("ext"))
+    listing = src.load(path).select("path", "length", ext.alias("ext"), F.col("_metadata.file_path").alias("_file"))
     by_name = F.when(F.col("length") > max_bytes, F.lit("size")).when(~F.col("ext").isin(*allowed), F.lit("extension"))
     refused = listing.select("path", "length", "ext", by_name.alias("reason")).where(F.col("reason").isNotNull())
-    endings = "".join(f"{e.lstrip('.')},".replace(e.lstrip("."), "".join(f"[{c.lower()}{c.upper()}]" for c in e.lstrip(".")))
-                      for e in allowed).rstrip(",")
-    small = src.option("pathGlobFilter", f"*.{{{endings}}}").load(path).where(F.col("length") <= max_bytes)
-    head = F.hex(F.substring("content", 1, 4))
-    as_text = F.col("content").cast("string")  # a view of the bytes, not a copy
-    text_like = F.is_valid_utf8(as_text) & (F.instr(as_text, "\u0000") == 0)
-    typ_ok = (head.startswith(MAGIC_GZIP) | head.startswith(MAGIC_PDF) | head.startswith(MAGIC_MARKUP) | text_like)
-    judged = small.select("path", "length", ext.alias("ext"), F.when(typ_ok, F.lit("ok")).otherwise(F.lit("type")).alias("reason"))
-    return refused.unionByName(judged).select("path", "length", "ext", (F.col("reason") == "ok").alias("accepted"), "reason")
+
+    def judged(files: DataFrame, ok) -> DataFrame:
+        return files.select("path", "length", "ext", F.when(ok, F.lit("ok")).otherwise(F.lit("type")).alias("reason"))
+
+    out = [refused]
+    packed = [e for e in allowed if e == ".gz"]
+    if packed:
+        small = src.option("pathGlobFilter", _glob_of(packed)).load(path).where(F.col("length") <= max_bytes)
+        as_text = F.col("content").cast("string")  # a view of the bytes, not a copy
+        out.append(judged(small.withColumn("ext", ext), _is_magic(F.hex(F.substring("content", 1, 4))) | ~_not_text(as_text)))
+    plain = [e for e in allowed if e not in packed]
+    groups = {}
+    for e in plain:
+        groups.setdefault(_PIECE_ENDS.get(e, _LINE_END), []).append(e)
+    seen = [_checked_in_pieces(spark, path, endings, end, max_bytes) for end, endings in groups.items()]
+    if seen:
+        wanted = listing.where(F.col("ext").isin(*plain) & (F.col("length") <= max_bytes))
+        checked = wanted.join(reduce(DataFrame.unionByName, seen), "_file", "left")
+        out.append(judged(checked, F.coalesce(F.col("magic"), F.lit(False)) | ~F.coalesce(F.col("bad"), F.lit(False))))
+    return (reduce(DataFrame.unionByName, out)
+            .select("path", "length", "ext", (F.col("reason") == "ok").alias("accepted"), "reason"))

@@ -2,6 +2,7 @@
 
 import gzip
 import os
+import random
 import tempfile
 
 from accmine.sources.corpus import audit_files, read_findings_csv, read_text_files
@@ -38,6 +39,46 @@ def test_audit_order_of_checks(spark):
                    "big.txt": (False, "size"), "tab.txt": (True, "ok")}
 
 
+def _type_ok(data: bytes) -> bool:
+    if data[:2] == b"\x1f\x8b" or data[:4] == b"%PDF" or data[:1] == b"<":
+        return True
+    try:
+        return "\0" not in data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+
+
+def test_audit_in_pieces_equals_whole_files(spark, tmp_path):
+    """Verdicts of files read in pieces, some over several splits, against a check of the whole bytes."""
+    rng = random.Random(11)
+    bits = [b"\n", b">", b"<", b"\r\n", "é€😀".encode(), b"a" * 40, b"\xff", b"\x00", b"%PDF", b"\x1f\x8b", b" "]
+    likely = [8, 8, 2, 4, 8, 8, 0.3, 0.3, 1, 1, 8]
+    heads = [b"", b"\xef\xbb\xbf", b"\xef\xbb\xbf<", b"<", b"%PDF", b"%PD", b"\n<", b">", b"\x1f\x8b", b"\xef\xbb\xbf%PDF", b"\xef\xbb"]
+    want = {}
+    for k in range(120):
+        name = f"f {k}%20.{rng.choice(['xml', 'TXT', 'html', 'pdf'])}"
+        data = rng.choice(heads) + b"".join(rng.choices(bits, likely, k=rng.choice([0, 1, 5, 60])))
+        (tmp_path / name).write_bytes(data)
+        if data:                              # Spark lists no empty files
+            want[name] = (len(data), _type_ok(data))
+    assert 10 < sum(ok for _, ok in want.values()) < 110
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        rows = audit_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == len(want)
+    assert {os.path.basename(r.path): (r.length, r.accepted) for r in rows} == want
+
+
+def test_audit_loads_content_of_packed_files_only(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes(b"<a/>")
+    assert audit_files(spark, str(tmp_path), allowed=(".xml",)).collect()[0].accepted
+    plan = audit_files(spark, str(tmp_path), allowed=(".xml", ".txt"))._jdf.queryExecution().executedPlan().toString()
+    assert "content:binary" not in plan
+
+
 def test_findings_csv_glob_and_batch_name(spark):
     d = tempfile.mkdtemp(prefix="accmine-csv-")
     for name, rows in {"results.csv.PMC1_PMC9.xml.gz.csv": ["pmc:PMC1,syn1234567,\"a, b\""],
