@@ -210,8 +210,11 @@ def block_lists(texts: list[bytes], train: list[bool], depth: int):
 
 def _list_rows(block: int, keys: np.ndarray, n: np.ndarray, words: Counter, buckets: int):
     b = context_bucket(keys, buckets)
-    for k in np.unique(b):
-        yield GRAM, int(k), block, pack(keys[b == k], n[b == k])
+    order = np.argsort(b.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+    edges = np.searchsorted(b[order], np.arange(buckets + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        at = order[edges[k]:edges[k + 1]]
+        yield GRAM, k, block, pack(keys[at], n[at])
     own = [[] for _ in range(buckets)]
     for w in words:
         own[xxhash.xxh3_64_intdigest(w) % buckets].append(w)
@@ -505,16 +508,19 @@ def _score(depth: int, n_total: int, n_distinct: int, ends: int):
     def value(c):
         return math.log10((c + 1) / z)
 
+    unseen = value(0)                                    # of no seen word
+
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        keys, lp, logs, new = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], {}, set()
+        keys, lp, logs = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)], {}
         for kind, d in zip(answers["kind"].to_pylist(), answers["data"].to_pylist()):
             k, v = unpack(d)
             if kind == GRAM:
                 keys.append(k)
                 lp.append(v)
             else:
-                logs.update(zip(k, map(value, v.tolist())))
-                new.update(w for w, c in zip(k, v.tolist()) if not c)
+                counts, which = np.unique(v, return_inverse=True)
+                of_count = list(map(value, counts.tolist()))
+                logs.update(zip(k, map(of_count.__getitem__, which.tolist())))
         keys, first = np.unique(np.concatenate(keys), return_index=True)
         lp = np.concatenate(lp)[first].astype(np.float64)
         place = HashTable(keys).find
@@ -524,10 +530,10 @@ def _score(depth: int, n_total: int, n_distinct: int, ends: int):
             strings, size = grams(piece, depth)
             score.append(np.add.reduceat(lp[place(strings)], np.concatenate(([0], np.cumsum(size)[:-1]))))
             for d in piece:
-                words = d.split()
-                n_tokens.append(len(words) + 1)
-                n_known.append(len(words) - sum(map(new.__contains__, words)) + (ends > 0))
-                base.append(math.fsum(map(logs.__getitem__, words)) + value(ends))
+                values = list(map(logs.__getitem__, d.split()))
+                n_tokens.append(len(values) + 1)
+                n_known.append(len(values) - values.count(unseen) + (ends > 0))
+                base.append(math.fsum(values) + value(ends))
         return pa.table({"id": docs["id"], "train": docs["train"], "n_tokens": pa.array(n_tokens, pa.int64()),
                          "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()),
                          "score": pa.array(np.concatenate(score), pa.float64())})
