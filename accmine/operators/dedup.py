@@ -15,7 +15,7 @@ from .incremental import batch_order
 def distinct_links(results: DataFrame) -> DataFrame:
     """Distinct (article, id) pairs for the link feed (A2, F3). Rows lacking either key are
     skipped *before* the ``pmc:`` prefix is stripped, as the feed writer does."""
-    ok = F.col("pmcid").isNotNull() & (F.col("pmcid") != "") & F.col("synid").isNotNull() & (F.col("synid") != "")
+    ok = (F.col("pmcid") != "") & (F.col("synid") != "")       # null is not kept
     return results.where(ok).select(strip_curie("pmcid").alias("pmcid"), "synid").distinct()
 
 

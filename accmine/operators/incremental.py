@@ -59,14 +59,14 @@ def first_batch_wins(batches: DataFrame, results, batch_col: str = "source_file"
 
     An article in several batches keeps only the rows of its first batch (file-name order), and none at all
     if it was stored before (``results``: see ``new_rows``). The first batch of each article is a partial
-    aggregate; less the stored articles it is staged, and the join that keeps its rows, of the batches as they
-    are read and this table, splits hot articles."""
+    aggregate, staged once for the lookup and the rest; less the stored articles it is staged again, and the join
+    that keeps its rows, of the batches as they are read and this table, splits hot articles."""
     order = batch_order(batches, batch_col)
     numbered = batches.join(order, F.col(batch_col).eqNullSafe(F.col("batch"))).drop("batch")
-    first = numbered.groupBy("pmcid").agg(F.min("ordinal").alias("first"))
+    first = _staged(numbered.groupBy("pmcid").agg(F.min("ordinal").alias("first")), "first-batches")
     if check_duplicates:
-        first = _without(first, _stored(results, first.select("pmcid")))
-    first = _staged(first.withColumnRenamed("pmcid", "_id"), "first-batches")
+        first = _staged(_without(first, _stored(results, first.select("pmcid"))), "new-articles")
+    first = first.withColumnRenamed("pmcid", "_id")
     # ``<=`` against the minimum means ``==`` without becoming a second join key
     return (numbered.join(first, F.col("pmcid").eqNullSafe(F.col("_id"))).where(F.col("ordinal") <= F.col("first"))
             .select(*batches.columns))

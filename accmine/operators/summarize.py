@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fixed import ARTICLE_CURIE_PREFIX
 from ..functions.text import strip_curie
 from ..session import scratch_path
 from ..sinks.tables import stage
@@ -13,9 +14,9 @@ from ..sinks.tables import stage
 def citation_pairs(results: DataFrame) -> DataFrame:
     """Distinct (synid, pmcid) with the ``pmc:`` prefix stripped first and empty keys skipped.
     Citations stay as rows (never one array per id), so a heavily cited id cannot overload a task."""
-    s = results.select("synid", strip_curie("pmcid").alias("pmcid"))
-    ok = F.col("synid").isNotNull() & (F.col("synid") != "") & F.col("pmcid").isNotNull() & (F.col("pmcid") != "")
-    return s.where(ok).distinct()
+    # asked of the stored id, not of the stripped one: a filter on that would repeat its expression (null: not kept)
+    ok = (F.col("synid") != "") & (F.col("pmcid") != "") & (F.col("pmcid") != ARTICLE_CURIE_PREFIX)
+    return results.where(ok).select("synid", strip_curie("pmcid").alias("pmcid")).distinct()
 
 
 def citations_by_id(results: DataFrame) -> DataFrame:

@@ -354,9 +354,10 @@ def cited_pairs(spark, d) -> DataFrame:
     return summarize.citation_pairs(fx.findings_v(spark, d))
 
 
-def refreshed_cache(spark, d, refresh=False) -> DataFrame:
+def refreshed_cache(spark, d, refresh=False, pairs=None) -> DataFrame:
     p = portals(spark, d)
-    return enrich.refresh_cache(cited_pairs(spark, d), old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG, refresh)
+    pairs = cited_pairs(spark, d) if pairs is None else pairs
+    return enrich.refresh_cache(pairs, old_cache(spark, d, p), fx.entity_v(spark, d), p, CFG, refresh)
 
 
 @query("cache_miss")
@@ -462,7 +463,7 @@ def q_input_audit(spark, d):
 def written_feed(spark, d, partitions=None) -> str:
     pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
     # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
-    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
+    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d, pairs=pairs), CFG), scratch_path(spark, "entries"))
     path = scratch_path(spark, "search-feed")
     lines = feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01")
     feeds.write_search_feed(lines, path, partitions, staging=scratch_path(spark, "feed-lines"))
@@ -488,7 +489,7 @@ def q_search_feed_order(spark, d):
 def q_feed_check(spark, d):
     """The whole-document check on a feed of several shards, as written and with three kinds of damage."""
     pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
-    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d), CFG), scratch_path(spark, "entries"))
+    entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d, pairs=pairs), CFG), scratch_path(spark, "entries"))
     lines = stage(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01"), scratch_path(spark, "feed-lines"))
     count = F.when(F.col("line").contains("<entry_count>"), F.lit("  <entry_count>0</entry_count>")).otherwise(F.col("line"))
     made = {"whole": lines, "open entry": lines.where("line <> '      </cross_references>'"), "miscounted": lines.withColumn("line", count),

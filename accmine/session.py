@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # articles are large: keep Arrow batches to the UDF small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # the JVM never compiles a method above 8,000 bytes of bytecode: a stage whose generated method is larger
+    # would be interpreted, so it runs operator by operator instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

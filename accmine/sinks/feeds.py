@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -176,6 +176,7 @@ def search_feed_lines(entries: DataFrame, pairs: DataFrame, name: str, descripti
 
 LAST_KEY = "\uffff"  # sorts after every entry id
 SHARD_BYTES = 128 << 20
+IDLE_SHARD_BYTES = 4 << 20    # shards are made as small as this while the cluster has cores without one
 
 
 def _esc(s: str) -> str:
@@ -187,16 +188,23 @@ def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None
     """Range-partition the lines by (entry, kind, article) and sort inside each shard: the shards
     in file-name order, concatenated, are the whole document. Each shard is written by its own
     task; a long entry may continue in the next shard. ``partitions`` defaults to one shard for each
-    ``shard_bytes`` of text.
+    ``shard_bytes`` of text, and for a short text to a shard for each core that gets some megabytes.
 
     Range partitioning samples its input in a separate job. With ``staging`` (a folder in shared
     storage) the lines are written there once and the sample and the write read that table,
     instead of computing the enrichment twice."""
-    if staging:
+    bytes_of = F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0)).alias("bytes")
+    if staging and partitions is None:       # counted while they are written
+        seen = Observation()
+        lines, size = stage(lines.observe(seen, bytes_of), staging), seen.get["bytes"]
+    elif staging:
         lines = stage(lines, staging)
-    size = lines.agg(F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0))).first()[0] if partitions is None else 0
-    n = partitions or max(1, -(-size // shard_bytes))
-    (lines.repartitionByRange(n, "k0", "k1", "k2")
+    elif partitions is None:
+        size = lines.agg(bytes_of).first()[0]
+    if partitions is None:
+        cores = lines.sparkSession.sparkContext.defaultParallelism
+        partitions = max(1, -(-size // shard_bytes), min(cores, size // IDLE_SHARD_BYTES))
+    (lines.repartitionByRange(partitions, "k0", "k1", "k2")
           .sortWithinPartitions("k0", "k1", "k2").select("line")
           .write.mode("overwrite").text(path))
 
