@@ -196,7 +196,7 @@ def write_search_feed(lines: DataFrame, path: str, partitions: int | None = None
     bytes_of = F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0)).alias("bytes")
     if staging and partitions is None:       # counted while they are written
         seen = Observation()
-        lines, size = stage(lines.observe(seen, bytes_of), staging), seen.get["bytes"]
+        lines, size = stage(lines.observe(seen, bytes_of), staging), seen.get.get("bytes") or 0
     elif staging:
         lines = stage(lines, staging)
     elif partitions is None:

@@ -4,6 +4,7 @@ import pytest
 
 from accmine.operators import dedup, incremental, joins, summarize
 from accmine.plans import queries as Q
+from accmine.sinks import feeds
 from accmine.sources import fixtures as fx
 
 
@@ -84,6 +85,21 @@ def test_citations_split_a_hot_id(spark, low_thresholds):
     assert "skew=true" in plan(out)
 
 
+def test_pairs_skip_missing_keys(spark):
+    rows = [("pmc:PMC1", "syn1"), ("PMC1", "syn1"), ("pmc:", "syn1"), ("", "syn1"), (None, "syn1"), ("pmc:PMC2", ""), ("pmc:PMC2", None),
+            (None, None), ("pmc:pmc:X", "syn2")]
+    df = spark.createDataFrame(rows, "pmcid string, synid string")
+    assert bag(summarize.citation_pairs(df), "synid", "pmcid") == [("syn1", "PMC1"), ("syn2", "pmc:X")]
+    # the link feed checks the stored id, so a bare prefix is a link with an empty article
+    assert bag(dedup.distinct_links(df), "synid", "pmcid") == [("syn1", ""), ("syn1", "PMC1"), ("syn2", "pmc:X")]
+
+
+def test_an_empty_feed_is_written(spark, tmp_path):
+    lines = spark.createDataFrame([], "k0 string, k1 int, k2 string, line string")
+    feeds.write_search_feed(lines, f"{tmp_path}/feed", staging=f"{tmp_path}/staged")
+    assert feeds.read_feed_lines(spark, f"{tmp_path}/feed").collect() == []
+
+
 def test_hot_rows_combine(spark):
     df, rows = hot(spark, 3000)
     again = df.unionByName(df.withColumn("source_file", df.source_file.substr(1, 4)))
