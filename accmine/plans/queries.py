@@ -460,13 +460,13 @@ def q_input_audit(spark, d):
     return a.groupBy(kind.alias("kind"), "ext", "accepted", "reason").agg(F.count_distinct(batch).alias("files"))
 
 
-def written_feed(spark, d, partitions=None) -> str:
+def written_feed(spark, d, least=1) -> str:
     pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
     # the entries are used four times by the feed lines (count, body, refs, footer): stage them once
     entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d, pairs=pairs), CFG), scratch_path(spark, "entries"))
     path = scratch_path(spark, "search-feed")
     lines = feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01")
-    feeds.write_search_feed(lines, path, partitions, staging=scratch_path(spark, "feed-lines"))
+    feeds.write_search_feed(lines, path, staging=scratch_path(spark, "feed-lines"), least=least)
     return path
 
 
@@ -480,9 +480,9 @@ def q_search_feed_order(spark, d):
     """Every line with its place in the whole document (written as several shards)."""
     doc = feeds.read_feed_document(spark, written_feed(spark, d, FEED_SHARDS))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = doc.groupBy("shard").agg(F.count(F.lit(1)).alias("lines"))
+    shards = doc.groupBy("shard").agg(F.count(F.lit(1)).alias("lines"))     # one row a shard
     offsets = shards.select("shard", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("offset"))
-    return doc.join(offsets, "shard").select((F.col("offset") + F.col("line_no")).alias("n"), "line")
+    return doc.join(F.broadcast(offsets), "shard").select((F.col("offset") + F.col("line_no")).alias("n"), "line")
 
 
 @query("feed_check")
