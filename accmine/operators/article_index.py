@@ -30,11 +30,15 @@ WORDS = StructType([StructField("part", StringType()), StructField("block", Long
 KEYS = StructType([StructField("pmcid", StringType())])
 
 
+def article_number(pmcid: Column) -> Column:
+    """The number of an article id; null for ids without one."""
+    return F.nullif(F.regexp_extract(pmcid, r"^(?:pmc:)?PMC(\d{1,17})$", 1), F.lit("")).try_cast("bigint")
+
+
 def block_of(pmcid: Column) -> Column:
     """The block of an article id: by its number, ids without one (and null) by hash below zero."""
-    number = F.nullif(F.regexp_extract(pmcid, r"^(?:pmc:)?PMC(\d{1,17})$", 1), F.lit("")).try_cast("bigint")
     other = F.lit(-1) - F.pmod(F.xxhash64(pmcid), F.lit(OTHER_BLOCKS))
-    return F.coalesce(F.floor(number / BLOCK_IDS), other).cast("bigint")
+    return F.coalesce(F.floor(article_number(pmcid) / BLOCK_IDS), other).cast("bigint")
 
 
 def _range() -> list[Column]:

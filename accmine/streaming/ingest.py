@@ -9,17 +9,19 @@ new, then stop.
 
 from __future__ import annotations
 
+import json
 import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from .. import schemas
 from ..functions.fixed import ARTICLE_OPEN, CONTEXT_WINDOW
 from ..functions.text import source_file_from_path
+from ..operators.article_index import article_number
 from ..operators.articles import coverage, findings_from_articles
 from ..operators.incremental import first_batch_wins
 from ..operators.mine import DEFAULT_PATTERN, AccessionPattern
@@ -136,36 +138,54 @@ def init_results_table(initial: DataFrame, results_path: str) -> None:
 # ------------------------------------------------------- first batch as state ---
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROWS = "pmcid string, synid string, context string, source_file string"
-_OUT = f"{_ROWS}, winner boolean"
+_OUT = "pmcid string, synid string, context string, source_file string, winner boolean"
+
+
+STATE_IDS = 1024          # article numbers whose state is one value
+OTHER_STATES = 4096       # values for ids without a number, by hash
+
+
+def state_block(pmcid: Column) -> Column:
+    """The group whose state has an article: neighbouring numbers share one, ids without a number (and null) go
+    by hash below zero."""
+    return F.coalesce(F.floor(article_number(pmcid) / STATE_IDS), F.lit(-1) - F.pmod(F.xxhash64(pmcid), F.lit(OTHER_STATES))).cast("bigint")
 
 
 class FirstBatch(StatefulProcessor):
-    """For each article the batch file that brought it first, as state. A new article's rows pass while no file
-    before theirs was seen, and a last row names the winner, so no article's rows are held in memory; the rows
-    of the winner are picked when the micro-batch is written."""
+    """The articles seen so far, as state: one value for each block of articles (``state_block``), so a call into
+    Python and its state serve many articles. A new article's rows pass while no file before theirs was seen, and
+    a last row names the winner, so no article's rows are held in memory; the rows of the winner are picked when
+    the micro-batch is written."""
 
     def init(self, handle) -> None:
-        self.first = handle.getValueState("first", "source_file string")
+        self.seen = handle.getValueState("seen", "ids string")
+
+    def _known(self) -> set:
+        return set(json.loads(self.seen.get()[0])) if self.seen.exists() else set()
+
+    def _add(self, known: set, ids) -> None:
+        self.seen.update((json.dumps([*known, *ids]),))
 
     def handleInputRows(self, key, rows, timerValues):
-        if self.first.exists():
-            return
-        winner = None
+        known, winners = self._known(), {}
         for frame in rows:
+            ids = frame["pmcid"].astype(object).where(frame["pmcid"].notna(), None)
+            new = [i not in known for i in ids]
+            frame, ids = frame[new], ids[new]
             names = frame["source_file"].fillna("")
-            least = names.min()
-            winner = least if winner is None else min(winner, least)
-            keep = frame[names <= winner]
-            if len(keep):
-                yield keep.assign(winner=False)[["pmcid", "synid", "context", "source_file", "winner"]]
-        if winner is not None:
-            self.first.update((winner,))
-            yield pd.DataFrame({"pmcid": [None if pd.isna(key[0]) else key[0]], "synid": [None], "context": [None],
-                                "source_file": [winner], "winner": [True]})
+            for i, name in zip(ids, names):
+                if i not in winners or name < winners[i]:
+                    winners[i] = name
+            keep = [name <= winners[i] for i, name in zip(ids, names)]
+            if any(keep):
+                yield frame[keep].assign(winner=False)[["pmcid", "synid", "context", "source_file", "winner"]]
+        if winners:
+            self._add(known, winners)
+            yield pd.DataFrame({"pmcid": list(winners), "synid": None, "context": None, "source_file": list(winners.values()), "winner": True})
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.first.update(("",))
+        known = self._known()                    # a block's stored articles may come in several frames
+        self._add(known, {None if pd.isna(i) else i for i in initialState["pmcid"]} - known)
 
     def close(self) -> None:
         pass
@@ -186,8 +206,9 @@ def append_keyed(spark: SparkSession, in_path: str, results_path: str, checkpoin
              .write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}"))
 
     before = stored if stored is not None else spark.createDataFrame([], "pmcid string")
-    keyed = findings_stream(spark, in_path, max_files_per_trigger).groupBy("pmcid").transformWithStateInPandas(
-        FirstBatch(), _OUT, "append", "none", initialState=before.select("pmcid").distinct().groupBy("pmcid"))
+    before = before.select("pmcid").distinct().withColumn("block", state_block(F.col("pmcid")))
+    found = findings_stream(spark, in_path, max_files_per_trigger).withColumn("block", state_block(F.col("pmcid")))
+    keyed = found.groupBy("block").transformWithStateInPandas(FirstBatch(), _OUT, "append", "none", initialState=before.groupBy("block"))
     old = spark.conf.get(STATE_STORE, None)
     spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:

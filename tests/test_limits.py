@@ -1,6 +1,10 @@
 """What one task, one call or the driver holds does not grow with the input."""
 
+import pandas as pd
+from pyspark.sql import functions as F
+
 from accmine.sinks import feeds
+from accmine.streaming import ingest
 
 
 def test_a_feed_shard_is_read_in_pieces(spark, tmp_path, monkeypatch):
@@ -16,3 +20,37 @@ def test_a_feed_shard_is_read_in_pieces(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == [(n, k, x) for n, t in sorted(texts.items()) for k, x in enumerate(t.removesuffix("\n").split("\n"))]
     assert seen and seen[0] > 2
+
+
+class Handle:
+    """A state handle that notes how often state was written."""
+
+    def __init__(self):
+        self.value, self.writes = None, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+
+def test_one_state_value_serves_many_articles(spark):
+    ids = [f"pmc:PMC{k}" for k in range(ingest.STATE_IDS)] + ["pmc:PMCx", None]
+    blocks = spark.createDataFrame([(i,) for i in ids], "pmcid string").select(ingest.state_block(F.col("pmcid")).alias("b")).collect()
+    assert {r.b for r in blocks[:-2]} == {0} and all(r.b < 0 for r in blocks[-2:])
+    frame = lambda file: pd.DataFrame({"pmcid": ids, "synid": "syn1", "context": "c", "source_file": file})
+    first, handle = ingest.FirstBatch(), Handle()
+    first.init(handle)
+    first.handleInitialState((0,), pd.DataFrame({"pmcid": ["pmc:PMC5"]}), None)
+    first.handleInitialState((0,), pd.DataFrame({"pmcid": ["pmc:PMC7"]}), None)
+    out = pd.concat(first.handleInputRows((0,), iter([frame("b"), frame("a"), frame("c")]), None))
+    won = out[out["winner"]]
+    assert handle.writes == 3 and len(won) == len(ids) - 2 and set(won["source_file"]) == {"a"} and won["pmcid"].isna().sum() == 1
+    assert len(out) == 3 * len(won) and list(first.handleInputRows((0,), iter([frame("0")]), None)) == []
