@@ -436,8 +436,7 @@ def q_feed_validate(spark, d):
     good, bad = scratch_path(spark, "links-good"), scratch_path(spark, "links-bad")
     rows = feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
     feeds.write_link_feed(rows, good)
-    (feeds.link_structs(rows).withColumnRenamed("record", "invalid_element")
-          .write.format("xml").option("rootTag", "links").option("rowTag", "link").save(bad))
+    feeds.write_link_structs(feeds.link_structs(rows).withColumnRenamed("record", "invalid_element"), bad)
     out = []
     for name, p in (("good", good), ("bad", bad)):
         r = feeds.read_link_feed(spark, p, feeds.LINKS_XSD)

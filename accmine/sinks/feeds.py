@@ -48,10 +48,18 @@ def link_structs(rows: DataFrame) -> DataFrame:
                        F.struct("source", F.col("record_id").alias("id")).alias("record"))
 
 
-def write_link_feed(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Each task writes one well-formed ``<links>`` document."""
-    (link_structs(rows).write.mode(mode).format("xml")
-        .option("rootTag", "links").option("rowTag", "link").save(path))
+LINKS_PER_FILE = 200_000      # some 50 MB of XML; the reader gives each file to one task
+
+
+def write_link_structs(structs: DataFrame, path: str, mode: str = "overwrite", links_per_file: int = LINKS_PER_FILE) -> None:
+    """Each task writes well-formed ``<links>`` documents of at most ``links_per_file`` links."""
+    (structs.write.mode(mode).format("xml").option("rootTag", "links").option("rowTag", "link")
+        .option("maxRecordsPerFile", links_per_file).save(path))
+
+
+def write_link_feed(rows: DataFrame, path: str, mode: str = "overwrite", links_per_file: int = LINKS_PER_FILE) -> None:
+    """The link feed as documents of a bounded size: XML files are not split when they are read."""
+    write_link_structs(link_structs(rows), path, mode, links_per_file)
 
 
 LINK_SCHEMA = StructType([

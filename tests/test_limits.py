@@ -1,5 +1,7 @@
 """What one task, one call or the driver holds does not grow with the input."""
 
+import os
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -54,3 +56,13 @@ def test_one_state_value_serves_many_articles(spark):
     won = out[out["winner"]]
     assert handle.writes == 3 and len(won) == len(ids) - 2 and set(won["source_file"]) == {"a"} and won["pmcid"].isna().sum() == 1
     assert len(out) == 3 * len(won) and list(first.handleInputRows((0,), iter([frame("0")]), None)) == []
+
+
+def test_link_feed_files_are_bounded(spark, tmp_path):
+    path = f"{tmp_path}/links"
+    rows = feeds.link_rows(spark.range(50).select(F.concat(F.lit("pmc:PMC"), "id").alias("pmcid"), F.lit("syn1").alias("synid")).coalesce(1), 7)
+    feeds.write_link_feed(rows, path, links_per_file=20)
+    assert sorted(map(tuple, feeds.flatten_links(feeds.read_link_feed(spark, path)).collect())) == sorted(map(tuple, rows.collect()))
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) >= 3 and all(open(f"{path}/{f}").read().count("<record>") <= 20 for f in files)
+    assert feeds.LINKS_PER_FILE <= 1_000_000
