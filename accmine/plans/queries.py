@@ -496,7 +496,7 @@ def q_feed_check(spark, d):
     out = []
     for name, rows in made.items():
         path = scratch_path(spark, "checked-feed")
-        feeds.write_search_feed(rows, path, FEED_SHARDS)
+        feeds.write_search_feed(rows, path, least=FEED_SHARDS)
         shards = sorted(r.shard for r in feed_check.write_manifest(spark, path).collect())
         if name == "missing shard":
             Files(spark, path).remove(f"{path}/{shards[1]}")

@@ -33,6 +33,8 @@ CONTENT = {
     "additional_fields": ["field*"],
 }
 _TAG = re.compile(r"<(/?)([A-Za-z_]+)((?:\s+[A-Za-z_]+=\"[^\"<]*\")*)\s*(/?)>")
+# a line that is one reference and nothing else (most of a feed): whole batches are told apart at once
+_REF_LINE = r'^[ \t]*<ref(?:[ \t]+[A-Za-z_]+="[^"<]*")*[ \t]*/>[ \t]*$'
 _ID = re.compile(r'<entry id="([^"]*)">')
 PIECE = ("shard string, at long, closes array<string>, runs array<array<string>>, opens array<string>, open_runs array<array<string>>, "
          "entries long, declared array<string>, first string, last string, lines long, bytes long, fault string")
@@ -83,6 +85,13 @@ class Piece:
         if m := re.search(r"<entry_count>(.*)</entry_count>", text):
             self.declared.append(m[1])
 
+    def refs(self, lines: int, size: int) -> None:
+        """Lines of one reference each, in a row."""
+        self.lines += lines
+        self.bytes += size
+        for _ in range(min(lines, 2)):
+            _squeezed(self.open_runs[-1] if self.opens else self.runs[-1], "ref")
+
     def row(self, shard: str, at: int) -> dict:
         return {"shard": shard, "at": at, **{k: getattr(self, k) for k in ("closes", "runs", "opens", "open_runs", "entries", "declared",
                                                                              "first", "last", "lines", "bytes", "fault")}}
@@ -106,24 +115,44 @@ def fits(parent: str, run: list[str]) -> str | None:
     return f"<{parent}> holds <{left[0]}> out of place" if left else None
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard"),
+                                        F.col("_metadata.file_block_start").alias("at"), "value")
+
+
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """One row for each piece of a shard that a task reads: its folded state."""
-    lines = spark.read.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("shard"),
-                                         F.col("_metadata.file_block_start").alias("at"), "value")
 
     def fold(batches):
+        import numpy as np
+        import pyarrow.compute as pc
+
         key, piece = None, None
 
         def out():
             return pa.RecordBatch.from_pylist([piece.row(*key)], schema=arrow)
 
         for b in batches:
-            for shard, at, text in zip(*(b.column(k).to_pylist() for k in ("shard", "at", "value"))):
-                if (shard, at) != key:
+            text, at = b.column("value"), b.column("at").to_numpy()
+            shards = b.column("shard").dictionary_encode()
+            codes = shards.indices.to_numpy()
+            plain = pc.match_substring_regex(text, _REF_LINE).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy() + 1, dtype="int64")])
+            odd = np.flatnonzero(~plain)
+            other = dict(zip(odd.tolist(), text.take(pa.array(odd)).to_pylist()))
+            starts = [0, *(np.flatnonzero((at[1:] != at[:-1]) | (codes[1:] != codes[:-1])) + 1).tolist()] if len(at) else []
+            for start, end in zip(starts, [*starts[1:], len(at)]):
+                here = (shards.dictionary[int(codes[start])].as_py(), int(at[start]))
+                if here != key:
                     if key is not None:
                         yield out()
-                    key, piece = (shard, at), Piece()
-                piece.line(text)
+                    key, piece = here, Piece()
+                done = start
+                for k in odd[np.searchsorted(odd, start):np.searchsorted(odd, end)].tolist():
+                    piece.refs(k - done, int(upto[k] - upto[done]))
+                    piece.line(other[k])
+                    done = k + 1
+                piece.refs(end - done, int(upto[end] - upto[done]))
         if key is not None:
             yield out()
 
@@ -131,7 +160,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     arrow = pa.schema([("shard", pa.string()), ("at", pa.int64()), ("closes", strings), ("runs", lists), ("opens", strings),
                        ("open_runs", lists), ("entries", pa.int64()), ("declared", strings), ("first", pa.string()),
                        ("last", pa.string()), ("lines", pa.int64()), ("bytes", pa.int64()), ("fault", pa.string())])
-    return lines.mapInArrow(fold, PIECE)
+    return _lines(spark, path).mapInArrow(fold, PIECE)
 
 
 def document_faults(rows: list) -> list[str]:
@@ -164,7 +193,7 @@ def document_faults(rows: list) -> list[str]:
 
 
 def _shards(rows: list) -> list[tuple]:
-    """(shard, bytes, lines, offset) in document order."""
+    """(shard, bytes, lines, offset) in document order, from rows that have parts of them."""
     out, offset = [], 0
     for name in sorted({p.shard for p in rows}):
         own = [p for p in rows if p.shard == name]
@@ -177,7 +206,8 @@ def _shards(rows: list) -> list[tuple]:
 def write_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Note the shards of a written feed below ``path/_manifest`` (readers of the feed pass over it): their bytes and
     lines, and the offset at which each begins when they are put together by plain copies."""
-    rows = pieces(spark, path).collect()        # one row for each piece of the feed
+    rows = _lines(spark, path).groupBy("shard").agg(F.sum(F.octet_length("value").cast("bigint") + 1).alias("bytes"),
+                                                    F.count(F.lit(1)).alias("lines")).collect()      # one row a shard
     return stage(spark.createDataFrame(_shards(rows), SHARDS).coalesce(1), f"{path.rstrip('/')}/_manifest")
 
 

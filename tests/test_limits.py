@@ -5,7 +5,7 @@ import os
 import pandas as pd
 from pyspark.sql import functions as F
 
-from accmine.sinks import feeds
+from accmine.sinks import feed_check, feeds
 from accmine.streaming import ingest
 
 
@@ -66,3 +66,18 @@ def test_link_feed_files_are_bounded(spark, tmp_path):
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(files) >= 3 and all(open(f"{path}/{f}").read().count("<record>") <= 20 for f in files)
     assert feeds.LINKS_PER_FILE <= 1_000_000
+
+
+def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
+    ref = '        <ref dbname="PMC" dbkey="PMC%d &gt; x" />'
+    odd = ["<cross_references>", '<ref a="1"></ref>', '  <ref a="1" /> text', '<ref a="<" />', '<ref a="1" /><ref />', "</cross_references>", "</entry>", "<ref/>", ""]
+    lines = [x for k, o in enumerate(odd) for x in (o, *[ref % n for n in range(k % 4)])]
+    (tmp_path / "part-00000").write_text("".join(f"{x}\n" for x in lines))
+    want = feed_check.Piece()
+    for x in lines:
+        want.line(x)
+    monkeypatch.setattr(feed_check.Piece, "line", lambda self, text, line=feed_check.Piece.line: (_ for _ in ()).throw(ValueError(text)) if "dbkey" in text else line(self, text))
+    got = feed_check.pieces(spark, str(tmp_path)).collect()
+    assert [r.asDict() for r in got] == [want.row("part-00000", 0)]
+    noted = feed_check.write_manifest(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in noted] == [("part-00000", want.bytes, want.lines, 0)]
