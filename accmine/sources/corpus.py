@@ -180,7 +180,9 @@ def audit_files(spark: SparkSession, path: str, max_bytes: int = MAX_INPUT_BYTES
         small = src.option("pathGlobFilter", _glob_of(packed)).load(path).where(F.col("length") <= max_bytes)
         as_text = F.col("content").cast("string")  # a view of the bytes, not a copy
         out.append(judged(small.withColumn("ext", ext), _is_magic(F.hex(F.substring("content", 1, 4))) | ~_not_text(as_text)))
-    plain = [e for e in allowed if e not in packed]
+    # only extensions that occur: each group that is read lists the whole folder again
+    there = {r.ext for r in listing.where(F.col("ext").isin(*allowed) & (F.col("length") <= max_bytes)).select("ext").distinct().collect()}
+    plain = [e for e in allowed if e not in packed and e in there]
     groups = {}
     for e in plain:
         groups.setdefault(_PIECE_ENDS.get(e, _LINE_END), []).append(e)

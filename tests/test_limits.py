@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from accmine.sinks import feed_check, feeds
+from accmine.sources import corpus
 from accmine.streaming import ingest
 
 
@@ -81,3 +82,12 @@ def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
     assert [r.asDict() for r in got] == [want.row("part-00000", 0)]
     noted = feed_check.write_manifest(spark, str(tmp_path)).collect()
     assert [tuple(r) for r in noted] == [("part-00000", want.bytes, want.lines, 0)]
+
+
+def test_the_audit_reads_only_groups_of_extensions_that_occur(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("a,b\n")
+    (tmp_path / "b.txt").write_bytes(b"\xff\xfe text")
+    seen, checked = [], corpus._checked_in_pieces
+    monkeypatch.setattr(corpus, "_checked_in_pieces", lambda s, p, endings, *a: (seen.append(list(endings)), checked(s, p, endings, *a))[1])
+    got = {r.path.rsplit("/", 1)[1]: r.reason for r in corpus.audit_files(spark, str(tmp_path)).collect()}
+    assert got == {"a.csv": "extension", "b.txt": "type"} and seen == [[".txt"]]
