@@ -168,10 +168,9 @@ def combine_batches(spark: SparkSession, in_path: str, out_path: str, glob: str
     and a row of statistics (A4), returned and written below ``out_path/stats``. Rows equal in all but their
     batch keep the first batch by name; without ``source_file`` the batch is not written."""
     with job_scratch(spark):
-        batches = stage(read_findings_csv(spark, in_path, glob), scratch_path(spark, "batches"))
-        combined = dedup.combine_dedup(batches)
-        feeds.write_csv((combined if source_file else combined.drop("source_file")).hint("rebalance"), f"{out_path}/combined")
-        return stage(dedup.combine_stats(batches), f"{out_path}/stats")
+        combined, stats = dedup.combine(read_findings_csv(spark, in_path, glob))
+        feeds.write_csv(combined if source_file else combined.drop("source_file"), f"{out_path}/combined")
+        return stage(stats, f"{out_path}/stats")
 
 
 def export_links(spark: SparkSession, results: DataFrame, out_dir: str, provider_id: int,

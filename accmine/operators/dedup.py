@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_curie
+from ..session import scratch_path
+from ..sinks.tables import stage
 from .incremental import batch_order
 
 
@@ -30,16 +32,31 @@ def _groups(batches: DataFrame, order: DataFrame, batch_col: str) -> DataFrame:
 def combine_dedup(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
     """Rows equal in every column but the batch keep the first batch by name (A3); nulls compare equal."""
     order = batch_order(batches, batch_col)
-    return (_groups(batches, order, batch_col).join(order, "ordinal")
-            .withColumnRenamed("batch", batch_col).select(*batches.columns))
+    return _first_batches(_groups(batches, order, batch_col), order, batches.columns, batch_col)
+
+
+def _first_batches(groups: DataFrame, order: DataFrame, columns, batch_col: str) -> DataFrame:
+    return groups.join(order, "ordinal").withColumnRenamed("batch", batch_col).select(*columns)
 
 
 def combine_stats(batches: DataFrame, batch_col: str = "source_file") -> DataFrame:
     """rows_before, rows_after, unique_synids, files (A4) as one row, from one pass over the batches: the
     distinct rows carry their counts, and the files are the rows of the batch order."""
     order = batch_order(batches, batch_col)
+    return _stats(_groups(batches, order, batch_col), order)
+
+
+def combine(batches: DataFrame, batch_col: str = "source_file") -> tuple[DataFrame, DataFrame]:
+    """``combine_dedup`` and ``combine_stats`` of the same batches: both come from the distinct rows, which are
+    found once and staged."""
+    order = batch_order(batches, batch_col)
+    groups = stage(_groups(batches, order, batch_col), scratch_path(batches.sparkSession, "distinct-rows"))
+    return _first_batches(groups, order, batches.columns, batch_col), _stats(groups, order)
+
+
+def _stats(groups: DataFrame, order: DataFrame) -> DataFrame:
     none = F.lit(None).cast("bigint")
-    rows = _groups(batches, order, batch_col).agg(
+    rows = groups.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"),
         F.count_distinct("synid").alias("unique_synids"), none.alias("files"))
     files = order.agg(none.alias("rows_before"), none.alias("rows_after"), none.alias("unique_synids"),

@@ -5,6 +5,7 @@ import os
 import pandas as pd
 from pyspark.sql import functions as F
 
+from accmine.operators import dedup
 from accmine.sinks import feed_check, feeds
 from accmine.sources import corpus
 from accmine.streaming import ingest
@@ -84,6 +85,15 @@ def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in noted] == [("part-00000", want.bytes, want.lines, 0)]
 
 
+def test_combined_rows_and_statistics_share_one_staged_table(spark, monkeypatch):
+    rows = [("pmc:PMC1", "syn1", "c", "b"), ("pmc:PMC1", "syn1", "c", "a"), ("pmc:PMC1", "syn1", None, "b"), (None, "syn2", "c", None)]
+    batches = spark.createDataFrame(rows, "pmcid string, synid string, context string, source_file string")
+    combined, stats = dedup.combine(batches)
+    assert sorted(map(tuple, combined.collect()), key=str) == sorted(map(tuple, dedup.combine_dedup(batches).collect()), key=str)
+    assert stats.collect() == dedup.combine_stats(batches).collect()
+    assert "distinct-rows" in "".join(combined.inputFiles()) and "distinct-rows" in "".join(stats.inputFiles())
+
+
 def test_the_audit_reads_only_groups_of_extensions_that_occur(spark, tmp_path, monkeypatch):
     (tmp_path / "a.csv").write_text("a,b\n")
     (tmp_path / "b.txt").write_bytes(b"\xff\xfe text")
