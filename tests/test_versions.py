@@ -215,3 +215,13 @@ def test_scratch_of_a_job_goes_at_its_end_unless_it_fails(spark, tmp_path):
             raise RuntimeError
     assert [os.path.exists(p.removeprefix("file:")) for p in made] == [False, False, True]
     assert made[1].startswith(made[0].rsplit("/", 1)[0]) and "/job-" not in scratch_path(spark, "d")
+
+
+def test_the_weekly_run_goes_on_with_staged_findings(spark, tmp_path, monkeypatch):
+    corpus, read, real = str(tmp_path / "in"), [], incremental.first_batch_wins
+    for lo in (20, 900, 1000):
+        put(corpus, f"PMC{lo}_PMC{lo + 9}.xml.gz", (lo, "syn1111111"))
+    monkeypatch.setattr(incremental, "first_batch_wins", lambda found, *a, **kw: (read.extend(found.inputFiles()), real(found, *a, **kw))[1])
+    assert jobs.run_incremental(spark, corpus, str(tmp_path / "results"), out_path=str(tmp_path / "out")).count() == 3
+    assert read and not any("/findings/" in f for f in read)
+    assert jobs.current(spark, str(tmp_path / "out")).count() == 3
