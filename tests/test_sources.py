@@ -104,3 +104,9 @@ def test_written_csv_reads_back(spark, tmp_path):
     df = spark.createDataFrame(rows, "pmcid string, synid string, context string, source_file string")
     write_csv(df, str(tmp_path / "o"), partition_by="source_file")
     assert sorted(tuple(r) for r in read_findings_csv(spark, str(tmp_path / "o")).collect()) == sorted(rows)
+
+
+def test_the_findings_csv_has_a_file_a_batch(spark, sf_dir):
+    from accmine.plans.queries import QUERIES
+    back = QUERIES["findings_csv_roundtrip"](spark, sf_dir)
+    assert len(back.inputFiles()) == back.select("source_file").distinct().count()      # not one for each task and batch
