@@ -1,7 +1,7 @@
 """Article XML -> id and section text.
 
-The only Python in the mining path: one Arrow-batched pandas UDF that parses
-each article with the standard-library XML parser and returns a struct. It is
+The only Python in the mining path: one Arrow UDF that parses each article with the
+standard-library XML parser and returns a struct, a bounded piece of a batch at a time. It is
 marked non-deterministic so Catalyst evaluates it exactly once per row, after
 the repartition that spreads the (non-splittable) corpus files over tasks.
 Id fallback, section joining and whitespace folding happen natively afterwards.
@@ -10,8 +10,9 @@ Id fallback, section joining and whitespace folding happen natively afterwards.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from .joins import spread
 
 _SECTIONS = ("article-title", "abstract", "body", "back")
 _COLUMNS = tuple(f.name for f in schemas.SECTIONS.fields)
+PIECE_ROWS, PIECE_CHARS = 256, 1 << 20      # articles of a batch that are Python objects at once
 GZIP_EXPANSION = 6.0     # text bytes for one compressed byte, to size the parse tasks
 
 # Ship this module's code with the UDF (pickled by value), so Python workers need no installed
@@ -53,10 +55,30 @@ def _parse_one(xml):
         return (False, None, None, None, None, None, f"{type(exc).__name__}: {exc}"[:200])
 
 
-@F.pandas_udf(schemas.SECTIONS)
-def _sections_udf(xml: pd.Series) -> pd.DataFrame:
-    rows = [_parse_one(x) for x in xml]
-    return pd.DataFrame(rows, columns=list(_COLUMNS))
+def _sections_array(rows: list) -> pa.Array:
+    columns = zip(*rows) if rows else [()] * len(_COLUMNS)
+    return pa.StructArray.from_arrays([pa.array(list(c), pa.bool_() if n == "ok" else pa.string()) for n, c in zip(_COLUMNS, columns)], list(_COLUMNS))
+
+
+def _in_pieces(batch: pa.Array) -> Iterator[pa.Array]:
+    """The sections of a batch's articles in pieces of bounded rows and text: memory beside the batch itself
+    does not follow the rows of a batch."""
+    rows, chars = [], 0
+    for value in batch:
+        xml = value.as_py()
+        rows.append(_parse_one(xml))
+        chars += len(xml or "")
+        if len(rows) >= PIECE_ROWS or chars >= PIECE_CHARS:
+            yield _sections_array(rows)
+            rows, chars = [], 0
+    if rows or not len(batch):
+        yield _sections_array(rows)
+
+
+@F.arrow_udf(schemas.SECTIONS)
+def _sections_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield from _in_pieces(batch)
 
 
 sections_udf = _sections_udf.asNondeterministic()

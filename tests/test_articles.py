@@ -166,3 +166,12 @@ def test_a_plain_file_read_in_many_splits_gives_each_article_once(spark, tmp_pat
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(r.k for r in got) == list(range(n))
+
+
+def test_a_batch_is_parsed_in_bounded_pieces():
+    import pyarrow as pa
+    from accmine.operators import parse
+    batch = pa.array(["<a/>", None, "<b>"] * 300 + ["<a>" + "x" * parse.PIECE_CHARS + "</a>"] * 3)
+    pieces = list(parse._in_pieces(batch))
+    assert [r for p in pieces for r in p.field("ok").to_pylist()] == [True, False, False] * 300 + [True] * 3
+    assert max(map(len, pieces)) == parse.PIECE_ROWS and len(pieces) == 4 + 2 and [len(p) for p in parse._in_pieces(batch[:0])] == [0]
