@@ -46,8 +46,9 @@ class AccessionPattern:
 
     @property
     def backward(self) -> str:
-        """The same matches, found on the reversed text."""
-        return rf"(?iU){NOT_AFTER_DIGIT}\d{{{self.min_digits},{self.max_digits}}}{self.prefix[::-1]}(?!\d)"
+        """The same matches, found on the reversed text. Whether a digit stands here is asked first: the
+        look-behind, the dear part, is then skipped at nearly every place."""
+        return rf"(?iU)(?=\d){NOT_AFTER_DIGIT}\d{{{self.min_digits},{self.max_digits}}}{self.prefix[::-1]}(?!\d)"
 
     @property
     def valid_id(self) -> str:
@@ -63,9 +64,9 @@ def _with_tail(p: str, window: int) -> str:
 
 def _id_and_tail(pattern: AccessionPattern, window: int) -> str:
     """Group 1 = the id followed by up to ``window`` characters, captured by a lookahead at the
-    start of the match, so one pass yields both."""
+    start of the match, so one pass yields both. The look-behind comes after it: it is asked only where an id is."""
     core = rf"{pattern.prefix}\d{{{pattern.min_digits},{pattern.max_digits}}}(?!\d)"
-    return rf"(?siU){NOT_AFTER_DIGIT}(?=({core}.{{0,{window}}})){core}"
+    return rf"(?siU)(?=({core}.{{0,{window}}})){NOT_AFTER_DIGIT}{core}"
 
 
 def mention_arrays(text: Column, window: int = CONTEXT_WINDOW,
@@ -128,6 +129,19 @@ def finding_rule(mention: Column, before: Column, after: Column, case_rule: str
     return cond
 
 
+def findings_array(text: Column, window: int = CONTEXT_WINDOW, case_rule: str = "reference",
+                   pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
+    """array<struct<synid, context>> of the findings in ``text``, in text order (as ``findings_from_mentions`` gives
+    them); null for texts that cannot hold a mention."""
+    hits = F.filter(mention_arrays(text, window, pattern), lambda m: finding_rule(m["mention"], m["before"], m["after"], case_rule, pattern))
+    found = F.transform(hits, lambda m: F.struct(F.lower(m["mention"]).alias("synid"), _context(m["before"], m["mention"], m["after"]).alias("context")))
+    return F.when(maybe_mentions(text, pattern), found)
+
+
+def _context(before, mention, after) -> Column:
+    return F.translate(strip_ws(F.concat(before, mention, after)), '"', "'")
+
+
 def count_findings(text: Column, window: int = CONTEXT_WINDOW, case_rule: str = "reference",
                    pattern: AccessionPattern = DEFAULT_PATTERN) -> Column:
     """Number of findings in ``text``, computed in the row (no explode, no shuffle)."""
@@ -142,10 +156,9 @@ def findings_from_mentions(m: DataFrame, keep=("doc_id",), case_rule: str = "ref
     apostrophes. ``case_rule='reference'`` keeps a match only if its lower-cased id occurs in the
     window text (so upper-case ids only survive with a lower-case copy nearby); ``'fold'`` keeps all."""
     keep_row = finding_rule(F.col("mention"), F.col("before"), F.col("after"), case_rule, pattern)
-    window_text = strip_ws(F.concat("before", "mention", "after"))
     return (m.where(keep_row)
              .select(*keep, "pos", F.lower("mention").alias("synid"),
-                     F.translate(window_text, '"', "'").alias("context")))
+                     _context(F.col("before"), F.col("mention"), F.col("after")).alias("context")))
 
 
 def mine_text(df: DataFrame, text_col: str = "text", keep=("doc_id",), window: int = CONTEXT_WINDOW,

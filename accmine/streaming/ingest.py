@@ -22,7 +22,7 @@ from .. import schemas
 from ..functions.fixed import ARTICLE_OPEN, CONTEXT_WINDOW
 from ..functions.text import source_file_from_path
 from ..operators.article_index import article_number
-from ..operators.articles import coverage, findings_from_articles
+from ..operators.articles import coverage_of, findings_from_articles, findings_of, with_findings
 from ..operators.incremental import first_batch_wins
 from ..operators.mine import DEFAULT_PATTERN, AccessionPattern
 from ..operators.parse import parse_articles
@@ -49,7 +49,7 @@ def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint:
                   audit: bool = True):
     """Mine new corpus files into ``out_path/batch_id=N`` (parquet); returns the finished query.
 
-    The mining options are those of the batch job. Every article is parsed, once: those that do not parse go
+    The mining options are those of the batch job. Every article is parsed and mined, once: those that do not parse go
     to ``rejects_path/batch_id=N`` (default: ``<out_path>-rejects``) with their XML and reason, and each
     micro-batch writes its coverage by file (V4) to ``<out_path>-coverage/batch_id=N``; a replay writes
     both anew. Without ``audit`` neither is kept, and only articles that can hold an id are parsed.
@@ -62,15 +62,16 @@ def ingest_corpus(spark: SparkSession, in_path: str, out_path: str, checkpoint:
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if audit or rejects_path:
             parsed = parse_articles(batch, "xml", ("source_file", "xml"), partitions=partitions)
-            parsed = stage(parsed.select("source_file", "ok", "reason", "pmc_id", "text",
-                                         F.when(~F.col("ok"), F.col("xml")).alias("xml")), scratch_path(spark, "stream-parsed"))
-            (parsed.where(~F.col("ok")).select("source_file", "xml", "reason")
+            mined = with_findings(parsed.withColumn("xml", F.when(~F.col("ok"), F.col("xml"))), window, case_rule, pattern)
+            mined = stage(mined, scratch_path(spark, "stream-parsed"))
+            (mined.where(~F.col("ok")).select("source_file", "xml", "reason")
                    .write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}"))
-            (coverage(parsed, window=window, case_rule=case_rule, pattern=pattern).hint("rebalance")
+            (coverage_of(mined).hint("rebalance")
              .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}-coverage/batch_id={batch_id}"))
+            f = findings_of(mined)
         else:
             parsed = parse_articles(batch, "xml", ("source_file",), partitions=partitions, only_ids=pattern.prefix)
-        f = findings_from_articles(parsed, ("source_file",), window, case_rule, pattern)
+            f = findings_from_articles(parsed, ("source_file",), window, case_rule, pattern)
         (f.select("pmcid", "synid", "context", "source_file").hint("rebalance")
           .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 

@@ -175,3 +175,16 @@ def test_a_batch_is_parsed_in_bounded_pieces():
     pieces = list(parse._in_pieces(batch))
     assert [r for p in pieces for r in p.field("ok").to_pylist()] == [True, False, False] * 300 + [True] * 3
     assert max(map(len, pieces)) == parse.PIECE_ROWS and len(pieces) == 4 + 2 and [len(p) for p in parse._in_pieces(batch[:0])] == [0]
+
+
+def test_articles_mined_once_give_the_same(spark):
+    from accmine.operators.articles import coverage, coverage_of, findings_from_articles, findings_of, with_findings
+    texts = [(True, "PMC1", 'a "syn1234567" 5syn1234567 SYN7654321 b 12syn1234567'), (True, "PMC2", "none"), (True, None, "syn1234567"),
+             (False, None, None), (True, "PMC3", None), (True, "PMC4", "\U0001D7CEsyn1234567 x\U0001F600syn12345678")]
+    parsed = spark.createDataFrame([("f", ok, None, i, None, None, None, None, t) for ok, i, t in texts],
+                                   "source_file string, ok boolean, reason string, pmc_id string, title string, abstract string, body string, back string, text string")
+    for rule in ("reference", "fold"):
+        mined = with_findings(parsed, case_rule=rule)
+        want = findings_from_articles(parsed, case_rule=rule).select("source_file", "pmcid", "synid", "context")
+        assert sorted(findings_of(mined).collect()) == sorted(want.collect()) and "text" not in mined.columns
+        assert coverage_of(mined).collect() == coverage(parsed, case_rule=rule).collect()
