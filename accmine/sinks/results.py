@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
-from ..operators.article_index import block_of, stored_articles, write_index
+from ..operators.article_index import FILTER, block_of, stored_articles, write_index
 from .versions import Conflict, VersionedTable
 
 MAX_PARTS = 32           # a table of more parts is compacted
@@ -45,7 +45,7 @@ class ResultsTable:
         path, index = self.table.write(blocked.hint("rebalance", "block"), ["block"]), self.table.folder()
         if self.rows([path]).isEmpty():
             return None
-        return {"path": path, "index": index, "blocks": write_index(self.table, path, index)}
+        return {"path": path, "index": index, "filter": FILTER, "blocks": write_index(self.table, path, index)}
 
     def rows(self, paths: list[str]) -> DataFrame:
         """The rows of appended parts."""

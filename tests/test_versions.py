@@ -225,3 +225,17 @@ def test_the_weekly_run_goes_on_with_staged_findings(spark, tmp_path, monkeypatc
     assert jobs.run_incremental(spark, corpus, str(tmp_path / "results"), out_path=str(tmp_path / "out")).count() == 3
     assert read and not any("/findings/" in f for f in read)
     assert jobs.current(spark, str(tmp_path / "out")).count() == 3
+
+
+def test_an_id_meets_the_filter_once(spark, tmp_path):
+    ids = spark.createDataFrame([(f"pmc:PMC{n}", 1000) for n in range(1000)], "pmcid string, n bigint")
+    masked = article_index._masked(ids)
+    assert masked.count() == 1000 and masked.where("bit_count(mask) not between 1 and 5 or word < 0 or word >= 254").isEmpty()
+
+
+def test_a_part_of_another_filter_is_told_by_its_ranges(spark, tmp_path):
+    t = table(spark, tmp_path / "t", ["pmc:PMC1", "pmc:PMC9"], ["pmc:PMC2000001"])
+    older = [{k: v for k, v in p.items() if k != "filter"} for p in t.base()["parts"]]
+    df = spark.createDataFrame([(i,) for i in ("pmc:PMC1", "pmc:PMC5", "pmc:PMC2000009")], "pmcid string")
+    hit = article_index.stored_articles(t.table, df, older)
+    assert [r.pmcid for r in hit.collect()] == ["pmc:PMC1"] and len({f.split("block=")[1][0] for f in hit.inputFiles() if "block=" in f}) == 1
