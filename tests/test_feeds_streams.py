@@ -131,3 +131,34 @@ def test_a_stream_refuses_swapped_columns(spark, tmp_path):
     init_results_table(spark.createDataFrame([("pmc:PMC9", "syn9")], "pmcid string, synid string"), str(tmp_path / "t"))
     with pytest.raises(Exception, match="(?i)header"):
         append_results(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "ck"))
+
+
+def test_append_reads_its_files_once_and_lists_them_with_few_tasks(spark, tmp_path, monkeypatch):
+    from accmine.streaming import ingest
+    inbox, results, seen, real = tmp_path / "in", str(tmp_path / "t"), [], ingest.append_batch
+    for k in range(40):                              # more folders than the driver lists itself
+        folder = inbox / f"source_file=PMC{k}_PMC{k}.xml.gz"
+        folder.mkdir(parents=True)
+        (folder / "part-0.csv").write_text(f"pmcid,synid,context\npmc:PMC{k},syn{k},c\npmc:PMC99,syn{k},c\n,syn{k},\n")
+    (inbox / "out.PMC10_PMC10.xml.gz.csv").write_text("pmcid,synid,context\npmc:PMC99,syn100,c\npmc:PMC3,syn3,c\n")  # the same name once more
+    (inbox / "no name.csv").write_text("pmcid,synid,context\npmc:PMC200,syn200,\"a \"\"b\"\", c\"\n")
+    ingest.init_results_table(spark.createDataFrame([("pmc:PMC5", "syn1")], "pmcid string, synid string"), results)
+
+    def kept(session, batch, *args):
+        files = batch.inputFiles()
+        seen.append((bool(files) and not any(f.endswith(".csv") for f in files), batch.columns))
+        real(session, batch, *args)
+
+    tasks, real_stream = [], ingest.findings_by_path
+    monkeypatch.setattr(ingest, "append_batch", kept)
+    monkeypatch.setattr(ingest, "findings_by_path", lambda s, *a: (tasks.append(int(s.conf.get(ingest.LISTING_TASKS))), real_stream(s, *a))[1])
+    before = spark.conf.get(ingest.LISTING_TASKS)
+    ingest.append_results(spark, str(inbox), results, str(tmp_path / "ck"))
+    assert seen == [(True, ["pmcid", "synid", "context", "source_file"])]
+    assert tasks[0] <= 4 * spark.sparkContext.defaultParallelism and spark.conf.get(ingest.LISTING_TASKS) == before
+    got = spark.read.parquet(results).where("batch <> 'initial'").select("pmcid", "synid", "context", "source_file")
+    name = "PMC{0}_PMC{0}.xml.gz".format
+    want = [(f"pmc:PMC{k}", f"syn{k}", "c", name(k)) for k in range(40) if k not in (3, 5)]
+    want += [("pmc:PMC3", "syn3", "c", name(10)), ("pmc:PMC99", "syn0", "c", name(0)), (None, "syn0", None, name(0)),
+             ("pmc:PMC200", "syn200", 'a "b", c', "no%20name.csv")]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
