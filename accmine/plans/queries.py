@@ -435,9 +435,10 @@ def q_link_feed(spark, d):
 @query("feed_validate")
 def q_feed_validate(spark, d):
     good, bad = scratch_path(spark, "links-good"), scratch_path(spark, "links-bad")
-    rows = feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG)
-    feeds.write_link_feed(rows, good)
-    feeds.write_link_structs(feeds.link_structs(rows).withColumnRenamed("record", "invalid_element"), bad)
+    # both feeds are written from the same distinct links: found once
+    rows = stage(feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG), scratch_path(spark, "link-rows"))
+    feeds.write_link_feed(rows, good, compression="gzip")
+    feeds.write_link_structs(feeds.link_structs(rows).withColumnRenamed("record", "invalid_element"), bad, compression="gzip")
     out = []
     for name, p in (("good", good), ("bad", bad)):
         r = feeds.read_link_feed(spark, p, feeds.LINKS_XSD)

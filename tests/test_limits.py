@@ -1,15 +1,21 @@
 """What one task, one call or the driver holds does not grow with the input."""
 
+import glob
+import gzip
 import os
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from accmine.operators import dedup
+from accmine.plans import queries
+from accmine.session import scratch_path
 from accmine.sinks import feed_check, feeds
 from accmine.sources import corpus
 from accmine.streaming import ingest
 
+FLAT_LINKS = "provider_id long, url string, title string, source string, record_id string"
+
 
 def test_a_feed_shard_is_read_in_pieces(spark, tmp_path, monkeypatch):
     texts = {"part-00000": "a\n\n" + "x" * 50 + "\nlast\n\n", "part-00001": "".join(f"line {k}\n" for k in range(100)) + "no end"}
@@ -70,6 +76,36 @@ def test_link_feed_files_are_bounded(spark, tmp_path):
     assert feeds.LINKS_PER_FILE <= 1_000_000
 
 
+def test_a_compressed_link_feed_is_the_same_feed(spark, tmp_path):
+    rows = spark.createDataFrame([(7, f"https://r/syn{k}?a&b<", "View \u00e9", "PMC", f"PMC{k}") for k in range(50)], FLAT_LINKS).coalesce(1)
+    feeds.write_link_feed(rows, f"{tmp_path}/plain", links_per_file=20)
+    feeds.write_link_feed(rows, f"{tmp_path}/gz", links_per_file=20, compression="gzip")
+    bad = feeds.link_structs(rows).withColumnRenamed("record", "invalid_element")
+    feeds.write_link_structs(bad, f"{tmp_path}/gz", mode="append", compression="gzip")
+    texts = {n: sorted(f for f in os.listdir(f"{tmp_path}/{n}") if f.startswith("part-")) for n in ("plain", "gz")}
+    assert len(texts["plain"]) == 3 and len(texts["gz"]) == 4 and all(f.endswith(".xml.gz") for f in texts["gz"])
+    packed = {gzip.open(f"{tmp_path}/gz/{f}", "rt", encoding="utf-8").read() for f in texts["gz"]}
+    assert {open(f"{tmp_path}/plain/{f}", encoding="utf-8").read() for f in texts["plain"]} < packed
+    assert tuple(feeds.validate_feed(spark, f"{tmp_path}/gz").first()) == (100, 50, 50, 50)
+
+
+def used(spark, monkeypatch, query, d) -> tuple[list, dict]:
+    """The query's rows, and the bytes of the files below each folder that it asked for, by name."""
+    made = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, name: made.append((name, scratch_path(s, name))) or made[-1][1])
+    rows = queries.QUERIES[query](spark, d).collect()
+    return rows, {n: sum(os.path.getsize(f) for f in glob.glob(f"{p.removeprefix('file:')}/part-*")) for n, p in made}
+
+
+def test_both_validated_feeds_come_from_one_search_for_links_and_are_small(spark, sf_dir, monkeypatch):
+    found, distinct = [], feeds.distinct_links
+    monkeypatch.setattr(feeds, "distinct_links", lambda r: found.append(distinct(r)) or found[-1])
+    rows, size = used(spark, monkeypatch, "feed_validate", sf_dir)
+    n = found[0].count()
+    assert sorted(map(tuple, rows)) == [("bad", False, n, 0), ("good", True, n, n)]
+    assert len(found) == 1 and size["link-rows"] and 0 < size["links-good"] + size["links-bad"] < 60 * n   # 560 bytes of XML
+
+
 def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
     ref = '        <ref dbname="PMC" dbkey="PMC%d &gt; x" />'
     odd = ["<cross_references>", '<ref a="1"></ref>', '  <ref a="1" /> text', '<ref a="<" />', '<ref a="1" /><ref />', "</cross_references>", "</entry>", "<ref/>", ""]
