@@ -428,7 +428,7 @@ def q_findings_csv_roundtrip(spark, d):
 @query("link_feed")
 def q_link_feed(spark, d):
     path = scratch_path(spark, "links")
-    feeds.write_link_feed(feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG), path)
+    feeds.write_link_feed(feeds.link_rows(fx.findings_v(spark, d), PROVIDER_ID, CFG), path, compression="gzip")
     return feeds.flatten_links(feeds.read_link_feed(spark, path))
 
 

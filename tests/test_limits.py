@@ -106,6 +106,13 @@ def test_both_validated_feeds_come_from_one_search_for_links_and_are_small(spark
     assert len(found) == 1 and size["link-rows"] and 0 < size["links-good"] + size["links-bad"] < 60 * n   # 560 bytes of XML
 
 
+def test_the_link_feed_is_small_on_disk(spark, sf_dir, monkeypatch):
+    rows, size = used(spark, monkeypatch, "link_feed", sf_dir)
+    want = feeds.link_rows(queries.fx.findings_v(spark, sf_dir), queries.PROVIDER_ID, queries.CFG)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, want.collect()))
+    assert 0 < size["links"] < 30 * len(rows)       # 280 bytes of XML a link
+
+
 def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
     ref = '        <ref dbname="PMC" dbkey="PMC%d &gt; x" />'
     odd = ["<cross_references>", '<ref a="1"></ref>', '  <ref a="1" /> text', '<ref a="<" />', '<ref a="1" /><ref />', "</cross_references>", "</entry>", "<ref/>", ""]
