@@ -17,7 +17,7 @@ from ..operators import dedup, enrich, incremental, summarize
 from ..operators.articles import coverage, findings_from_articles, rejects
 from ..operators.mine import extract_mentions, findings_from_mentions, mine_text, prepare_text
 from ..operators.parse import parse_articles
-from ..session import scratch_path
+from ..session import brief_shuffles, job_scratch, scratch_path
 from ..sinks import feed_check, feeds
 from ..sinks.citations import CitationStore
 from ..sinks.feeds import resource_rows, write_csv
@@ -488,7 +488,13 @@ def q_search_feed_order(spark, d):
 
 @query("feed_check")
 def q_feed_check(spark, d):
-    """The whole-document check on a feed of several shards, as written and with three kinds of damage."""
+    """The whole-document check on a feed of several shards, as written and with three kinds of damage. What is returned
+    are rows of the driver, so a feed goes when it is checked, with what its write shuffled."""
+    with job_scratch(spark), brief_shuffles(spark):
+        return reduce(DataFrame.unionByName, _checked_feeds(spark, d))
+
+
+def _checked_feeds(spark, d) -> list[DataFrame]:
     pairs = stage(cited_pairs(spark, d), scratch_path(spark, "cited-pairs"))
     entries = stage(enrich.search_entries(pairs, refreshed_cache(spark, d, pairs=pairs), CFG), scratch_path(spark, "entries"))
     lines = stage(feeds.search_feed_lines(entries, pairs, "Datasets", "Datasets cited in articles", "2026-01-01"), scratch_path(spark, "feed-lines"))
@@ -497,15 +503,16 @@ def q_feed_check(spark, d):
             "missing shard": lines}
     out = []
     for name, rows in made.items():
-        path = scratch_path(spark, "checked-feed")
-        feeds.write_search_feed(rows, path, least=FEED_SHARDS)
-        shards = sorted(r.shard for r in feed_check.write_manifest(spark, path).collect())
-        if name == "missing shard":
-            Files(spark, path).remove(f"{path}/{shards[1]}")
-        checked = feed_check.check_feed(spark, path).select(F.lit(name).alias("feed"), "check", "ok")
+        with job_scratch(spark):
+            path = scratch_path(spark, "checked-feed")
+            feeds.write_search_feed(rows, path, least=FEED_SHARDS)
+            shards = sorted(r.shard for r in feed_check.write_manifest(spark, path).collect())
+            if name == "missing shard":
+                Files(spark, path).remove(f"{path}/{shards[1]}")
+            checked = feed_check.check_feed(spark, path).select(F.lit(name).alias("feed"), "check", "ok")
         # what a lost shard leaves may fit together by chance: only the manifest surely tells
         out.append(checked.where("check = 'shards'") if name == "missing shard" else checked)
-    return reduce(DataFrame.unionByName, out)
+    return out
 
 
 @query("stream_coverage")

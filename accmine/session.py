@@ -109,3 +109,19 @@ def job_scratch(spark: SparkSession):
         _JOB.reset(token)
     path = spark._jvm.org.apache.hadoop.fs.Path(own)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def brief_shuffles(spark: SparkSession):
+    """The shuffle files of each write or action inside go when it ends, and not when the driver happens to collect
+    its garbage. For jobs that shuffle much again and again; a result computed twice would be shuffled twice."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

@@ -3,7 +3,8 @@
 Every piece of a shard that a task reads is folded into a small state: the elements it closes that others
 opened, what stands at each of those levels, the elements it leaves open, its counts and its first and last
 entry. The states are put together in document order, so a fault that shows only across pieces, a damaged
-boundary, is found without one task reading the whole document. ``write_manifest`` notes every shard's
+boundary, is found without one task reading the whole document. A state is bounded whatever the damage: no more
+children, levels and counts are kept than decide what is reported. ``write_manifest`` notes every shard's
 bytes, lines and place in the assembled document, which tells a missing or changed shard.
 """
 
@@ -36,24 +37,42 @@ _TAG = re.compile(r"<(/?)([A-Za-z_]+)((?:\s+[A-Za-z_]+=\"[^\"<]*\")*)\s*(/?)>")
 # a line that is one reference and nothing else (most of a feed): whole batches are told apart at once
 _REF_LINE = r'^[ \t]*<ref(?:[ \t]+[A-Za-z_]+="[^"<]*")*[ \t]*/>[ \t]*$'
 _ID = re.compile(r'<entry id="([^"]*)">')
-PIECE = ("shard string, at long, closes array<string>, runs array<array<string>>, opens array<string>, open_runs array<array<string>>, "
-         "entries long, declared array<string>, first string, last string, lines long, bytes long, fault string")
+# so many children (squeezed) decide what ``fits`` says of any element: all that it takes, and the first that it does not
+CHILDREN = 1 + max(sum(2 if want.endswith("*") else 1 for want in content) for content in CONTENT.values())
+# a whole document is four elements deep. A piece keeps the first levels that it closes of others, and the innermost that it
+# leaves open: beyond them it is counted that there are more, which only a faulty document has
+LEVELS = 16
+DETAILS = 10
+PIECE = ("shard string, at long, closes array<string>, more long, runs array<array<string>>, buried long, opens array<string>, "
+         "open_runs array<array<string>>, entries long, declared array<string>, first string, last string, lines long, bytes long, "
+         "fault string")
 SHARDS = StructType([StructField("shard", StringType()), StructField("bytes", LongType()), StructField("lines", LongType()),
                      StructField("offset", LongType())])
 
 
 def _squeezed(run: list[str], tag: str) -> None:
     """Note a child; a row of equal ones counts as two, which is all that the order of children asks for."""
-    if run[-2:] != [tag, tag]:
+    if len(run) < CHILDREN and run[-2:] != [tag, tag]:
         run.append(tag)
 
 
+def _innermost(opens: list, runs: list, keep: int = LEVELS) -> int:
+    """Drop all but the innermost open elements; their number."""
+    n = max(0, len(opens) - keep)
+    del opens[:n], runs[:n]
+    return n
+
+
 class Piece:
     def __init__(self):
         self.closes, self.runs, self.opens, self.open_runs = [], [[]], [], []
-        self.entries = self.lines = self.bytes = 0
+        self.entries = self.lines = self.bytes = self.more = self.buried = 0
         self.declared, self.first, self.last, self.fault = [], None, None, None
 
+    def here(self) -> list[str]:
+        """The children so far of the element that is open."""
+        return self.open_runs[-1] if self.opens else [] if self.buried else self.runs[-1]
+
     def line(self, text: str) -> None:
         self.lines += 1
         self.bytes += len(text.encode()) + 1
@@ -69,32 +88,40 @@ class Piece:
                     parent = self.opens.pop()
                     self.fault = self.fault or (None if parent == tag else f"line {self.lines}: <{parent}> closed by </{tag}>")
                     self.fault = self.fault or fits(parent, run)
-                else:
+                elif self.buried:
+                    self.buried -= 1
+                    self.fault = self.fault or f"line {self.lines}: </{tag}> closes an element more than {LEVELS} levels out"
+                elif len(self.closes) < LEVELS:
                     self.closes.append(tag)
                     self.runs.append([])
+                else:
+                    self.more += 1
                 continue
-            _squeezed(self.open_runs[-1] if self.opens else self.runs[-1], tag)
+            _squeezed(self.here(), tag)
             if not empty:
                 self.opens.append(tag)
                 self.open_runs.append([])
+                if len(self.opens) > 4 * LEVELS:
+                    self.buried += _innermost(self.opens, self.open_runs)
             if tag == "entry":
                 self.entries += 1
         if m := _ID.search(text):
             self.fault = self.fault or (f"line {self.lines}: entry {m[1]} after {self.last}" if self.last and m[1] <= self.last else None)
             self.first, self.last = self.first or m[1], m[1]
         if m := re.search(r"<entry_count>(.*)</entry_count>", text):
-            self.declared.append(m[1])
+            self.declared = [*self.declared, m[1]][:DETAILS]
 
     def refs(self, lines: int, size: int) -> None:
         """Lines of one reference each, in a row."""
         self.lines += lines
         self.bytes += size
         for _ in range(min(lines, 2)):
-            _squeezed(self.open_runs[-1] if self.opens else self.runs[-1], "ref")
+            _squeezed(self.here(), "ref")
 
     def row(self, shard: str, at: int) -> dict:
-        return {"shard": shard, "at": at, **{k: getattr(self, k) for k in ("closes", "runs", "opens", "open_runs", "entries", "declared",
-                                                                             "first", "last", "lines", "bytes", "fault")}}
+        self.buried += _innermost(self.opens, self.open_runs)
+        return {"shard": shard, "at": at, **{k: getattr(self, k) for k in ("closes", "more", "runs", "buried", "opens", "open_runs", "entries",
+                                                                             "declared", "first", "last", "lines", "bytes", "fault")}}
 
 
 def fits(parent: str, run: list[str]) -> str | None:
@@ -157,37 +184,48 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
             yield out()
 
     strings, lists = pa.list_(pa.string()), pa.list_(pa.list_(pa.string()))
-    arrow = pa.schema([("shard", pa.string()), ("at", pa.int64()), ("closes", strings), ("runs", lists), ("opens", strings),
-                       ("open_runs", lists), ("entries", pa.int64()), ("declared", strings), ("first", pa.string()),
-                       ("last", pa.string()), ("lines", pa.int64()), ("bytes", pa.int64()), ("fault", pa.string())])
+    arrow = pa.schema([("shard", pa.string()), ("at", pa.int64()), ("closes", strings), ("more", pa.int64()), ("runs", lists),
+                       ("buried", pa.int64()), ("opens", strings), ("open_runs", lists), ("entries", pa.int64()),
+                       ("declared", strings), ("first", pa.string()), ("last", pa.string()), ("lines", pa.int64()),
+                       ("bytes", pa.int64()), ("fault", pa.string())])
     return _lines(spark, path).mapInArrow(fold, PIECE)
 
 
 def document_faults(rows: list) -> list[str]:
     """Put the pieces' states together in document order; what does not fit."""
-    stack, runs, faults, last = [""], [[]], [], None
+    top, stack, runs, buried, faults, last = [], [], [], 0, [], None      # top: the document's own children
     for p in rows:
         place = f"{p.shard} from byte {p.at}"
         if p.fault:
             faults.append(f"{place}: {p.fault}")
         for k, run in enumerate(p.runs):
+            here = runs[-1] if stack else [] if buried else top
             for tag in run:
-                _squeezed(runs[-1], tag)
+                _squeezed(here, tag)
             if k < len(p.closes):
-                if len(stack) == 1 or stack[-1] != p.closes[k]:
-                    faults.append(f"{place}: </{p.closes[k]}> closes <{stack[-1]}>")
+                if not stack and buried:
+                    faults.append(f"{place}: </{p.closes[k]}> closes an element more than {LEVELS} levels out")
+                    return faults
+                if not stack or stack[-1] != p.closes[k]:
+                    faults.append(f"{place}: </{p.closes[k]}> closes <{stack[-1] if stack else ''}>")
                     return faults
                 if wrong := fits(stack.pop(), runs.pop()):
                     faults.append(f"{place}: {wrong}")
+        if p.more:
+            faults.append(f"{place}: closes more than {LEVELS} elements of others")
+            return faults
+        if p.buried:
+            buried += _innermost(stack, runs, 0) + p.buried
         stack += p.opens
         runs += [list(r) for r in p.open_runs]
+        buried += _innermost(stack, runs)
         if p.first is not None:
             if last is not None and p.first <= last:
                 faults.append(f"{place}: entry {p.first} after {last}")
             last = p.last
-    if len(stack) > 1:
-        faults.append(f"end: <{stack[-1]}> is open")
-    elif wrong := fits("", runs[0]):
+    if stack or buried:
+        faults.append(f"end: <{stack[-1]}> is open" if stack else f"end: {buried} elements are open")
+    elif wrong := fits("", top):
         faults.append(f"end: {wrong}")
     return faults
 
@@ -221,6 +259,7 @@ def check_feed(spark: SparkSession, path: str) -> DataFrame:
            for s in sorted(noted.keys() | there.keys()) if noted.get(s) != there.get(s)]
     faults = document_faults(rows)
     declared, entries = [d for p in rows for d in p.declared], sum(p.entries for p in rows)
-    counted = "" if declared == [str(entries)] else f"declared {', '.join(declared) or 'nothing'}, found {entries}"
-    out = [("shards", not odd, "; ".join(odd[:10])), ("document", not faults, "; ".join(faults[:10])), ("entry_count", not counted, counted)]
+    counted = "" if declared == [str(entries)] else f"declared {', '.join(declared[:DETAILS]) or 'nothing'}, found {entries}"
+    out = [("shards", not odd, "; ".join(odd[:DETAILS])), ("document", not faults, "; ".join(faults[:DETAILS])),
+           ("entry_count", not counted, counted)]
     return spark.createDataFrame(out, "check string, ok boolean, detail string")

@@ -3,13 +3,14 @@
 import glob
 import gzip
 import os
+from types import SimpleNamespace
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from accmine.operators import dedup
 from accmine.plans import queries
-from accmine.session import scratch_path
+from accmine.session import brief_shuffles, scratch_path
 from accmine.sinks import feed_check, feeds
 from accmine.sources import corpus
 from accmine.streaming import ingest
@@ -128,6 +129,73 @@ def test_reference_lines_are_folded_in_bulk(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in noted] == [("part-00000", want.bytes, want.lines, 0)]
 
 
+def damaged(n: int) -> dict[str, list[str]]:
+    """Middle parts of feeds in which every entry is damaged in the same way."""
+    entry = ['<entry id="syn%07d">', "<name>a</name>", "<description>a</description>", "<cross_references>", '<ref a="1" />', "</cross_references>",
+             "<additional_fields>", '<field name="x">y</field>', "</additional_fields>", "</entry>"]
+    lacking = {x: [y for y in entry if y != x] for x in (entry[0], "</cross_references>", "<cross_references>", "</entry>")}
+    lacking["both"] = entry[1:-1]
+    lacking["counted"] = [*entry, "<entry_count>5</entry_count>"]
+    return {name: [x % k if "%" in x else x for k in range(n) for x in lines] for name, lines in lacking.items()}
+
+
+def folded(lines: list[str]) -> dict:
+    piece = feed_check.Piece()
+    for x in lines:
+        piece.line(x)
+    return piece.row("s", 0)
+
+
+def test_the_state_of_a_damaged_piece_does_not_grow_with_it():
+    few, many = ({k: folded(v) for k, v in damaged(n).items()} for n in (100, 3000))
+    for name, row in many.items():
+        assert len(str(row)) < len(str(few[name])) + 100 < 10_000, name
+        assert row["lines"] == 30 * few[name]["lines"] and row["entries"] == 30 * few[name]["entries"]
+
+
+def test_pieces_nested_or_closed_too_deep_are_faulty_and_the_rest_of_the_report_stays():
+    head = ["<database>", "<name>a</name>", "<description>a</description>", "<release>a</release>", "<release_date>a</release_date>",
+            "<entry_count>90</entry_count>", "<entries>"]
+    faults = lambda *parts: feed_check.document_faults([SimpleNamespace(**folded(x)) for x in parts])
+    for name, middle in damaged(90).items():
+        for parts in ([head, middle, ["</entries>", "</database>"]], [[*head, *middle], ["</entries>", "</database>"]],
+                      [head, middle[:300], middle[300:], ["</entries>"], ["</database>"]]):
+            assert faults(*parts), name
+    deep = lambda n: [f"<entry id=\"syn{k:03d}\">" for k in range(n)]
+    closed = ["</entry>"] * 40
+    assert faults(deep(40), closed)[-1] == "s from byte 0: closes more than 16 elements of others"
+    assert faults(deep(40), closed[:16], closed[:1])[-1] == "s from byte 0: </entry> closes an element more than 16 levels out"
+    assert faults(deep(40), closed[:16])[-1] == "end: 24 elements are open" and faults(deep(40))[-1] == "end: <entry> is open"
+    assert folded(["<x>"] * 100 + ["</x>"] * 100)["fault"] == "<x> holds elements"
+
+
+def test_a_checked_feed_and_what_it_shuffled_go_before_the_next(spark, sf_dir, monkeypatch):
+    there, made, write = [], [], feeds.write_search_feed
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def written(rows, path, **kw):
+        there.append((sum(os.path.exists(p.removeprefix("file:")) for p in made), spark.conf.get(key)))
+        made.append(path)
+        write(rows, path, **kw)
+
+    monkeypatch.setattr(feeds, "write_search_feed", written)
+    rows = {(r.feed, r.check): r.ok for r in queries.QUERIES["feed_check"](spark, sf_dir).collect()}
+    assert there == [(0, "true")] * 4 and not any(os.path.exists(p.removeprefix("file:")) for p in made)
+    assert spark.conf.get(key) == "false"
+    assert sorted(k for k, ok in rows.items() if not ok) == [("miscounted", "entry_count"), ("missing shard", "shards"), ("open entry", "document")]
+    assert len(rows) == 10
+
+
+def test_brief_shuffles_leave_no_files(spark, tmp_path):
+    kept = lambda: spark._jvm.org.apache.spark.SparkEnv.get().shuffleManager().shuffleBlockResolver().getStoredShuffles().size()
+    wide = lambda name: spark.range(1000).repartition(3, "id").write.parquet(f"{tmp_path}/{name}")
+    before = kept()
+    with brief_shuffles(spark):
+        wide("a")
+    assert kept() <= before
+    assert spark.read.parquet(f"{tmp_path}/a").count() == 1000
+
+
 def test_combined_rows_and_statistics_share_one_staged_table(spark, monkeypatch):
     rows = [("pmc:PMC1", "syn1", "c", "b"), ("pmc:PMC1", "syn1", "c", "a"), ("pmc:PMC1", "syn1", None, "b"), (None, "syn2", "c", None)]
     batches = spark.createDataFrame(rows, "pmcid string, synid string, context string, source_file string")
